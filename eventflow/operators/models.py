@@ -181,26 +181,43 @@ class TextModel:
         return TextModel(PipelineModel.load(f"{path}/pipeline"), spec, cols, platt)
 
 
-def _fit(prepared: DataFrame, spec: FeatureSpec, label: str, balanced: bool, max_iter: int = 100):
+def _featurize(prepared: DataFrame, spec: FeatureSpec, label: str):
+    """Fit the vectoriser on the training rows; return it and the cached
+    training vectors (the labelled set is small and is read once per fit)."""
     terms, idf = fit_vocabulary(prepared, spec)
     scales = []
     if spec.numeric:
         sd = prepared.agg(*[F.stddev_pop(c).alias(c) for c in spec.numeric]).first()
         scales = [1.0 / (sd[c] if sd[c] else 1.0) for c in spec.numeric]
     feat = PipelineModel(featurizer(spec, terms, idf, scales))
-    train = feat.transform(prepared).withColumn("label", F.col(label).cast("double"))
-    n = train.count()
+    keep = [c for c in ("_fold",) if c in prepared.columns]
+    train = (feat.transform(prepared)
+             .select(F.col(label).cast("double").alias("label"), "features", *keep).cache())
+    return feat, train
+
+
+def _svc(train: DataFrame, balanced: bool, max_iter: int = 100, tol: float = 1e-6):
+    """LinearSVC with the reference's objective: C=1 -> regParam = 1/n,
+    no standardisation; balanced class weights n/(k*n_class)."""
+    counts = {r[0]: r[1] for r in train.groupBy("label").count().collect()}  # one row per class
+    n = sum(counts.values())
     svc = LinearSVC(featuresCol="features", labelCol="label", regParam=1.0 / max(n, 1),
-                    standardization=False, maxIter=max_iter)
+                    standardization=False, maxIter=max_iter, tol=tol)
     if balanced:
-        counts = {r[0]: r[1] for r in train.groupBy("label").count().collect()}  # <= 2 rows
         w = F.lit(0.0)
         for c, nc in counts.items():
             w = F.when(F.col("label") == c, F.lit(n / (len(counts) * nc))).otherwise(w)
         train = train.withColumn("_w", w)
         svc.setWeightCol("_w")
-    model = svc.fit(train)
-    return PipelineModel(feat.stages + [model])
+    return svc.fit(train)
+
+
+def _fit(prepared: DataFrame, spec: FeatureSpec, label: str, balanced: bool, max_iter: int = 100):
+    feat, train = _featurize(prepared, spec, label)
+    try:
+        return PipelineModel(feat.stages + [_svc(train, balanced, max_iter)])
+    finally:
+        train.unpersist()
 
 
 def fit_svm_balanced(df: DataFrame, spec: FeatureSpec | None = None, label: str = "label") -> TextModel:
@@ -212,32 +229,49 @@ def fit_svm_balanced(df: DataFrame, spec: FeatureSpec | None = None, label: str
 
 
 def fit_svm_prob(df: DataFrame, spec: FeatureSpec | None = None, label: str = "label", key: str | None = None,
-                 folds: int = 5) -> TextModel:
+                 folds: int = 5, parallelism: int | None = None) -> TextModel:
     """J1 + J4: linear SVM (C=1) on four-field TF-IDF (top 500) with Platt
-    calibration fitted on out-of-fold margins (``folds`` hash folds)."""
+    calibration fitted on out-of-fold margins (``folds`` hash folds over one
+    shared feature matrix). Fold fits and the final fit run as concurrent
+    Spark jobs, like ``CrossValidator(parallelism=...)``."""
+    from concurrent.futures import ThreadPoolExecutor
     spec = spec or FeatureSpec(kind="four_field", vocab="topk", k=500)
-    prepared = spec.prepare(df)
     k = F.col(key) if key else F.monotonically_increasing_id()
-    prepared = prepared.withColumn("_fold", F.pmod(F.xxhash64(k), F.lit(folds)))
-    oof = None
-    for f in range(folds):
-        m = TextModel(_fit(prepared.where(F.col("_fold") != f), spec, label, balanced=False), spec)
-        part = m.pipeline.transform(prepared.where(F.col("_fold") == f)).select(
-            F.col(label).cast("double").alias("label"), vector_to_array("rawPrediction")[1].alias("_s"))
-        oof = part if oof is None else oof.unionByName(part)
-    platt = (1.0, 0.0)
-    if oof is not None and oof.select("label").distinct().count() > 1:
-        lr = LogisticRegression(featuresCol="_sv", labelCol="label", regParam=0.0, maxIter=100).fit(
-            VectorAssembler(inputCols=["_s"], outputCol="_sv").transform(oof))
-        platt = (float(lr.coefficients[0]), float(lr.intercept))
-    final = _fit(prepared, spec, label, balanced=False)
-    return TextModel(final, spec, platt=platt)
+    prepared = spec.prepare(df).withColumn("_fold", F.pmod(F.xxhash64(k), F.lit(folds)))
+    feat, train = _featurize(prepared, spec, label)
+
+    def fold_margins(f):
+        part = train.where(F.col("_fold") == f)
+        rest = train.where(F.col("_fold") != f)
+        if rest.select("label").distinct().count() < 2:
+            return None
+        m = _svc(rest, balanced=False)
+        return m.transform(part).select("label", vector_to_array("rawPrediction")[1].alias("_s"))
+
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism or folds + 1) as pool:
+            final_f = pool.submit(_svc, train, False)
+            parts = [p for p in pool.map(fold_margins, range(folds)) if p is not None]
+            final = final_f.result()
+        platt = (1.0, 0.0)
+        if parts:
+            oof = parts[0]
+            for p in parts[1:]:
+                oof = oof.unionByName(p)
+            if oof.select("label").distinct().count() > 1:
+                lr = LogisticRegression(featuresCol="_sv", labelCol="label", regParam=0.0, maxIter=100).fit(
+                    VectorAssembler(inputCols=["_s"], outputCol="_sv").transform(oof))
+                platt = (float(lr.coefficients[0]), float(lr.intercept))
+    finally:
+        train.unpersist()
+    return TextModel(PipelineModel(feat.stages + [final]), spec, platt=platt)
 
 
 # --------------------------------------------------------------------- applying models
 def predict(df: DataFrame, model: TextModel, out: str = "predicted_label") -> DataFrame:
     """0/1 class (plus the raw margin ``score``)."""
-    return model.transform(df).withColumn(out, F.col("prediction").cast("int")).drop("prediction")
+    out_df = model.transform(df).withColumn(out, F.col("prediction").cast("int"))
+    return out_df if out == "prediction" else out_df.drop("prediction")
 
 
 def classify(df: DataFrame, model: TextModel, threshold: float = REVIEW_PROB) -> DataFrame:

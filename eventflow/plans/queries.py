@@ -593,4 +593,58 @@ def q_health_verdict(spark, sf_dir):
     return L.health_verdict(up, ok, threshold=L.MIN_UPCOMING, require_page=True)
 
 
+# --------------------------------------------------------------------- J (models; rows-only)
+def _model_docs(spark, sf_dir):
+    d = docs_labelled(spark, sf_dir)
+    return d.select("doc_id", F.col("doc_id").cast("string").alias("uid"), "series_id", "title",
+                    F.col("text").alias("description"), F.col("lang").alias("location"),
+                    F.col("source").alias("category"), F.lit(None).cast("string").alias("start"), "label")
+
+
+def q_svm_train_eval(spark, sf_dir):
+    from ..operators.models import fit_svm_balanced, predict
+    d = _model_docs(spark, sf_dir).where(F.col("label").isNotNull())
+    from ..operators.models import group_split
+    s = group_split(d, "series_id", test_size=0.2, seed=SPLIT_SEED)
+    model = fit_svm_balanced(s.where(F.col("split") == "train"))
+    scored = predict(s.where(F.col("split") == "test"), model, out="prediction")
+    rep = R.classification_report(scored)
+    return rep.select("cls", r6(F.col("precision")).alias("precision"), r6(F.col("recall")).alias("recall"),
+                      r6(F.col("f1")).alias("f1"), "support")
+
+
+def q_classify(spark, sf_dir):
+    from ..operators.models import classify, fit_svm_prob
+    d = _model_docs(spark, sf_dir)
+    model = fit_svm_prob(d.where(F.col("label").isNotNull()), key="doc_id")
+    out = classify(d.drop("label"), model)
+    return out.select("doc_id", "is_community_event", r6(F.col("confidence")).alias("confidence"), "needs_review")
+
+
+def q_tag(spark, sf_dir):
+    from ..operators.models import fit_svm_balanced, tag
+    d = _model_docs(spark, sf_dir)
+    model = fit_svm_balanced(d.where(F.col("label").isNotNull()))
+    out = tag(d.drop("label"), model, confidence=True)
+    return out.select("doc_id", "predicted_label", r6(F.col("confidence")).alias("confidence"))
+
+
+def q_smart_label(spark, sf_dir):
+    from ..operators.models import fit_svm_balanced, smart_label
+    d = _model_docs(spark, sf_dir)
+    model = fit_svm_balanced(d.where(F.col("label").isNotNull()))
+    out = smart_label(d.drop("label"), model, auto=True)
+    return out.select("doc_id", "predicted_label", r6(F.col("confidence")).alias("confidence"),
+                      "needs_review", "label")
+
+
+def q_self_train(spark, sf_dir):
+    from ..operators.models import self_train
+    d = _model_docs(spark, sf_dir)
+    existing = d.where(F.col("label").isNotNull())
+    new = d.drop("label")
+    merged, _ = self_train(existing, new, uid="uid", series="series_id", key="doc_id", order_col="doc_id")
+    return merged.select("doc_id", "label", "label_source")
+
+
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}
