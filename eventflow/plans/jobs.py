@@ -15,3 +15,114 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = docs_labelled(spark, sf_dir).select("doc_id", "series_id", "label")
     filled = P.propagate_majority_fill(d)
     return R.value_counts(filled, "label").select(F.col("label"), F.col("n"))
+
+
+def scrape_frame(month_pages: DataFrame, detail_pages: DataFrame, ics_files: DataFrame,
+                 base: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """§3.1 extraction on stored inputs: month pages -> detail links
+    -> calendar URL per detail page (C4-C7) -> each calendar once (C8) ->
+    events (C9-C11). ``detail_pages(url, html)``, ``ics_files(ics_url,
+    content)``. Returns (events, pages without a calendar URL)."""
+    from ..functions.html import DEFAULT_BASE
+    from ..operators import extract as C
+    b = base or DEFAULT_BASE
+    links = C.extract_event_links(month_pages, base=b)
+    pages = (links.join(detail_pages, links.link == detail_pages.url, "left")
+             .select("page_id", F.col("pos").alias("link_pos"), F.col("link").alias("url"), "html"))
+    resolved = C.resolve_ics_url(pages.withColumn("html", F.coalesce("html", F.lit(""))), base=b)
+    firsts = C.dedupe_ics(resolved.withColumn("_order", F.struct("page_id", "link_pos")), order_col="_order")
+    cal = firsts.join(ics_files, "ics_url").select(F.col("ics_url").alias("source_ics"), "source_page", "content")
+    errors = resolved.where(F.col("ics_url").isNull()).select("url")
+    return C.parse_vevents(cal), errors
+
+
+def periodic_run(events: DataFrame, model, out_base: str, run_ts: str | None = None,
+                 export_fmt: str = "csv") -> dict:
+    """§3.1 after extraction: snapshot (A9), classify (J9), accept (D5),
+    export (A10), review statistics and rows (H4, B10), calendar payloads
+    (K1, K2). The classified frame is persisted once for the actions."""
+    from ..operators import models as J
+    from ..operators import publish as K
+    from ..operators import rules as D
+    from ..operators import shaping as B
+    from ..sources import writers as W
+    ts = W.write_run_snapshot(events, f"{out_base}/scraped", run_ts)
+    classified = J.classify(events, model).persist()
+    try:
+        community = D.accepted(classified)
+        export = W.export_for_calendar(community, f"{out_base}/calendar_upload", ts, export_fmt)
+        stats = R.batch_stats(classified).first().asDict()
+        review = B.review_rows(community)  # rows of the review summary (B10)
+        posts = K.calendar_post(K.calendar_meta(community))
+        return {"run_ts": ts, "export": export, "stats": stats, "review": review, "posts": posts}
+    finally:
+        classified.unpersist()
+
+
+def train_job(spark: SparkSession, path: str, model_path: str, propagate: bool = False,
+              collapse: bool = False, columns: dict | None = None) -> dict:
+    """§3.2 trainer: load (A4) -> ensure columns (B3) -> series key (E3) ->
+    optional strict propagation (F2) -> labelled rows (D3) -> optional
+    collapse (G5) -> group split (J6) + balanced SVM (J2) -> holdout report
+    (H9, H10) -> save (A14) -> class balance (H8)."""
+    from ..operators import merge as G
+    from ..operators import models as J
+    from ..operators import rules as D
+    from ..operators import shaping as B
+    from ..sources.readers import load_any
+    cols = {"id": "uid", "url": "url", "title": "title", "desc": "description", "start": "start",
+            "loc": "location", "label": "label"}
+    cols.update(columns or {})
+    df = B.ensure_columns(load_any(spark, path), [cols["title"], cols["desc"], cols["start"], cols["loc"]])
+    if "series_id" not in df.columns:
+        df = B.make_series_id(df, cols["id"], cols["url"], cols["title"], cols["loc"])
+    if propagate and cols["label"] in df.columns:
+        df = P.propagate_unanimous_strict(df, "series_id", cols["label"])
+    lab = D.labeled_only(df, cols["label"]).withColumn(
+        "label", F.regexp_replace(F.col(cols["label"]).cast("string"), r"\.0", "").cast("int"))
+    if collapse:
+        lab = G.collapse_series(lab, "series_id", cols["desc"])
+    spec = J.FeatureSpec(kind="trainer", title=cols["title"], desc=cols["desc"], start=cols["start"], loc=cols["loc"])
+    guards = R.train_guards(lab).first()
+    report = None
+    if guards["can_group_split"]:
+        s = J.group_split(lab, "series_id")
+        model = J.fit_svm_balanced(s.where(F.col("split") == "train"), spec)
+        scored = J.predict(s.where(F.col("split") == "test"), model, out="prediction")
+        report = R.classification_report(scored).collect()
+    else:
+        model = J.fit_svm_balanced(lab, spec)
+    model.columns = cols
+    model.save(model_path)
+    balance = R.class_balance(lab).first().asDict()
+    return {"report": report, "balance": balance}
+
+
+def tag_job(spark: SparkSession, model_path: str, path: str, out: str, confidence: bool = False) -> dict:
+    """§3.2 tagger: load model (A14) and events (A4), tag (J10), counts (H5), write."""
+    from ..operators import models as J
+    from ..sources.readers import load_any
+    from ..sources.writers import write_tagged
+    model = J.TextModel.load(spark, model_path)
+    tagged = J.tag(load_any(spark, path), model, confidence=confidence)
+    counts = R.prediction_counts(tagged).first().asDict()
+    write_tagged(tagged, out)
+    return counts
+
+
+def self_train_job(spark: SparkSession, existing_path: str, new_path: str, out: str, model_path: str) -> dict:
+    """§3.3: self-training (J8) over two event files; merged rows written, model saved."""
+    from ..operators import models as J
+    from ..operators import shaping as B
+    from ..sources.readers import load_any
+    existing = load_any(spark, existing_path)
+    existing = existing.withColumn("label", F.col("label").cast("double").cast("int"))
+    new = B.ensure_columns(load_any(spark, new_path), ["label"], default=None)
+    new = new.withColumn("label", F.col("label").cast("double").cast("int"))
+    existing = B.extract_series_id(existing) if "uid" in existing.columns else existing
+    new = B.extract_series_id(new) if "uid" in new.columns else new
+    merged, model = J.self_train(existing, new, uid="uid", series="series_id")
+    merged.write.mode("overwrite").parquet(out)
+    if model is not None:
+        model.save(model_path)
+    return {"labeled": merged.where(F.col("label").isNotNull()).count(), "total": merged.count()}
