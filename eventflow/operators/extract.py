@@ -28,10 +28,11 @@ def extract_event_links(pages: DataFrame, base: str | None = H.DEFAULT_BASE,
     """Absolute links of all anchors whose href contains ``needle``,
     first occurrence per page kept, document order as ``pos`` (0-based).
     ``base=None`` resolves against each page's own origin."""
-    b = _base_col(base, url_col)
     hrefs = F.filter(H.anchor_hrefs(F.col(html_col)), lambda h: h.contains(needle))
-    links = F.array_distinct(F.transform(hrefs, lambda h: H.url_join(b, h)))
-    return pages.select(page_key, F.posexplode(links).alias("pos", "link"))
+    # base and hrefs as columns first: each is referenced many times by url_join
+    staged = pages.select(page_key, _base_col(base, url_col).alias("_b"), hrefs.alias("_h"))
+    links = F.array_distinct(F.transform(F.col("_h"), lambda h: H.url_join(F.col("_b"), h)))
+    return staged.select(page_key, F.posexplode(links).alias("pos", "link"))
 
 
 def resolve_ics_url(pages: DataFrame, base: str | None = H.DEFAULT_BASE,
@@ -39,15 +40,18 @@ def resolve_ics_url(pages: DataFrame, base: str | None = H.DEFAULT_BASE,
                     html_col: str = "html") -> DataFrame:
     """Calendar-file URL of each detail page: the captioned link, else
     the first ``.ics`` link, else one built from the page slug, else null."""
-    b = _base_col(base, url_col)
-    cap = H.ics_link_by_caption(F.col(html_col))
-    gen = H.ics_link_generic(F.col(html_col))
-    slug = H.ics_link_from_slug(F.col(url_col), slug_pattern)
-    return pages.withColumns({
+    staged = pages.withColumns({
+        "_b": _base_col(base, url_col),
+        "_cap": H.ics_link_by_caption(F.col(html_col)),
+        "_gen": H.ics_link_generic(F.col(html_col)),
+        "_slug": H.ics_link_from_slug(F.col(url_col), slug_pattern),
+    })
+    b, cap, gen, slug = (F.col(c) for c in ("_b", "_cap", "_gen", "_slug"))
+    return staged.withColumns({
         "ics_url": F.coalesce(H.url_join(b, cap), H.url_join(b, gen), H.url_join(b, slug)),
         "ics_method": (F.when(cap.isNotNull(), "caption").when(gen.isNotNull(), "suffix")
                        .when(slug.isNotNull(), "slug")),
-    })
+    }).drop("_b", "_cap", "_gen", "_slug")
 
 
 def dedupe_ics(resolved: DataFrame, order_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -72,19 +76,26 @@ def parse_vevents(ics: DataFrame, content: str = "content", source_ics: str = "s
     the event schema, provenance carried along (B9)."""
     keep = [c for c in (source_ics, source_page) if c in ics.columns]
     blocks = ics.select(*keep, F.posexplode(I.vevent_blocks(F.col(content))).alias("vevent_pos", "_b"))
-    b = I.own_properties(F.col("_b"))
+    # stage: strip nested components once, then read each raw property once
+    own = blocks.withColumn("_b", I.own_properties(F.col("_b")))
+    props = ["SUMMARY", "DESCRIPTION", "LOCATION", "DTSTART", "DTEND", "URL", "UID", "CATEGORIES",
+             "LAST-MODIFIED", "CREATED"]
+    raw = own.select(*keep, "vevent_pos",
+                     *[I.prop_raw(F.col("_b"), p).alias(f"_{p}") for p in props],
+                     *[I.prop_param(F.col("_b"), p, "TZID").alias(f"_tz_{p}")
+                       for p in ("DTSTART", "DTEND", "LAST-MODIFIED", "CREATED")])
 
     def text(name):
-        return I.unescape_text(I.prop_raw(b, name))
+        return I.unescape_text(F.col(f"_{name}"))
 
     def when(name):
-        return I.ics_datetime_to_iso(I.prop_raw(b, name), I.prop_param(b, name, "TZID"))
+        return I.ics_datetime_to_iso(F.col(f"_{name}"), F.col(f"_tz_{name}"))
 
-    out = blocks.select(
+    out = raw.select(
         text("SUMMARY").alias("title"), text("DESCRIPTION").alias("description"),
         text("LOCATION").alias("location"), when("DTSTART").alias("start"), when("DTEND").alias("end"),
-        I.prop_raw(b, "URL").alias("url"), text("UID").alias("uid"),
-        I.split_categories(I.prop_raw(b, "CATEGORIES")).alias("category"),
+        F.col("_URL").alias("url"), text("UID").alias("uid"),
+        I.split_categories(F.col("_CATEGORIES")).alias("category"),
         when("LAST-MODIFIED").alias("last_modified"), when("CREATED").alias("created"),
         *[F.col(c) for c in keep], "vevent_pos")
     for c in ("source_ics", "source_page"):

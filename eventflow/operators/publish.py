@@ -36,14 +36,18 @@ def calendar_meta(df: DataFrame, start: str = "start", end: str = "end", url: st
                   location_id: str | None = None, out: str = "meta") -> DataFrame:
     """K1: post metadata map: start/end calendar fields when present, the
     location id as text (Δ14) and the link."""
+    # parse each time once; the five fields then read plain columns
+    staged = df
     pairs = {}
-    pairs.update(calendar_fields(F.col(start), "start") if start in df.columns else {})
-    pairs.update(calendar_fields(F.col(end), "end") if end in df.columns else {})
+    for col, which in ((start, "start"), (end, "end")):
+        if col in df.columns:
+            staged = staged.withColumn(f"_{which}", F.col(col).cast("string"))
+            pairs.update(calendar_fields(F.col(f"_{which}"), which))
     if location_id and location_id in df.columns:
         pairs["event_location"] = F.col(location_id).cast("string")
     if url in df.columns:
         pairs["evcal_lmlink"] = F.col(url).cast("string")
-    return df.withColumn(out, _entries(pairs))
+    return staged.withColumn(out, _entries(pairs)).drop("_start", "_end")
 
 
 def calendar_post(df: DataFrame, title: str = "title", description: str = "description",
