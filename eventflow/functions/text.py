@@ -156,7 +156,11 @@ def strip_accents(c) -> Column:
     return F.regexp_replace(folded, r"\p{Mn}", "")
 
 
-def tokens(text, pattern: str = r"(?U)\b\w\w+\b") -> Column:
+# Word token: two or more letters, digits or underscores (Python's \w set).
+TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
+
+
+def tokens(text, pattern: str = TOKEN_PATTERN) -> Column:
     """I3 unigrams: word tokens of two or more word characters."""
     return F.regexp_extract_all(col_of(text), F.lit(pattern), 0)
 

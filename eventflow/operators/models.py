@@ -24,11 +24,10 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import four_field_text, title_desc_text
+from ..functions.text import TOKEN_PATTERN, four_field_text, title_desc_text
 from .features import NUMERIC_FEATURES, prepared_text, term_counts, time_features, with_venue_flags
 from .numbering import dense_index
 
-TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 REVIEW_PROB = 0.75
 REVIEW_MARGIN = 0.55
 
