@@ -28,6 +28,7 @@ from ..functions.text import TOKEN_PATTERN, four_field_text, title_desc_text
 from .features import NUMERIC_FEATURES, prepared_text, term_counts, time_features, with_venue_flags
 from .numbering import dense_index
 
+ROWS_PER_TRAIN_PARTITION = 50_000
 REVIEW_PROB = 0.75
 REVIEW_MARGIN = 0.55
 
@@ -190,8 +191,15 @@ def _featurize(prepared: DataFrame, spec: FeatureSpec, label: str):
         scales = [1.0 / (sd[c] if sd[c] else 1.0) for c in spec.numeric]
     feat = PipelineModel(featurizer(spec, terms, idf, scales))
     keep = [c for c in ("_fold",) if c in prepared.columns]
+    # Iterative solvers run one job per iteration over the training set: size
+    # its partitions by row count (a hand-labelled set is small) so per-task
+    # overhead does not dominate; a large set still gets many partitions.
+    n = prepared.count()
+    cores = prepared.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(cores, -(-n // ROWS_PER_TRAIN_PARTITION)))
     train = (feat.transform(prepared)
-             .select(F.col(label).cast("double").alias("label"), "features", *keep).cache())
+             .select(F.col(label).cast("double").alias("label"), "features", *keep)
+             .repartition(parts).cache())
     return feat, train
 
 

@@ -350,6 +350,9 @@ SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY first) - 1
   CASE WHEN event_type = 'signup' THEN 'https://cal.example.com/e/' || event_id END AS link,
   CAST(5 + CASE WHEN event_type IN ('purchase', 'error') THEN 5 ELSE 0 END
        + CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS BIGINT) AS n_meta FROM events"""
+    d["upload_plan"] = """SELECT event_id, event_type || ' (' || CASE WHEN event_type = 'error'
+  THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+05:00' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END || ')' AS plan_line
+  FROM events"""
     d["upsert_locations"] = """WITH ex AS (SELECT name, row_number() OVER (ORDER BY name) AS id FROM
   (SELECT DISTINCT p_brand AS name FROM part WHERE p_partkey < 10 AND p_brand IS NOT NULL AND p_brand <> '')),
 nw AS (SELECT name, (SELECT coalesce(max(id), 0) FROM ex) + row_number() OVER (ORDER BY name) AS id FROM

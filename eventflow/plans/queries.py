@@ -38,9 +38,14 @@ NOW_TEXT = "1998-01-01 00:00:00"
 SPLIT_SEED = "42"
 
 
+# tables whose rows carry heavy per-row work (whole texts, pages, calendar files)
+TEXT_TABLES = {"documents", "pages"}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return I.spread(df) if name in TEXT_TABLES else df
 
 
 def r6(c):
@@ -418,7 +423,7 @@ def orders_ics(spark, sf_dir) -> DataFrame:
     second with a nested alarm), one for open orders, none for pending ones;
     escaped commas and semicolons, a folded description, DATE and UTC
     DATE-TIME values."""
-    o = load(spark, sf_dir, "orders")
+    o = I.spread(load(spark, sf_dir, "orders"))
     k = F.col("o_orderkey").cast("string")
     crlf = F.lit("\r\n")
     d = F.col("o_orderdate")
@@ -473,9 +478,10 @@ def _event_posts(spark, sf_dir):
     ev = load(spark, sf_dir, "events")
     et = F.col("event_type")
     t = F.col("ts")
+    full = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     start = F.when(et == "error", F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:00"))) \
-        .otherwise(t.cast("string"))
-    end = F.when(et.isin("purchase", "error"), (t + F.expr("INTERVAL 90 MINUTES")).cast("string"))
+        .otherwise(F.date_format(t, full))
+    end = F.when(et.isin("purchase", "error"), F.date_format(t + F.expr("INTERVAL 90 MINUTES"), full))
     url = F.when(et == "signup", F.concat(F.lit("https://cal.example.com/e/"), F.col("event_id").cast("string")))
     desc = F.when(et == "view", F.lit(None).cast("string")).otherwise(F.col("props"))
     return ev.select("event_id", et.alias("title"), desc.alias("description"), start.alias("start"),
