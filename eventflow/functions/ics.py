@@ -6,6 +6,8 @@ text, so a calendar file is parsed inside the JVM with no per-row Python.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,6 +62,20 @@ def split_categories(raw) -> Column:
     return F.when(r.isNotNull(), F.transform(F.split(r, r"(?<!\\),"), unescape_text))
 
 
+@lru_cache(maxsize=1)
+def known_zones() -> tuple:
+    """IANA zone names (from the interpreter's tz database); a TZID outside
+    it is treated as a floating time instead of failing the row."""
+    import zoneinfo
+    return tuple(sorted(zoneinfo.available_timezones()))
+
+
+def valid_zone(tzid) -> Column:
+    """The TZID if it names a known zone, else '' (floating time)."""
+    t = col_of(tzid)
+    return F.when(t.isin(*known_zones()), t).otherwise(F.lit(""))
+
+
 def _fmt_offset(seconds: Column) -> Column:
     sign = F.when(seconds < 0, F.lit("-")).otherwise(F.lit("+"))
     a = F.abs(seconds)
@@ -68,7 +84,8 @@ def _fmt_offset(seconds: Column) -> Column:
 
 
 def ics_datetime_to_iso(value, tzid=None) -> Column:
-    """DATE -> ``YYYY-MM-DD``; DATE-TIME -> ISO text.
+    """DATE -> ``YYYY-MM-DD``; DATE-TIME -> ISO text (``tzid`` must be a
+    known zone or '', see ``valid_zone``).
 
     Floating times stay naive; a trailing ``Z`` becomes ``+00:00``; a TZID
     parameter gives the zone's offset at that wall-clock time.
@@ -80,11 +97,13 @@ def ics_datetime_to_iso(value, tzid=None) -> Column:
     iso_date = lambda s: F.concat_ws("-", F.substring(s, 1, 4), F.substring(s, 5, 2), F.substring(s, 7, 2))
     iso_time = F.concat_ws(":", F.substring(t, 1, 2), F.substring(t, 3, 2), F.substring(t, 5, 2))
     local = F.concat(iso_date(d), F.lit("T"), iso_time)
-    wall = F.to_timestamp(F.concat(iso_date(d), F.lit(" "), iso_time))
-    offset = (F.unix_timestamp(wall) - F.unix_timestamp(F.to_utc_timestamp(wall, tz)))
+    wall = F.try_to_timestamp(F.concat(iso_date(d), F.lit(" "), iso_time))
+    zone_ok = tz != ""
+    safe_tz = F.when(zone_ok, tz).otherwise(F.lit("UTC"))
+    offset = (F.unix_timestamp(wall) - F.unix_timestamp(F.to_utc_timestamp(wall, safe_tz)))
     return (F.when(v.isNull() | (v == ""), F.lit(None).cast("string"))
             .when(v.rlike(r"^\d{8}$"), iso_date(v))
             .when(m == "", v)
             .when(z == "Z", F.concat(local, F.lit("+00:00")))
-            .when(tz != "", F.concat(local, _fmt_offset(offset)))
+            .when(zone_ok & wall.isNotNull(), F.concat(local, _fmt_offset(offset)))
             .otherwise(local))

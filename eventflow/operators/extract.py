@@ -82,7 +82,7 @@ def parse_vevents(ics: DataFrame, content: str = "content", source_ics: str = "s
              "LAST-MODIFIED", "CREATED"]
     raw = own.select(*keep, "vevent_pos",
                      *[I.prop_raw(F.col("_b"), p).alias(f"_{p}") for p in props],
-                     *[I.prop_param(F.col("_b"), p, "TZID").alias(f"_tz_{p}")
+                     *[I.valid_zone(I.prop_param(F.col("_b"), p, "TZID")).alias(f"_tz_{p}")
                        for p in ("DTSTART", "DTEND", "LAST-MODIFIED", "CREATED")])
 
     def text(name):

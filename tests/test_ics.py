@@ -31,3 +31,12 @@ def test_parse_two_events(spark):
     assert b.end == "2025-07-15T19:00:00-05:00"       # CDT
     assert b.created == "2025-01-01T09:00:00"          # floating time stays naive
     assert b.description is None and b.category is None
+
+
+def test_bad_zone_and_date_do_not_fail(spark):
+    cal = ("BEGIN:VCALENDAR\r\nBEGIN:VEVENT\r\nUID:z\r\nDTSTART;TZID=Mars/Olympus:20250115T180000\r\n"
+           "DTEND:20251340T250000\r\nEND:VEVENT\r\nEND:VCALENDAR\r\n")
+    df = spark.createDataFrame([("z.ics", None, cal)], "source_ics string, source_page string, content string")
+    r = C.parse_vevents(df).first()
+    assert r.start == "2025-01-15T18:00:00"      # unknown zone: floating time
+    assert r.end == "2025-13-40T25:00:00"         # shape kept, no failure
