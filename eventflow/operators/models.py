@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, NGram, Normalizer,
-                                RegexTokenizer, SQLTransformer, VectorAssembler)
+                                SQLTransformer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
@@ -132,8 +132,8 @@ def fit_vocabulary(prepared: DataFrame, spec: FeatureSpec) -> tuple[list, list]:
 
 def featurizer(spec: FeatureSpec, terms: list, idf: list, scales: list) -> list:
     stages = [
-        RegexTokenizer(inputCol="_text", outputCol="_tok", pattern=TOKEN_PATTERN, gaps=False,
-                       toLowercase=False, minTokenLength=1),
+        SQLTransformer(statement="SELECT *, regexp_extract_all(_text, '%s', 0) AS _tok FROM __THIS__"
+                       % TOKEN_PATTERN.replace("\\", "\\\\")),
         NGram(n=2, inputCol="_tok", outputCol="_bi"),
         SQLTransformer(statement="SELECT *, concat(_tok, _bi) AS _terms FROM __THIS__"),
         CountVectorizerModel.from_vocabulary(terms or ["__empty__"], inputCol="_terms", outputCol="_tf"),
