@@ -353,6 +353,15 @@ SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY first) - 1
     d["upload_plan"] = """SELECT event_id, event_type || ' (' || CASE WHEN event_type = 'error'
   THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+05:00' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END || ')' AS plan_line
   FROM events"""
+    d["accepted_review"] = f"""SELECT event_id, round({CONF}, 6) AS confidence, {CONF} < 0.75 AS needs_review
+  FROM events WHERE {PRED} = 1"""
+    d["promote_label"] = f"""WITH {DL} SELECT doc_id, coalesce(label, CAST(n_chars > 1000 AS INTEGER)) AS label FROM dl"""
+    d["concat_sets"] = """SELECT doc_id, lang, NULL::VARCHAR AS source FROM documents WHERE lang = 'en'
+UNION ALL SELECT doc_id, NULL::VARCHAR, source FROM documents WHERE lang = 'fr'"""
+    d["ensure_columns"] = "SELECT page_id, url AS title, '' AS description, '' AS start, '' AS location FROM pages"
+    d["title_desc_text"] = f"""WITH {DL} SELECT doc_id,
+  md5(lower(coalesce(title, '') || ' ' || coalesce(text, ''))) AS text_md5,
+  CAST(length(coalesce(title, '') || ' ' || coalesce(text, '')) AS INTEGER) AS text_len FROM dl"""
     d["upsert_locations"] = """WITH ex AS (SELECT name, row_number() OVER (ORDER BY name) AS id FROM
   (SELECT DISTINCT p_brand AS name FROM part WHERE p_partkey < 10 AND p_brand IS NOT NULL AND p_brand <> '')),
 nw AS (SELECT name, (SELECT coalesce(max(id), 0) FROM ex) + row_number() OVER (ORDER BY name) AS id FROM

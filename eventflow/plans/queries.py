@@ -599,6 +599,37 @@ def q_health_verdict(spark, sf_dir):
     return L.health_verdict(up, ok, threshold=L.MIN_UPCOMING, require_page=True)
 
 
+# --------------------------------------------------------------------- more B / D / G
+def q_accepted_review(spark, sf_dir):
+    ev = event_confidence(load(spark, sf_dir, "events")).drop("needs_review")
+    out = D.accepted(D.needs_review_prob(ev, threshold=0.75))
+    return out.select("event_id", r6(F.col("confidence")).alias("confidence"), "needs_review")
+
+
+def q_promote_label(spark, sf_dir):
+    d = docs_labelled(spark, sf_dir).withColumn("predicted_label", (F.col("n_chars") > 1000).cast("int"))
+    return B.promote_label(G.merge_manual_predicted(d)).select("doc_id", "label")
+
+
+def q_concat_sets(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    a = docs.where(F.col("lang") == "en").select("doc_id", "lang")
+    b = docs.where(F.col("lang") == "fr").select("doc_id", "source")
+    return G.concat(a, b)
+
+
+def q_ensure_columns(spark, sf_dir):
+    pages = load(spark, sf_dir, "pages").select("page_id", F.col("url").alias("title"))
+    return B.ensure_columns(pages, ["title", "description", "start", "location"]).select(
+        "page_id", "title", "description", "start", "location")
+
+
+def q_title_desc_text(spark, sf_dir):
+    d = docs_labelled(spark, sf_dir)
+    return d.select("doc_id", F.md5(title_desc_text("title", "text", lower=True)).alias("text_md5"),
+                    F.length(title_desc_text("title", "text")).alias("text_len"))
+
+
 # --------------------------------------------------------------------- J (models; rows-only)
 def _model_docs(spark, sf_dir):
     d = docs_labelled(spark, sf_dir)
