@@ -92,6 +92,10 @@ class FeatureSpec:
     k: int = 500
     min_df: int = 2
     max_df: float = 0.9
+    # Bound on the vocabulary held by the driver-side vectoriser (the pruned
+    # vocabulary comes from the hand-labelled training rows, so it is small
+    # in practice; beyond the bound the most frequent terms are kept).
+    max_vocab: int = 1 << 20
 
     def prepare(self, df: DataFrame) -> DataFrame:
         """Add ``_text`` (and numeric features) with DataFrame expressions."""
@@ -123,8 +127,9 @@ def fit_vocabulary(prepared: DataFrame, spec: FeatureSpec) -> tuple[list, list]:
         st = st.orderBy(F.desc("cf"), F.asc("term")).limit(spec.k)
     else:
         hi = spec.max_df * n if isinstance(spec.max_df, float) else spec.max_df
-        st = st.where((F.col("df") >= spec.min_df) & (F.col("df") <= hi))
-    vocab = st.orderBy("term").select("term", "df").collect()  # bounded vocabulary
+        st = (st.where((F.col("df") >= spec.min_df) & (F.col("df") <= hi))
+              .orderBy(F.desc("df"), F.asc("term")).limit(spec.max_vocab))
+    vocab = st.select("term", "df").collect()  # bounded: k or max_vocab terms
     terms = [r["term"] for r in vocab]
     idf = [math.log((1.0 + n) / (1.0 + r["df"])) + 1.0 for r in vocab]
     return terms, idf
