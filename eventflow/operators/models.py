@@ -224,10 +224,16 @@ def _svc(train: DataFrame, balanced: bool, max_iter: int = 100, tol: float = 1e-
     return svc.fit(train)
 
 
-def _fit(prepared: DataFrame, spec: FeatureSpec, label: str, balanced: bool, max_iter: int = 100):
+# Solver tolerances of the reference's estimators: libsvm SVC 1e-3, liblinear LinearSVC 1e-4.
+TOL_SVC = 1e-3
+TOL_LINEAR = 1e-4
+
+
+def _fit(prepared: DataFrame, spec: FeatureSpec, label: str, balanced: bool, max_iter: int = 100,
+         tol: float = TOL_LINEAR):
     feat, train = _featurize(prepared, spec, label)
     try:
-        return PipelineModel(feat.stages + [_svc(train, balanced, max_iter)])
+        return PipelineModel(feat.stages + [_svc(train, balanced, max_iter, tol)])
     finally:
         train.unpersist()
 
@@ -257,12 +263,12 @@ def fit_svm_prob(df: DataFrame, spec: FeatureSpec | None = None, label: str = "l
         rest = train.where(F.col("_fold") != f)
         if rest.select("label").distinct().count() < 2:
             return None
-        m = _svc(rest, balanced=False)
+        m = _svc(rest, balanced=False, tol=TOL_SVC)
         return m.transform(part).select("label", vector_to_array("rawPrediction")[1].alias("_s"))
 
     try:
         with ThreadPoolExecutor(max_workers=parallelism or folds + 1) as pool:
-            final_f = pool.submit(_svc, train, False)
+            final_f = pool.submit(_svc, train, False, 100, TOL_SVC)
             parts = [p for p in pool.map(fold_margins, range(folds)) if p is not None]
             final = final_f.result()
         platt = (1.0, 0.0)
