@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import (as_text, col_of, norm_str, norm_url, py_strip,
-                              title_desc_text, weak_label_expr)
+from ..functions.text import as_text, norm_str, norm_url, py_strip, title_desc_text, weak_label_expr
 from ..functions.timefmt import display_datetime, parse_start, percent_1
 
 # ---------------------------------------------------------------------------

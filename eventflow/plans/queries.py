@@ -11,10 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import html as H
 from ..functions.text import flatten_category, four_field_text, norm_str, norm_url, parse_label, \
     title_desc_text, venue_flags, weak_label_expr
-from ..functions.timefmt import hour_or_missing, is_weekend, parse_start
 from ..operators import extract as C
 from ..operators import features as I
 from ..operators import merge as G
