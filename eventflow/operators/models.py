@@ -330,12 +330,16 @@ def self_train(existing: DataFrame, new: DataFrame, label: str = "label", uid: s
     final model or None when fewer than 10 labelled rows)."""
     from ..session import cut_lineage
     from .merge import merge_by_priority
-    from .propagate import propagate_majority_overwrite
+    from .propagate import SOURCE_MODEL, SOURCE_SERIES, propagate_majority_overwrite
     labelled = existing.where(F.col(label).isNotNull())
     first = fit_svm_prob(labelled, spec, label=label, key=key)
     pred = classify(new, first).withColumn(label, F.col("is_community_event")) \
         .withColumnRenamed("confidence", "prediction_confidence").drop("is_community_event", "needs_review")
     pred = propagate_majority_overwrite(pred, series, label)
+    # the reference's new rows carry a source column only when some series
+    # propagated; without one, all new rows count as model predictions
+    any_series = pred.agg(F.coalesce(F.bool_or(F.col("label_source") == SOURCE_SERIES), F.lit(False))).scalar()
+    pred = pred.withColumn("label_source", F.when(any_series, F.col("label_source")).otherwise(F.lit(SOURCE_MODEL)))
     merged = merge_by_priority(existing, pred, uid=uid, order_col=order_col)
     merged = cut_lineage(propagate_majority_overwrite(merged, series, label))
     final = None
