@@ -48,20 +48,21 @@ def percent_1(c) -> Column:
     return F.concat(F.format_string("%.1f", col_of(c) * 100), F.lit("%"))
 
 
-def calendar_fields(text, which: str) -> dict:
-    """K1: the five calendar fields of one ISO time text.
-
-    epoch seconds of the instant (naive text counts as UTC), then date, 12-hour
-    hour, minute and lower-case am/pm of the text's own wall clock.
-    """
-    instant = parse_start(text)
-    wall = wall_clock(text)
+def calendar_fields_from(instant, wall, which: str) -> dict:
+    """K1 fields from a parsed instant and wall clock: epoch seconds of the
+    instant, then date, 12-hour hour, minute and lower-case am/pm of the
+    wall clock; all null when the time is missing."""
     ok = instant.isNotNull()
-    prefix = which
     return {
         f"evcal_{which[0]}row": F.when(ok, F.unix_timestamp(instant).cast("string")),
-        f"evcal_{prefix}_date": F.when(ok, F.date_format(wall, "yyyy-MM-dd")),
-        f"evcal_{prefix}_time_hour": F.when(ok, F.date_format(wall, "hh")),
-        f"evcal_{prefix}_time_min": F.when(ok, F.date_format(wall, "mm")),
-        f"evcal_{prefix}_time_ampm": F.when(ok, F.lower(F.date_format(wall, "a"))),
+        f"evcal_{which}_date": F.when(ok, F.date_format(wall, "yyyy-MM-dd")),
+        f"evcal_{which}_time_hour": F.when(ok, F.date_format(wall, "hh")),
+        f"evcal_{which}_time_min": F.when(ok, F.date_format(wall, "mm")),
+        f"evcal_{which}_time_ampm": F.when(ok, F.lower(F.date_format(wall, "a"))),
     }
+
+
+def calendar_fields(text, which: str) -> dict:
+    """K1: the five calendar fields of one ISO time text (naive text counts
+    as UTC; zoned text shows its own wall clock)."""
+    return calendar_fields_from(parse_start(text), wall_clock(text), which)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import calendar_fields
+from ..functions.timefmt import calendar_fields_from, parse_start, wall_clock
 from .numbering import dense_index
 
 # ---------------------------------------------------------------------------
@@ -27,27 +27,31 @@ DEFAULT_TITLE = "Untitled Event"
 
 
 def _entries(pairs: dict):
-    """map of the non-null values of ``pairs`` (absent keys when null)."""
-    m = F.map_from_arrays(F.array(*[F.lit(k) for k in pairs]), F.array(*pairs.values()))
-    return F.map_filter(m, lambda k, v: v.isNotNull())
+    """map of the non-null values of ``pairs`` (absent keys when null);
+    ``array_compact`` + ``map_from_entries`` needs no lambda, so it stays in
+    generated code."""
+    items = [F.when(v.isNotNull(), F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")))
+             for k, v in pairs.items()]
+    return F.map_from_entries(F.array_compact(F.array(*items)))
 
 
 def calendar_meta(df: DataFrame, start: str = "start", end: str = "end", url: str = "url",
                   location_id: str | None = None, out: str = "meta") -> DataFrame:
     """K1: post metadata map: start/end calendar fields when present, the
     location id as text (Δ14) and the link."""
-    # parse each time once; the five fields then read plain columns
+    # parse each time once (instant and wall clock as columns); the five
+    # fields then read plain columns
     staged = df
     pairs = {}
     for col, which in ((start, "start"), (end, "end")):
         if col in df.columns:
-            staged = staged.withColumn(f"_{which}", F.col(col).cast("string"))
-            pairs.update(calendar_fields(F.col(f"_{which}"), which))
+            staged = staged.withColumns({f"_{which}_i": parse_start(F.col(col)), f"_{which}_w": wall_clock(F.col(col))})
+            pairs.update(calendar_fields_from(F.col(f"_{which}_i"), F.col(f"_{which}_w"), which))
     if location_id and location_id in df.columns:
         pairs["event_location"] = F.col(location_id).cast("string")
     if url in df.columns:
         pairs["evcal_lmlink"] = F.col(url).cast("string")
-    return staged.withColumn(out, _entries(pairs)).drop("_start", "_end")
+    return staged.withColumn(out, _entries(pairs)).drop("_start_i", "_start_w", "_end_i", "_end_w")
 
 
 def calendar_post(df: DataFrame, title: str = "title", description: str = "description",
