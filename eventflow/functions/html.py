@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 
 from .text import col_of
 
-# href value of every <a> tag, document order (group 1)
-ANCHOR_HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
-# first anchor whose whole text matches the calendar-link caption (group 1)
-ICS_CAPTION_HREF = (r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>[^<]*?"""
-                    r"""Add to Calendar\s*-\s*iCal[^<]*</a>""")
+# Anchor attribute value, double-, single- or un-quoted (group 1 keeps the
+# quotes; ``strip_quotes`` removes them). ``href`` must follow whitespace, so
+# ``data-href`` is not taken for it.
+HREF_VALUE = r"""\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+# href of every <a> tag, document order
+ANCHOR_HREF = r"(?is)<a" + HREF_VALUE
+# first anchor whose whole text matches the calendar-link caption
+ICS_CAPTION_HREF = r"(?is)<a" + HREF_VALUE + r"[^>]*>[^<]*?Add to Calendar\s*-\s*iCal[^<]*</a>"
 # first anchor whose href ends in .ics (the suffix test is case-sensitive)
-ICS_SUFFIX_HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*(?-i:\.ics))["']"""
+ICS_SUFFIX_HREF = (r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*(?-i:\.ics)"|'[^']*(?-i:\.ics)'|"""
+                   r"""[^\s>"']*(?-i:\.ics)(?:[\s>]|$))""")
 # path part of a URL (urlparse(...).path)
 URL_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)"
 # scheme://host of a URL
@@ -32,6 +36,13 @@ ICS_PATH_TEMPLATE = ("/events/ical/", ".ics")
 # ---------------------------------------------------------------------------
 
 
+def strip_quotes(c) -> Column:
+    """Attribute value without its surrounding quotes (and a trailing
+    delimiter left by the unquoted form)."""
+    v = F.regexp_replace(col_of(c), r"[\s>]$", "")
+    return F.regexp_replace(v, r"^[\"']|[\"']$", "")
+
+
 def unescape_entities(c) -> Column:
     """Decode the character references an HTML parser decodes in hrefs."""
     s = col_of(c)
@@ -75,7 +86,8 @@ def url_join(base, href) -> Column:
 
 def anchor_hrefs(html) -> Column:
     """All anchor hrefs of a page in document order, entities decoded."""
-    return F.transform(F.regexp_extract_all(col_of(html), F.lit(ANCHOR_HREF), 1), unescape_entities)
+    return F.transform(F.regexp_extract_all(col_of(html), F.lit(ANCHOR_HREF), 1),
+                       lambda v: unescape_entities(strip_quotes(v)))
 
 
 def _nz(c: Column) -> Column:
@@ -84,12 +96,12 @@ def _nz(c: Column) -> Column:
 
 def ics_link_by_caption(html) -> Column:
     """C4: href of the first anchor captioned 'Add to Calendar - iCal'."""
-    return unescape_entities(_nz(F.regexp_extract(col_of(html), ICS_CAPTION_HREF, 1)))
+    return _nz(unescape_entities(strip_quotes(F.regexp_extract(col_of(html), ICS_CAPTION_HREF, 1))))
 
 
 def ics_link_generic(html) -> Column:
     """Href of the first anchor whose href ends in ``.ics``."""
-    return unescape_entities(_nz(F.regexp_extract(col_of(html), ICS_SUFFIX_HREF, 1)))
+    return _nz(unescape_entities(strip_quotes(F.regexp_extract(col_of(html), ICS_SUFFIX_HREF, 1))))
 
 
 def ics_link_from_slug(url, slug_pattern: str = DETAIL_SLUG) -> Column:

@@ -6,21 +6,25 @@ with plain SQL, independently of the Spark code path.
 
 from __future__ import annotations
 
+from ..functions import html as H
 from ..functions.text import COMMUNITY_KEYWORDS, NON_COMMUNITY_KEYWORDS
+
+
+def q(s: str) -> str:
+    return s.replace("'", "''")
+
 from ..operators.publish import META_KEYS
 
 # Unicode White_Space as one RE2 class (Java's (?U)\s)
 WS = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-ANCHOR = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*)["'']"""
-CAPTION = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*)["''][^>]*>[^<]*?Add to Calendar\s*-\s*iCal[^<]*</a>"""
-SUFFIX = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*(?-i:\.ics))["'']"""
+ANCHOR = q(H.ANCHOR_HREF)
+CAPTION = q(H.ICS_CAPTION_HREF)
+SUFFIX = q(H.ICS_SUFFIX_HREF)
 ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
-def q(s: str) -> str:
-    return s.replace("'", "''")
 
 
 def strip_ws(x):
@@ -36,6 +40,10 @@ def norm_str(x):
             f"'[^a-z0-9 ]+', '', 'g')")
 
 
+def strip_quotes(x):
+    return f"""regexp_replace(regexp_replace({x}, '[\\s>]$', ''), '^["'']|["'']$', '', 'g')"""
+
+
 def unescape(x):
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"),
                     ("&amp;", "&")):
@@ -108,8 +116,8 @@ def review_base():
 
 
 def resolved():
-    cap = f"NULLIF({unescape('NULLIF(regexp_extract(html, ' + chr(39) + CAPTION + chr(39) + ', 1), ' + chr(39) * 2 + ')')}, '')"
-    gen = f"NULLIF({unescape('NULLIF(regexp_extract(html, ' + chr(39) + SUFFIX + chr(39) + ', 1), ' + chr(39) * 2 + ')')}, '')"
+    cap = f"NULLIF({unescape(strip_quotes(f'regexp_extract(html, {chr(39)}{CAPTION}{chr(39)}, 1)'))}, '')"
+    gen = f"NULLIF({unescape(strip_quotes(f'regexp_extract(html, {chr(39)}{SUFFIX}{chr(39)}, 1)'))}, '')"
     return f"""r0 AS (SELECT page_id, url, regexp_extract(url, '{ORIGIN}', 1) AS origin, {cap} AS cap, {gen} AS gen,
   NULLIF(regexp_extract(regexp_extract(url, '{PATH}', 1), '^/[a-z]{{2}}/([^/]+)', 1), '') AS s FROM pages),
 r1 AS (SELECT *, CASE WHEN s IS NOT NULL THEN '/events/ical/' || s || '.ics' END AS slug FROM r0),
@@ -332,7 +340,7 @@ SELECT CASE WHEN total < 20 THEN 'both' WHEN ci <= ceil(nc * 0.2::DOUBLE) THEN '
   count(*) AS n_rows FROM r GROUP BY ALL"""
     d["extract_links"] = f"""WITH a AS (SELECT page_id, origin, unnest(h) AS href, generate_subscripts(h, 1) AS i FROM
   (SELECT page_id, regexp_extract(url, '{ORIGIN}', 1) AS origin, regexp_extract_all(html, '{ANCHOR}', 1) AS h FROM pages)),
-u AS (SELECT page_id, i, origin, {unescape('href')} AS href FROM a),
+u AS (SELECT page_id, i, origin, {unescape(strip_quotes('href'))} AS href FROM a),
 f AS (SELECT page_id, i, {url_join('origin', 'href')} AS link FROM u WHERE contains(href, '/')),
 g AS (SELECT page_id, link, min(i) AS first FROM f GROUP BY ALL)
 SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY first) - 1 AS INTEGER) AS pos, link FROM g"""

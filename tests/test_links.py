@@ -86,3 +86,18 @@ def test_month_window_pushdown(spark):
     assert months <= {"1997-05", "1997-06"}
     assert w.where(F.col("frame_month") == "1997-05").count() == o.where(
         (F.col("o_orderdate") >= "1997-05-01") & (F.col("o_orderdate") < "1997-06-01")).count()
+
+
+def test_unquoted_and_data_href(spark):
+    rows = [
+        (1, DETAIL + "u-1", "<a href=/events/ical/u-1.ics>Add to Calendar - iCal</a>"),
+        (2, DETAIL + "v-2", '<a data-href="/wrong.ics" href=/right.ics>x</a>'),
+        (3, DETAIL + "w-3", '<a href="">Add to Calendar - iCal</a>'),
+    ]
+    got = resolve(spark, rows)
+    assert got[1] == DEFAULT_BASE + "/events/ical/u-1.ics"
+    assert got[2] == DEFAULT_BASE + "/right.ics"
+    assert got[3] == DEFAULT_BASE + "/events/ical/w-3.ics"   # empty href is no link
+    df = spark.createDataFrame([(9, DEFAULT_BASE, '<a href=/events/details/a-1>1</a><a data-href="/events/details/no">n</a>')],
+                               "page_id bigint, url string, html string")
+    assert [r.link for r in C.extract_event_links(df).collect()] == [DEFAULT_BASE + "/events/details/a-1"]
