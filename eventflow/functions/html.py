@@ -28,8 +28,7 @@ URL_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)"
 # scheme://host of a URL
 URL_ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 # ---------------------------------------------------------------------------
-# Fixed values of the reference scraper.
-DEFAULT_BASE = "https://business.perdidochamber.com"
+# Fixed values of the scraper: detail-page marker and calendar-file path.
 DETAIL_NEEDLE = "/events/details"
 DETAIL_SLUG = r"/events/details/([^/]+)"
 ICS_PATH_TEMPLATE = ("/events/ical/", ".ics")

@@ -22,12 +22,12 @@ def _base_col(base, url_col):
     return F.lit(base) if base is not None else H.url_origin(F.col(url_col))
 
 
-def extract_event_links(pages: DataFrame, base: str | None = H.DEFAULT_BASE,
+def extract_event_links(pages: DataFrame, base: str | None = None,
                         needle: str = H.DETAIL_NEEDLE, page_key: str = "page_id",
                         url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Absolute links of all anchors whose href contains ``needle``,
     first occurrence per page kept, document order as ``pos`` (0-based).
-    ``base=None`` resolves against each page's own origin."""
+    Links resolve against ``base``, by default each page's own origin."""
     hrefs = F.filter(H.anchor_hrefs(F.col(html_col)), lambda h: h.contains(needle))
     # base and hrefs as columns first: each is referenced many times by url_join
     staged = pages.select(page_key, _base_col(base, url_col).alias("_b"), hrefs.alias("_h"))
@@ -35,11 +35,12 @@ def extract_event_links(pages: DataFrame, base: str | None = H.DEFAULT_BASE,
     return staged.select(page_key, F.posexplode(links).alias("pos", "link"))
 
 
-def resolve_ics_url(pages: DataFrame, base: str | None = H.DEFAULT_BASE,
+def resolve_ics_url(pages: DataFrame, base: str | None = None,
                     slug_pattern: str = H.DETAIL_SLUG, url_col: str = "url",
                     html_col: str = "html") -> DataFrame:
     """Calendar-file URL of each detail page: the captioned link, else
-    the first ``.ics`` link, else one built from the page slug, else null."""
+    the first ``.ics`` link, else one built from the page slug, else null.
+    Links resolve against ``base``, by default each page's own origin."""
     staged = pages.withColumns({
         "_b": _base_col(base, url_col),
         "_cap": H.ics_link_by_caption(F.col(html_col)),

@@ -22,10 +22,10 @@ def scrape_frame(month_pages: DataFrame, detail_pages: DataFrame, ics_files: Dat
     """§3.1 extraction on stored inputs: month pages -> detail links
     -> calendar URL per detail page (C4-C7) -> each calendar once (C8) ->
     events (C9-C11). ``detail_pages(url, html)``, ``ics_files(ics_url,
-    content)``. Returns (events, pages without a calendar URL)."""
-    from ..functions.html import DEFAULT_BASE
+    content)``. Links resolve against ``base``, by default each page's own
+    origin. Returns (events, pages without a calendar URL)."""
     from ..operators import extract as C
-    b = base or DEFAULT_BASE
+    b = base
     links = C.extract_event_links(month_pages, base=b)
     pages = (links.join(detail_pages, links.link == detail_pages.url, "left")
              .select("page_id", F.col("pos").alias("link_pos"), F.col("link").alias("url"), "html"))

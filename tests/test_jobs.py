@@ -4,11 +4,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from eventflow.functions.html import DEFAULT_BASE
 from eventflow.operators import models as J
 from eventflow.plans import jobs
 
-B = DEFAULT_BASE
+B = "https://calendar.example.org"
 
 
 def _cal(uid, title, desc, loc, start):

@@ -2,10 +2,11 @@
 extra edges of FIXTURES.md section 1."""
 from pyspark.sql import functions as F
 
-from eventflow.functions.html import DEFAULT_BASE
 from eventflow.operators import extract as C
 
-DETAIL = DEFAULT_BASE + "/events/details/"
+BASE = "https://calendar.example.org"
+
+DETAIL = BASE + "/events/details/"
 
 
 def resolve(spark, rows):
@@ -18,11 +19,11 @@ def test_reference_cases(spark):
         (1, DETAIL + "some-event-12345",
          '<html><body><a href="/events/ical/some-event-12345.ics">Add to Calendar - iCal</a></body></html>'),
         (2, DETAIL + "networking-night-august-99999", "<html><body><p>No calendar link here</p></body></html>"),
-        (3, DEFAULT_BASE + "/random-page", "<html><body><p>No calendar link here</p></body></html>"),
+        (3, BASE + "/random-page", "<html><body><p>No calendar link here</p></body></html>"),
     ]
     got = resolve(spark, rows)
-    assert got[1] == DEFAULT_BASE + "/events/ical/some-event-12345.ics"
-    assert got[2] == DEFAULT_BASE + "/events/ical/networking-night-august-99999.ics"
+    assert got[1] == BASE + "/events/ical/some-event-12345.ics"
+    assert got[2] == BASE + "/events/ical/networking-night-august-99999.ics"
     assert got[3] is None
 
 
@@ -40,10 +41,10 @@ def test_html_edges(spark):
         (5, DETAIL + "e-5", '<a href="https://cdn.example.org/e.ics">x</a>'),
     ]
     got = resolve(spark, rows)
-    assert got[1] == DEFAULT_BASE + "/x/other.ics"
-    assert got[2] == DEFAULT_BASE + "/cal/b.ics?x=1&y=2"
-    assert got[3] == DEFAULT_BASE + "/cap"
-    assert got[4] == DEFAULT_BASE + "/events/ical/d-4.ics"
+    assert got[1] == BASE + "/x/other.ics"
+    assert got[2] == BASE + "/cal/b.ics?x=1&y=2"
+    assert got[3] == BASE + "/cap"
+    assert got[4] == BASE + "/events/ical/d-4.ics"
     assert got[5] == "https://cdn.example.org/e.ics"
 
 
@@ -51,10 +52,10 @@ def test_links_dedupe_and_order(spark):
     html = ('<a href="/events/details/x-1">1</a><a href="/about">a</a>'
             "<a class='c' href='/events/details/y-2'>2</a><a href=\"/events/details/x-1\">dup</a>"
             '<a href="https://other.example/events/details/z-3">3</a>')
-    df = spark.createDataFrame([(7, DEFAULT_BASE + "/events/calendar/2025-09-01", html)],
+    df = spark.createDataFrame([(7, BASE + "/events/calendar/2025-09-01", html)],
                                "page_id bigint, url string, html string")
     out = [(r.pos, r.link) for r in C.extract_event_links(df).orderBy("pos").collect()]
-    assert out == [(0, DEFAULT_BASE + "/events/details/x-1"), (1, DEFAULT_BASE + "/events/details/y-2"),
+    assert out == [(0, BASE + "/events/details/x-1"), (1, BASE + "/events/details/y-2"),
                    (2, "https://other.example/events/details/z-3")]
 
 
@@ -95,9 +96,9 @@ def test_unquoted_and_data_href(spark):
         (3, DETAIL + "w-3", '<a href="">Add to Calendar - iCal</a>'),
     ]
     got = resolve(spark, rows)
-    assert got[1] == DEFAULT_BASE + "/events/ical/u-1.ics"
-    assert got[2] == DEFAULT_BASE + "/right.ics"
-    assert got[3] == DEFAULT_BASE + "/events/ical/w-3.ics"   # empty href is no link
-    df = spark.createDataFrame([(9, DEFAULT_BASE, '<a href=/events/details/a-1>1</a><a data-href="/events/details/no">n</a>')],
+    assert got[1] == BASE + "/events/ical/u-1.ics"
+    assert got[2] == BASE + "/right.ics"
+    assert got[3] == BASE + "/events/ical/w-3.ics"   # empty href is no link
+    df = spark.createDataFrame([(9, BASE, '<a href=/events/details/a-1>1</a><a data-href="/events/details/no">n</a>')],
                                "page_id bigint, url string, html string")
-    assert [r.link for r in C.extract_event_links(df).collect()] == [DEFAULT_BASE + "/events/details/a-1"]
+    assert [r.link for r in C.extract_event_links(df).collect()] == [BASE + "/events/details/a-1"]
