@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions import html as H
 from ..functions import ics as I
 from ..functions.timefmt import parse_start
+from .staging import stage
 
 
 def _base_col(base, url_col):
@@ -41,6 +42,7 @@ def resolve_ics_url(pages: DataFrame, base: str | None = None,
     """Calendar-file URL of each detail page: the captioned link, else
     the first ``.ics`` link, else one built from the page slug, else null.
     Links resolve against ``base``, by default each page's own origin."""
+    cols = [c for c in pages.columns if c not in ("ics_url", "ics_method")]
     staged = pages.withColumns({
         "_b": _base_col(base, url_col),
         "_cap": H.ics_link_by_caption(F.col(html_col)),
@@ -48,11 +50,13 @@ def resolve_ics_url(pages: DataFrame, base: str | None = None,
         "_slug": H.ics_link_from_slug(F.col(url_col), slug_pattern),
     })
     b, cap, gen, slug = (F.col(c) for c in ("_b", "_cap", "_gen", "_slug"))
-    return staged.withColumns({
+    # staged behind a generator: a later filter on ics_url (C8, C12) must not
+    # be pushed down to the scan, where it would run the page regexes again
+    return stage(staged, {
         "ics_url": F.coalesce(H.url_join(b, cap), H.url_join(b, gen), H.url_join(b, slug)),
         "ics_method": (F.when(cap.isNotNull(), "caption").when(gen.isNotNull(), "suffix")
                        .when(slug.isNotNull(), "slug")),
-    }).drop("_b", "_cap", "_gen", "_slug")
+    }, keep=cols)
 
 
 def dedupe_ics(resolved: DataFrame, order_col: str = "page_id", url_col: str = "url") -> DataFrame:
