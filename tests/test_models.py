@@ -79,3 +79,26 @@ def test_calibrated_classify(spark):
     lo, hi = out.agg(F.min("confidence"), F.max("confidence")).first()
     assert 0.5 <= lo <= hi <= 1.0
     assert out.count() == d.count()
+
+
+def test_time_features_edges(spark):
+    rows = [("2025-09-06 10:00:00",),      # Saturday
+            ("2025-09-07",),               # Sunday, date only -> midnight UTC
+            ("2025-09-08T01:30:00+05:00",),  # Monday 01:30 local = Sunday 20:30 UTC
+            ("garbage",), (None,)]
+    df = spark.createDataFrame(rows, "start string")
+    got = [(r.hour, r.is_weekend) for r in I.time_features(df).collect()]
+    assert got == [(10, 1), (0, 1), (20, 1), (-1, 0), (-1, 0)]
+
+
+def test_margin_threshold_edges(spark):
+    from eventflow.operators import rules as D
+    df = spark.createDataFrame([(0.0,), (0.8,), (-0.9,)], "score double").select(
+        "score", J.margin_confidence_expr(F.col("score")).alias("confidence"),
+        (F.col("score") > 0).cast("int").alias("predicted_label"))
+    out = D.auto_accept(D.needs_review_margin(df)).collect()
+    assert [round(r.confidence, 4) for r in out] == [1.0, 0.5556, 0.5263]
+    assert [r.needs_review for r in out] == [False, False, True]
+    assert [r.label for r in out] == [0, 1, None]
+    dist = df.select(J.margin_confidence_expr(F.col("score"), mode="distance").alias("d")).collect()
+    assert round(dist[0].d, 4) == 0.0
