@@ -52,16 +52,19 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (tests, local runs) a fresh scratch folder
-    is created; on a cluster the setting must point at shared storage.
+    Only when the setting is absent and the master is local (tests, local
+    runs) a fresh scratch folder is created; on a cluster a missing setting
+    is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="eventflow-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder shared by the cluster")
+        configured = tempfile.mkdtemp(prefix="eventflow-ckpt-")  # local mode only (tests, local runs)
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return configured
