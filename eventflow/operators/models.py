@@ -326,8 +326,10 @@ def self_train(existing: DataFrame, new: DataFrame, label: str = "label", uid: s
                spec: FeatureSpec | None = None):
     """Fit on labelled existing rows, predict every new row (replacing
     its label), majority-propagate in the new set, merge by priority,
-    propagate again, then refit on all labelled rows. Returns (merged rows,
-    final model or None when fewer than 10 labelled rows)."""
+    propagate again, then fit the final model on the training side of a
+    stratified 80/20 split and evaluate it on the holdout. Returns (merged
+    rows, final model, holdout report); the last two are None with fewer
+    than 10 labelled rows."""
     from ..session import cut_lineage
     from .merge import merge_by_priority
     from .propagate import SOURCE_MODEL, SOURCE_SERIES, propagate_majority_overwrite
@@ -342,8 +344,19 @@ def self_train(existing: DataFrame, new: DataFrame, label: str = "label", uid: s
     pred = pred.withColumn("label_source", F.when(any_series, F.col("label_source")).otherwise(F.lit(SOURCE_MODEL)))
     merged = merge_by_priority(existing, pred, uid=uid, order_col=order_col)
     merged = cut_lineage(propagate_majority_overwrite(merged, series, label))
-    final = None
-    n = merged.where(F.col(label).isNotNull()).count()
+    final, report = None, None
+    lab = merged.where(F.col(label).isNotNull())
+    n = lab.count()
     if n >= 10:
-        final = fit_svm_prob(merged.where(F.col(label).isNotNull()), spec, label=label, key=key)
-    return merged, final
+        # holdout as in the reference: per-class 80/20 when there are at least
+        # 20 labelled rows (else train = test = all); the vectoriser is fitted
+        # on the training side only (the reference fits it before splitting)
+        split_key = key or uid
+        s = stratified_split(lab, label, key=split_key)
+        train = s.where(F.col("split").isin("train", "both"))
+        test = s.where(F.col("split").isin("test", "both"))
+        final = fit_svm_prob(train, spec, label=label, key=key)
+        from .report import classification_report
+        scored = predict(test, final, out="prediction")
+        report = classification_report(scored, truth=label, pred="prediction")
+    return merged, final, report

@@ -121,8 +121,9 @@ def self_train_job(spark: SparkSession, existing_path: str, new_path: str, out:
     new = new.withColumn("label", F.col("label").cast("double").cast("int"))
     existing = B.extract_series_id(existing) if "uid" in existing.columns else existing
     new = B.extract_series_id(new) if "uid" in new.columns else new
-    merged, model = J.self_train(existing, new, uid="uid", series="series_id")
+    merged, model, report = J.self_train(existing, new, uid="uid", series="series_id")
     merged.write.mode("overwrite").parquet(out)
     if model is not None:
         model.save(model_path)
-    return {"labeled": merged.where(F.col("label").isNotNull()).count(), "total": merged.count()}
+    return {"labeled": merged.where(F.col("label").isNotNull()).count(), "total": merged.count(),
+            "report": report.collect() if report is not None else None}

@@ -69,3 +69,27 @@ def test_train_and_tag_jobs(spark, tmp_dir):
     tagged = spark.read.json(tmp_dir + "/tagged.json")
     assert {"predicted_label", "confidence"} <= set(tagged.columns)
     assert tagged.where(F.col("predicted_label").isNull()).count() == 0
+
+
+def test_self_train_job(spark, tmp_dir):
+    import csv
+    ex, nw = os.path.join(tmp_dir, "existing.csv"), os.path.join(tmp_dir, "new.csv")
+    with open(ex, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["uid", "title", "description", "location", "category", "label"])
+        for i in range(24):
+            fam = i % 2 == 0
+            w.writerow([f"e{i}?series_id={i % 6}", ("Kids craft fair" if fam else "Members webinar") + f" {i}",
+                        "families fun" if fam else "sponsor committee", "park" if fam else "office", "x",
+                        "1.0" if fam else "0"])
+    with open(nw, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["uid", "title", "description", "location", "category"])
+        for i in range(10):
+            w.writerow([f"n{i}?series_id={i % 6}", "Kids craft fair again", "families", "park", "x"])
+        w.writerow(["e0?series_id=0", "Duplicate of existing", "x", "y", "x"])
+    out = jobs.self_train_job(spark, ex, nw, tmp_dir + "/merged", tmp_dir + "/model")
+    assert out["total"] == 34                     # 24 existing + 10 new; the duplicate uid keeps the existing row
+    assert out["report"] is not None and any(r.cls == "accuracy" for r in out["report"])
+    merged = spark.read.parquet(tmp_dir + "/merged")
+    assert merged.where("uid = 'e0?series_id=0'").first().label_source == "series_propagation"
