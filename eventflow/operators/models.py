@@ -323,7 +323,7 @@ def smart_label(df: DataFrame, model: TextModel, threshold: float = REVIEW_MARGI
 
 def self_train(existing: DataFrame, new: DataFrame, label: str = "label", uid: str = "uid",
                series: str = "series_id", key: str | None = None, order_col: str | None = None,
-               spec: FeatureSpec | None = None):
+               spec: FeatureSpec | None = None, fit_final: bool = True):
     """Fit on labelled existing rows, predict every new row (replacing
     its label), majority-propagate in the new set, merge by priority,
     propagate again, then fit the final model on the training side of a
@@ -346,8 +346,8 @@ def self_train(existing: DataFrame, new: DataFrame, label: str = "label", uid: s
     merged = cut_lineage(propagate_majority_overwrite(merged, series, label))
     final, report = None, None
     lab = merged.where(F.col(label).isNotNull())
-    n = lab.count()
-    if n >= 10:
+    n = lab.count() if fit_final else 0
+    if fit_final and n >= 10:
         # holdout as in the reference: per-class 80/20 when there are at least
         # 20 labelled rows (else train = test = all); the vectoriser is fitted
         # on the training side only (the reference fits it before splitting)
