@@ -81,10 +81,17 @@ def test_stream_takes_new_files_only(spark, tmp_dir):
             for t in titles:
                 f.write(json.dumps({"title": t, "uid": t.lower()}) + "\n")
     drop("a.json", ["A", "B"])
-    n1 = ingest_increment(spark, src, out, ck, transform=lambda b: b.withColumn("n", F.length("title")))
+    def label_batch(b):
+        from eventflow.functions.text import title_desc_text
+        from eventflow.operators import rules as D
+        from eventflow.operators import shaping as B
+        return D.weak_label(B.make_series_id(b), F.lower(title_desc_text("title", "description")))
+    n1 = ingest_increment(spark, src, out, ck, transform=label_batch)
     drop("b.json", ["C"])
     n2 = ingest_increment(spark, src, out, ck)
     assert n1 >= 1 and n2 >= 1
     got = spark.read.parquet(out)
     assert sorted(r.title for r in got.collect()) == ["A", "B", "C"]
+    first = {r.title: r for r in got.where("batch_id = 0").collect()}
+    assert first["A"].series_id == "a" and "weak_label" in got.columns
     assert ingest_increment(spark, src, out, ck) == 0
