@@ -246,11 +246,30 @@ def fit_svm_balanced(df: DataFrame, spec: FeatureSpec | None = None, label: str
     return TextModel(_fit(prepared, spec, label, balanced=True), spec)
 
 
+def platt_fit(oof: DataFrame, score: str = "_s", label: str = "label") -> tuple[float, float]:
+    """Platt scaling with Platt's smoothed targets: positives aim at
+    (N+ + 1)/(N+ + 2), negatives at 1/(N- + 2). Spark's logistic regression
+    takes hard labels only, so each margin becomes two weighted rows (label
+    1 with weight t, label 0 with weight 1 - t), which is the same
+    cross-entropy. Returns (a, b) of ``p = 1/(1+exp(-(a*s+b)))``."""
+    counts = {r[0]: r[1] for r in oof.groupBy(label).count().collect()}  # two rows
+    pos, neg = counts.get(1.0, 0), counts.get(0.0, 0)
+    hi, lo = (pos + 1.0) / (pos + 2.0), 1.0 / (neg + 2.0)
+    t = F.when(F.col(label) == 1.0, F.lit(hi)).otherwise(F.lit(lo))
+    rows = oof.select(F.col(score), t.alias("_t")).select(
+        F.col(score), F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("_t").alias("w")),
+                                        F.struct(F.lit(0.0).alias("y"), (F.lit(1.0) - F.col("_t")).alias("w"))))
+        .alias("_p")).select(F.col(score), "_p.y", "_p.w")
+    lr = LogisticRegression(featuresCol="_sv", labelCol="y", weightCol="w", regParam=0.0, maxIter=100).fit(
+        VectorAssembler(inputCols=[score], outputCol="_sv").transform(rows))
+    return float(lr.coefficients[0]), float(lr.intercept)
+
+
 def fit_svm_prob(df: DataFrame, spec: FeatureSpec | None = None, label: str = "label", key: str | None = None,
                  folds: int = 5, parallelism: int | None = None) -> TextModel:
     """J1 + J4: linear SVM (C=1) on four-field TF-IDF (top 500) with Platt
-    calibration fitted on out-of-fold margins (``folds`` hash folds over one
-    shared feature matrix). Fold fits and the final fit run as concurrent
+    calibration (smoothed targets, ``platt_fit``) fitted on out-of-fold
+    margins (``folds`` hash folds over one shared feature matrix). Fold fits and the final fit run as concurrent
     Spark jobs, like ``CrossValidator(parallelism=...)``."""
     from concurrent.futures import ThreadPoolExecutor
     spec = spec or FeatureSpec(kind="four_field", vocab="topk", k=500)
@@ -277,9 +296,7 @@ def fit_svm_prob(df: DataFrame, spec: FeatureSpec | None = None, label: str = "l
             for p in parts[1:]:
                 oof = oof.unionByName(p)
             if oof.select("label").distinct().count() > 1:
-                lr = LogisticRegression(featuresCol="_sv", labelCol="label", regParam=0.0, maxIter=100).fit(
-                    VectorAssembler(inputCols=["_s"], outputCol="_sv").transform(oof))
-                platt = (float(lr.coefficients[0]), float(lr.intercept))
+                platt = platt_fit(oof)
     finally:
         train.unpersist()
     return TextModel(PipelineModel(feat.stages + [final]), spec, platt=platt)

@@ -102,3 +102,12 @@ def test_margin_threshold_edges(spark):
     assert [r.label for r in out] == [0, 1, None]
     dist = df.select(J.margin_confidence_expr(F.col("score"), mode="distance").alias("d")).collect()
     assert round(dist[0].d, 4) == 0.0
+
+
+def test_platt_smoothed_targets(spark):
+    # separable margins: hard labels would push the slope to infinity; Platt's
+    # smoothed targets keep it finite and positive
+    df = spark.createDataFrame([(float(s), 1.0 if s > 0 else 0.0) for s in (-3, -2, -1, 1, 2, 3)],
+                               "_s double, label double")
+    a, b = J.platt_fit(df)
+    assert 0 < a < 20 and abs(b) < 1e-3 + abs(a)
