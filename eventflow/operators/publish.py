@@ -95,6 +95,14 @@ def upload_plan(df: DataFrame, title: str = "title", start: str = "start") -> Da
                                                F.coalesce(s, F.lit("nan")), F.lit(")")))
 
 
+def upload_outcome(rows: DataFrame, created_ids: DataFrame, id_col: str = "id") -> DataFrame:
+    """K5 (real run): one row ``created`` of ``total`` (rows whose post was
+    created, by a semi-join with the created ids)."""
+    created = rows.join(created_ids.select(id_col).distinct(), id_col, "left_semi")
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    return created.agg(F.count(F.lit(1)).alias("created")).select("created", total.alias("total"))
+
+
 def delete_range(posts: DataFrame, lo: int, hi: int, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
     """K6: remove ids in ``[lo, hi]``; outcome row: deleted, failed, attempted
     (``hi-lo+1``). Ids in the range that do not exist are skipped silently."""

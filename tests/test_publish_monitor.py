@@ -82,3 +82,13 @@ def test_monitor(spark):
     v = L.health_verdict(up, ok, require_page=False).first()
     assert v.healthy and v.upcoming == 6
     assert not L.health_verdict(up, ok, require_page=True).first().healthy
+
+
+def test_upload_plan_and_outcome(spark):
+    df = spark.createDataFrame([(1, "Fest", "2025-09-06"), (2, None, None), (3, "Walk", "2025-09-07")],
+                               "id bigint, title string, start string")
+    lines = [r.plan_line for r in K.upload_plan(df).orderBy("id").collect()]
+    assert lines == ["Fest (2025-09-06)", "nan (nan)", "Walk (2025-09-07)"]
+    assert K.upload_plan(df.drop("title", "start")).first().plan_line == "Untitled (No date)"
+    out = K.upload_outcome(df, spark.createDataFrame([(1,), (3,), (9,)], "id bigint")).first()
+    assert (out.created, out.total) == (2, 3)
