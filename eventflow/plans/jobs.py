@@ -127,3 +127,74 @@ def self_train_job(spark: SparkSession, existing_path: str, new_path: str, out:
         model.save(model_path)
     return {"labeled": merged.where(F.col("label").isNotNull()).count(), "total": merged.count(),
             "report": report.collect() if report is not None else None}
+
+
+def labelset_job(spark: SparkSession, path: str, out_base: str) -> tuple[str, str]:
+    """Label-set builder: load (A4) -> canonical columns (B1) -> event ids
+    (B2) -> hand-labelling set with weak labels (B4, D1) -> both written (A13)."""
+    from ..operators import shaping as B
+    from ..sources.readers import load_any
+    from ..sources.writers import write_labelset
+    canonical = B.ensure_event_id(B.canonicalize(load_any(spark, path)))
+    return write_labelset(canonical, B.labelset_projection(canonical), out_base)
+
+
+def fill_job(spark: SparkSession, path: str, out: str | None = None, label: str = "label",
+             columns: dict | None = None) -> dict:
+    """Unanimous series fill: load -> series key if absent (E3) -> F1 ->
+    coverage (F5), filled-series summary (H2), remaining sample (G6) ->
+    write (A11, default ``<stem>_filled``)."""
+    from ..functions.text import parse_label
+    from ..operators import merge as G
+    from ..operators import shaping as B
+    from ..sources.readers import load_any
+    from ..sources.writers import default_output, write_tagged
+    cols = {"id": "uid", "url": "url", "title": "title", "loc": "location"}
+    cols.update(columns or {})
+    df = load_any(spark, path).withColumn("_ord", F.monotonically_increasing_id())
+    if "series_id" not in df.columns:
+        df = B.make_series_id(df, cols["id"], cols["url"], cols["title"], cols["loc"])
+    df = B.ensure_columns(df, [label], default=None)
+    filled = P.propagate_unanimous(df.withColumn("_before", F.col(label)), "series_id", label)
+    cov = P.coverage(filled, "_before", label, variant="mask").first().asDict()
+    summary = R.series_summary(filled, label=label, title=cols["title"], order_col="_ord").collect()
+    remaining = G.distinct_series_sample(filled.where(parse_label(label, "mask").isNull()),
+                                         title=cols["title"], order_col="_ord").collect()
+    target = out or default_output(path, "filled")
+    write_tagged(filled.drop("_before", "_ord"), target)
+    return {"coverage": cov, "summary": summary, "remaining": remaining, "output": target}
+
+
+def merge_propagate_job(spark: SparkSession, path: str, out: str) -> dict:
+    """Merge and propagate: manual label else prediction (G1) -> majority
+    fill in valid series (F4, D9) -> promote (B8) -> write -> label counts
+    (H1, nulls kept) and unlabelled series (H3)."""
+    from ..operators import merge as G
+    from ..operators import shaping as B
+    from ..sources.readers import load_any
+    df = load_any(spark, path).withColumn("_ord", F.monotonically_increasing_id())
+    for c in ("label", "predicted_label"):
+        df = df.withColumn(c, F.col(c).cast("double"))
+    merged = G.merge_manual_predicted(df)
+    filled = B.promote_label(P.propagate_majority_fill(merged, "series_id", "final_label"))
+    filled.drop("_ord").write.mode("overwrite").parquet(out)
+    return {"counts": R.value_counts(filled, "label").collect(),
+            "unlabeled": R.unlabeled_series(filled, order_col="_ord").collect()}
+
+
+def smart_label_job(spark: SparkSession, model_path: str, new_path: str, out: str,
+                    existing_path: str | None = None, threshold: float = 0.55, auto: bool = False) -> dict:
+    """Smart labelling: tag with margin confidence and review flags (J11),
+    optional auto-accept, merged after existing rows by uid (G4); counts
+    (H6, H1) and the flagged preview (D10)."""
+    from ..operators import models as J
+    from ..operators import rules as D
+    from ..sources.readers import load_any
+    from ..sources.writers import write_tagged
+    model = J.TextModel.load(spark, model_path)
+    existing = load_any(spark, existing_path) if existing_path else None
+    out_df = J.smart_label(load_any(spark, new_path), model, threshold, auto, existing)
+    write_tagged(out_df, out)
+    return {"confidence": R.confidence_breakdown(out_df, threshold=threshold).first().asDict(),
+            "labels": R.value_counts(out_df, "predicted_label", dropna=True).collect(),
+            "flagged": D.flagged(out_df).collect()}

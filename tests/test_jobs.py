@@ -69,6 +69,9 @@ def test_train_and_tag_jobs(spark, tmp_dir):
     tagged = spark.read.json(tmp_dir + "/tagged.json")
     assert {"predicted_label", "confidence"} <= set(tagged.columns)
     assert tagged.where(F.col("predicted_label").isNull()).count() == 0
+    smart = jobs.smart_label_job(spark, tmp_dir + "/model", src, tmp_dir + "/smart.json", auto=True)
+    assert sum(smart["confidence"].values()) == 30
+    assert all(r.label is None for r in smart["flagged"])
 
 
 def test_self_train_job(spark, tmp_dir):
@@ -93,3 +96,34 @@ def test_self_train_job(spark, tmp_dir):
     assert out["report"] is not None and any(r.cls == "accuracy" for r in out["report"])
     merged = spark.read.parquet(tmp_dir + "/merged")
     assert merged.where("uid = 'e0?series_id=0'").first().label_source == "series_propagation"
+
+
+def test_labelset_fill_merge_jobs(spark, tmp_dir):
+    import csv
+    src = os.path.join(tmp_dir, "ev.csv")
+    with open(src, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["uid", "title", "description", "location", "url", "label"])
+        w.writerow(["a", "Farmers market", "fresh food", "Park", "https://x/1", "1.0"])
+        w.writerow(["a", "Farmers market", "fresh food", "Park", "https://x/2", ""])
+        w.writerow(["", "Board meeting", "committee", "Hall", "https://x/3?y=1", "0"])
+        w.writerow(["", "Board meeting", "committee", "Hall", "https://x/3/", ""])
+        w.writerow(["", "Solo", "", "", "", ""])
+    raw, lbl = jobs.labelset_job(spark, src, tmp_dir + "/ls")
+    ls = {r.title: r for r in spark.read.option("header", True).csv(lbl).collect()}
+    assert ls["Farmers market"].weak_label == "1" and ls["Board meeting"].weak_label == "0"
+    res = jobs.fill_job(spark, src, tmp_dir + "/filled.csv")
+    assert (res["coverage"]["labeled_before"], res["coverage"]["labeled_after"]) == (2, 4)
+    filled = spark.read.option("header", True).csv(tmp_dir + "/filled.csv")
+    assert sorted((r.title, r.label) for r in filled.collect() if r.title != "Solo") == \
+        [("Board meeting", "0"), ("Board meeting", "0"), ("Farmers market", "1"), ("Farmers market", "1.0")]
+    comb = os.path.join(tmp_dir, "combined.csv")
+    with open(comb, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["series_id", "title", "label", "predicted_label"])
+        w.writerows([["s1", "A", "1.0", ""], ["s1", "A", "", "0"], ["s1", "A", "", ""], ["", "B", "", ""],
+                     ["s2", "C", "", ""]])
+    out = jobs.merge_propagate_job(spark, comb, tmp_dir + "/merged")
+    got = [r.label for r in spark.read.parquet(tmp_dir + "/merged").orderBy("title", "label").collect()]
+    assert sorted(got, key=lambda v: (v is None, v)) == [0.0, 0.0, 1.0, None, None]
+    assert {r.label: r.n for r in out["counts"]} == {0.0: 2, 1.0: 1, None: 2}
