@@ -198,3 +198,35 @@ def smart_label_job(spark: SparkSession, model_path: str, new_path: str, out: st
     return {"confidence": R.confidence_breakdown(out_df, threshold=threshold).first().asDict(),
             "labels": R.value_counts(out_df, "predicted_label", dropna=True).collect(),
             "flagged": D.flagged(out_df).collect()}
+
+
+def upload_job(spark: SparkSession, export_base: str, dim_locations: DataFrame | None = None,
+               dry_run: bool = True) -> dict:
+    """Uploader: newest export (A12) -> dry run review lines (K5), or
+    location ids (K3) -> metadata (K1) -> post payloads (K2)."""
+    from ..operators import publish as K
+    from ..sources.readers import read_latest_export
+    rows = read_latest_export(spark, export_base)
+    if dry_run:
+        return {"plan": K.upload_plan(rows).select("plan_line")}
+    dim = dim_locations if dim_locations is not None else spark.createDataFrame([], "id bigint, name string")
+    with_ids, updated_dim = K.upsert_locations(rows, dim)
+    posts = K.calendar_post(K.calendar_meta(with_ids, location_id="location_id"))
+    return {"posts": posts, "locations": updated_dim}
+
+
+def health_job(posts: DataFrame, pages: DataFrame, now_epoch: int, threshold: int = 5,
+               require_page: bool = False, api_ok: bool = True) -> dict:
+    """Monitor: newest published posts (L1) -> upcoming count (L2), calendar
+    markup on the public page(s) (L3) -> verdict (L4)."""
+    from ..operators import monitor as L
+    up = L.count_upcoming(L.latest_published(posts), F.lit(now_epoch))
+    ok = L.markup_detected(pages).agg(F.coalesce(F.bool_or("markup_detected"), F.lit(False)).alias("page_ok"))
+    return L.health_verdict(up, ok, api_ok=api_ok, threshold=threshold, require_page=require_page).first().asDict()
+
+
+def delete_job(posts: DataFrame, lo: int, hi: int) -> tuple[DataFrame, dict]:
+    """Cleanup: remove posts with ids in [lo, hi] (K6); outcome counts."""
+    from ..operators import publish as K
+    remaining, outcome = K.delete_range(posts, lo, hi)
+    return remaining, outcome.first().asDict()

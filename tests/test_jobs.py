@@ -127,3 +127,25 @@ def test_labelset_fill_merge_jobs(spark, tmp_dir):
     got = [r.label for r in spark.read.parquet(tmp_dir + "/merged").orderBy("title", "label").collect()]
     assert sorted(got, key=lambda v: (v is None, v)) == [0.0, 0.0, 1.0, None, None]
     assert {r.label: r.n for r in out["counts"]} == {0.0: 2, 1.0: 1, None: 2}
+
+
+def test_upload_health_delete_jobs(spark, tmp_dir):
+    from eventflow.sources.writers import export_for_calendar
+    ev = spark.createDataFrame([("Fest", "2025-09-06 18:00:00", None, "Town park", "https://x/1", "d"),
+                                ("Walk", "2025-09-07T08:00:00-05:00", None, "Zoo", None, None)],
+                               "title string, start string, end string, location string, url string, description string")
+    export_for_calendar(ev, tmp_dir + "/exp", "20250901_000000", "csv")
+    plan = [r.plan_line for r in jobs.upload_job(spark, tmp_dir + "/exp")["plan"].collect()]
+    assert sorted(plan) == ["Fest (2025-09-06 18:00:00)", "Walk (2025-09-07T08:00:00-05:00)"]
+    dim = spark.createDataFrame([(4, "Zoo")], "id bigint, name string")
+    real = jobs.upload_job(spark, tmp_dir + "/exp", dim, dry_run=False)
+    metas = {r.post.title: r.post.meta for r in real["posts"].collect()}
+    assert metas["Walk"]["event_location"] == "4" and metas["Fest"]["event_location"] == "5"
+    assert metas["Walk"]["evcal_start_time_hour"] == "08" and metas["Fest"]["evcal_lmlink"] == "https://x/1"
+    posts = spark.createDataFrame([(i, "publish", str(1000 * i)) for i in range(1, 9)],
+                                  "id bigint, status string, evcal_srow string")
+    pages = spark.createDataFrame([("<div class='evo_cal'>",)], "html string")
+    h = jobs.health_job(posts, pages, now_epoch=4000, require_page=True)
+    assert h == {"upcoming": 5, "page_ok": True, "healthy": True}
+    remaining, out = jobs.delete_job(posts, 2, 20)
+    assert out == {"deleted": 7, "failed": 0, "attempted": 19} and remaining.count() == 1
