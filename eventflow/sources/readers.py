@@ -102,17 +102,19 @@ def scan_ics(spark: SparkSession, path: str, glob: str = "*.ics", page_map: Data
 
 
 def read_latest_export(spark: SparkSession, base: str, fmt: str = "csv") -> DataFrame:
-    """Rows of the most recently modified export file under ``base``.
+    """Rows of the most recent export under ``base``: the export folder
+    holding the most recently modified file (all its part files).
 
-    The newest modification time is a scalar subquery over the file
-    metadata column, so only one pass over the listing is needed.
+    The newest folder is a scalar subquery over the file metadata columns.
     """
     reader = spark.read.option("recursiveFileLookup", True)
     df = (read_events_csv(spark, base) if fmt == "csv" else reader.json(base))
     df = df.select("*", F.col("_metadata.file_modification_time").alias("_mtime"),
-                   F.col("_metadata.file_path").alias("_file"))
-    newest = df.agg(F.max("_mtime")).scalar()
-    return df.where(F.col("_mtime") == newest).drop("_mtime")
+                   F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]*$", "").alias("_export"))
+    # a Spark export is a folder of part files: keep the whole folder that
+    # holds the most recently modified file
+    newest = df.agg(F.max_by("_export", "_mtime")).scalar()
+    return df.where(F.col("_export") == newest).drop("_mtime")
 
 
 def to_parquet(df: DataFrame, path: str) -> None:
