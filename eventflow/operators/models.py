@@ -317,11 +317,13 @@ def classify(df: DataFrame, model: TextModel, threshold: float = REVIEW_PROB) ->
             .withColumn("needs_review", F.col("confidence") < threshold).drop("score"))
 
 
-def tag(df: DataFrame, model: TextModel, confidence: bool = False) -> DataFrame:
-    """Predicted label, and optionally the margin confidence."""
+def tag(df: DataFrame, model: TextModel, confidence: bool = False,
+        conf_col: str = "prediction_confidence") -> DataFrame:
+    """Predicted label, and optionally the margin confidence (J5) in
+    ``prediction_confidence`` (the tagger's name for it)."""
     out = predict(df, model)
     if confidence:
-        out = out.withColumn("confidence", margin_confidence_expr(F.col("score")))
+        out = out.withColumn(conf_col, margin_confidence_expr(F.col("score")))
     return out.drop("score")
 
 
@@ -330,7 +332,8 @@ def smart_label(df: DataFrame, model: TextModel, threshold: float = REVIEW_MARGI
     """Tag with margin confidence, flag (D7), optionally auto-accept
     (D8) and merge after existing rows, first per uid (G4)."""
     from .merge import merge_first_wins
-    out = tag(df, model, confidence=True).withColumn("needs_review", F.col("confidence") < threshold)
+    out = tag(df, model, confidence=True, conf_col="confidence").withColumn(
+        "needs_review", F.col("confidence") < threshold)
     if auto:
         out = out.withColumn("label", F.when(~F.col("needs_review"), F.col("predicted_label")))
     if existing is not None:

@@ -98,16 +98,19 @@ def train_job(spark: SparkSession, path: str, model_path: str, propagate: bool =
     return {"report": report, "balance": balance}
 
 
-def tag_job(spark: SparkSession, model_path: str, path: str, out: str, confidence: bool = False) -> dict:
-    """§3.2 tagger: load model (A14) and events (A4), tag (J10), counts (H5), write."""
+def tag_job(spark: SparkSession, model_path: str, path: str, out: str | None = None,
+            confidence: bool = False) -> dict:
+    """§3.2 tagger: load model (A14) and events (A4), tag (J10), counts (H5),
+    write (A11, default ``<stem>_tagged.csv``)."""
     from ..operators import models as J
     from ..sources.readers import load_any
-    from ..sources.writers import write_tagged
+    from ..sources.writers import default_output, write_tagged
     model = J.TextModel.load(spark, model_path)
     tagged = J.tag(load_any(spark, path), model, confidence=confidence)
     counts = R.prediction_counts(tagged).first().asDict()
-    write_tagged(tagged, out)
-    return counts
+    target = out or default_output(path, "tagged")
+    write_tagged(tagged, target)
+    return dict(counts, output=target)
 
 
 def self_train_job(spark: SparkSession, existing_path: str, new_path: str, out: str, model_path: str) -> dict:
@@ -182,7 +185,7 @@ def merge_propagate_job(spark: SparkSession, path: str, out: str) -> dict:
             "unlabeled": R.unlabeled_series(filled, order_col="_ord").collect()}
 
 
-def smart_label_job(spark: SparkSession, model_path: str, new_path: str, out: str,
+def smart_label_job(spark: SparkSession, model_path: str, new_path: str, out: str | None = None,
                     existing_path: str | None = None, threshold: float = 0.55, auto: bool = False) -> dict:
     """Smart labelling: tag with margin confidence and review flags (J11),
     optional auto-accept, merged after existing rows by uid (G4); counts
@@ -190,11 +193,11 @@ def smart_label_job(spark: SparkSession, model_path: str, new_path: str, out: st
     from ..operators import models as J
     from ..operators import rules as D
     from ..sources.readers import load_any
-    from ..sources.writers import write_tagged
+    from ..sources.writers import default_output, write_tagged
     model = J.TextModel.load(spark, model_path)
     existing = load_any(spark, existing_path) if existing_path else None
     out_df = J.smart_label(load_any(spark, new_path), model, threshold, auto, existing)
-    write_tagged(out_df, out)
+    write_tagged(out_df, out or default_output(new_path, "smart_labeled"))
     return {"confidence": R.confidence_breakdown(out_df, threshold=threshold).first().asDict(),
             "labels": R.value_counts(out_df, "predicted_label", dropna=True).collect(),
             "flagged": D.flagged(out_df).collect()}

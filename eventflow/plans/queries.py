@@ -661,7 +661,8 @@ def q_tag(spark, sf_dir):
     d = _model_docs(spark, sf_dir)
     model = fit_svm_balanced(d.where(F.col("label").isNotNull()))
     out = tag(d.drop("label"), model, confidence=True)
-    return out.select("doc_id", "predicted_label", r6(F.col("confidence")).alias("confidence"))
+    return out.select("doc_id", "predicted_label",
+                      r6(F.col("prediction_confidence")).alias("prediction_confidence"))
 
 
 def q_smart_label(spark, sf_dir):

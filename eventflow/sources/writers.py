@@ -57,9 +57,7 @@ def export_for_calendar(df: DataFrame, base: str, run_ts: str | None = None, fmt
     ts = run_ts or run_timestamp()
     path = f"{base}/run_ts={ts}"
     if fmt == "csv":
-        out = df.select(*[F.col(c) if not isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType))
-                          else F.to_json(F.col(c)).alias(c) for c in df.columns])
-        out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+        csv_safe(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
         return path
     if fmt == "json":
         df.write.mode("overwrite").json(path)
@@ -68,22 +66,28 @@ def export_for_calendar(df: DataFrame, base: str, run_ts: str | None = None, fmt
 
 
 def default_output(path: str, suffix: str) -> str:
-    """Default name ``<stem>_<suffix>`` next to the input."""
+    """Default output name next to the input: ``<stem>_<suffix>.csv`` (A11;
+    CSV whatever the input format, as the reference names it)."""
     p = path.rstrip("/")
     head, _, tail = p.rpartition("/")
-    stem, dot, ext = tail.rpartition(".")
-    if not dot:
-        stem, ext = tail, ""
-    name = f"{stem}_{suffix}" + (f".{ext}" if ext else "")
+    stem = tail.rsplit(".", 1)[0] if "." in tail else tail
+    name = f"{stem}_{suffix}.csv"
     return f"{head}/{name}" if head else name
 
 
+def csv_safe(df: DataFrame) -> DataFrame:
+    """Arrays, maps and structs as JSON text (CSV holds flat values only)."""
+    return df.select(*[F.to_json(F.col(f"`{f.name}`")).alias(f.name)
+                       if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def write_tagged(df: DataFrame, path: str) -> str:
     """``.json`` -> JSON records, anything else -> CSV with header."""
     if path.lower().endswith(".json"):
         df.write.mode("overwrite").json(path)
     else:
-        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+        csv_safe(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 
 

@@ -67,7 +67,9 @@ def test_train_and_tag_jobs(spark, tmp_dir):
     counts = jobs.tag_job(spark, tmp_dir + "/model", src, tmp_dir + "/tagged.json", confidence=True)
     assert counts["positives"] + counts["negatives"] == 30
     tagged = spark.read.json(tmp_dir + "/tagged.json")
-    assert {"predicted_label", "confidence"} <= set(tagged.columns)
+    assert {"predicted_label", "prediction_confidence"} <= set(tagged.columns)
+    default = jobs.tag_job(spark, tmp_dir + "/model", src)
+    assert default["output"].endswith("/events_tagged.csv")
     assert tagged.where(F.col("predicted_label").isNull()).count() == 0
     smart = jobs.smart_label_job(spark, tmp_dir + "/model", src, tmp_dir + "/smart.json", auto=True)
     assert sum(smart["confidence"].values()) == 30

@@ -95,3 +95,10 @@ def test_stream_takes_new_files_only(spark, tmp_dir):
     first = {r.title: r for r in got.where("batch_id = 0").collect()}
     assert first["A"].series_id == "a" and "weak_label" in got.columns
     assert ingest_increment(spark, src, out, ck) == 0
+
+
+def test_write_tagged_flattens_complex_columns(spark, tmp_dir):
+    df = spark.createDataFrame([(1, ["a", "b"], {"k": "v"})], "id int, category array<string>, meta map<string,string>")
+    W.write_tagged(df, tmp_dir + "/t.csv")
+    row = A.read_events_csv(spark, tmp_dir + "/t.csv").first()
+    assert row.category == '["a","b"]' and row.meta == '{"k":"v"}'
