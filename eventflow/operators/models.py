@@ -124,12 +124,18 @@ def fit_vocabulary(prepared: DataFrame, spec: FeatureSpec) -> tuple[list, list]:
     n = rows.count()
     st = tc.groupBy("term").agg(F.count("_rid").alias("df"), F.sum("tf").alias("cf"))
     if spec.vocab == "topk":
-        st = st.orderBy(F.desc("cf"), F.asc("term")).limit(spec.k)
+        vocab = st.orderBy(F.desc("cf"), F.asc("term")).limit(spec.k).select("term", "df").collect()
     else:
         hi = spec.max_df * n if isinstance(spec.max_df, float) else spec.max_df
-        st = (st.where((F.col("df") >= spec.min_df) & (F.col("df") <= hi))
-              .orderBy(F.desc("df"), F.asc("term")).limit(spec.max_vocab))
-    vocab = st.select("term", "df").collect()  # bounded: k or max_vocab terms
+        kept = st.where((F.col("df") >= spec.min_df) & (F.col("df") <= hi)).select("term", "df").persist()
+        try:
+            # top-k only when the bound binds: a top-k with a huge k keeps a
+            # priority queue of that size per task and merges in one task
+            if kept.count() > spec.max_vocab:
+                kept = kept.orderBy(F.desc("df"), F.asc("term")).limit(spec.max_vocab)
+            vocab = kept.collect()  # bounded: at most max_vocab terms
+        finally:
+            kept.unpersist()
     terms = [r["term"] for r in vocab]
     idf = [math.log((1.0 + n) / (1.0 + r["df"])) + 1.0 for r in vocab]
     return terms, idf
