@@ -126,25 +126,23 @@ def month_frame(year: int, month: int, n: int = 2, roll_year: bool = False) -> l
 
 def month_window(df: DataFrame, ts: str, year: int, month: int, n: int = 2,
                  roll_year: bool = False) -> DataFrame:
-    """C13 + C14: rows of each month of the frame, appended month after month
-    (no de-dup across months), tagged ``frame_month``. Each month is a range
-    predicate on the raw column, so it reaches the parquet scan."""
+    """Rows of each month of the frame, tagged ``frame_month``. One scan:
+    the months are an OR of range predicates on the raw column (pushed to the
+    parquet scan); a row lies in exactly one month, so this equals appending
+    the months one after another without de-dup (C14)."""
     dtype = df.schema[ts].dataType
     native = isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
     t = F.col(ts) if native else parse_start(F.col(ts))
     lit_type = dtype if native else T.TimestampType()
-    parts = []
+    cond = None
     for y, m in month_frame(year, month, n, roll_year):
         lo = _dt.datetime(y, m, 1)
         hi = _dt.datetime(y + (m == 12), m % 12 + 1, 1)
-        cond = (t >= F.lit(lo.isoformat(" ")).cast(lit_type)) & (t < F.lit(hi.isoformat(" ")).cast(lit_type))
-        parts.append(df.where(cond).withColumn("frame_month", F.lit(f"{y:04d}-{m:02d}")))
-    if not parts:
+        part = (t >= F.lit(lo.isoformat(" ")).cast(lit_type)) & (t < F.lit(hi.isoformat(" ")).cast(lit_type))
+        cond = part if cond is None else cond | part
+    if cond is None:
         return df.limit(0).withColumn("frame_month", F.lit(None).cast("string"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return df.where(cond).withColumn("frame_month", F.date_format(t, "yyyy-MM"))
 
 
 def union_months(frames: list[DataFrame]) -> DataFrame:
