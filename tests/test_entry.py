@@ -61,3 +61,8 @@ def test_all_oracles_sf0001(spark):
         if sorted(df.columns) != sorted(cols) or got != exp:
             bad.append(name)
     assert not bad, bad
+
+
+def test_bench_headline_registered():
+    import bench
+    assert set(bench.HEADLINE) <= set(E.queries())
