@@ -4,23 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact, simhash
+from . import exact, mixing, simhash, toxicity
 
 
 def _docs(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact.exact_classes(_docs(spark, sf_dir))
 
 
+def op5_mixing(spark, sf_dir):
+    return mixing.mix(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_simhash_near_dedup(spark, sf_dir):
     rows = simhash.simhash_classes(_docs(spark, sf_dir), shingle=4, max_bits=4)
     return rows.select("doc_id", F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_exact_dedup, op5_mixing, op6_simhash_near_dedup)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""
