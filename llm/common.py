@@ -5,6 +5,7 @@ whole bucket.
 
 from __future__ import annotations
 
+import logging
 import uuid
 
 import numpy as np
@@ -43,11 +44,15 @@ def with_row_key(df: DataFrame, prefix: str = "_row") -> tuple[DataFrame, list[s
                         F.xxhash64(F.col("_metadata.file_path")).alias(names[0]),
                         F.col("_metadata.row_index").alias(names[1]))
 
+    loud = logging.getLogger("DataFrameQueryContextLogger")
+    was, loud.disabled = loud.disabled, True  # the question below is allowed to fail
     try:
         out = keyed(df)
         out.schema  # noqa: B018  analysis raises when there is no file metadata
     except AnalysisException:
         out = keyed(materialize(df))
+    finally:
+        loud.disabled = was
     return out, names
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact, mixing, simhash, toxicity
+from . import exact, lm, mixing, simhash, toxicity
 
 
 def _docs(spark, sf_dir):
@@ -28,7 +28,11 @@ def op6_simhash_near_dedup(spark, sf_dir):
     return rows.select("doc_id", F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_exact_dedup, op5_mixing, op6_simhash_near_dedup)}
+def op8_lm_scoring(spark, sf_dir):
+    return lm.score_lm(_docs(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_exact_dedup, op5_mixing, op6_simhash_near_dedup, op8_lm_scoring)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""

@@ -8,8 +8,8 @@ least ``EVIDENCE``). The machine adds weights of single terms and, through vecto
 insult and a mention of a group weigh more together than apart. Scoring needs
 one pass over the texts and no shuffle.
 
-Only rows that ``held_out`` does not mark are learned from, ``max_train`` of
-them at most (chosen by hash of the id; this bounds what the fit takes in).
+Only rows that ``held_out`` does not mark are learned from, about ``max_train``
+of them at most (chosen by hash of the id; this bounds what the fit takes in).
 Cases: null and empty texts get the score of a text without known terms; rows
 without labels are scored but not learned from; null labels or ids are not
 learned from; of several labels of an id the largest holds; with no training
@@ -30,7 +30,7 @@ from .common import materialize
 
 BUCKETS = 1 << 20
 FACTORS = 8
-#: Documents that the fit takes in at most.
+#: Labelled rows that the fit takes in, about, where there are more.
 MAX_TRAIN = 20000
 #: Buckets that the machine uses at most.
 FEATURES = 4096
@@ -130,18 +130,22 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     bucket counts and, for the sampled rows, the places of their known terms."""
     known_labels = (labels.filter(F.col(f"`{label}`").isNotNull() & F.col(f"`{doc_id}`").isNotNull())
                     .groupBy(F.col(f"`{doc_id}`").alias("_of")).agg((F.max(F.col(f"`{label}`")) > 0).cast("int").alias("_y")))
-    sample = known_labels.filter(~held_out("_of", mod, rest)).orderBy(F.xxhash64("_of"), "_of").limit(max_train)
-    # at most max_train ids, so small enough to send to every task: no text is moved
+    usable = materialize(known_labels.filter(~held_out("_of", mod, rest)))
+    cut = int(min(1.0, max_train / max(1, usable.count())) * (1 << 32))
+    sample = usable.filter(F.pmod(F.xxhash64("_of"), F.lit(1 << 32)) < cut)
+    # about max_train ids at most, so small enough to send to every task: no text is moved
     rows = docs.join(F.broadcast(sample), F.col(f"`{doc_id}`") == F.col("_of")).select(
-        "_y", F.col(f"`{text}`").cast("string").alias("_text"))
+        "_of", "_y", F.col(f"`{text}`").cast("string").alias("_text"))
 
     def terms(batches):
         seen: dict = {}
         for b in batches:
-            ids = [list(text_terms(t.as_py(), seen)) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], ["y", "ids"])
+            ids = [sorted(text_terms(t.as_py(), seen)) for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(ids, pa.list_(pa.int32()))], ["of", "y", "ids"])
 
-    sparse = materialize(rows.mapInArrow(terms, "y int, ids array<int>"))
+    # a repeated id counts once, with the least of its term lists
+    of = rows.schema["_of"].dataType.simpleString()
+    sparse = materialize(rows.mapInArrow(terms, f"of {of}, y int, ids array<int>").groupBy("of", "y").agg(F.min("ids").alias("ids")).select("y", "ids"))
     n, pos = sparse.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     share = (pos + 0.5) / (n + 1)
     if not 0 < pos < n:

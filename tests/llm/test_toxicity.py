@@ -13,6 +13,7 @@ def test_machine_learns_pairs():
     rows, ids, y = [], [], []
     for i in range(600):
         a, b = rng.random(2) < 0.5
+        a, b = int(a), int(b)
         rows += [i] * (a + b)
         ids += [0] * a + [1] * b
         y.append(float(a and b))
