@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact, lm, mixing, simhash, toxicity
+from . import embedding, exact, lm, mixing, simhash, toxicity
 
 
 def _docs(spark, sf_dir):
@@ -19,6 +19,10 @@ def op3_exact_dedup(spark, sf_dir):
     return exact.exact_classes(_docs(spark, sf_dir))
 
 
+def op4_embedding_near_dedup(spark, sf_dir):
+    return embedding.link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.9)
+
+
 def op5_mixing(spark, sf_dir):
     return mixing.mix(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -32,9 +36,21 @@ def op8_lm_scoring(spark, sf_dir):
     return lm.score_lm(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_exact_dedup, op5_mixing, op6_simhash_near_dedup, op8_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_exact_dedup, op4_embedding_near_dedup, op5_mixing, op6_simhash_near_dedup, op8_lm_scoring)}
 
 ORACLE_SQL = {
+    "op4_embedding_near_dedup": """
+        with recursive
+        v as (select vec_id, embedding::double[] as e from embeddings),
+        u as (select * from v where e is not null and len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+              and len(list_filter(e, lambda x: x <> 0)) > 0),
+        link as (select a.vec_id as a, b.vec_id as b from u a join u b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+                 where list_cosine_similarity(a.e, b.e) >= 0.9),
+        reach(a, b) as (select vec_id, vec_id from v union select r.a, l.b from reach r join link l on l.a = r.b),
+        low as (select a, min(b) as component_id from reach group by a),
+        n as (select a, count(*) as n_links from link group by a)
+        select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+        from v left join n on n.a = vec_id join low on low.a = vec_id""",
     "op3_exact_dedup": r"""
         with t as (select doc_id, length(coalesce(text, '')) as points,
                           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as body from documents)
