@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import embedding, exact, lm, mixing, simhash, toxicity
+from . import embedding, exact, lines, lm, mixing, simhash, toxicity
 
 
 def _docs(spark, sf_dir):
@@ -36,7 +36,12 @@ def op8_lm_scoring(spark, sf_dir):
     return lm.score_lm(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_exact_dedup, op4_embedding_near_dedup, op5_mixing, op6_simhash_near_dedup, op8_lm_scoring)}
+def op10_line_dedup(spark, sf_dir):
+    rows = lines.dedup_lines(_docs(spark, sf_dir), max_edits=lines.MAX_EDITS, similarity=lines.SIMILARITY, min_words=lines.MIN_WORDS, report=True)
+    return rows.select("doc_id", "text", "n_lines", "dropped_lines")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_exact_dedup, op4_embedding_near_dedup, op5_mixing, op6_simhash_near_dedup, op8_lm_scoring, op10_line_dedup)}
 
 ORACLE_SQL = {
     "op4_embedding_near_dedup": """
