@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import embedding, exact, lines, lm, mixing, simhash, toxicity
+from . import embedding, exact, lines, lm, mixing, pieces, simhash, toxicity
 
 
 def _docs(spark, sf_dir):
@@ -15,6 +15,13 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score_toxicity(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op2_sentencepiece(spark, sf_dir):
+    """All samples of every text, and whether each decodes to the text."""
+    rows = pieces.decode(pieces.encode(_docs(spark, sf_dir).select("doc_id", "text")))
+    exact_ = F.forall("decoded", lambda t: t == F.coalesce("text", F.lit("")))
+    return rows.select("doc_id", "pieces", "log_prob", "perturbed", "log_inclusion", exact_.alias("decodes"))
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact.exact_classes(_docs(spark, sf_dir))
 
@@ -41,7 +48,7 @@ def op10_line_dedup(spark, sf_dir):
     return rows.select("doc_id", "text", "n_lines", "dropped_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_exact_dedup, op4_embedding_near_dedup, op5_mixing, op6_simhash_near_dedup, op8_lm_scoring, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_sentencepiece, op3_exact_dedup, op4_embedding_near_dedup, op5_mixing, op6_simhash_near_dedup, op8_lm_scoring, op10_line_dedup)}
 
 ORACLE_SQL = {
     "op4_embedding_near_dedup": """
