@@ -3,7 +3,7 @@
 A text's terms are its words and their first four and five letters, lower-cased,
 each present or not. Terms are hashed into ``BUCKETS`` buckets; of these the
 ``features`` most typical of the toxic class are kept (log-likelihood ratio, at
-least ``EVIDENCE``). The machine adds weights of single terms and, through vectors of
+least ``EVIDENCE``, and ``LIFT`` times the usual toxic share). The machine adds weights of single terms and, through vectors of
 ``FACTORS`` numbers, of every pair of terms that occur together, so that an
 insult and a mention of a group weigh more together than apart. Scoring needs
 one pass over the texts and no shuffle.
@@ -36,6 +36,8 @@ MAX_TRAIN = 20000
 FEATURES = 4096
 #: Log-likelihood ratio that a bucket needs.
 EVIDENCE = 5.0
+#: Times the toxic share of all that a bucket's toxic share must be.
+LIFT = 2.0
 THRESHOLD = 0.3
 #: Words whose terms a task remembers; forgotten all at once when there are more.
 MEMORY = 200_000
@@ -88,8 +90,9 @@ class Machine:
         s = np.zeros((n, FACTORS))
         q = np.zeros(n)
         if len(ids):
-            vi = self.v[ids]
-            np.add.at(s, rows, vi)
+            vi = self.v[ids]  # rows come in order
+            some, at = np.unique(rows, return_index=True)
+            s[some] = np.add.reduceat(vi, at, axis=0)
             q = np.bincount(rows, (vi * vi).sum(1), n)
         lin = np.bincount(rows, self.w[ids], n) if len(ids) else np.zeros(n)
         return self.bias[0] + lin + 0.5 * ((s * s).sum(1) - q), s
@@ -102,6 +105,8 @@ class Machine:
         """Full-batch Adam on the regularised log loss; returns the loss of each step."""
         n, history = len(y), []
         state = [[np.zeros_like(p), np.zeros_like(p)] for p in (self.bias, self.w, self.v)]
+        by_id = np.argsort(ids, kind="stable")
+        used, at = np.unique(ids[by_id], return_index=True)
         for t in range(1, steps + 1):
             z, s = self.parts(rows, ids, n)
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -109,7 +114,8 @@ class Machine:
             g = (p - y) / n
             gi = g[rows]
             gv = np.zeros_like(self.v)
-            np.add.at(gv, ids, gi[:, None] * (s[rows] - self.v[ids]))
+            if len(ids):
+                gv[used] = np.add.reduceat((gi[:, None] * (s[rows] - self.v[ids]))[by_id], at, axis=0)
             grads = (np.array([g.sum()]), np.bincount(ids, gi, len(self.w)) + decay * self.w, gv + 5 * decay * self.v)
             for p_, g_, (m, q) in zip((self.bias, self.w, self.v), grads, state):
                 m += 0.1 * (g_ - m)
@@ -155,7 +161,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     k, m = F.col("k").cast("double"), (F.col("n") - F.col("k")).cast("double")
     e1, e0 = F.col("n") * (pos / n), F.col("n") * (1 - pos / n)
     gain = k * F.log(F.greatest(k, F.lit(1e-9)) / e1) + m * F.log(F.greatest(m, F.lit(1e-9)) / e0)
-    best = [r.id for r in per.filter((F.col("n") >= 2) & (F.col("k") * n > F.col("n") * pos) & (gain >= EVIDENCE)).orderBy(gain.desc(), "id").limit(features).select("id").collect()]
+    best = [r.id for r in per.filter((F.col("n") >= 2) & (F.col("k") * n >= LIFT * F.col("n") * pos) & (gain >= EVIDENCE)).orderBy(gain.desc(), "id").limit(features).select("id").collect()]
     known = {i: p for p, i in enumerate(sorted(best))}
 
     def places(batches):
@@ -164,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int32()))], ["y", "ids"])
 
     fitted = sparse.mapInArrow(places, "y int, ids array<int>").select(
-        "y", F.array_sort("ids").alias("ids")).orderBy("y", F.xxhash64("ids")).collect()  # max_train rows of known terms
+        "y", F.array_sort("ids").alias("ids")).orderBy("y", F.xxhash64("ids")).collect()  # about max_train rows of known terms
     machine = Machine(known, float(np.log(share / (1 - share))))
     at, ids = _flat([r.ids for r in fitted])
     machine.fit(at, ids, np.array([r.y for r in fitted], dtype=np.float64))
