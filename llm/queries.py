@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import embedding, exact, lines, lm, mixing, pieces, simhash, toxicity
+from . import chat, embedding, exact, lines, lm, mixing, pieces, pii, simhash, toxicity
 
 
 def _docs(spark, sf_dir):
@@ -39,16 +39,28 @@ def op6_simhash_near_dedup(spark, sf_dir):
     return rows.select("doc_id", F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_pii(spark, sf_dir):
+    return pii.digest(pii.find_personal_data(_docs(spark, sf_dir)))
+
+
 def op8_lm_scoring(spark, sf_dir):
     return lm.score_lm(_docs(spark, sf_dir))
 
 
+def op9_chat_formatting(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat.read_back(chat.format_chat(turns.union(more)))
+
+
 def op10_line_dedup(spark, sf_dir):
     rows = lines.dedup_lines(_docs(spark, sf_dir), max_edits=lines.MAX_EDITS, similarity=lines.SIMILARITY, min_words=lines.MIN_WORDS, report=True)
     return rows.select("doc_id", "text", "n_lines", "dropped_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_sentencepiece, op3_exact_dedup, op4_embedding_near_dedup, op5_mixing, op6_simhash_near_dedup, op8_lm_scoring, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_sentencepiece, op3_exact_dedup, op4_embedding_near_dedup, op5_mixing,
+                                   op6_simhash_near_dedup, op7_pii, op8_lm_scoring, op9_chat_formatting, op10_line_dedup)}
 
 ORACLE_SQL = {
     "op4_embedding_near_dedup": """
@@ -69,4 +81,14 @@ ORACLE_SQL = {
         select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition by body) as group_size,
                row_number() over w = 1 as kept, sha256(body) as text_sha256
         from t window w as (partition by body order by points desc, doc_id nulls last)""",
+    "op9_chat_formatting": r"""
+        with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+                   union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        f as (select *, '### ' || replace(replace(replace(replace(replace(role, '\', '\\'), '###', '\h'), '</turn>', '\t'), '<|', '\p'), ': ', '\c') || ': '
+                     || replace(replace(replace(replace(text, '\', '\\'), '###', '\h'), '</turn>', '\t'), '<|', '\p') || '</turn>' || chr(10) as segment from t)
+        select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, segment)) as turns_sha256,
+               coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn, role, segment) filter (role = 'assistant'), '')) as loss_sha256,
+               sum(length(segment))::bigint as formatted_chars
+        from f group by conv_id""",
 }
