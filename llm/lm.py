@@ -37,15 +37,15 @@ from pyspark.sql import functions as F
 from .common import LOWER, materialize, with_row_key
 from .toxicity import held_out
 
-DICTIONARY = 1 << 18
+DICTIONARY = 1 << 17
 SHORT = 31
 BANDS = 4
 CLUSTERS = 6
 ANCHORS = 64
-MAX_TRAIN = 4096
-ROUNDS = 4
+MAX_TRAIN = 2048
+ROUNDS = 3
 SHARDS = 8
-ROWS = 1 << 15
+ROWS = 1 << 14
 CHUNK = 16384
 #: Distinct tokens that a counting task holds before it passes them on.
 HELD = 500_000
@@ -129,7 +129,7 @@ class Model:
             for x in xs:
                 v = (v ^ x) * np.uint64(0x9E3779B97F4A7C15)
                 v ^= v >> np.uint64(29)
-            return (v * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - 15)).astype(np.int64)
+            return (v * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - 14)).astype(np.int64)
 
         trio = c1 << np.uint64(20) | c2 << np.uint64(10) | c3
         one = [h(1, p1), h(2, p1, p2), h(3, p2), h(4, p3), h(5, trio)]
@@ -251,8 +251,8 @@ def train(rows: DataFrame, max_train: int = MAX_TRAIN) -> tuple[Model, DataFrame
             got = [vector(Counter(tokens(t.as_py()))).tolist() for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.float64()))], ["v"])
 
-    seen = [r.v for r in sample.select("text", "_h").orderBy("_h").select("text").mapInArrow(vectors, "v array<double>").collect()]
-    centres = _clusters(np.array(seen) if seen else np.zeros((0, max(1, len(anchors)))))
+    seen = sample.select("text", "_h").orderBy("_h").select("text").mapInArrow(vectors, "v array<double>").toArrow().column("v").combine_chunks()
+    centres = _clusters(seen.flatten().to_numpy().reshape(len(seen), -1) if len(seen) else np.zeros((0, max(1, len(anchors)))))
 
     def counted(batches):
         held: dict = {}
@@ -288,11 +288,12 @@ def train(rows: DataFrame, max_train: int = MAX_TRAIN) -> tuple[Model, DataFrame
             least = s + 1
             break
         room -= m
-    best = counts.filter(step >= least).collect()
-    best.sort(key=lambda r: (-r.n, r.token))
-    typical = np.array([[r[f"g{g}"] for g in range(CLUSTERS)] for r in best]).reshape(-1, CLUSTERS) / np.maximum(np.array(mass), 1)
-    model = Model([r.token.encode() for r in best], np.array([r.n for r in best], dtype=np.float64),
-                  typical.argmax(1) if len(best) else np.zeros(0, dtype=int), int(n), int(v))
+    typical = F.array(*[F.col(f"g{g}") / max(1, m) for g, m in enumerate(mass)])
+    best = (counts.filter(step >= least).select("token", "n", (F.array_position(typical, F.array_max(typical)) - 1).alias("g"))
+            .orderBy(F.col("n").desc(), "token").toArrow())
+    model = Model([w.as_py().encode() for w in best.column("token")], best.column("n").to_numpy().astype(np.float64),
+                  best.column("g").to_numpy(), int(n), int(v))
+    del best
     for r in range(ROUNDS if n else 0):
         _round(sample, model, 0.3 / (1 + r))
     return model, counts.select("token", "n")
@@ -310,18 +311,20 @@ def _round(sample: DataFrame, model: Model, rate: float) -> None:
             hits = model.descend(np.concatenate(parts), begins, rate)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([np.packbits(x).tobytes()], pa.binary()) for x in hits]
-                + [pa.array([(new[hit] - was[hit]).tobytes()], pa.binary()) for new, was, hit in zip((model.t1, model.t2), old, hits)],
+                + [pa.array([(new[hit] - was[hit]).astype(np.float16).tobytes()], pa.binary()) for new, was, hit in zip((model.t1, model.t2), old, hits)],
                 ["h1", "h2", "d1", "d2"])
             model.t1, model.t2 = old
 
     shards = sample.repartition(SHARDS, "_h").sortWithinPartitions("_h").select("text")
     sums = [np.zeros(model.t1.shape), np.zeros(model.t2.shape)]
     hits = [np.zeros(ROWS), np.zeros(ROWS)]
-    for row in shards.mapInArrow(run, "h1 binary, h2 binary, d1 binary, d2 binary").collect():  # at most SHARDS rows of a fixed size
-        for i, (h, d) in enumerate(((row.h1, row.d1), (row.h2, row.d2))):
-            at = np.unpackbits(np.frombuffer(h, np.uint8)).astype(bool)
-            sums[i][at] += np.frombuffer(d, np.float32).reshape(-1, sums[i].shape[1])
+    got = shards.mapInArrow(run, "h1 binary, h2 binary, d1 binary, d2 binary").toArrow()  # at most SHARDS rows of a fixed size
+    for k in range(got.num_rows):
+        for i, (h, d) in enumerate((("h1", "d1"), ("h2", "d2"))):
+            at = np.unpackbits(np.frombuffer(got.column(h)[k].as_buffer(), np.uint8)).astype(bool)
+            sums[i][at] += np.frombuffer(got.column(d)[k].as_buffer(), np.float16).reshape(-1, sums[i].shape[1])
             hits[i][at] += 1
+    del got
     model.t1 = (model.t1 + sums[0] / np.maximum(hits[0], 1)[:, None]).astype(np.float32)
     model.t2 = (model.t2 + sums[1] / np.maximum(hits[1], 1)[:, None]).astype(np.float32)
 
