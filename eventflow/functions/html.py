@@ -7,21 +7,29 @@ and either quote style.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import col_of
 
-# Anchor attribute value, double-, single- or un-quoted (group 1 keeps the
-# quotes; ``strip_quotes`` removes them). ``href`` must follow whitespace, so
+# What a parser does not see as markup: comments, scripts and styles.
+HIDDEN = r"(?is)<!--.*?(?:-->|$)|<script\b.*?(?:</script\s*>|$)|<style\b.*?(?:</style\s*>|$)"
+# Attributes, quoted values skipped whole, so a ``>`` in one ends nothing.
+_ATTRS = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
+# Value of ``href``, double-, single- or un-quoted (group 1 keeps the quotes;
+# ``strip_quotes`` removes them). ``href`` must follow whitespace, so
 # ``data-href`` is not taken for it.
-HREF_VALUE = r"""\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+HREF_VALUE = r"\s" + r"(?:" + _ATTRS + r"\s)?" + r"""href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 # href of every <a> tag, document order
 ANCHOR_HREF = r"(?is)<a" + HREF_VALUE
-# first anchor whose whole text matches the calendar-link caption
-ICS_CAPTION_HREF = r"(?is)<a" + HREF_VALUE + r"[^>]*>[^<]*?Add to Calendar\s*-\s*iCal[^<]*</a>"
+# first anchor whose whole text matches the calendar-link caption, with or
+# without tags around that text
+ICS_CAPTION_HREF = (r"(?is)<a" + HREF_VALUE + _ATTRS + r">\s*(?:<(?!/?a\b)[^>]*>\s*)*"
+                    r"[^<]*?Add to Calendar\s*-\s*iCal[^<]*(?:<(?!/?a\b)[^>]*>\s*)*</a\s*>")
 # first anchor whose href ends in .ics (the suffix test is case-sensitive)
-ICS_SUFFIX_HREF = (r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*(?-i:\.ics)"|'[^']*(?-i:\.ics)'|"""
+ICS_SUFFIX_HREF = (r"(?is)<a\s(?:" + _ATTRS + r"""\s)?href\s*=\s*("[^"]*(?-i:\.ics)"|'[^']*(?-i:\.ics)'|"""
                    r"""[^\s>"']*(?-i:\.ics)(?:[\s>]|$))""")
 # path part of a URL (urlparse(...).path)
 URL_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)"
@@ -42,13 +50,59 @@ def strip_quotes(c) -> Column:
     return F.regexp_replace(v, r"^[\"']|[\"']$", "")
 
 
+@lru_cache(maxsize=1)
+def _named_references() -> dict:
+    """Named character references of one or two characters, from the standard table."""
+    from html.entities import html5
+    return {k[:-1]: v for k, v in html5.items() if k.endswith(";")}
+
+
 def unescape_entities(c) -> Column:
-    """Decode the character references an HTML parser decodes in hrefs."""
+    """Decode the character references of an attribute value: named ones that
+    end in a semicolon, decimal and hexadecimal ones. Values without ``&`` are
+    left alone; the others are taken apart once, so nothing is decoded twice."""
     s = col_of(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&#x27;", "'"), ("&amp;", "&")):
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return s
+    names = F.create_map(*[F.lit(x) for kv in sorted(_named_references().items()) for x in kv])
+
+    def char(point):  # code point -> character
+        return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+
+    def number(digits, base):  # out of range or no character: the replacement sign
+        n = F.conv(F.substring(digits, 1, 12), base, 10).cast("long")
+        bad = n.isNull() | (n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF) | (F.length(digits) > 12)
+        return F.when(bad, F.lit("\uFFFD")).otherwise(char(n))
+
+    def piece(p):  # "name;rest" after an ampersand
+        body, rest = F.regexp_extract(p, r"^([^;&]*);", 1), F.regexp_replace(p, r"^[^;&]*;", "")
+        hexa = F.regexp_extract(body, r"^#[xX]([0-9A-Fa-f]+)$", 1)
+        deci = F.regexp_extract(body, r"^#([0-9]+)$", 1)
+        named = F.try_element_at(names, body)
+        return (F.when(~p.contains(";"), F.concat(F.lit("&"), p))
+                .when(hexa != "", F.concat(number(hexa, 16), rest))
+                .when(deci != "", F.concat(number(deci, 10), rest))
+                .when(named.isNotNull(), F.concat(named, rest))
+                .otherwise(F.concat(F.lit("&"), p)))
+
+    parts = F.split(s, "&")
+    decoded = F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), piece), ""))
+    return F.when(s.contains("&"), decoded).otherwise(s)
+
+
+def visible(html) -> Column:
+    """Page text without comments, scripts and styles."""
+    return F.regexp_replace(col_of(html), HIDDEN, "")
+
+
+def remove_dots(path) -> Column:
+    """Path without ``.`` and ``..`` segments (a leading ``..`` goes nowhere)."""
+    p = col_of(path)
+    segs = F.split(p, "/")
+    kept = F.aggregate(segs, F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc)
+                       .when(x == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
+                       .otherwise(F.concat(acc, F.array(x))))
+    # a path that ends in a dot segment names a folder
+    out = F.concat(F.array_join(kept, "/"), F.when(p.rlike(r"(^|/)\.\.?$"), F.lit("/")).otherwise(F.lit("")))
+    return F.when(p.rlike(r"(^|/)\.\.?(/|$)"), out).otherwise(p)
 
 
 def url_origin(url) -> Column:
@@ -64,7 +118,7 @@ def url_join(base, href) -> Column:
 
     absolute kept; ``//host`` gets the base scheme; ``/path`` goes on the base
     origin; ``?q``/``#f`` go on the base; other relative paths go after the
-    base directory.
+    base directory; dot segments are resolved.
     """
     b = col_of(base) if not isinstance(base, str) else F.lit(base)
     h = col_of(href)
@@ -73,19 +127,25 @@ def url_join(base, href) -> Column:
     base_dir = F.regexp_replace(F.regexp_replace(b, r"[?#].*$", ""), r"[^/]*$", "")
     base_dir = F.when(base_dir.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*$"),
                       F.concat(b, F.lit("/"))).otherwise(base_dir)
+
+    def plain(ref):  # dot segments go from the path, not from a query or fragment
+        path = F.regexp_extract(ref, r"^[^?#]*", 0)
+        return F.concat(remove_dots(path), F.substr(ref, F.length(path) + 1))
+
     return (F.when(h.isNull(), F.lit(None).cast("string"))
             .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
             .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(origin, h))
+            .when(h.startswith("/"), F.concat(origin, plain(h)))
             .when(h == "", b)
             .when(h.startswith("?"), F.concat(F.regexp_replace(b, r"[?#].*$", ""), h))
             .when(h.startswith("#"), F.concat(F.regexp_replace(b, r"#.*$", ""), h))
+            .when(origin != "", F.concat(origin, plain(F.concat(F.substr(base_dir, F.length(origin) + 1), h))))
             .otherwise(F.concat(base_dir, h)))
 
 
 def anchor_hrefs(html) -> Column:
     """All anchor hrefs of a page in document order, entities decoded."""
-    return F.transform(F.regexp_extract_all(col_of(html), F.lit(ANCHOR_HREF), 1),
+    return F.transform(F.regexp_extract_all(visible(html), F.lit(ANCHOR_HREF), 1),
                        lambda v: unescape_entities(strip_quotes(v)))
 
 
@@ -95,12 +155,12 @@ def _nz(c: Column) -> Column:
 
 def ics_link_by_caption(html) -> Column:
     """C4: href of the first anchor captioned 'Add to Calendar - iCal'."""
-    return _nz(unescape_entities(strip_quotes(F.regexp_extract(col_of(html), ICS_CAPTION_HREF, 1))))
+    return _nz(unescape_entities(strip_quotes(F.regexp_extract(visible(html), ICS_CAPTION_HREF, 1))))
 
 
 def ics_link_generic(html) -> Column:
     """Href of the first anchor whose href ends in ``.ics``."""
-    return _nz(unescape_entities(strip_quotes(F.regexp_extract(col_of(html), ICS_SUFFIX_HREF, 1))))
+    return _nz(unescape_entities(strip_quotes(F.regexp_extract(visible(html), ICS_SUFFIX_HREF, 1))))
 
 
 def ics_link_from_slug(url, slug_pattern: str = DETAIL_SLUG) -> Column:

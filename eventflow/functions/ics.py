@@ -33,17 +33,29 @@ def own_properties(block) -> Column:
     return F.regexp_replace(col_of(block), SUBCOMPONENT, "")
 
 
-def prop_raw(block, name: str) -> Column:
-    """Raw value of the first ``NAME[;params]:value`` line, null if absent."""
-    rx = rf"(?mi)^{name}(?:;[^:\r\n]*)?:([^\r\n]*)"
-    b = col_of(block)
-    return F.when(b.rlike(rf"(?mi)^{name}(?:;[^:\r\n]*)?:"), F.regexp_extract(b, rx, 1))
+# one content line: name, parameters (values may be quoted), value
+CONTENT_LINE = r"""^([A-Za-z0-9-]+)((?:;[A-Za-z0-9-]+=(?:"[^"]*"|[^";:])*)*):(.*)$"""
 
 
-def prop_param(block, name: str, param: str) -> Column:
-    """Value of one parameter of the first ``NAME`` line ('' if absent)."""
-    rx = rf"(?mi)^{name};(?:[^:\r\n]*;)?{param}=([^;:\r\n]*)"
-    return F.regexp_extract(col_of(block), rx, 1)
+def content_lines(block) -> Column:
+    """Lines of a component as structs (upper-case name, parameters, value),
+    each line taken apart once."""
+    rows = F.split(col_of(block), r"\r\n|\n|\r")
+    parsed = F.transform(rows, lambda x: F.struct(F.upper(F.regexp_extract(x, CONTENT_LINE, 1)).alias("name"),
+                                                  F.regexp_extract(x, CONTENT_LINE, 2).alias("params"), F.regexp_extract(x, CONTENT_LINE, 3).alias("value")))
+    return F.filter(parsed, lambda x: x["name"] != "")
+
+
+def first_lines(lines) -> Column:
+    """Map of a name to its first line."""
+    names = F.array_distinct(F.transform(lines, lambda x: x["name"]))
+    return F.map_from_entries(F.transform(names, lambda n: F.struct(n, F.element_at(F.filter(lines, lambda x: x["name"] == n), 1))))
+
+
+def line_param(params, param: str) -> Column:
+    """One parameter's value without quotes ('' if absent)."""
+    v = F.regexp_extract(col_of(params), rf"""(?i);{param}=("[^"]*"|[^";:]*)""", 1)
+    return F.regexp_replace(v, '^"|"$', "")
 
 
 def unescape_text(c) -> Column:
@@ -57,9 +69,11 @@ def unescape_text(c) -> Column:
 
 
 def split_categories(raw) -> Column:
-    """C11: CATEGORIES value split on unescaped commas, items unescaped."""
+    """C11: the values of all CATEGORIES lines (an array), split on unescaped
+    commas, items unescaped; null without such a line."""
     r = col_of(raw)
-    return F.when(r.isNotNull(), F.transform(F.split(r, r"(?<!\\),"), unescape_text))
+    items = F.flatten(F.transform(r, lambda v: F.split(v, r"(?<!\\),")))
+    return F.when(F.size(r) > 0, F.transform(items, unescape_text))
 
 
 @lru_cache(maxsize=1)

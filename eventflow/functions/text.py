@@ -53,7 +53,7 @@ def as_text(c) -> Column:
 def norm_url(c) -> Column:
     """Trim, cut from the first ``?`` or ``#``, drop all trailing ``/``."""
     u = py_strip(as_text(c))
-    u = F.regexp_replace(u, r"[?#].*$", "")
+    u = F.regexp_replace(u, r"(?d)[?#].*$", "")  # (?d): only a line feed ends a line
     return F.regexp_replace(u, r"/+$", "")
 
 
@@ -131,28 +131,61 @@ def venue_flags(loc, patterns: dict | None = None) -> dict:
 
 
 @lru_cache(maxsize=1)
-def _accent_table() -> tuple[str, str]:
-    """One-to-one accent folding table, built by rule from Unicode NFKD.
+def _accent_table() -> tuple[str, str, list[tuple[str, str]]]:
+    """Accent folding by rule from Unicode NFKD, for every character of the
+    basic plane: (characters with one other base character, those characters,
+    [(character, text)] where the decomposition has several or none). Hangul
+    syllables, which NFKD takes apart by arithmetic, follow the same rule."""
+    src, dst, longer = [], [], []
+    for cp in range(0x80, 0x10000):
+        if 0xD800 <= cp < 0xE000:
+            continue
+        ch = chr(cp)
+        base = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
+        if base == ch or unicodedata.combining(ch):
+            continue
+        if len(base) == 1:
+            src.append(ch)
+            dst.append(base)
+        else:
+            longer.append((ch, base))
+    return "".join(src), "".join(dst), longer
 
-    Covers Latin-1 Supplement to Latin Extended-B and Latin Extended
-    Additional: every letter whose compatibility decomposition minus
-    combining marks is exactly one other character.
-    """
-    src, dst = [], []
-    for lo, hi in ((0x00C0, 0x024F), (0x1E00, 0x1EFF)):
-        for cp in range(lo, hi + 1):
-            ch = chr(cp)
-            base = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
-            if len(base) == 1 and base != ch:
-                src.append(ch)
-                dst.append(base)
-    return "".join(src), "".join(dst)
+
+@lru_cache(maxsize=1)
+def _long_folds() -> tuple[str, dict]:
+    """(regex class of the characters that fold to several, character -> text)."""
+    longer = dict(_accent_table()[2])
+    points = sorted(map(ord, longer))
+    runs, lo = [], points[0]
+    for a, b in zip(points, points[1:] + [None]):
+        if b != a + 1:
+            runs.append(f"\\x{{{lo:X}}}-\\x{{{a:X}}}")
+            lo = b
+    return "[" + "".join(runs) + "]", longer
 
 
 def strip_accents(c) -> Column:
-    """Accent folding (one-to-one; see Δ10 in the README)."""
-    src, dst = _accent_table()
+    """Fold every character to its compatibility decomposition without
+    combining marks. One-to-one cases are one ``translate``; texts that hold a
+    ligature, fraction or the like are rebuilt character by character."""
+    src, dst, _ = _accent_table()
+    many, longer = _long_folds()
     folded = F.translate(col_of(c), src, dst)
+    table = F.create_map(*[F.lit(x) for kv in longer.items() if not 0xAC00 <= ord(kv[0]) < 0xD7A4 for x in kv])
+    # Hangul: lead, vowel and tail from the syllable's number
+    point = lambda ch: F.conv(F.hex(F.encode(ch, "UTF-16BE")), 16, 10).cast("int")
+    letter = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 4, "0")), "UTF-16BE")
+
+    def hangul(ch):
+        n = point(ch) - F.lit(0xAC00)
+        tail = n % 28
+        return F.concat(letter((F.lit(0x1100) + F.floor(n / 588)).cast("int")), letter((F.lit(0x1161) + F.floor((n % 588) / 28)).cast("int")),
+                        F.when(tail > 0, letter((F.lit(0x11A7) + tail).cast("int"))).otherwise(F.lit("")))
+
+    rebuilt = F.array_join(F.transform(F.split(folded, ""), lambda ch: F.when(ch.rlike(r"^[\x{AC00}-\x{D7A3}]$"), hangul(ch))
+                                       .otherwise(F.coalesce(F.try_element_at(table, ch), ch))), "")
+    folded = F.when(folded.rlike(many), rebuilt).otherwise(folded)
     return F.regexp_replace(folded, r"\p{Mn}", "")
 
 

@@ -71,7 +71,7 @@ def extraction_errors(resolved: DataFrame, url_col: str = "url", order_col: str
                       k: int = 5) -> tuple[DataFrame, DataFrame]:
     """(count of pages without a calendar URL, first ``k`` messages)."""
     bad = resolved.where(F.col("ics_url").isNull())
-    msgs = bad.select(order_col, F.concat(F.lit("No ICS link found on event page "), F.col(url_col)).alias("message"))
+    msgs = bad.select(order_col, F.concat(F.lit("no calendar file for page "), F.col(url_col)).alias("message"))
     return bad.agg(F.count(F.lit(1)).alias("n_errors")), msgs.orderBy(order_col).limit(k)
 
 
@@ -81,13 +81,14 @@ def parse_vevents(ics: DataFrame, content: str = "content", source_ics: str = "s
     the event schema, provenance carried along (B9)."""
     keep = [c for c in (source_ics, source_page) if c in ics.columns]
     blocks = ics.select(*keep, F.posexplode(I.vevent_blocks(F.col(content))).alias("vevent_pos", "_b"))
-    # stage: strip nested components once, then read each raw property once
-    own = blocks.withColumn("_b", I.own_properties(F.col("_b")))
-    props = ["SUMMARY", "DESCRIPTION", "LOCATION", "DTSTART", "DTEND", "URL", "UID", "CATEGORIES",
-             "LAST-MODIFIED", "CREATED"]
-    raw = own.select(*keep, "vevent_pos",
-                     *[I.prop_raw(F.col("_b"), p).alias(f"_{p}") for p in props],
-                     *[I.valid_zone(I.prop_param(F.col("_b"), p, "TZID")).alias(f"_tz_{p}")
+    # each line is taken apart once; properties are then looked up by name
+    lined = stage(blocks, {"_l": I.content_lines(I.own_properties(F.col("_b")))}, keep=[*keep, "vevent_pos"])
+    mapped = stage(lined, {"_m": I.first_lines(F.col("_l")), "_cats": F.transform(F.filter("_l", lambda x: x["name"] == "CATEGORIES"), lambda x: x["value"])},
+                   keep=[*keep, "vevent_pos"])
+    props = ["SUMMARY", "DESCRIPTION", "LOCATION", "DTSTART", "DTEND", "URL", "UID", "LAST-MODIFIED", "CREATED"]
+    own = mapped.select(*keep, "vevent_pos", "_cats", *[F.try_element_at("_m", F.lit(p)).alias(f"_s_{p}") for p in props])
+    raw = own.select(*keep, "vevent_pos", "_cats", *[F.col(f"`_s_{p}`")["value"].alias(f"_{p}") for p in props],
+                     *[I.valid_zone(I.line_param(F.coalesce(F.col(f"`_s_{p}`")["params"], F.lit("")), "TZID")).alias(f"_tz_{p}")
                        for p in ("DTSTART", "DTEND", "LAST-MODIFIED", "CREATED")])
 
     def text(name):
@@ -100,7 +101,7 @@ def parse_vevents(ics: DataFrame, content: str = "content", source_ics: str = "s
         text("SUMMARY").alias("title"), text("DESCRIPTION").alias("description"),
         text("LOCATION").alias("location"), when("DTSTART").alias("start"), when("DTEND").alias("end"),
         F.col("_URL").alias("url"), text("UID").alias("uid"),
-        I.split_categories(F.col("_CATEGORIES")).alias("category"),
+        I.split_categories(F.col("_cats")).alias("category"),
         when("LAST-MODIFIED").alias("last_modified"), when("CREATED").alias("created"),
         *[F.col(c) for c in keep], "vevent_pos")
     for c in ("source_ics", "source_page"):

@@ -25,7 +25,10 @@ def start_epoch(srow) -> F.Column:
 
 
 def count_upcoming(posts: DataFrame, now_epoch, srow: str = "evcal_srow") -> DataFrame:
-    """L2: posts whose start epoch is at or after ``now_epoch``."""
+    """L2: published posts whose start epoch is at or after ``now_epoch``, all
+    of them (a frame without ``status`` is taken to hold published posts)."""
+    if "status" in posts.columns:
+        posts = posts.where(F.col("status") == "publish")
     return posts.agg(F.count_if(start_epoch(F.col(srow)) >= now_epoch).alias("upcoming"))
 
 

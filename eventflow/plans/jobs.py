@@ -220,10 +220,10 @@ def upload_job(spark: SparkSession, export_base: str, dim_locations: DataFrame |
 
 def health_job(posts: DataFrame, pages: DataFrame, now_epoch: int, threshold: int = 5,
                require_page: bool = False, api_ok: bool = True) -> dict:
-    """Monitor: newest published posts (L1) -> upcoming count (L2), calendar
+    """Monitor: upcoming count over all published posts (L2), calendar
     markup on the public page(s) (L3) -> verdict (L4)."""
     from ..operators import monitor as L
-    up = L.count_upcoming(L.latest_published(posts), F.lit(now_epoch))
+    up = L.count_upcoming(posts, F.lit(now_epoch))
     ok = L.markup_detected(pages).agg(F.coalesce(F.bool_or("markup_detected"), F.lit(False)).alias("page_ok"))
     return L.health_verdict(up, ok, api_ok=api_ok, threshold=threshold, require_page=require_page).first().asDict()
 

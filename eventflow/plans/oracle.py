@@ -172,7 +172,7 @@ def meta_entries():
 
 LATEST = "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderkey DESC LIMIT 100"
 UPCOMING = (f"SELECT count(*) FILTER (WHERE {epoch('o_orderdate')} >= {epoch(chr(39) + '1998-01-01' + chr(39) + '::TIMESTAMP')}) "
-            f"AS upcoming FROM ({LATEST})")
+            "AS upcoming FROM orders WHERE o_orderstatus = 'F'")
 MARKUP = "(contains(lower(html), 'track(1') OR contains(lower(html), '<table'))"
 
 
@@ -364,14 +364,14 @@ SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY first) - 1
     d["accepted_review"] = f"""SELECT event_id, round({CONF}, 6) AS confidence, {CONF} < 0.75 AS needs_review
   FROM events WHERE {PRED} = 1"""
     d["promote_label"] = f"""WITH {DL} SELECT doc_id, coalesce(label, CAST(n_chars > 1000 AS INTEGER)) AS label FROM dl"""
-    d["concat_sets"] = """SELECT doc_id, lang, NULL::VARCHAR AS source FROM documents WHERE lang = 'en'
-UNION ALL SELECT doc_id, NULL::VARCHAR, source FROM documents WHERE lang = 'fr'"""
+    d["concat_sets"] = """SELECT doc_id, lang, NULL::VARCHAR AS source FROM documents WHERE lang IS NULL OR lang NOT IN ('fr', 'es')
+UNION ALL SELECT doc_id, NULL::VARCHAR, source FROM documents WHERE lang IN ('fr', 'es')"""
     d["ensure_columns"] = "SELECT page_id, url AS title, '' AS description, '' AS start, '' AS location FROM pages"
     d["title_desc_text"] = f"""WITH {DL} SELECT doc_id,
   md5(lower(coalesce(title, '') || ' ' || coalesce(text, ''))) AS text_md5,
   CAST(length(coalesce(title, '') || ' ' || coalesce(text, '')) AS INTEGER) AS text_len FROM dl"""
     d["upsert_locations"] = """WITH ex AS (SELECT name, row_number() OVER (ORDER BY name) AS id FROM
-  (SELECT DISTINCT p_brand AS name FROM part WHERE p_partkey < 10 AND p_brand IS NOT NULL AND p_brand <> '')),
+  (SELECT DISTINCT p_brand AS name FROM part WHERE p_brand LIKE 'Brand#1%' OR p_brand LIKE 'Brand#2%')),
 nw AS (SELECT name, (SELECT coalesce(max(id), 0) FROM ex) + row_number() OVER (ORDER BY name) AS id FROM
   (SELECT DISTINCT p_brand AS name FROM part WHERE p_brand IS NOT NULL AND p_brand <> ''
    AND p_brand NOT IN (SELECT name FROM ex))),

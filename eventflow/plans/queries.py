@@ -503,8 +503,8 @@ def q_upload_plan(spark, sf_dir):
 
 def q_upsert_locations(spark, sf_dir):
     part = load(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    names = (part.where((F.col("p_partkey") < 10) & F.col("p_brand").isNotNull() & (F.col("p_brand") != ""))
-             .select(F.col("p_brand").alias("name")).distinct())
+    # the existing dimension: brands of the first two families, over the whole table
+    names = part.where(F.col("p_brand").rlike("^Brand#[12]")).select(F.col("p_brand").alias("name")).distinct()
     dim = dense_index(names, [F.col("name")], out="id")
     with_ids, _ = K.upsert_locations(part, dim, loc="p_brand")
     return with_ids.select("p_partkey", "p_brand", "location_id")
@@ -582,7 +582,7 @@ def q_latest_published(spark, sf_dir):
 
 
 def q_count_upcoming(spark, sf_dir):
-    return L.count_upcoming(L.latest_published(_published_orders(spark, sf_dir)), _now_epoch())
+    return L.count_upcoming(_published_orders(spark, sf_dir), _now_epoch())
 
 
 def q_markup_detected(spark, sf_dir):
@@ -591,7 +591,7 @@ def q_markup_detected(spark, sf_dir):
 
 
 def q_health_verdict(spark, sf_dir):
-    up = L.count_upcoming(L.latest_published(_published_orders(spark, sf_dir)), _now_epoch())
+    up = L.count_upcoming(_published_orders(spark, sf_dir), _now_epoch())
     pages = L.markup_detected(load(spark, sf_dir, "pages"), markers=PAGE_MARKERS)
     ok = pages.agg(F.coalesce(F.bool_or("markup_detected"), F.lit(False)).alias("page_ok"))
     return L.health_verdict(up, ok, threshold=L.MIN_UPCOMING, require_page=True)
@@ -611,8 +611,9 @@ def q_promote_label(spark, sf_dir):
 
 def q_concat_sets(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
-    a = docs.where(F.col("lang") == "en").select("doc_id", "lang")
-    b = docs.where(F.col("lang") == "fr").select("doc_id", "source")
+    latin = F.col("lang").isin("fr", "es")
+    a = docs.where(~F.coalesce(latin, F.lit(False))).select("doc_id", "lang")
+    b = docs.where(latin).select("doc_id", "source")
     return G.concat(a, b)
 
 

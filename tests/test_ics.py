@@ -40,3 +40,13 @@ def test_bad_zone_and_date_do_not_fail(spark):
     r = C.parse_vevents(df).first()
     assert r.start == "2025-01-15T18:00:00"      # unknown zone: floating time
     assert r.end == "2025-13-40T25:00:00"         # shape kept, no failure
+
+
+def test_quoted_parameters_and_repeated_categories(spark):
+    cal = ("BEGIN:VCALENDAR\r\nBEGIN:VEVENT\r\nuid:q\r\nSUMMARY;LANGUAGE=en;X-P=\"a:b;c\":Title: with colon\r\n"
+           "DTSTART;TZID=\"America/Chicago\":20250115T180000\r\nDTEND;X-P=\"a:b\":20250901T110000\r\n"
+           "CATEGORIES:One,Two\\, too\r\nCATEGORIES;LANGUAGE=en:Three\r\nSUMMARY:second\r\nEND:VEVENT\r\nEND:VCALENDAR\r\n")
+    df = spark.createDataFrame([("q.ics", None, cal)], "source_ics string, source_page string, content string")
+    r = C.parse_vevents(df).first()
+    assert (r.uid, r.title, r.start, r.end) == ("q", "Title: with colon", "2025-01-15T18:00:00-06:00", "2025-09-01T11:00:00")
+    assert r.category == ["One", "Two, too", "Three"]

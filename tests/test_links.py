@@ -98,3 +98,33 @@ def test_unquoted_and_data_href(spark):
     df = spark.createDataFrame([(9, BASE, '<a href=/events/details/a-1>1</a><a data-href="/events/details/no">n</a>')],
                                "page_id bigint, url string, html string")
     assert [r.link for r in C.extract_event_links(df).collect()] == [BASE + "/events/details/a-1"]
+
+
+def test_hidden_and_quoted_markup(spark):
+    rows = [
+        (1, DETAIL + "m-1", '<!-- <a href="/old.ics">Add to Calendar - iCal</a> --><a href="/new.ics">file</a>'),
+        (2, DETAIL + "n-2", '<a title="a > b" href="/n.ics">file</a>'),
+        (3, DETAIL + "o-3", '<a href="/o"><span> Add to Calendar - iCal </span></a>'),
+        (4, DETAIL + "p-4", '<script>var x = \'<a href="/s.ics">\';</script><style>a</style>'),
+        (5, BASE + "/events/details/q/r-5", '<a href="../cal/./c.ics?x=../y">Add to Calendar - iCal</a>'),
+        (6, DETAIL + "s-6", '<a href="&#x2F;caf&eacute;&amp;lt;&#46;ics">Add to Calendar - iCal</a>'),
+    ]
+    got = resolve(spark, rows)
+    assert got == {1: BASE + "/new.ics", 2: BASE + "/n.ics", 3: BASE + "/o", 4: BASE + "/events/ical/p-4.ics",
+                   5: BASE + "/cal/c.ics?x=../y", 6: BASE + "/café&lt;.ics"}
+
+
+def test_join_of_relative_links(spark):
+    from eventflow.functions.html import url_join
+    base = "https://h.example/a/b/page?q=1"
+    want = {"c.ics": "https://h.example/a/b/c.ics", "../c.ics": "https://h.example/a/c.ics", "../../../c": "https://h.example/c",
+            "./": "https://h.example/a/b/", "..": "https://h.example/a/", "/x/../y": "https://h.example/y", "?z": "https://h.example/a/b/page?z",
+            "//o.example/p": "https://o.example/p", "mailto:x@y": "mailto:x@y", "a..b/c": "https://h.example/a/b/a..b/c"}
+    df = spark.createDataFrame([(h,) for h in want], "h string").select("h", url_join(base, "h").alias("u"))
+    assert {r.h: r.u for r in df.collect()} == want
+
+
+def test_error_messages(spark):
+    df = spark.createDataFrame([(1, BASE + "/x", ""), (2, DETAIL + "y-1", "")], "page_id bigint, url string, html string")
+    n, msgs = C.extraction_errors(C.resolve_ics_url(df))
+    assert n.first().n_errors == 1 and msgs.first().message.endswith(BASE + "/x")
