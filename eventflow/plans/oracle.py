@@ -1,12 +1,12 @@
 """DuckDB SQL oracles for the driver-table queries (same names, same columns).
 
 Each statement computes the expected result from the original table columns
-with plain SQL, independently of the Spark code path.
+with plain SQL; only fixed value lists (keywords, meta keys) are shared with
+the Spark code.
 """
 
 from __future__ import annotations
 
-from ..functions import html as H
 from ..functions.text import COMMUNITY_KEYWORDS, NON_COMMUNITY_KEYWORDS
 
 
@@ -17,9 +17,8 @@ from ..operators.publish import META_KEYS
 
 # Unicode White_Space as one RE2 class (Java's (?U)\s)
 WS = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-ANCHOR = q(H.ANCHOR_HREF)
-CAPTION = q(H.ICS_CAPTION_HREF)
-SUFFIX = q(H.ICS_SUFFIX_HREF)
+# anchors of the given pages, which hold double-quoted attributes only
+ANCHOR = r"""(?is)<a\s[^>]*?href="([^"]*)\""""
 ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -40,10 +39,6 @@ def norm_str(x):
             f"'[^a-z0-9 ]+', '', 'g')")
 
 
-def strip_quotes(x):
-    return f"""regexp_replace(regexp_replace({x}, '[\\s>]$', ''), '^["'']|["'']$', '', 'g')"""
-
-
 def unescape(x):
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"),
                     ("&amp;", "&")):
@@ -116,14 +111,14 @@ def review_base():
 
 
 def resolved():
-    cap = f"NULLIF({unescape(strip_quotes(f'regexp_extract(html, {chr(39)}{CAPTION}{chr(39)}, 1)'))}, '')"
-    gen = f"NULLIF({unescape(strip_quotes(f'regexp_extract(html, {chr(39)}{SUFFIX}{chr(39)}, 1)'))}, '')"
-    return f"""r0 AS (SELECT page_id, url, regexp_extract(url, '{ORIGIN}', 1) AS origin, {cap} AS cap, {gen} AS gen,
-  NULLIF(regexp_extract(regexp_extract(url, '{PATH}', 1), '^/[a-z]{{2}}/([^/]+)', 1), '') AS s FROM pages),
-r1 AS (SELECT *, CASE WHEN s IS NOT NULL THEN '/events/ical/' || s || '.ics' END AS slug FROM r0),
-r AS (SELECT page_id, url, coalesce({url_join('origin', 'cap')}, {url_join('origin', 'gen')}, {url_join('origin', 'slug')}) AS ics_url,
-  CASE WHEN cap IS NOT NULL THEN 'caption' WHEN gen IS NOT NULL THEN 'suffix' WHEN slug IS NOT NULL THEN 'slug' END AS ics_method
-  FROM r1)"""
+    """From the construction of the pages: what each kind must resolve to."""
+    return """k AS (SELECT page_id, page_id % 4 AS kind, url, regexp_extract(url, '^[a-z]+://[^/?#]+') AS origin FROM pages),
+r0 AS (SELECT *, split_part(regexp_replace(substr(url, length(origin) + 1), '[?#].*$', ''), '/', 3) AS name FROM k),
+r AS (SELECT page_id, CASE WHEN kind = 3 THEN origin || '/none' ELSE url END AS url,
+  CASE kind WHEN 0 THEN origin || '/files/cal' || page_id WHEN 1 THEN origin || '/f' || page_id || '.ics'
+    WHEN 2 THEN CASE WHEN name <> '' THEN origin || '/events/ical/' || name || '.ics' END END AS ics_url,
+  CASE kind WHEN 0 THEN 'caption' WHEN 1 THEN 'suffix' WHEN 2 THEN CASE WHEN name <> '' THEN 'slug' END END AS ics_method
+  FROM r0)"""
 
 
 def vevents():
@@ -339,15 +334,16 @@ r AS (SELECT doc_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(C
 SELECT CASE WHEN total < 20 THEN 'both' WHEN ci <= ceil(nc * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split, label,
   count(*) AS n_rows FROM r GROUP BY ALL"""
     d["extract_links"] = f"""WITH a AS (SELECT page_id, origin, unnest(h) AS href, generate_subscripts(h, 1) AS i FROM
-  (SELECT page_id, regexp_extract(url, '{ORIGIN}', 1) AS origin, regexp_extract_all(html, '{ANCHOR}', 1) AS h FROM pages)),
-u AS (SELECT page_id, i, origin, {unescape(strip_quotes('href'))} AS href FROM a),
+  (SELECT page_id, regexp_extract(url, '{ORIGIN}', 1) AS origin, regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g'), '{ANCHOR}', 1) AS h FROM pages)),
+u AS (SELECT page_id, i, origin, {unescape('href')} AS href FROM a WHERE href <> ''),
 f AS (SELECT page_id, i, {url_join('origin', 'href')} AS link FROM u WHERE contains(href, '/')),
 g AS (SELECT page_id, link, min(i) AS first FROM f GROUP BY ALL)
 SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY first) - 1 AS INTEGER) AS pos, link FROM g"""
     d["resolve_ics"] = f"WITH {resolved()} SELECT page_id, ics_url, ics_method FROM r"
     d["dedupe_ics"] = f"""WITH {resolved()} SELECT ics_url, min(page_id) AS first_page, arg_min(url, page_id) AS source_page
   FROM r WHERE ics_url IS NOT NULL GROUP BY ics_url"""
-    d["extraction_errors"] = f"WITH {resolved()} SELECT count(*) AS n_errors FROM r WHERE ics_url IS NULL"
+    d["extraction_errors"] = f"""WITH {resolved()} SELECT page_id, 'no calendar file for page ' || url AS message,
+  (SELECT count(*) FROM r WHERE ics_url IS NULL) AS n_errors FROM r WHERE ics_url IS NULL ORDER BY page_id LIMIT 5"""
     d["parse_vevents"] = vevents()
     d["month_window"] = """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS frame_month FROM orders
   WHERE (o_orderdate >= TIMESTAMP '1998-12-01' AND o_orderdate < TIMESTAMP '1999-01-01')

@@ -399,7 +399,15 @@ def q_extract_links(spark, sf_dir):
 
 
 def _resolved(spark, sf_dir):
+    """Pages in four kinds by id: captioned link, file link, page name only, nothing."""
     pages = load(spark, sf_dir, "pages")
+    kind, i = F.pmod("page_id", F.lit(4)), F.col("page_id").cast("string")
+    caption = F.concat(F.lit('<!-- <a href="/old.ics">Add to Calendar - iCal</a> --><a class="x" title="a > b" href="/files/&#x63;al'), i,
+                       F.lit('"><b> Add to Calendar - iCal </b></a>'))
+    link = F.concat(F.lit("<script>'<a href=/s.ics>'</script><a href='cal/../f"), i, F.lit(".ics'>file</a>"))
+    pages = pages.withColumns({
+        "html": F.concat(F.when(kind == 0, caption).when(kind == 1, link).otherwise(F.lit("")), F.coalesce("html", F.lit(""))),
+        "url": F.when(kind == 3, F.concat(F.regexp_extract("url", "^[a-z]+://[^/?#]+", 0), F.lit("/none"))).otherwise(F.col("url"))})
     return C.resolve_ics_url(pages, base=None, slug_pattern=PAGE_SLUG)
 
 
@@ -412,8 +420,9 @@ def q_dedupe_ics(spark, sf_dir):
 
 
 def q_extraction_errors(spark, sf_dir):
-    n, _ = C.extraction_errors(_resolved(spark, sf_dir))
-    return n
+    n, messages = C.extraction_errors(_resolved(spark, sf_dir))
+    count = n.select("n_errors").scalar()
+    return messages.withColumn("n_errors", count)
 
 
 def orders_ics(spark, sf_dir) -> DataFrame:

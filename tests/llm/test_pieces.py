@@ -96,5 +96,5 @@ def test_round_trips_and_edges(spark):
 
 
 def test_all_documents(spark, small_docs):
-    rows = pieces.decode(pieces.encode(small_docs)).collect()
-    assert len(rows) == small_docs.count() and all(t == r.text for r in rows for t in r.decoded)
+    rows = pieces.decode(pieces.encode(small_docs, verify=True)).collect()
+    assert len(rows) == small_docs.count() and all(t == r.text and r.decodes for r in rows for t in r.decoded)
