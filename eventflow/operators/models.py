@@ -1,8 +1,8 @@
 """Models, splits and scoring (J1-J11) on Spark ML.
 
-Features: the vocabulary and idf come from DataFrame aggregates (bounded:
-top-k, or the document-frequency-pruned vocabulary, which Spark's own
-CountVectorizer would also hold on the driver); the vectoriser is a
+Features: the vocabulary and idf come from DataFrame aggregates (top-k, or the
+document-frequency-pruned vocabulary of the fit's rows, whose number has a
+documented bound); the vectoriser is a
 persistable ``PipelineModel`` of built-in stages (tokenizer, n-grams,
 fixed-vocabulary counts, idf scaling, L2 norm, scaled numeric features) in
 front of ``LinearSVC``. Splits are by hash and exact in size, numbered with
@@ -28,7 +28,10 @@ from ..functions.text import TOKEN_PATTERN, four_field_text, title_desc_text
 from .features import NUMERIC_FEATURES, prepared_text, term_counts, time_features, with_venue_flags
 from .numbering import dense_index
 
-ROWS_PER_TRAIN_PARTITION = 50_000
+#: Labelled rows that a fit takes in, about, where there are more (chosen by hash).
+MAX_TRAIN_ROWS = 200_000
+#: Solver iterations at most; a fit stops earlier once it has converged.
+MAX_ITER = 1000
 REVIEW_PROB = 0.75
 REVIEW_MARGIN = 0.55
 
@@ -92,10 +95,16 @@ class FeatureSpec:
     k: int = 500
     min_df: int = 2
     max_df: float = 0.9
-    # Bound on the vocabulary held by the driver-side vectoriser (the pruned
-    # vocabulary comes from the hand-labelled training rows, so it is small
-    # in practice; beyond the bound the most frequent terms are kept).
-    max_vocab: int = 1 << 20
+    # Bound on the labelled rows of a fit, and so on the vocabulary, which
+    # comes from those rows and is kept whole.
+    max_train_rows: int = MAX_TRAIN_ROWS
+
+    def bounded(self, df: DataFrame) -> DataFrame:
+        """About ``max_train_rows`` of the labelled rows, by hash of the row."""
+        share = min(1.0, self.max_train_rows / max(1, df.count()))
+        if share >= 1.0:
+            return df
+        return df.where(F.pmod(F.xxhash64(*df.columns), F.lit(1 << 32)) < int(share * (1 << 32)))
 
     def prepare(self, df: DataFrame) -> DataFrame:
         """Add ``_text`` (and numeric features) with DataFrame expressions."""
@@ -127,15 +136,8 @@ def fit_vocabulary(prepared: DataFrame, spec: FeatureSpec) -> tuple[list, list]:
         vocab = st.orderBy(F.desc("cf"), F.asc("term")).limit(spec.k).select("term", "df").collect()
     else:
         hi = spec.max_df * n if isinstance(spec.max_df, float) else spec.max_df
-        kept = st.where((F.col("df") >= spec.min_df) & (F.col("df") <= hi)).select("term", "df").persist()
-        try:
-            # top-k only when the bound binds: a top-k with a huge k keeps a
-            # priority queue of that size per task and merges in one task
-            if kept.count() > spec.max_vocab:
-                kept = kept.orderBy(F.desc("df"), F.asc("term")).limit(spec.max_vocab)
-            vocab = kept.collect()  # bounded: at most max_vocab terms
-        finally:
-            kept.unpersist()
+        vocab = st.where((F.col("df") >= spec.min_df) & (F.col("df") <= hi)).select("term", "df").collect()
+        vocab.sort(key=lambda r: r["term"])  # bounded by the rows of the fit
     terms = [r["term"] for r in vocab]
     idf = [math.log((1.0 + n) / (1.0 + r["df"])) + 1.0 for r in vocab]
     return terms, idf
@@ -167,6 +169,7 @@ class TextModel:
     spec: FeatureSpec
     columns: dict = field(default_factory=dict)
     platt: tuple | None = None
+    fit: dict = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = self.pipeline.transform(self.spec.prepare(df))
@@ -202,19 +205,14 @@ def _featurize(prepared: DataFrame, spec: FeatureSpec, label: str):
         scales = [1.0 / (sd[c] if sd[c] else 1.0) for c in spec.numeric]
     feat = PipelineModel(featurizer(spec, terms, idf, scales))
     keep = [c for c in ("_fold",) if c in prepared.columns]
-    # Iterative solvers run one job per iteration over the training set: size
-    # its partitions by row count (a hand-labelled set is small) so per-task
-    # overhead does not dominate; a large set still gets many partitions.
-    n = prepared.count()
-    cores = prepared.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(cores, -(-n // ROWS_PER_TRAIN_PARTITION)))
+    # solvers run one job per iteration over these rows: one even deal
     train = (feat.transform(prepared)
              .select(F.col(label).cast("double").alias("label"), "features", *keep)
-             .repartition(parts).cache())
+             .repartition(int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions"))).cache())
     return feat, train
 
 
-def _svc(train: DataFrame, balanced: bool, max_iter: int = 100, tol: float = 1e-6):
+def _svc(train: DataFrame, balanced: bool, max_iter: int = MAX_ITER, tol: float = 1e-6):
     """LinearSVC with the reference's objective: C=1 -> regParam = 1/n,
     no standardisation; balanced class weights n/(k*n_class)."""
     counts = {r[0]: r[1] for r in train.groupBy("label").count().collect()}  # one row per class
@@ -235,21 +233,24 @@ TOL_SVC = 1e-3
 TOL_LINEAR = 1e-4
 
 
-def _fit(prepared: DataFrame, spec: FeatureSpec, label: str, balanced: bool, max_iter: int = 100,
-         tol: float = TOL_LINEAR):
-    feat, train = _featurize(prepared, spec, label)
-    try:
-        return PipelineModel(feat.stages + [_svc(train, balanced, max_iter, tol)])
-    finally:
-        train.unpersist()
+def _fit_report(svc, max_iter: int) -> dict:
+    """Iterations used, the objective after each, and whether the solver stopped by itself."""
+    s = svc.summary()
+    return {"iterations": s.totalIterations, "objective": [float(x) for x in s.objectiveHistory], "converged": s.totalIterations < max_iter}
 
 
-def fit_svm_balanced(df: DataFrame, spec: FeatureSpec | None = None, label: str = "label") -> TextModel:
+def fit_svm_balanced(df: DataFrame, spec: FeatureSpec | None = None, label: str = "label", max_iter: int = MAX_ITER,
+                     tol: float = TOL_LINEAR) -> TextModel:
     """Linear SVM (C=1) on title+description TF-IDF (pruned, accents
-    folded) and six scaled numeric features, class weights n/(2*n_class)."""
+    folded) and six scaled numeric features, class weights n/(2*n_class).
+    ``fit`` of the result tells whether the solver converged."""
     spec = spec or FeatureSpec(kind="trainer", vocab="pruned")
-    prepared = spec.prepare(df)
-    return TextModel(_fit(prepared, spec, label, balanced=True), spec)
+    feat, train = _featurize(spec.prepare(spec.bounded(df)), spec, label)
+    try:
+        svc = _svc(train, True, max_iter, tol)
+        return TextModel(PipelineModel(feat.stages + [svc]), spec, fit=_fit_report(svc, max_iter))
+    finally:
+        train.unpersist()
 
 
 def platt_fit(oof: DataFrame, score: str = "_s", label: str = "label") -> tuple[float, float]:
@@ -272,14 +273,16 @@ def platt_fit(oof: DataFrame, score: str = "_s", label: str = "label") -> tuple[
 
 
 def fit_svm_prob(df: DataFrame, spec: FeatureSpec | None = None, label: str = "label", key: str | None = None,
-                 folds: int = 5, parallelism: int | None = None) -> TextModel:
+                 folds: int = 5, parallelism: int | None = None, max_iter: int = MAX_ITER, tol: float = TOL_SVC) -> TextModel:
     """J1 + J4: linear SVM (C=1) on four-field TF-IDF (top 500) with Platt
     calibration (smoothed targets, ``platt_fit``) fitted on out-of-fold
     margins (``folds`` hash folds over one shared feature matrix). Fold fits and the final fit run as concurrent
     Spark jobs, like ``CrossValidator(parallelism=...)``."""
     from concurrent.futures import ThreadPoolExecutor
     spec = spec or FeatureSpec(kind="four_field", vocab="topk", k=500)
-    k = F.col(key) if key else F.monotonically_increasing_id()
+    df = spec.bounded(df)
+    # without a key, the fold is a hash of the row: the same whatever the partitioning
+    k = F.col(key) if key else F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     prepared = spec.prepare(df).withColumn("_fold", F.pmod(F.xxhash64(k), F.lit(folds)))
     feat, train = _featurize(prepared, spec, label)
 
@@ -288,12 +291,12 @@ def fit_svm_prob(df: DataFrame, spec: FeatureSpec | None = None, label: str = "l
         rest = train.where(F.col("_fold") != f)
         if rest.select("label").distinct().count() < 2:
             return None
-        m = _svc(rest, balanced=False, tol=TOL_SVC)
+        m = _svc(rest, False, max_iter, tol)
         return m.transform(part).select("label", vector_to_array("rawPrediction")[1].alias("_s"))
 
     try:
         with ThreadPoolExecutor(max_workers=parallelism or folds + 1) as pool:
-            final_f = pool.submit(_svc, train, False, 100, TOL_SVC)
+            final_f = pool.submit(_svc, train, False, max_iter, tol)
             parts = [p for p in pool.map(fold_margins, range(folds)) if p is not None]
             final = final_f.result()
         platt = (1.0, 0.0)
@@ -305,7 +308,7 @@ def fit_svm_prob(df: DataFrame, spec: FeatureSpec | None = None, label: str = "l
                 platt = platt_fit(oof)
     finally:
         train.unpersist()
-    return TextModel(PipelineModel(feat.stages + [final]), spec, platt=platt)
+    return TextModel(PipelineModel(feat.stages + [final]), spec, platt=platt, fit=_fit_report(final, max_iter))
 
 
 # --------------------------------------------------------------------- applying models

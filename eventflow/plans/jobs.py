@@ -133,12 +133,12 @@ def self_train_job(spark: SparkSession, existing_path: str, new_path: str, out:
 
 
 def labelset_job(spark: SparkSession, path: str, out_base: str) -> tuple[str, str]:
-    """Label-set builder: load (A4) -> canonical columns (B1) -> event ids
+    """Label-set builder: load (A4, JSON of a known shape only) -> canonical columns (B1) -> event ids
     (B2) -> hand-labelling set with weak labels (B4, D1) -> both written (A13)."""
     from ..operators import shaping as B
     from ..sources.readers import load_any
     from ..sources.writers import write_labelset
-    canonical = B.ensure_event_id(B.canonicalize(load_any(spark, path)))
+    canonical = B.ensure_event_id(B.canonicalize(load_any(spark, path, strict=True)))
     return write_labelset(canonical, B.labelset_projection(canonical), out_base)
 
 

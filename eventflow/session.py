@@ -46,6 +46,9 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        # small scans of heavy rows still use every core; large ones have more splits anyway
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     return spark
 
 

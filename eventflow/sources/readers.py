@@ -60,6 +60,13 @@ def read_events_json(spark: SparkSession, path: str, strict: bool = False,
     ``strict=True`` (the label-set builder) rejects any other shape.
     """
     r = spark.read.option("multiLine", True)
+    if strict:
+        # the first sign of each file tells a list from an object
+        heads = (spark.read.option("wholetext", True).text(path)
+                 .select(F.substring(F.regexp_replace("value", r"^[\uFEFF\s]+", ""), 1, 1).alias("head"),
+                         F.col("value").rlike(r'"events"\s*:\s*\[').alias("wrapped")))
+        if heads.where((F.col("head") != "[") & ~((F.col("head") == "{") & F.col("wrapped"))).limit(1).count():
+            raise ValueError("JSON must be a list or an object with 'events'")
     raw = r.schema(schema).json(path) if schema is not None else r.json(path)
     if "events" in raw.columns and isinstance(raw.schema["events"].dataType, T.ArrayType):
         elem = raw.schema["events"].dataType.elementType
@@ -71,13 +78,13 @@ def read_events_json(spark: SparkSession, path: str, strict: bool = False,
     return flatten_structs(raw)
 
 
-def load_any(spark: SparkSession, path: str) -> DataFrame:
+def load_any(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """A4: dispatch on the file suffix (.csv, .json, .parquet)."""
     low = path.lower().rstrip("/")
     if low.endswith(".csv"):
         return read_events_csv(spark, path)
     if low.endswith(".json"):
-        return read_events_json(spark, path)
+        return read_events_json(spark, path, strict=strict)
     if low.endswith(".parquet"):
         return spark.read.parquet(path)
     raise ValueError("Input must be .csv, .json or .parquet")
@@ -88,14 +95,23 @@ def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("page_id", "url", "html")
 
 
+def decode_ics(files: DataFrame, content: str = "content") -> tuple[DataFrame, DataFrame]:
+    """Binary file contents as text: (files that are valid UTF-8, the others
+    without their content). One bad file does not end the job."""
+    ok = F.is_valid_utf8(F.col(content).cast("string"))
+    keep = [c for c in files.columns if c != content]
+    good = files.where(ok).select(*keep, F.col(content).cast("string").alias("content"))
+    return good, files.where(~F.coalesce(ok, F.lit(False))).select(*keep, F.lit("not valid UTF-8").alias("error"))
+
+
 def scan_ics(spark: SparkSession, path: str, glob: str = "*.ics", page_map: DataFrame | None = None) -> DataFrame:
     """Calendar files, one row per file ``(source_ics, source_page, content)``;
-    unreadable files are skipped. ``page_map(source_ics, source_page)``
-    attaches provenance when known."""
+    unreadable files and files that are not UTF-8 are skipped (``decode_ics``
+    names the latter). ``page_map(source_ics, source_page)`` attaches provenance
+    when known."""
     raw = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
            .option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).load(path))
-    files = raw.select(F.col("path").alias("source_ics"),
-                       F.decode(F.col("content"), "UTF-8").alias("content"))
+    files, _ = decode_ics(raw.select(F.col("path").alias("source_ics"), "content"))
     if page_map is not None:
         return files.join(page_map, "source_ics", "left").select("source_ics", "source_page", "content")
     return files.select("source_ics", F.lit(None).cast("string").alias("source_page"), "content")
@@ -103,20 +119,18 @@ def scan_ics(spark: SparkSession, path: str, glob: str = "*.ics", page_map: Data
 
 def read_latest_export(spark: SparkSession, base: str, fmt: str = "csv") -> DataFrame:
     """Rows of the most recent export under ``base``: the export folder
-    holding the most recently modified file (all its part files).
+    holding the most recently modified file (all its part files), or, for files
+    directly under ``base``, that file alone.
 
-    The newest folder is a scalar subquery over the file metadata columns.
+    The newest folder comes from file metadata (no content is read), and only
+    that folder is read, with its own header.
     """
-    reader = spark.read.option("recursiveFileLookup", True)
-    df = (read_events_csv(spark, base) if fmt == "csv" else reader.json(base))
-    df = df.select("*", F.col("_metadata.file_modification_time").alias("_mtime"),
-                   F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]*$", "").alias("_export"))
-    # a Spark export is a folder of part files: keep the whole folder that
-    # holds the most recently modified file
-    newest = df.agg(F.max_by("_export", "_mtime")).scalar()
-    return df.where(F.col("_export") == newest).drop("_mtime")
-
-
-def to_parquet(df: DataFrame, path: str) -> None:
-    """Convert a non-splittable source to parquet once."""
-    df.write.mode("overwrite").parquet(path)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{fmt}").load(base)
+             .select("path", "modificationTime"))
+    newest = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).first().path  # one row
+    if newest is None:
+        raise FileNotFoundError(f"no .{fmt} export under {base}")
+    folder = newest.rsplit("/", 1)[0]
+    if folder.split(":", 1)[-1].rstrip("/").lstrip("/") == base.split(":", 1)[-1].rstrip("/").lstrip("/"):
+        folder = newest
+    return read_events_csv(spark, folder) if fmt == "csv" else read_events_json(spark, folder)

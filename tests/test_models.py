@@ -56,6 +56,8 @@ def test_train_predict_save_load(spark, tmp_dir):
     d = _docs(spark)
     lab = d.where(F.col("label").isNotNull())
     model = J.fit_svm_balanced(lab)
+    assert model.fit["converged"] and model.fit["iterations"] < J.MAX_ITER
+    assert model.fit["objective"][-1] <= min(model.fit["objective"]) + 1e-3
     scored = J.predict(lab, model, out="prediction")
     acc = R.accuracy(scored).first().accuracy
     assert acc > 0.8                         # training accuracy, a smoke bound

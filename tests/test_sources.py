@@ -102,3 +102,41 @@ def test_write_tagged_flattens_complex_columns(spark, tmp_dir):
     W.write_tagged(df, tmp_dir + "/t.csv")
     row = A.read_events_csv(spark, tmp_dir + "/t.csv").first()
     assert row.category == '["a","b"]' and row.meta == '{"k":"v"}'
+
+
+def test_latest_export_with_other_column_order(spark, tmp_dir):
+    import os
+    import time
+    spark.createDataFrame([("t1", "s1")], "title string, start string").write.option("header", True).csv(tmp_dir + "/exp/one.csv")
+    time.sleep(1.1)
+    spark.createDataFrame([("s2", "t2")], "start string, title string").write.option("header", True).csv(tmp_dir + "/exp/two.csv")
+    rows = A.read_latest_export(spark, tmp_dir + "/exp").collect()
+    assert [(r.title, r.start) for r in rows] == [("t2", "s2")] and set(rows[0].asDict()) == {"title", "start"}
+    time.sleep(1.1)
+    with open(tmp_dir + "/exp/three.csv", "w") as f:
+        f.write("title,start\nt3,s3\n")
+    assert [r.title for r in A.read_latest_export(spark, tmp_dir + "/exp").collect()] == ["t3"]
+    os.makedirs(tmp_dir + "/none")
+
+
+def test_strict_json_shapes(spark, tmp_dir):
+    import pytest
+    for name, text, ok in (("list", '[{"a": 1}]', True), ("wrap", '{"events": [{"a": 1}]}', True), ("plain", '{"foo": 1}', False), ("text", '"x"', False)):
+        with open(f"{tmp_dir}/{name}.json", "w") as f:
+            f.write(text)
+        if ok:
+            assert A.read_events_json(spark, f"{tmp_dir}/{name}.json", strict=True).count() == 1
+        else:
+            with pytest.raises(ValueError):
+                A.read_events_json(spark, f"{tmp_dir}/{name}.json", strict=True)
+
+
+def test_bad_byte_in_one_calendar_file(spark, tmp_dir):
+    for name, body in (("good", b"BEGIN:VCALENDAR caf\xc3\xa9"), ("bad", b"BEGIN:VCALENDAR \xff\xfe")):
+        with open(f"{tmp_dir}/{name}.ics", "wb") as f:
+            f.write(body)
+    rows = A.scan_ics(spark, tmp_dir).collect()
+    assert [r.content for r in rows] == ["BEGIN:VCALENDAR café"]
+    raw = spark.read.format("binaryFile").load(tmp_dir + "/*.ics").selectExpr("path as source_ics", "content")
+    good, bad = A.decode_ics(raw)
+    assert good.count() == 1 and bad.first().source_ics.endswith("bad.ics")
