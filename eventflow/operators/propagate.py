@@ -33,6 +33,19 @@ def _same_type(value, like: str, df: DataFrame):
     return value.cast(df.schema[like].dataType)
 
 
+def _join_series(df: DataFrame, agg: DataFrame, series: str, drop_empty: bool = False) -> DataFrame:
+    """Rows with their series' aggregate. Rows without a series find nothing,
+    however many they are: a salt from the row itself spreads them over all
+    tasks, while rows of a series and the aggregates share salt 0."""
+    s = F.col(series)
+    none = s.isNull() | (s.cast("string") == NO_SERIES)
+    if drop_empty:
+        none = none | (s.cast("string") == "")
+    salted = df.withColumn("_salt", F.when(none, F.monotonically_increasing_id()).otherwise(F.lit(0)))
+    one = agg.withColumn("_salt", F.lit(0).cast("long")).withColumnRenamed(series, "_series")
+    return salted.join(one, (salted[series] == one["_series"]) & (salted["_salt"] == one["_salt"]), "left").drop(salted["_salt"], one["_salt"], "_series")
+
+
 def propagate_unanimous(df: DataFrame, series: str = "series_id", label: str = "label",
                         strict: bool = False) -> DataFrame:
     """F1 (F2 with ``strict=True``): a series with exactly one distinct valid
@@ -42,7 +55,7 @@ def propagate_unanimous(df: DataFrame, series: str = "series_id", label: str = "
     mask = parse_label(label, "strict" if strict else "mask")
     agg = (_keyed(df, series).where(valid.isNotNull())
            .groupBy(series).agg(F.min(valid).alias("_mn"), F.max(valid).alias("_mx")))
-    j = df.join(agg, on=series, how="left")
+    j = _join_series(df, agg, series)
     fill = (F.col("_mn") == F.col("_mx")) & mask.isNull()
     return j.withColumn(label, F.when(fill, _same_type(F.col("_mn"), label, df)).otherwise(F.col(label))) \
             .select(*df.columns)
@@ -66,7 +79,7 @@ def propagate_majority_overwrite(df: DataFrame, series: str = "series_id", label
     marks them ``series_propagation``; series without labels are untouched."""
     if source not in df.columns:
         df = df.withColumn(source, F.lit(None).cast("string"))
-    j = df.join(majority(df, series, label), on=series, how="left")
+    j = _join_series(df, majority(df, series, label), series)
     hit = F.col("_maj").isNotNull()
     if protect_manual:
         hit = hit & ~F.coalesce(F.col(source) == SOURCE_MANUAL, F.lit(False))
@@ -77,7 +90,7 @@ def propagate_majority_overwrite(df: DataFrame, series: str = "series_id", label
 
 def propagate_majority_fill(df: DataFrame, series: str = "series_id", label: str = "label") -> DataFrame:
     """the series majority fills null labels only; valid series only."""
-    j = df.join(majority(df, series, label, drop_empty=True), on=series, how="left")
+    j = _join_series(df, majority(df, series, label, drop_empty=True), series, drop_empty=True)
     return j.withColumn(label, F.coalesce(F.col(label), _same_type(F.col("_maj"), label, df))) \
             .select(*df.columns)
 

@@ -53,3 +53,24 @@ def test_dense_index_hot_group(spark):
     out = dense_index(df, [F.col("id")], group_cols=["g"], out="i")
     hot = [r.i for r in out.where("g = 0").orderBy("id").collect()]
     assert hot == list(range(1, len(hot) + 1))
+
+
+def test_rows_without_series_are_spread(spark):
+    """Half the rows have no series: no task of the join takes them all."""
+    from pyspark.sql import functions as F
+
+    from eventflow.operators import propagate as P
+    df = spark.range(0, 20000, 1, 8).select("id", F.when(F.col("id") % 2 == 0, (F.col("id") % 500).cast("string")).alias("series_id"),
+                                            F.when(F.col("id") % 7 == 0, 1).alias("label"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for f in (P.propagate_unanimous, P.propagate_majority_fill, P.propagate_majority_overwrite):
+            out = f(df)
+            sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 20000 and max(sizes) < 2 * 20000 / len(sizes)
+            assert out.where("series_id is null and label is not null and id % 7 <> 0").count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
