@@ -43,14 +43,14 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 THETA = 1.0
 #: Chunks that a task remembers; forgotten all at once when there are more.
-MEMORY = 300_000
+MEMORY = 250_000
 #: Longest chunk that is built side by side with others.
 LONGEST = 64
 SCALE = 20.0
 #: Multiplier of the hashes of beginnings.
 STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Characters of text walked side by side.
-BATCH = 1 << 20
+BATCH = 1 << 19
 CHUNK = re.compile(r"\n| *[^ \n]+| +")
 SIGN = "▁"
 #: A Gumbel made of 53 random bits exceeds its place by less than this.
@@ -131,11 +131,9 @@ class Lattices:
         start = stop - size
         row = np.repeat(np.arange(len(chunks)), size)
         left = stop[row] - np.arange(n)  # letters to the chunk's end
-        levels = self.v.levels
-        weight = np.zeros((n, len(levels)))
-        piece = np.full((n, len(levels)), -1, np.int32)
+        weights, pieces = [], []
         h, live = np.zeros(n, np.uint64), np.arange(n)
-        for k, (hashes, ids, weights) in enumerate(levels):
+        for k, (hashes, ids, worth) in enumerate(self.v.levels):
             live = live[left[live] > k]
             if not len(live):
                 break
@@ -143,20 +141,22 @@ class Lattices:
             at = np.minimum(np.searchsorted(hashes, h[live]), len(hashes) - 1)
             ok = hashes[at] == h[live]
             live, at = live[ok], at[ok]
-            piece[live, k], weight[live, k] = ids[at], weights[at]
+            weights.append(np.zeros(n)), pieces.append(np.full(n, -1, np.int32))
+            weights[k][live], pieces[k][live] = worth[at], ids[at]
+        weight, piece = np.stack(weights, axis=1), np.stack(pieces, axis=1)
         # paths from a letter to the chunk's end, by letters left; longest chunks first
         total = np.zeros((len(chunks), int(size[0]) + 1))
         total[:, 0] = 1.0
         for d in range(1, int(size[0]) + 1):
             m = int(np.searchsorted(-size, -d, side="right"))
-            w = min(d, len(levels))
-            total[:m, d] = (weight[stop[:m] - d, :w] * total[:m, d - w: d][:, ::-1]).sum(1)
+            w = min(d, weight.shape[1])
+            total[:m, d] = np.einsum("ij,ij->i", weight[stop[:m] - d, :w], total[:m, d - w: d][:, ::-1])
         at, k = np.nonzero(piece >= 0)
         p = weight[at, k] * total[row[at], left[at] - k - 1] / total[row[at], left[at]]
         # a node for every letter and one for each chunk's end
         node = self.nodes + np.arange(n) + row
         count = np.zeros(n + len(chunks), np.int32)
-        count[node - self.nodes] = (piece >= 0).sum(1)
+        count[node - self.nodes] = np.bincount(at, minlength=n)
         first = self.edges + np.cumsum(count) - count
         self._put(self.store, self.nodes, {"first": first, "count": count})
         self._put(self.edge, self.edges, {"end": node[at] + k + 1, "piece": piece[at, k], "p": p})
@@ -346,38 +346,49 @@ def _branch(lat: Lattices, w: Walk, parent: int, t: int, without: tuple, round_:
     return start, own, chunk
 
 
-def _siblings(lat: Lattices, w: Walk, which: int, t0: int, without: tuple, value: float, want: int, round_: int):
-    """Put the sets that path ``which`` leaves behind from step ``t0`` on into the
-    queue; only those that can still be among the next ``want``."""
-    path, prob = w.paths[which], lat.edge["p"]
-    n = len(path)
-    limit = 48
-    seed = _seed(w.key, round_, 3)
-    before = float(np.log(prob[path[:t0]]).sum()) if t0 else 0.0
-    floor = w.queue[want - 1][0] if len(w.queue) >= want else -math.inf
-    while True:
-        part = path[t0: t0 + limit]
-        p = prob[part]
+def _siblings(lat: Lattices, walks, t0s, withouts, befores, values, want: int, round_: int) -> None:
+    """Put the sets that each walk's last path leaves behind from its step ``t0``
+    on into the walk's queue; only those that can still be among the next ``want``.
+    ``befores`` are the log probabilities of the paths before ``t0``."""
+    todo, width = list(range(len(walks))), 48
+    prob = lat.edge["p"]
+    while todo:
+        n = len(todo)
+        edges = np.full((n, width), -1, np.int64)
+        for r, i in enumerate(todo):
+            part = walks[i].paths[-1][t0s[i]: t0s[i] + width]
+            edges[r, : len(part)] = part
+        p = np.where(edges >= 0, prob[edges], 1.0)
         logs = np.log(p)
-        ends = before + np.cumsum(logs)
+        ends = np.array([befores[i] for i in todo])[:, None] + np.cumsum(logs, axis=1)
         rest = 1.0 - p
-        if without:
-            rest[0] -= prob[list(without)].sum()
-            left = _degree(lat, w, which, t0) - len(without) - 1
-            rest[0] = max(rest[0], 1e-300) if left > 0 else 0.0
-        ok = np.flatnonzero(rest > 1e-300 if not without else rest > 0)
-        phi = ends[ok] - logs[ok] + np.log(rest[ok])
-        u = _uniform(seed, ok + t0)
-        g = phi - np.log(np.exp(np.minimum(phi - value, 700.0)) - np.log(u))
-        top = np.argsort(-g)[:want]
-        if t0 + limit >= n or ends[-1] < max(floor, g[top[-1]] if len(top) == want else -math.inf) - REACH:
-            break
-        limit *= 4
-    for i in top:
-        t = int(ok[i]) + t0
-        w.queue.append((float(g[i]), which, t, (*(without if t == t0 else ()), int(path[t]))))
-    w.queue.sort(key=lambda x: -x[0])
-    del w.queue[want:]
+        for r, i in enumerate(todo):
+            without = withouts[i]
+            if without:
+                left = _degree(lat, walks[i], len(walks[i].paths) - 1, t0s[i]) - len(without) - 1
+                rest[r, 0] = max(rest[r, 0] - prob[list(without)].sum(), 1e-300) if left > 0 else 0.0
+        t = np.array([t0s[i] for i in todo], np.uint64)[:, None] + np.arange(width, dtype=np.uint64)
+        u = _uniform(np.array([_seed(walks[i].key, round_, 3) for i in todo], np.uint64)[:, None], t)
+        start = ends - logs
+        with np.errstate(divide="ignore"):
+            phi = start + np.log(np.maximum(rest, 0.0))
+        g = phi - np.log(np.exp(np.minimum(phi - np.array([values[i] for i in todo])[:, None], 700.0)) - np.log(u))
+        top = np.argsort(-g, axis=1)[:, :want]
+        best = np.take_along_axis(g, top, axis=1)
+        again = []
+        for r, i in enumerate(todo):
+            w, t0 = walks[i], t0s[i]
+            path, which = w.paths[-1], len(w.paths) - 1
+            floor = w.queue[want - 1][0] if len(w.queue) >= want else -math.inf
+            if t0 + width < len(path) and not ends[r, -1] < max(floor, float(best[r, -1]) if best.shape[1] == want else -math.inf) - REACH:
+                again.append(i)
+                continue
+            for c, v in zip(top[r].tolist(), best[r].tolist()):
+                if v > -math.inf:
+                    w.queue.append((v, which, t0 + c, (*(() if c else withouts[i]), int(path[t0 + c])), float(start[r, c])))
+            w.queue.sort(key=lambda x: -x[0])
+            del w.queue[want:]
+        todo, width = again, width * 4
 
 
 def _degree(lat: Lattices, w: Walk, which: int, t: int) -> int:
@@ -400,7 +411,7 @@ def sample_batch(lat: Lattices, texts: list[str | None], keys: list[int], k: int
             new = {c for chunks in cut for c in chunks}
         lat.add(new)
     known = lat.known
-    walks = [Walk(key, np.fromiter((known[c] for c in chunks), np.int64, len(chunks))) for key, chunks in zip(keys, cut)]
+    walks = [Walk(key, np.array(list(map(known.__getitem__, chunks)), np.int64)) for key, chunks in zip(keys, cut)]
     edge = lat.edge
     for w, (path, lens) in zip(walks, _fresh(lat, walks, [0] * len(walks), 0)):
         u = float(_uniform(_seed(w.key, 0, 4), 0)[0])
@@ -408,36 +419,52 @@ def sample_batch(lat: Lattices, texts: list[str | None], keys: list[int], k: int
         w.ends.append(np.cumsum(lens))
         w.values.append(-math.log(-math.log(u)))
         w.logs.append(float(np.log(edge["p"][path]).sum()))
-        if len(path):
-            _siblings(lat, w, 0, 0, (), w.values[0], k, 0)
+    live = [w for w in walks if len(w.paths[0])]
+    none = [0] * len(live)
+    _siblings(lat, live, none, [()] * len(live), none, [w.values[0] for w in live], k, 0)
     for r in range(1, k):
         live = [w for w in walks if w.queue]
         taken = []
         for w in live:
-            value, parent, t, without = w.queue.pop(0)
+            value, parent, t, without, before = w.queue.pop(0)
             start, own, chunk = _branch(lat, w, parent, t, without, r)
-            taken.append((value, parent, t, without, start, own, chunk))
-        for w, (value, parent, t, without, start, own, chunk), (path, lens) in zip(
+            taken.append((value, parent, t, without, start, own, chunk, before))
+        for w, (value, parent, t, without, start, own, chunk, before), (path, lens) in zip(
                 live, taken, _fresh(lat, live, [x[6] + 1 for x in taken], r)):
             w.paths.append(np.concatenate([w.paths[parent][:start], np.array(own, np.int64), path]))
             ends = w.ends[parent][:chunk]
             w.ends.append(np.concatenate([ends, start + len(own) + np.concatenate([[0], np.cumsum(lens)])]).astype(np.int64))
             w.values.append(value)
             w.logs.append(float(np.log(edge["p"][w.paths[-1]]).sum()))
-            _siblings(lat, w, len(w.paths) - 1, t, without, value, k - r, r)
+        _siblings(lat, live, [x[2] for x in taken], [x[3] for x in taken], [x[7] for x in taken], [x[0] for x in taken], k - r, r)
     return [([edge["piece"][p] for p in w.paths], w.logs, w.values, w.queue[0][0] if w.queue else -math.inf) for w in walks]
 
 
+def _joined(ids: np.ndarray, table: np.ndarray) -> str:
+    """Text of a list of ids; ``table`` holds their bytes."""
+    t = b"".join(table[ids].tolist()).decode("utf-8", "replace")
+    return t[1:] if t[:1] == " " else t
+
+
+def _bytes(pieces) -> np.ndarray:
+    return np.array([bytes([int(p[1:-1], 16)]) if is_byte else p.replace(SIGN, " ").encode() if usable else b"" for p, is_byte, usable in pieces], dtype=object)
+
+
 def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = SAMPLES, theta: float = THETA, seed: int = 2,
-           model: str = MODEL) -> DataFrame:
+           model: str = MODEL, verify: bool = False) -> DataFrame:
     """``docs`` plus ``pieces`` (k lists of ids, best first), ``log_prob``,
-    ``perturbed`` and ``log_inclusion`` (one number per list)."""
-    vocabulary = Vocabulary(load_pieces(model), theta)
+    ``perturbed`` and ``log_inclusion`` (one number per list); with ``verify`` also
+    ``decodes``: whether every list decodes to the text."""
+    loaded = load_pieces(model)
+    table = _bytes(loaded)
+    vocabulary = Vocabulary(loaded, theta)
     added = ["pieces", "log_prob", "perturbed", "log_inclusion"]
-    clash = [c for c in docs.columns if c in added]
+    shown = [*added, *["decodes"] * verify]
+    clash = [c for c in docs.columns if c in shown]
     base = docs.drop(*clash)
-    names = [*base.columns, *added]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema), "pieces array<array<int>>", *(f"{c} array<double>" for c in added[1:])])
+    names = [*base.columns, *shown]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema), "pieces array<array<int>>", *(f"{c} array<double>" for c in added[1:]),
+                        *["decodes boolean"] * verify])
     packed = docs.select(*[F.col(f"`{c}`") for c in base.columns], F.xxhash64(F.lit(seed), F.col(f"`{key}`")).alias("_key"),
                          F.col(f"`{text}`").cast("string").alias("_text"))
 
@@ -465,14 +492,18 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = SA
                 values = np.array([x for _, _, vs, _ in got for x in vs])
                 gap = logs - np.repeat([g[3] for g in got], per)
                 share = np.where(gap < -30, gap, np.log(-np.expm1(-np.exp(np.clip(gap, -30, 700)))))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-2], ids, lists(pa.array(logs), per), lists(pa.array(values), per), lists(pa.array(share), per)], names)
+                out = [*part.columns[:-2], ids, lists(pa.array(logs), per), lists(pa.array(values), per), lists(pa.array(share), per)]
+                if verify:
+                    own = part.column(part.num_columns - 1).to_pylist()
+                    out.append(pa.array([all(_joined(p, table) == (t or "") for p in ps) for t, (ps, *_) in zip(own, got)]))
+                yield pa.RecordBatch.from_arrays(out, names)
 
     return packed.mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, pieces: str = "pieces", out: str = "decoded", model: str = MODEL) -> DataFrame:
     """``rows`` plus ``out``: the texts of the lists of ids in ``pieces``."""
-    table = np.array([bytes([int(p[1:-1], 16)]) if is_byte else p.replace(SIGN, " ").encode() if usable else b"" for p, is_byte, usable in load_pieces(model)], dtype=object)
+    table = _bytes(load_pieces(model))
     names = [*rows.columns, out]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), f"`{out}` array<string>"])
     at = rows.columns.index(pieces)
@@ -484,8 +515,7 @@ def decode(rows: DataFrame, pieces: str = "pieces", out: str = "decoded", model:
             flat, offs, tops = inner.values.to_numpy(), inner.offsets.to_numpy(), outer.offsets.to_numpy()
             got = []
             for r in range(b.num_rows):
-                texts = [b"".join(table[flat[offs[i]: offs[i + 1]]].tolist()).decode("utf-8", "replace") for i in range(tops[r], tops[r + 1])]
-                got.append([t[1:] if t[:1] == " " else t for t in texts])
+                got.append([_joined(flat[offs[i]: offs[i + 1]], table) for i in range(tops[r], tops[r + 1])])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.list_(pa.string()))], names)
 
     return rows.mapInArrow(run, schema)

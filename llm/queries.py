@@ -17,9 +17,8 @@ def op1_toxicity(spark, sf_dir):
 
 def op2_sentencepiece(spark, sf_dir):
     """All samples of every text, and whether each decodes to the text."""
-    rows = pieces.decode(pieces.encode(_docs(spark, sf_dir).select("doc_id", "text")))
-    exact_ = F.forall("decoded", lambda t: t == F.coalesce("text", F.lit("")))
-    return rows.select("doc_id", "pieces", "log_prob", "perturbed", "log_inclusion", exact_.alias("decodes"))
+    rows = pieces.encode(_docs(spark, sf_dir).select("doc_id", "text"), verify=True)
+    return rows.select("doc_id", "pieces", "log_prob", "perturbed", "log_inclusion", "decodes")
 
 
 def op3_exact_dedup(spark, sf_dir):
