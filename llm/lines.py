@@ -226,39 +226,37 @@ def duplicate_lines(keyed: DataFrame, keys: list[str], text: str, doc_id: str, m
 
     wanted = materialize(source.mapInArrow(dealt, "key long, id long").repartition("key").sortWithinPartitions("key", "id")
                          .mapInArrow(crowded, "key long, id long"))
-    bit = F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(BITMAP))
+    bit = F.shiftright("id", 20).bitwiseAND(F.lit(BITMAP - 1))  # the id is a hash already
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("b", F.lit(64)).cast("int"))
     words = wanted.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(one).alias("bits")).toArrow()
     bitmap = np.zeros(BITMAP // 64, dtype=np.int64)
     bitmap[words.column("w").to_numpy()] = words.column("bits").to_numpy()
-    maybe = F.pmod(F.xxhash64(F.lit(7), F.col("h1")), F.lit(BITMAP))
 
-    def told(batches):
-        for b in batches:
-            at = b.column(0).to_numpy()
-            hit = (bitmap[at >> 6] >> (at & 63) & 1).astype(bool)
-            yield b.filter(pa.array(hit))
-
-    # the few lines that are needed, with their places; first occurrences only
-    spots = (firsts.select(maybe.alias("b"), "h1", "h2", "first.*").mapInArrow(
-        told, "b long, h1 long, h2 long, o_null int, o_id long, o_file long, o_pos long, line int").drop("b"))
-    need = materialize(wanted.select("id").distinct().join(spots, F.col("id") == F.col("h1")).drop("id"))
-    numbers = need.groupBy("o_file", "o_pos").agg(F.collect_list("line").alias("lines"))
+    # the lines that are needed, with the places of their first occurrences
+    need = materialize(wanted.select("id").distinct().join(firsts.select("h1", "h2", "first.*"), F.col("id") == F.col("h1")).drop("id"))
 
     def texts(batches):
+        seen: set = set()
         for b in batches:
-            row, line, got = [], [], []
-            for r, (t, nos) in enumerate(zip(b.column(2), b.column(3).to_pylist())):
-                all_lines = (t.as_py() or "").split("\n")
-                for i in nos:
-                    row.append(r), line.append(i), got.append(all_lines[i].strip(SPACE))
-            at = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(line, pa.int32()), pa.array(got, pa.string())],
-                                             ["o_file", "o_pos", "line", "text"])
-
-    rows = source.select("o_file", "o_pos", "text").join(numbers, ["o_file", "o_pos"])
-    fetched = rows.mapInArrow(texts, "o_file long, o_pos long, line int, text string")
-    full = need.join(fetched, ["o_file", "o_pos", "line"])
+            names, got = [], []
+            for t in b.column(0):
+                own = [(*_name(x), x) for _, x in _lines(t.as_py(), min_words)]
+                if own:
+                    at = np.array([h for h, _, _ in own], np.int64) >> 20 & (BITMAP - 1)
+                    for hit in np.flatnonzero(bitmap[at >> 6] >> (at & 63) & 1):
+                        a, c, x = own[hit]
+                        if (a, c) not in seen:
+                            if len(seen) >= MEMORY:
+                                seen.clear()
+                            seen.add((a, c))
+                            names.append((a, c)), got.append(x)
+            if got:
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in names], pa.int64()), pa.array([c for _, c in names], pa.int64()),
+                                                  pa.array(got, pa.string())], ["h1", "h2", "text"])
+
+    # a line that several tasks hold comes once from each
+    fetched = source.select("text").mapInArrow(texts, "h1 long, h2 long, text string").dropDuplicates(["h1", "h2"])
+    full = need.join(fetched, ["h1", "h2"])
     bucket = wanted.join(full, F.col("id") == F.col("h1")).select("key", *ORDER, "line", "h1", "h2", "text")
     names = [*ORDER, "line"]
 
@@ -288,8 +286,8 @@ def duplicate_lines(keyed: DataFrame, keys: list[str], text: str, doc_id: str, m
         return drop(found)
 
     late = bucket_join(bucket, "key", [*ORDER, "line", "h1", "h2", "text"], match, cross, "h1 long, h2 long").distinct()
-    bad = (firsts.join(late.withColumn("late", F.lit(True)), ["h1", "h2"], "left").filter("n > 1 or late")
-           .select("h1", "h2", F.col("first"), F.coalesce("late", F.lit(False)).alias("late")))
+    bad = materialize(firsts.join(late.withColumn("late", F.lit(True)), ["h1", "h2"], "left").filter("n > 1 or late")
+           .select("h1", "h2", F.col("first"), F.coalesce("late", F.lit(False)).alias("late")))  # a table, so that a hot line's join can be split
     return (occur.join(bad, ["h1", "h2"]).filter(F.col("late") | (place != F.col("first")))
             .select(F.col("o_file").alias(keys[0]), F.col("o_pos").alias(keys[1]), "line"))
 
