@@ -103,13 +103,20 @@ def upload_outcome(rows: DataFrame, created_ids: DataFrame, id_col: str = "id")
     return created.agg(F.count(F.lit(1)).alias("created")).select("created", total.alias("total"))
 
 
-def delete_range(posts: DataFrame, lo: int, hi: int, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
+def delete_range(posts: DataFrame, lo: int, hi: int, id_col: str = "id",
+                 failed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """K6: remove ids in ``[lo, hi]``; outcome row: deleted, failed, attempted
-    (``hi-lo+1``). Ids in the range that do not exist are skipped silently."""
-    inside = F.col(id_col).between(lo, hi)
-    remaining = posts.where(~inside)
-    outcome = posts.agg(F.count_if(inside).alias("deleted")).select(
-        "deleted", F.lit(0).cast("long").alias("failed"), F.lit(hi - lo + 1).cast("long").alias("attempted"))
+    (``hi-lo+1``). Ids in the range that do not exist are skipped silently;
+    posts whose id is in ``failed`` (ids that could not be deleted) stay."""
+    inside = F.coalesce(F.col(id_col).between(lo, hi), F.lit(False))
+    if failed is None:
+        marked = posts.withColumn("_kept", F.lit(False))
+    else:
+        ids = failed.select(F.col(id_col).alias("_failed")).distinct()
+        marked = posts.join(ids, F.col(id_col) == F.col("_failed"), "left").withColumn("_kept", F.col("_failed").isNotNull()).drop("_failed")
+    remaining = marked.where(~inside | F.col("_kept")).drop("_kept")
+    outcome = marked.agg(F.count_if(inside & ~F.col("_kept")).alias("deleted"), F.count_if(inside & F.col("_kept")).alias("failed")).select(
+        "deleted", "failed", F.lit(hi - lo + 1).cast("long").alias("attempted"))
     return remaining, outcome
 
 
@@ -157,7 +164,8 @@ def upsert_meta(old: DataFrame, new: DataFrame, id_col: str = "id", meta: str =
                 seq: str | None = None, post_type: str | None = "type") -> DataFrame:
     """Write new metadata over old, key by key: last value per (post,
     key) wins, only plugin keys (K7), values cleaned (K8), only posts of the
-    calendar type; empty new metadata changes nothing.
+    calendar type; empty new metadata changes nothing. Updates with equal
+    ``seq``, or without one, tie: the larger value wins.
 
     Entry rows are aggregated with ``max_by`` (partial aggregation), so a post
     with many updates never gathers in one buffer beyond its keys.
@@ -169,4 +177,4 @@ def upsert_meta(old: DataFrame, new: DataFrame, id_col: str = "id", meta: str =
     upd = meta_entries(src.withColumn("_m", sanitize_meta(filter_meta(F.col(meta)))), id_col, "_m", order)
     base = meta_entries(old, id_col, meta, F.lit(0))
     both = base.unionByName(upd)
-    return (both.groupBy(id_col, "key").agg(F.max_by("value", "seq").alias("value")))
+    return (both.groupBy(id_col, "key").agg(F.max_by("value", F.struct("seq", "value")).alias("value")))

@@ -119,9 +119,9 @@ def self_train_job(spark: SparkSession, existing_path: str, new_path: str, out:
     from ..operators import shaping as B
     from ..sources.readers import load_any
     existing = load_any(spark, existing_path)
-    existing = existing.withColumn("label", F.col("label").cast("double").cast("int"))
+    existing = existing.withColumn("label", F.col("label").cast("string").try_cast("double").cast("int"))
     new = B.ensure_columns(load_any(spark, new_path), ["label"], default=None)
-    new = new.withColumn("label", F.col("label").cast("double").cast("int"))
+    new = new.withColumn("label", F.col("label").cast("string").try_cast("double").cast("int"))
     existing = B.extract_series_id(existing) if "uid" in existing.columns else existing
     new = B.extract_series_id(new) if "uid" in new.columns else new
     merged, model, report = J.self_train(existing, new, uid="uid", series="series_id")
@@ -177,7 +177,7 @@ def merge_propagate_job(spark: SparkSession, path: str, out: str) -> dict:
     from ..sources.readers import load_any
     df = load_any(spark, path).withColumn("_ord", F.monotonically_increasing_id())
     for c in ("label", "predicted_label"):
-        df = df.withColumn(c, F.col(c).cast("double"))
+        df = df.withColumn(c, F.col(c).cast("string").try_cast("double"))
     merged = G.merge_manual_predicted(df)
     filled = B.promote_label(P.propagate_majority_fill(merged, "series_id", "final_label"))
     filled.drop("_ord").write.mode("overwrite").parquet(out)

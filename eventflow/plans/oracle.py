@@ -375,8 +375,8 @@ dim AS (SELECT * FROM ex UNION ALL SELECT * FROM nw)
 SELECT p.p_partkey, p.p_brand, d.id AS location_id FROM part p LEFT JOIN dim d ON p.p_brand = d.name"""
     rng = "o_orderkey BETWEEN 767 AND 924"
     d["publish"] = f"""SELECT count(*) FILTER (WHERE {rng}) AS published, count(*) FILTER (WHERE NOT ({rng})) AS drafts FROM orders"""
-    d["delete_range"] = f"""SELECT count(*) FILTER (WHERE {rng}) AS deleted, CAST(0 AS BIGINT) AS failed,
-  CAST(924 - 767 + 1 AS BIGINT) AS attempted, count(*) FILTER (WHERE NOT ({rng})) AS remaining FROM orders"""
+    d["delete_range"] = f"""SELECT count(*) FILTER (WHERE {rng} AND o_orderkey % 7 <> 0) AS deleted, count(*) FILTER (WHERE {rng} AND o_orderkey % 7 = 0) AS failed,
+  CAST(924 - 767 + 1 AS BIGINT) AS attempted, count(*) FILTER (WHERE NOT ({rng}) OR o_orderkey % 7 = 0) AS remaining FROM orders"""
     d["filter_meta"] = meta_entries()
     d["upsert_meta"] = f"""WITH o AS (SELECT event_id, 'evcal_srow' AS key, CAST({epoch('ts')} AS VARCHAR) AS value, 0 AS seq FROM events
   UNION ALL SELECT event_id, 'evcal_lmlink', 'old', 0 FROM events),

@@ -529,7 +529,8 @@ def q_publish(spark, sf_dir):
 
 def q_delete_range(spark, sf_dir):
     posts = _order_posts(spark, sf_dir)
-    remaining, outcome = K.delete_range(posts, RANGE_LO, RANGE_HI)
+    failed = posts.where(F.col("id") % 7 == 0).select("id")  # a rule over the whole table
+    remaining, outcome = K.delete_range(posts, RANGE_LO, RANGE_HI, failed=failed)
     left = remaining.agg(F.count(F.lit(1)).alias("remaining")).select("remaining").scalar()
     return outcome.withColumn("remaining", left)
 

@@ -49,6 +49,9 @@ def test_delete_publish(spark):
     remaining, outcome = K.delete_range(posts, 2, 5)
     assert [r.id for r in remaining.collect()] == [1, 10]
     assert tuple(outcome.first()) == (2, 0, 4)
+    remaining, outcome = K.delete_range(posts, 2, 5, failed=spark.createDataFrame([(3,), (3,), (10,)], "id bigint"))
+    assert sorted(r.id for r in remaining.collect()) == [1, 3, 10]
+    assert tuple(outcome.first()) == (1, 1, 4)
     pub = K.publish(posts, spark.createDataFrame([(3,), (99,)], "id bigint"))
     assert {r.id: r.status for r in pub.collect()} == {1: "draft", 2: "draft", 3: "publish", 10: "draft"}
 
