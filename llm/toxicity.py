@@ -170,7 +170,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int32()))], ["y", "ids"])
 
     fitted = sparse.mapInArrow(places, "y int, ids array<int>").select(
-        "y", F.array_sort("ids").alias("ids")).orderBy("y", F.xxhash64("ids")).collect()  # about max_train rows of known terms
+        "y", F.array_sort("ids").alias("ids")).collect()  # about max_train rows of known terms
+    fitted.sort(key=lambda r: (r.y, r.ids))
     machine = Machine(known, float(np.log(share / (1 - share))))
     at, ids = _flat([r.ids for r in fitted])
     machine.fit(at, ids, np.array([r.y for r in fitted], dtype=np.float64))
