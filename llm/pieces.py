@@ -43,14 +43,14 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 THETA = 1.0
 #: Chunks that a task remembers; forgotten all at once when there are more.
-MEMORY = 250_000
+MEMORY = 140_000
 #: Longest chunk that is built side by side with others.
 LONGEST = 64
 SCALE = 20.0
 #: Multiplier of the hashes of beginnings.
 STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Characters of text walked side by side.
-BATCH = 1 << 19
+BATCH = 1 << 18
 CHUNK = re.compile(r"\n| *[^ \n]+| +")
 SIGN = "▁"
 #: A Gumbel made of 53 random bits exceeds its place by less than this.
@@ -119,8 +119,8 @@ class Lattices:
         are very long or hold a character without a piece one by one."""
         letters = self.v.letters
         plain = [c for c in chunks if len(c) <= LONGEST and letters.issuperset(c)]
-        for at in range(0, len(plain), 20_000):
-            self._many(plain[at: at + 20_000])
+        for at in range(0, len(plain), 10_000):
+            self._many(plain[at: at + 10_000])
         self._each(c for c in chunks if c not in self.known)
 
     def _many(self, chunks) -> None:
