@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import bucket_join, materialize, run_starts, with_row_key
 
+#: Edits at any length; from 10 characters on this binds and SIMILARITY does not (README: what that leaves).
 MAX_EDITS = 2
 SIMILARITY = 0.8
 MIN_WORDS = 5
