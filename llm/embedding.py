@@ -2,10 +2,11 @@
 
 ``PIVOTS_PER_ROOT`` times the square root of n of the distinct vectors are
 pivots (chosen by hash, no two close to each other; their number, and so what
-tasks are sent, grows with the root of the input only). A vector is described by its ``NEAREST`` pivots,
-nearest first. Two vectors are candidates when they share at least ``SHARED`` of
-them, so they meet in an inverted list of one of their NEAREST - SHARED + 1
-rarest pivots; in the first such list the shared pivots are counted and
+tasks are sent, grows with the root of the input only). A vector is described by its nearest pivots:
+``NEAREST`` of them up to ``BASE_PIVOTS`` pivots and ``MORE`` for each doubling of these, since
+two linked vectors share fewer of a fixed number the denser the pivots are. Two vectors are candidates when they share at least ``SHARED`` of
+them, so they meet in an inverted list of one of all but their SHARED - 1
+most frequent pivots; in the first such list the shared pivots are counted and
 candidates verified by cosine in double precision. Long lists are cut into
 blocks that meet pair by pair in tasks of their own. A list gives each vector's
 number of links and a spanning forest of the links, never the pairs.
@@ -31,6 +32,8 @@ from .common import bucket_join, connected_components, local_components, materia
 PIVOTS_PER_ROOT = 2.0
 NEAREST = 8
 SHARED = 3
+BASE_PIVOTS = 128
+MORE = 1.5
 #: Times as many vectors are offered as pivots; those near another pivot are passed over.
 SPARE = 4
 #: Rows compared with a list at a time.
@@ -49,6 +52,11 @@ def _vectors(column: pa.Array) -> list[bytes | None]:
     return out
 
 
+def nearest_pivots(pivots: int, nearest: int = NEAREST) -> int:
+    """How many pivots describe a vector, so that recall holds as the pivots grow."""
+    return nearest + int(np.ceil(MORE * np.log2(max(1.0, pivots / BASE_PIVOTS))))
+
+
 def _unit(raw) -> np.ndarray:
     x = np.stack([np.frombuffer(r, np.float64) for r in raw])
     x = x / np.abs(x).max(1, keepdims=True)  # so that no square overflows or vanishes
@@ -84,6 +92,7 @@ def link_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
                         .withColumn("node", F.monotonically_increasing_id()))
     total = nodes.count()
     chosen = int(np.ceil(pivots_per_root * np.sqrt(total)))
+    nearest = nearest_pivots(chosen, nearest)
     # by hash, so a rerun chooses the same; each length of vector has pivots of its own
     share = min(1.0, SPARE * chosen / max(1, total))
     offered = [r.raw for r in nodes.filter(F.pmod(F.xxhash64("raw"), F.lit(1 << 32)) < int(share * (1 << 32)))

@@ -65,3 +65,21 @@ def test_edges(spark):
     key = lambda r: (r[0], r[1])
     assert sorted(got, key=key) == sorted(want, key=key)
     assert embedding.link_vectors(df.filter("false")).count() == 0
+
+
+def test_recall_with_thousands_of_pivots():
+    """The candidate rule at the pivots of 100,000, 1 and 10 million vectors."""
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    for pivots in (633, 2000, 6325):
+        piv = unit(rng.normal(size=(pivots, 64)))
+        a = unit(rng.normal(size=(800, 64)))
+        r = rng.normal(size=a.shape)
+        r = unit(r - (r * a).sum(1, keepdims=True) * a)
+        k = embedding.nearest_pivots(pivots)
+        for c in (0.901, 0.91, 0.92):
+            b = c * a + np.sqrt(1 - c * c) * r
+            x, y = (np.argsort(-(v @ piv.T), axis=1, kind="stable")[:, :k] for v in (a, b))
+            recall = ((x[:, :, None] == y[:, None, :]).any(2).sum(1) >= embedding.SHARED).mean()
+            print(pivots, k, c, recall)
+            assert recall >= 0.97
