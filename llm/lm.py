@@ -12,11 +12,11 @@ both softmaxes over hashed n-gram and skip features of the three tokens before.
 * Inside a class the ``SHORT`` most frequent words and one slot for the others
   have contextual weights; the others share their slot by count, tail tokens
   by count plus 0.5. All of it sums to one over the known tokens and one unknown.
-* Weights are trained by ``ROUNDS`` of distributed gradient steps: each of
-  ``SHARDS`` tasks runs mini-batch Adagrad from the common weights over its
-  texts and returns the change, and the changes are averaged per touched row.
-  The fit takes about ``max_train`` training texts (chosen by hash, a documented
-  bound on fitting); counts, classes and base score cover all of them.
+* Weights are trained by ``ROUNDS`` of distributed gradient steps over all training
+  texts, in shards of about ``max_train`` texts (``SHARDS`` at least): mini-batch
+  Adagrad runs from the common weights over each shard, and the shards' changes are
+  averaged per touched row, summed in Spark before they reach the driver. Anchors,
+  clusters, counts, classes and base score cover all training texts too.
 
 Cases: null and empty texts are one end token; with no training text every
 score is 0 (one unknown token is certain); null ids are learned from; equal
@@ -26,6 +26,7 @@ are ignored.
 
 from __future__ import annotations
 
+import copy
 from collections import Counter
 
 import numpy as np
@@ -37,15 +38,19 @@ from pyspark.sql import functions as F
 from .common import LOWER, materialize, with_row_key
 from .toxicity import held_out
 
-DICTIONARY = 1 << 17
+DICTIONARY = 1 << 18
 SHORT = 31
 BANDS = 4
 CLUSTERS = 6
 ANCHORS = 64
-MAX_TRAIN = 2048
-ROUNDS = 3
+#: Training texts in a shard, about.
+MAX_TRAIN = 4096
+ROUNDS = 4
+#: Shards at least.
 SHARDS = 8
-ROWS = 1 << 14
+ROWS = 1 << 15
+#: Texts that first centres are chosen from, and steps of the centres over all texts.
+SEEDS, CENTRE_STEPS = 2048, 15
 CHUNK = 16384
 #: Distinct tokens that a counting task holds before it passes them on.
 HELD = 500_000
@@ -129,7 +134,7 @@ class Model:
             for x in xs:
                 v = (v ^ x) * np.uint64(0x9E3779B97F4A7C15)
                 v ^= v >> np.uint64(29)
-            return (v * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - 14)).astype(np.int64)
+            return (v * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(65 - ROWS.bit_length())).astype(np.int64)
 
         trio = c1 << np.uint64(20) | c2 << np.uint64(10) | c3
         one = [h(1, p1), h(2, p1, p2), h(3, p2), h(4, p3), h(5, trio)]
@@ -174,10 +179,15 @@ class Model:
         hit1, hit2 = np.zeros(ROWS, dtype=bool), np.zeros(ROWS, dtype=bool)
         before = self.history(ids, begins)
 
+        small = np.uint16 if ROWS <= 1 << 16 else np.int64  # sorted by radix
+
         def step(table, acc, hit, rows, grad):
-            u, inv = np.unique(np.concatenate(rows), return_inverse=True)
-            g = np.zeros((len(u), grad.shape[1]), dtype=np.float32)
-            np.add.at(g, inv, np.tile(grad, (len(rows), 1)))
+            every = np.concatenate(rows).astype(small)
+            order = np.argsort(every, kind="stable")
+            every = every[order]
+            at = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+            u = every[at].astype(np.int64)
+            g = np.add.reduceat(grad[order % len(grad)], at, axis=0)
             acc[u] += g * g
             table[u] -= rate * g / np.sqrt(acc[u])
             hit[u] = True
@@ -194,23 +204,50 @@ class Model:
         return hit1, hit2
 
 
-def _clusters(vectors: np.ndarray, seed: int = 1) -> np.ndarray:
-    """Spherical k-means centres of the rows (texts by anchor counts)."""
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Square roots of the anchor counts, of length one; texts without anchors are left out."""
     x = np.sqrt(vectors)
     x = x[x.sum(1) > 0]
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _clusters(vectors: DataFrame, size: int, share: float) -> np.ndarray:
+    """Spherical k-means centres of all rows (v: a text's anchor counts; _h); first
+    centres come from about a ``share`` of them, the steps cover every row."""
+    def stacked(column):
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+
+    some = vectors.filter(F.pmod("_h", F.lit(1 << 32)) < int(share * (1 << 32))).orderBy("_h").select("v").toArrow().column("v").combine_chunks()
+    x = _unit(stacked(some)) if len(some) else np.zeros((0, size))
     if not len(x):
-        return np.zeros((CLUSTERS, vectors.shape[1]))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
+        return np.zeros((CLUSTERS, size))
     centres = [x[0]]
     for _ in range(CLUSTERS - 1):  # farthest first
         centres.append(x[np.argmin(np.max(x @ np.array(centres).T, axis=1))])
     c = np.array(centres)
-    for _ in range(15):
-        near = (x @ c.T).argmax(1)
-        for g in range(CLUSTERS):
-            if (near == g).any():
-                m = x[near == g].mean(0)
-                c[g] = m / np.linalg.norm(m)
+
+    def sums(batches):
+        total = np.zeros((CLUSTERS, size), dtype=np.int64)  # whole numbers: the order of adding does not matter
+        for b in batches:
+            y = _unit(stacked(b.column(0)))
+            near = (y @ c.T).argmax(1)
+            whole = np.rint(y * (1 << 30)).astype(np.int64)
+            for g in range(CLUSTERS):
+                total[g] += whole[near == g].sum(0)
+        g, d = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), pa.array(d, pa.int32()), pa.array(total[g, d], pa.int64())], ["g", "d", "s"])
+
+    for _ in range(CENTRE_STEPS):
+        got = vectors.select("v").mapInArrow(sums, "g int, d int, s long").groupBy("g", "d").agg(F.sum("s").alias("s")).collect()
+        m = np.zeros((CLUSTERS, size))
+        for r in got:
+            m[r.g, r.d] = r.s
+        some = m.any(1)
+        new = c.copy()
+        new[some] = m[some] / np.linalg.norm(m[some], axis=1, keepdims=True)
+        if (new == c).all():
+            break
+        c[:] = new
     return c
 
 
@@ -224,19 +261,23 @@ def train(rows: DataFrame, max_train: int = MAX_TRAIN) -> tuple[Model, DataFrame
     """(model, table of all training counts: token, n)."""
     learn = rows.filter(~F.col("held_out"))
     total = learn.count()
-    share = min(1.0, max_train / max(1, total))
-    cut = int(share * (1 << 32))
-    sample = materialize(learn.filter(F.pmod("_h", F.lit(1 << 32)) < cut).select("text", "_h").repartition(SHARDS, "_h"))
 
     def local(batches):
         c: Counter = Counter()
+
+        def out():
+            return pa.RecordBatch.from_arrays([_decoded(c), pa.array(list(c.values()), pa.int64())], ["token", "n"])
+
         for b in batches:
             for t in b.column(0):
                 c.update(tokens(t.as_py()))
+                if len(c) > HELD:
+                    yield out()
+                    c.clear()
         if c:
-            yield pa.RecordBatch.from_arrays([_decoded(c), pa.array(list(c.values()), pa.int64())], ["token", "n"])
+            yield out()
 
-    top = (sample.select("text").mapInArrow(local, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    top = (learn.select("text").mapInArrow(local, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
            .orderBy(F.col("n").desc(), "token").limit(ANCHORS).collect())
     anchors = {r.token.encode(): i for i, r in enumerate(top)}
 
@@ -249,10 +290,10 @@ def train(rows: DataFrame, max_train: int = MAX_TRAIN) -> tuple[Model, DataFrame
     def vectors(batches):
         for b in batches:
             got = [vector(Counter(tokens(t.as_py()))).tolist() for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.float64()))], ["v"])
+            yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.float64())), b.column(1)], ["v", "_h"])
 
-    seen = sample.select("text", "_h").orderBy("_h").select("text").mapInArrow(vectors, "v array<double>").toArrow().column("v").combine_chunks()
-    centres = _clusters(seen.flatten().to_numpy().reshape(len(seen), -1) if len(seen) else np.zeros((0, max(1, len(anchors)))))
+    centres = _clusters(materialize(learn.select("text", "_h").mapInArrow(vectors, "v array<double>, _h long")),
+                        max(1, len(anchors)), min(1.0, SEEDS / max(1, total)))
 
     def counted(batches):
         held: dict = {}
@@ -294,39 +335,89 @@ def train(rows: DataFrame, max_train: int = MAX_TRAIN) -> tuple[Model, DataFrame
     model = Model([w.as_py().encode() for w in best.column("token")], best.column("n").to_numpy().astype(np.float64),
                   best.column("g").to_numpy(), int(n), int(v))
     del best
-    for r in range(ROUNDS if n else 0):
-        _round(sample, model, 0.3 / (1 + r))
+    if n:
+        shards = _shards(learn, model, max(SHARDS, -(-total // max_train)))
+        for r in range(ROUNDS):
+            _round(shards, model, 0.3 / (1 + r))
     return model, counts.select("token", "n")
 
 
-def _round(sample: DataFrame, model: Model, rate: float) -> None:
-    """Every task descends over its shard from the common weights; changes are averaged."""
+def _shards(learn: DataFrame, model: Model, n: int) -> DataFrame:
+    """(shard, _h, ids): all training texts as token ids, the rows of a shard together."""
 
     def run(batches):
-        parts = [model.encode(tokens(t.as_py())) for b in batches for t in b.column(0)]
-        if parts:
+        for b in batches:
+            got = [model.encode(tokens(t.as_py())).astype(np.int32).tobytes() for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.binary())], ["shard", "_h", "ids"])
+
+    # the low bits of the hash choose the seeds of the clusters, so the high ones choose the shard
+    shard = F.pmod(F.shiftright("_h", 32), F.lit(n)).cast("int")
+    return materialize(learn.select(shard.alias("shard"), "_h", "text").mapInArrow(run, "shard int, _h long, ids binary")
+                       .repartition(n, "shard").sortWithinPartitions("shard", "_h"))
+
+
+def _round(shards: DataFrame, model: Model, rate: float) -> None:
+    """Descent over every shard from the common weights; changes are averaged per
+    touched row, summed by row in Spark: the driver gets each weight row once."""
+    widths = [model.t1.shape[1], model.t2.shape[1]]
+    spark = shards.sparkSession
+    light = copy.copy(model)
+    light.ids, light.logs, light.inside = {}, None, None  # not needed to descend
+    sent = spark.sparkContext.broadcast(light)
+
+    def run(batches):
+        model = copy.copy(sent.value)
+        old = model.t1, model.t2
+        parts: list = []
+
+        def out():
             begins = np.zeros(sum(map(len, parts)), dtype=bool)
             begins[np.cumsum([0, *map(len, parts[:-1])])] = True
-            old = model.t1, model.t2
-            hits = model.descend(np.concatenate(parts), begins, rate)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([np.packbits(x).tobytes()], pa.binary()) for x in hits]
-                + [pa.array([(new[hit] - was[hit]).astype(np.float16).tobytes()], pa.binary()) for new, was, hit in zip((model.t1, model.t2), old, hits)],
-                ["h1", "h2", "d1", "d2"])
+            hits = model.descend(np.concatenate(parts).astype(np.int64), begins, rate)
+            for k, (new, was, hit) in enumerate(zip((model.t1, model.t2), old, hits)):
+                at = np.flatnonzero(hit)
+                change = (new[at] - was[at]).astype(np.float16)
+                yield pa.RecordBatch.from_arrays([pa.array(at * 2 + k, pa.int32()), pa.array([x.tobytes() for x in change], pa.binary())], ["row", "change"])
             model.t1, model.t2 = old
+            parts.clear()
+
+        now = None
+        for b in batches:
+            for k, x in zip(b.column(0).to_pylist(), b.column(1)):
+                if k != now and parts:
+                    yield from out()
+                now = k
+                parts.append(np.frombuffer(x.as_buffer(), np.int32))
+        if parts:
+            yield from out()
 
-    shards = sample.repartition(SHARDS, "_h").sortWithinPartitions("_h").select("text")
-    sums = [np.zeros(model.t1.shape), np.zeros(model.t2.shape)]
-    hits = [np.zeros(ROWS), np.zeros(ROWS)]
-    got = shards.mapInArrow(run, "h1 binary, h2 binary, d1 binary, d2 binary").toArrow()  # at most SHARDS rows of a fixed size
-    for k in range(got.num_rows):
-        for i, (h, d) in enumerate((("h1", "d1"), ("h2", "d2"))):
-            at = np.unpackbits(np.frombuffer(got.column(h)[k].as_buffer(), np.uint8)).astype(bool)
-            sums[i][at] += np.frombuffer(got.column(d)[k].as_buffer(), np.float16).reshape(-1, sums[i].shape[1])
-            hits[i][at] += 1
-    del got
-    model.t1 = (model.t1 + sums[0] / np.maximum(hits[0], 1)[:, None]).astype(np.float32)
-    model.t2 = (model.t2 + sums[1] / np.maximum(hits[1], 1)[:, None]).astype(np.float32)
+    def added(batches):
+        total = [np.zeros((ROWS, w)) for w in widths]  # sums of 16-bit floats are exact in any order
+        times = [np.zeros(ROWS, dtype=np.int64) for _ in widths]
+        for b in batches:
+            row = b.column(0).to_numpy()
+            for k, w in enumerate(widths):
+                own = np.flatnonzero(row % 2 == k)
+                if len(own):
+                    x = np.frombuffer(b"".join(b.column(1).take(pa.array(own)).to_pylist()), np.float16).reshape(-1, w)
+                    np.add.at(total[k], row[own] >> 1, x.astype(np.float64))
+                    np.add.at(times[k], row[own] >> 1, 1)
+        for k in range(len(widths)):
+            at = np.flatnonzero(times[k])
+            mean = (total[k][at] / times[k][at, None]).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array(at * 2 + k, pa.int32()), pa.array([x.tobytes() for x in mean], pa.binary())], ["row", "change"])
+
+    got = (shards.select("shard", "ids").mapInArrow(run, "row int, change binary").repartition("row")
+           .mapInArrow(added, "row int, change binary").toArrow())
+    sent.destroy()
+    spark.sparkContext._jvm.System.gc()  # lets Spark remove the round's shuffle files
+    row = got.column("row").to_numpy()
+    tables = [model.t1.copy(), model.t2.copy()]
+    for k, w in enumerate(widths):
+        own = np.flatnonzero(row % 2 == k)
+        if len(own):
+            tables[k][row[own] >> 1] += np.frombuffer(b"".join(got.column("change").take(pa.array(own)).to_pylist()), np.float32).reshape(-1, w)
+    model.t1, model.t2 = tables
 
 
 def score_lm(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mod: int = 5, rest: int = 1,

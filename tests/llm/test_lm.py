@@ -64,3 +64,23 @@ def test_edges(spark):
     got = lm.score_lm(spark.createDataFrame(rows, schema)).collect()
     assert len(got) == 6 and all(math.isfinite(r.score) and r.score <= 0 for r in got)
     assert {r.n_tokens for r in got if r.doc_id == 2} == {1} and {r.n_known for r in got if r.doc_id == held} == {2}
+
+
+def test_every_text_is_learned_from(spark, monkeypatch):
+    """Shards grow with the input and hold each training text once."""
+    rows = [(i, f"a b w{i}", 1.0, "") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, token string")
+    seen = []
+    real = lm._round
+    monkeypatch.setattr(lm, "_round", lambda shards, model, rate: (seen.append((shards.collect(), model)), real(shards, model, rate)))
+    lm.train(lm._texts(docs, "text", "doc_id", 5, 1), max_train=20)
+    want = sorted(i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 1)
+    assert len(seen) == lm.ROUNDS
+    for got, model in seen:
+        names = {v: k for k, v in model.ids.items()}
+        assert sorted(int(names[np.frombuffer(r.ids, np.int32)[2]][1:]) for r in got) == want
+        assert len({r.shard for r in got}) >= 0.8 * len(want) / 20
+    first = seen[0][1]
+    ids = first.encode([b"a", b"b"])
+    one, _ = first.rows(first.history(ids, np.array([True, False, False])), first.cls[ids])
+    assert all(np.any(first.t1[r[1]]) for r in one)  # the weights have changed
