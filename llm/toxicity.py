@@ -2,8 +2,10 @@
 
 A text's terms are its words and their first four and five letters, lower-cased,
 each present or not. Terms are hashed into ``BUCKETS`` buckets; of these the
-``features`` most typical of the toxic class are kept (log-likelihood ratio, at
-least ``EVIDENCE``, and ``LIFT`` times the usual toxic share). The machine adds weights of single terms and, through vectors of
+``features`` that tell most are kept, toxic, clean or neutral alone: by the log-likelihood
+ratio (at least ``EVIDENCE``) of their toxic share against that of all rows, or against
+that of the rows with the same strongest toxic-leaning bucket, so that a term which only
+matters beside an insult is kept too. The machine adds weights of single terms and, through vectors of
 ``FACTORS`` numbers, of every pair of terms that occur together, so that an
 insult and a mention of a group weigh more together than apart. Scoring needs
 one pass over the texts and no shuffle.
@@ -36,8 +38,6 @@ MAX_TRAIN = 20000
 FEATURES = 4096
 #: Log-likelihood ratio that a bucket needs.
 EVIDENCE = 5.0
-#: Times the toxic share of all that a bucket's toxic share must be.
-LIFT = 2.0
 THRESHOLD = 0.3
 #: Words whose terms a task remembers; forgotten all at once when there are more.
 MEMORY = 200_000
@@ -156,12 +156,31 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     share = (pos + 0.5) / (n + 1)
     if not 0 < pos < n:
         return Machine({}, float(np.log(share / (1 - share))))
-    per = sparse.select("y", F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("k"))
-    # log-likelihood ratio of a bucket's toxic share against the share of all
-    k, m = F.col("k").cast("double"), (F.col("n") - F.col("k")).cast("double")
-    e1, e0 = F.col("n") * (pos / n), F.col("n") * (1 - pos / n)
-    gain = k * F.log(F.greatest(k, F.lit(1e-9)) / e1) + m * F.log(F.greatest(m, F.lit(1e-9)) / e0)
-    best = [r.id for r in per.filter((F.col("n") >= 2) & (F.col("k") * n >= LIFT * F.col("n") * pos) & (gain >= EVIDENCE)).orderBy(gain.desc(), "id").limit(features).select("id").collect()]
+
+    def gain(k, n, pos, total):
+        """Log-likelihood ratio of a bucket's toxic share against the share of all; two-sided."""
+        m = n - k
+        return (k * F.log(F.greatest(k, F.lit(1e-9)) * total / (n * F.greatest(pos, F.lit(1e-9))))
+                + m * F.log(F.greatest(m, F.lit(1e-9)) * total / (n * F.greatest(total - pos, F.lit(1e-9)))))
+
+    def counted(d, *by):
+        return d.groupBy(*by, "id").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("y").cast("double").alias("k")).filter("n >= 2")
+
+    per = materialize(counted(sparse.select("y", F.explode("ids").alias("id")))
+                      .withColumn("gain", gain(F.col("k"), F.col("n"), F.lit(float(pos)), F.lit(float(n)))).filter(F.col("gain") >= EVIDENCE))
+    lead = {r.id: p for p, r in enumerate(per.filter(F.col("k") * n > F.col("n") * pos).orderBy(F.col("gain").desc(), "id").limit(features).collect())}
+
+    def strongest(batches):
+        for b in batches:
+            got = [min((lead[i] for i in x if i in lead), default=-1) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.int32())], ["y", "ids", "lead"])
+
+    led = materialize(sparse.mapInArrow(strongest, "y int, ids array<int>, lead int"))
+    among = led.groupBy("lead").agg(F.count(F.lit(1)).cast("double").alias("rows"), F.sum("y").cast("double").alias("toxic")).filter("toxic > 0 and toxic < rows")
+    beside = (counted(led.select("y", "lead", F.explode("ids").alias("id")), "lead").join(F.broadcast(among), "lead")  # features + 1 rows at most
+              .select("id", gain(F.col("k"), F.col("n"), F.col("toxic"), F.col("rows")).alias("gain")).filter(F.col("gain") >= EVIDENCE))
+    best = [r.id for r in per.select("id", "gain").union(beside).groupBy("id").agg(F.max("gain").alias("gain"))
+            .orderBy(F.col("gain").desc(), "id").limit(features).collect()]
     known = {i: p for p, i in enumerate(sorted(best))}
 
     def places(batches):

@@ -54,3 +54,33 @@ def test_edges(spark):
     none = labels.filter("false")
     assert toxicity.score_toxicity(docs, none).filter("score = 0.5").count() == 50
     assert toxicity.score_toxicity(docs.filter("false"), labels).count() == 0
+
+
+def _planted(spark, rng, n, toxic):
+    """(scores by id, kind of each row): ``toxic(insult, group, slur)`` labels texts of random words."""
+    words = [f"word{i}x" for i in range(300)]
+    kinds = [tuple(bool(x) for x in rng.random(3) < (0.25, 0.4, 0.25)) for _ in range(n)]
+    rows = [(i, " ".join([*rng.choice(words, 12), *(w for w, on in zip(("grolk", "vendar", "zibble"), k) if on)])) for i, k in enumerate(kinds)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(toxic(*k))) for i, k in enumerate(kinds)], "doc_id long, toxic int")
+    return docs, labels, kinds
+
+
+def test_insult_with_a_group_through_the_selection(spark):
+    """The group alone is neutral: a slur makes other rows toxic as often as an insult makes those with a group."""
+    docs, labels, kinds = _planted(spark, np.random.default_rng(3), 2000, lambda insult, group, slur: insult if group else slur)
+    got = [(kinds[r.doc_id], r.score) for r in toxicity.score_toxicity(docs, labels).collect() if r.held_out]
+    both = [s for (i, g, z), s in got if i and g and not z]
+    alone = [s for (i, g, z), s in got if i and not g and not z]
+    group = [s for (i, g, z), s in got if g and not i and not z]
+    print(np.mean(both), np.mean(alone), np.mean(group))
+    assert np.mean(both) > 0.7 and np.mean(alone) < 0.3 and np.mean(group) < 0.3
+
+
+def test_most_rows_toxic(spark):
+    docs, labels, kinds = _planted(spark, np.random.default_rng(4), 1200, lambda insult, group, slur: not group)
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    assert sum(truth.values()) > 0.5 * len(truth)
+    got = toxicity.score_toxicity(docs, labels).collect()
+    assert np.mean([r.predicted == truth[r.doc_id] for r in got if r.held_out]) >= 0.9
+    assert toxicity.reject_toxic(docs, labels).count() >= 0.3 * len(truth)
