@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, embedding, exact, lines, lm, mixing, pieces, pii, simhash, toxicity
+import public_tokenizers
+
+from . import chat, codes, embedding, exact, lines, lm, mixing, packing, pieces, pii, search, simhash, toxicity
 
 
 def _docs(spark, sf_dir):
@@ -58,10 +60,67 @@ def op10_line_dedup(spark, sf_dir):
     return rows.select("doc_id", "text", "n_lines", "dropped_lines")
 
 
+def op11_vector_codes(spark, sf_dir):
+    return codes.digest(codes.train_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
+def op12_packing(spark, sf_dir):
+    return packing.digest(packing.pack(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op13_lexical_search(spark, sf_dir):
+    index = search.build_index(_docs(spark, sf_dir))
+    return search.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_sentencepiece, op3_exact_dedup, op4_embedding_near_dedup, op5_mixing,
-                                   op6_simhash_near_dedup, op7_pii, op8_lm_scoring, op9_chat_formatting, op10_line_dedup)}
+                                   op6_simhash_near_dedup, op7_pii, op8_lm_scoring, op9_chat_formatting, op10_line_dedup,
+                                   op11_vector_codes, op12_packing, op13_lexical_search)}
+
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Every round of the codebooks as a step of its own, by full search."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        a{r} as materialized (select vec_id, label, part, x, arg_min(entry, (d, entry)) as entry, min(d) as d from
+              (select p.*, c.entry, list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+               from p join c{r} c on c.part = p.part) group by all)""")
+        if r < rounds:
+            steps.append(f"""
+        c{r + 1} as materialized (select c.part, c.entry, coalesce(m.x, c.x) as x from c{r} c left join
+              (select part, entry, list(y order by i) as x from
+                   (select part, entry, i, floor(sum(x[i])::double / count(*))::bigint as y
+                    from a{r}, (select unnest(range(1, (select len(x) from p limit 1) + 1)) as i) group by part, entry, i) group by part, entry) m
+              on m.part = c.part and m.entry = c.entry)""")
+    return f"""
+        with k as materialized (select vec_id, label, list_transform(embedding::double[], lambda x: floor({scale} * x)::bigint) as q from embeddings
+              where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        p as materialized (select vec_id, label, part, q[part * (len(q) // {parts}) + 1 : (part + 1) * (len(q) // {parts})] as x
+              from k, (select unnest(range({parts})) as part)),
+        c0 as materialized (select part, row_number() over (partition by part order by vec_id) - 1 as entry, x from p
+              qualify row_number() over (partition by part order by vec_id) <= {entries}),{",".join(steps)},
+        v as (select vec_id, label, string_agg(printf('%02x', entry), '' order by part) as code, sum(d)::bigint as error from a{rounds} group by vec_id, label)
+        select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error,
+               (select sha256(string_agg(array_to_string(x, ','), ',' order by part, entry)) from c{rounds}) as codebooks_sha256 from v"""
+
 
 ORACLE_SQL = {
+    "op11_vector_codes": _codes_sql(),
+    "op13_lexical_search": r"""
+        with t as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+        f as (select doc_id, term, count(*) as tf from t group by all),
+        d as (select doc_id, sum(tf)::bigint as n from f group by doc_id),
+        s as (select count(*) as n_docs, sum(n)::bigint as n_terms from d),
+        w as (select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)))::bigint as w from f, s group by term, n_docs),
+        i as (select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+        r as (select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms))))::bigint as score
+              from i join f using (term) join d using (doc_id) join w using (term), s group by item_id, doc_id)
+        select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score from r
+        where score > 0 qualify row_number() over (partition by item_id order by score desc, doc_id) <= 10""",
     "op4_embedding_near_dedup": """
         with recursive
         v as (select vec_id, embedding::double[] as e from embeddings),
