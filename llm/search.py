@@ -50,7 +50,7 @@ HASHES, PER_ENTRY = 4, 8
 #: Bits of a block (filter bits times documents), and documents of a block.
 BLOCK, DOCUMENTS = 1 << 22, 4096
 #: Terms that a task counts before it sends its counts on.
-COUNTED = 1 << 18
+COUNTED = 1 << 17
 #: Documents of highest bound, per item, whose exact scores set the threshold.
 FIRST = 32
 #: Items, and terms of items, that one search pass takes.
@@ -106,7 +106,7 @@ def bits(terms: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
             x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
             x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
             out.append((x ^ (x >> np.uint64(32))) & np.uint64(width - 1))
-    return np.array(out).astype(np.int64)
+    return np.array(out).astype(np.int32)
 
 
 def weight(n_docs: int, df: int) -> int:
