@@ -16,21 +16,20 @@ from .text import col_of
 
 # What a parser does not see as markup: comments, scripts and styles.
 HIDDEN = r"(?is)<!--.*?(?:-->|$)|<script\b.*?(?:</script\s*>|$)|<style\b.*?(?:</style\s*>|$)"
-# Attributes, quoted values skipped whole, so a ``>`` in one ends nothing.
-_ATTRS = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
-# Value of ``href``, double-, single- or un-quoted (group 1 keeps the quotes;
-# ``strip_quotes`` removes them). ``href`` must follow whitespace, so
-# ``data-href`` is not taken for it.
-HREF_VALUE = r"\s" + r"(?:" + _ATTRS + r"\s)?" + r"""href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-# href of every <a> tag, document order
-ANCHOR_HREF = r"(?is)<a" + HREF_VALUE
-# first anchor whose whole text matches the calendar-link caption, with or
-# without tags around that text
-ICS_CAPTION_HREF = (r"(?is)<a" + HREF_VALUE + _ATTRS + r">\s*(?:<(?!/?a\b)[^>]*>\s*)*"
-                    r"[^<]*?Add to Calendar\s*-\s*iCal[^<]*(?:<(?!/?a\b)[^>]*>\s*)*</a\s*>")
-# first anchor whose href ends in .ics (the suffix test is case-sensitive)
-ICS_SUFFIX_HREF = (r"(?is)<a\s(?:" + _ATTRS + r"""\s)?href\s*=\s*("[^"]*(?-i:\.ics)"|'[^']*(?-i:\.ics)'|"""
-                   r"""[^\s>"']*(?-i:\.ics)(?:[\s>]|$))""")
+# The loops below are possessive: Java runs such a loop without recursion and
+# never goes back into it, so a tag, a caption or stray prose of any length takes
+# one pass and constant stack.
+# One attribute: a name and perhaps a value; a ``>`` in a quoted value ends nothing.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+_ATTRIBUTE = r"[^\s>/][^\s=>/]*+(?:\s*+=\s*+" + _VALUE + r")?+"
+_TAG = r"<a(?=[\s/>])(?:[\s/]++|" + _ATTRIBUTE + r")*+"
+# an <a> tag with what it holds, up to its end or to the next anchor
+ANCHOR = r"(?is)" + _TAG + r"(?:>(?:[^<]++|<(?!/?a[\s/>]))*+(?:</a\s*+>)?+)?+"
+# its first ``href`` with a value, quotes included
+HREF = r"(?is)^<a(?:[\s/]++|(?!href\s*+=)" + _ATTRIBUTE + r")*+href\s*+=\s*+(" + _VALUE + r")"
+# an anchor whose whole text is the calendar-link caption, with or without tags around it
+CAPTION = (r"(?is)^" + _TAG + r">\s*+(?:<(?!/a[\s>])[^>]*+>\s*+)*+[^<]*?Add to Calendar\s*-\s*iCal[^<]*+"
+           r"(?:<(?!/a[\s>])[^>]*+>\s*+)*+</a\s*+>$")
 # path part of a URL (urlparse(...).path)
 URL_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)"
 # scheme://host of a URL
@@ -43,49 +42,55 @@ ICS_PATH_TEMPLATE = ("/events/ical/", ".ics")
 # ---------------------------------------------------------------------------
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip_quotes(c) -> Column:
-    """Attribute value without its surrounding quotes (and a trailing
-    delimiter left by the unquoted form)."""
-    v = F.regexp_replace(col_of(c), r"[\s>]$", "")
-    return F.regexp_replace(v, r"^[\"']|[\"']$", "")
+    """Attribute value without the quotes around it."""
+    return _let(col_of(c), lambda v: F.when(F.substring(v, 1, 1).isin('"', "'"), F.substr(v, F.lit(2), F.length(v) - 2)).otherwise(v))
 
 
 @lru_cache(maxsize=1)
-def _named_references() -> dict:
-    """Named character references of one or two characters, from the standard table."""
+def _named_references() -> str:
+    """Named character references from the standard table, as one delimited text:
+    a single literal, quick to analyse, that constant folding turns into a map."""
     from html.entities import html5
-    return {k[:-1]: v for k, v in html5.items() if k.endswith(";")}
+    return "\u0001".join(f"{k[:-1]}\u0002{v}" for k, v in sorted(html5.items()) if k.endswith(";"))
 
 
 def unescape_entities(c) -> Column:
     """Decode the character references of an attribute value: named ones that
     end in a semicolon, decimal and hexadecimal ones. Values without ``&`` are
     left alone; the others are taken apart once, so nothing is decoded twice."""
-    s = col_of(c)
-    names = F.create_map(*[F.lit(x) for kv in sorted(_named_references().items()) for x in kv])
+    names = F.str_to_map(F.lit(_named_references()), F.lit("\u0001"), F.lit("\u0002"))
 
     def char(point):  # code point -> character
         return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
 
     def number(digits, base):  # out of range or no character: the replacement sign
-        n = F.conv(F.substring(digits, 1, 12), base, 10).cast("long")
-        bad = n.isNull() | (n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF) | (F.length(digits) > 12)
-        return F.when(bad, F.lit("\uFFFD")).otherwise(char(n))
+        def known(n):
+            bad = n.isNull() | (n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF) | (F.length(digits) > 12)
+            return F.when(bad, F.lit("\uFFFD")).otherwise(char(n))
+
+        return _let(F.conv(F.substring(digits, 1, 12), base, 10).cast("long"), known)
 
     def piece(p):  # "name;rest" after an ampersand
-        body, rest = F.regexp_extract(p, r"^([^;&]*);", 1), F.regexp_replace(p, r"^[^;&]*;", "")
-        hexa = F.regexp_extract(body, r"^#[xX]([0-9A-Fa-f]+)$", 1)
-        deci = F.regexp_extract(body, r"^#([0-9]+)$", 1)
-        named = F.try_element_at(names, body)
-        return (F.when(~p.contains(";"), F.concat(F.lit("&"), p))
-                .when(hexa != "", F.concat(number(hexa, 16), rest))
-                .when(deci != "", F.concat(number(deci, 10), rest))
-                .when(named.isNotNull(), F.concat(named, rest))
-                .otherwise(F.concat(F.lit("&"), p)))
+        def read(body):
+            named = F.try_element_at(names, body)
+            return (F.when(body.rlike("^#[xX][0-9A-Fa-f]+$"), number(F.substring(body, 3, 1 << 30), 16))
+                    .when(body.rlike("^#[0-9]+$"), number(F.substring(body, 2, 1 << 30), 10))
+                    .otherwise(F.coalesce(named, F.concat(F.lit("&"), body, F.lit(";")))))
 
-    parts = F.split(s, "&")
-    decoded = F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), piece), ""))
-    return F.when(s.contains("&"), decoded).otherwise(s)
+        body = F.substring_index(p, ";", 1)
+        return F.when(~p.contains(";"), F.concat(F.lit("&"), p)).otherwise(
+            F.concat(_let(body, read), F.substr(p, F.length(body) + 2)))
+
+    def decoded(parts):
+        return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""))
+
+    return _let(col_of(c), lambda s: F.when(s.contains("&"), _let(F.split(s, "&"), decoded)).otherwise(s))
 
 
 def visible(html) -> Column:
@@ -95,14 +100,15 @@ def visible(html) -> Column:
 
 def remove_dots(path) -> Column:
     """Path without ``.`` and ``..`` segments (a leading ``..`` goes nowhere)."""
-    p = col_of(path)
-    segs = F.split(p, "/")
-    kept = F.aggregate(segs, F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc)
-                       .when(x == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
-                       .otherwise(F.concat(acc, F.array(x))))
-    # a path that ends in a dot segment names a folder
-    out = F.concat(F.array_join(kept, "/"), F.when(p.rlike(r"(^|/)\.\.?$"), F.lit("/")).otherwise(F.lit("")))
-    return F.when(p.rlike(r"(^|/)\.\.?(/|$)"), out).otherwise(p)
+    def cut(p):
+        kept = F.aggregate(F.split(p, "/"), F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc)
+                           .when(x == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
+                           .otherwise(F.concat(acc, F.array(x))))
+        # a path that ends in a dot segment names a folder
+        end = F.when(p.endswith("/.") | p.endswith("/..") | p.isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+        return F.when(p.rlike(r"(^|/)\.\.?(/|$)"), F.concat(F.array_join(kept, "/"), end)).otherwise(p)
+
+    return _let(col_of(path), cut)
 
 
 def url_origin(url) -> Column:
@@ -120,47 +126,59 @@ def url_join(base, href) -> Column:
     origin; ``?q``/``#f`` go on the base; other relative paths go after the
     base directory; dot segments are resolved.
     """
-    b = col_of(base) if not isinstance(base, str) else F.lit(base)
     h = col_of(href)
-    origin = url_origin(b)
-    scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    base_dir = F.regexp_replace(F.regexp_replace(b, r"[?#].*$", ""), r"[^/]*$", "")
-    base_dir = F.when(base_dir.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*$"),
-                      F.concat(b, F.lit("/"))).otherwise(base_dir)
 
-    def plain(ref):  # dot segments go from the path, not from a query or fragment
-        path = F.regexp_extract(ref, r"^[^?#]*", 0)
-        return F.concat(remove_dots(path), F.substr(ref, F.length(path) + 1))
+    def absolute(b):
+        page = F.substring_index(b, "#", 1)
+        folder = F.regexp_replace(url_path(b), r"[^/]*$", "")
+
+        def on(origin):
+            root = F.when((folder == "") & (origin != ""), F.lit("/")).otherwise(folder)
+            ref = F.when(h.startswith("/"), h).otherwise(F.concat(root, h))
+            # dot segments go from the path, not from a query or fragment
+            path = F.substring_index(F.substring_index(ref, "#", 1), "?", 1)
+            return (F.when(h.startswith("//"), F.concat(F.substring_index(origin, ":", 1), F.lit(":"), h))
+                    .when(h.startswith("?"), F.concat(F.substring_index(page, "?", 1), h))
+                    .when(h.startswith("#"), F.concat(page, h))
+                    .when(h.startswith("/") | (origin != ""), _let(F.struct(ref.alias("r"), path.alias("p")), lambda x: F.concat(
+                        origin, remove_dots(x["p"]), F.substr(x["r"], F.length(x["p"]) + 1))))
+                    .otherwise(ref))
+
+        return _let(url_origin(b), on)
 
     return (F.when(h.isNull(), F.lit(None).cast("string"))
             .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
-            .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(origin, plain(h)))
-            .when(h == "", b)
-            .when(h.startswith("?"), F.concat(F.regexp_replace(b, r"[?#].*$", ""), h))
-            .when(h.startswith("#"), F.concat(F.regexp_replace(b, r"#.*$", ""), h))
-            .when(origin != "", F.concat(origin, plain(F.concat(F.substr(base_dir, F.length(origin) + 1), h))))
-            .otherwise(F.concat(base_dir, h)))
+            .when(h == "", base if isinstance(base, Column) else F.lit(base))
+            .otherwise(_let(base if isinstance(base, Column) else F.lit(base), absolute)))
+
+
+def anchors(html) -> Column:
+    """All anchors of a page in document order, as structs: ``href`` (references
+    decoded, '' without one) and ``caption`` (its text is the calendar-link caption).
+
+    The page is scanned once; everything else is read from the structs, so keep
+    them in a column (``staging.stage``) when they are used more than once."""
+    return F.transform(F.regexp_extract_all(visible(html), F.lit(ANCHOR), F.lit(0)), lambda a: F.struct(
+        unescape_entities(strip_quotes(F.regexp_extract(a, HREF, 1))).alias("href"), a.rlike(CAPTION).alias("caption")))
 
 
-def anchor_hrefs(html) -> Column:
-    """All anchor hrefs of a page in document order, entities decoded."""
-    return F.transform(F.regexp_extract_all(visible(html), F.lit(ANCHOR_HREF), 1),
-                       lambda v: unescape_entities(strip_quotes(v)))
+def anchor_hrefs(found) -> Column:
+    """The hrefs of ``anchors``, document order."""
+    return F.filter(F.transform(col_of(found), lambda a: a["href"]), lambda h: h != "")
 
 
 def _nz(c: Column) -> Column:
     return F.when(c != "", c)
 
 
-def ics_link_by_caption(html) -> Column:
-    """C4: href of the first anchor captioned 'Add to Calendar - iCal'."""
-    return _nz(unescape_entities(strip_quotes(F.regexp_extract(visible(html), ICS_CAPTION_HREF, 1))))
+def ics_link_by_caption(found) -> Column:
+    """C4: href of the first of ``anchors`` captioned 'Add to Calendar - iCal'."""
+    return _nz(F.get(F.filter(col_of(found), lambda a: a["caption"]), F.lit(0))["href"])
 
 
-def ics_link_generic(html) -> Column:
-    """Href of the first anchor whose href ends in ``.ics``."""
-    return _nz(unescape_entities(strip_quotes(F.regexp_extract(visible(html), ICS_SUFFIX_HREF, 1))))
+def ics_link_generic(found) -> Column:
+    """Href of the first of ``anchors`` whose href ends in ``.ics``."""
+    return F.get(F.filter(col_of(found), lambda a: a["href"].endswith(".ics")), F.lit(0))["href"]
 
 
 def ics_link_from_slug(url, slug_pattern: str = DETAIL_SLUG) -> Column:

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from .text import col_of
 
-VEVENT_BLOCK = r"(?s)BEGIN:VEVENT\r?\n(.*?)END:VEVENT"
+# Possessive loops (see html.py): constant stack and one pass, whatever the length.
+# A block that is not closed before the next one begins is no event.
+VEVENT_BLOCK = r"BEGIN:VEVENT\r?\n((?:[^BE]++|B(?!EGIN:VEVENT)|E(?!ND:VEVENT))*+)END:VEVENT"
 SUBCOMPONENT = r"(?s)BEGIN:([A-Za-z-]+)\r?\n.*?END:\1\r?\n?"
 _ESC = "\u0000"
 
@@ -34,7 +36,7 @@ def own_properties(block) -> Column:
 
 
 # one content line: name, parameters (values may be quoted), value
-CONTENT_LINE = r"""^([A-Za-z0-9-]+)((?:;[A-Za-z0-9-]+=(?:"[^"]*"|[^";:])*)*):(.*)$"""
+CONTENT_LINE = r"""^([A-Za-z0-9-]++)((?:;[A-Za-z0-9-]++=(?:"[^"]*+"|[^";:]++)*+)*+):(.*)$"""
 
 
 def content_lines(block) -> Column:
@@ -54,8 +56,8 @@ def first_lines(lines) -> Column:
 
 def line_param(params, param: str) -> Column:
     """One parameter's value without quotes ('' if absent)."""
-    v = F.regexp_extract(col_of(params), rf"""(?i);{param}=("[^"]*"|[^";:]*)""", 1)
-    return F.regexp_replace(v, '^"|"$', "")
+    v = F.regexp_extract(col_of(params), rf"""(?i)^(?:;(?!{param}=)[A-Za-z0-9-]++=(?:"[^"]*+"|[^";:]++)*+)*+;{param}=("[^"]*+"|[^";:]*+)""", 1)
+    return F.replace(v, F.lit('"'), F.lit(""))
 
 
 def unescape_text(c) -> Column:
@@ -116,8 +118,8 @@ def ics_datetime_to_iso(value, tzid=None) -> Column:
     """
     v = F.trim(col_of(value))
     tz = col_of(tzid) if tzid is not None else F.lit("")
-    m = F.regexp_extract(v, r"^(\d{8})T(\d{6})(Z?)$", 0)
-    d, t, z = (F.regexp_extract(v, r"^(\d{8})T(\d{6})(Z?)$", i) for i in (1, 2, 3))
+    timed = v.rlike(r"^\d{8}T\d{6}Z?$")
+    d, t = F.substring(v, 1, 8), F.substring(v, 10, 6)
     iso_date = lambda s: F.concat_ws("-", F.substring(s, 1, 4), F.substring(s, 5, 2), F.substring(s, 7, 2))
     iso_time = F.concat_ws(":", F.substring(t, 1, 2), F.substring(t, 3, 2), F.substring(t, 5, 2))
     local = F.concat(iso_date(d), F.lit("T"), iso_time)
@@ -127,7 +129,7 @@ def ics_datetime_to_iso(value, tzid=None) -> Column:
     offset = (F.unix_timestamp(wall) - F.unix_timestamp(F.to_utc_timestamp(wall, safe_tz)))
     return (F.when(v.isNull() | (v == ""), F.lit(None).cast("string"))
             .when(v.rlike(r"^\d{8}$"), iso_date(v))
-            .when(m == "", v)
-            .when(z == "Z", F.concat(local, F.lit("+00:00")))
+            .when(~timed, v)
+            .when(v.endswith("Z"), F.concat(local, F.lit("+00:00")))
             .when(zone_ok & wall.isNotNull(), F.concat(local, _fmt_offset(offset)))
             .otherwise(local))

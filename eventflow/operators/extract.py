@@ -29,9 +29,10 @@ def extract_event_links(pages: DataFrame, base: str | None = None,
     """Absolute links of all anchors whose href contains ``needle``,
     first occurrence per page kept, document order as ``pos`` (0-based).
     Links resolve against ``base``, by default each page's own origin."""
-    hrefs = F.filter(H.anchor_hrefs(F.col(html_col)), lambda h: h.contains(needle))
+    base = _base_col(base, url_col)
     # base and hrefs as columns first: each is referenced many times by url_join
-    staged = pages.select(page_key, _base_col(base, url_col).alias("_b"), hrefs.alias("_h"))
+    found = stage(pages.select(page_key, base.alias("_b"), F.col(html_col).alias("_t")), {"_a": H.anchors("_t")}, keep=[page_key, "_b"])
+    staged = stage(found, {"_h": F.filter(H.anchor_hrefs("_a"), lambda h: h.contains(needle))}, keep=[page_key, "_b"])
     links = F.array_distinct(F.transform(F.col("_h"), lambda h: H.url_join(F.col("_b"), h)))
     return staged.select(page_key, F.posexplode(links).alias("pos", "link"))
 
@@ -43,20 +44,16 @@ def resolve_ics_url(pages: DataFrame, base: str | None = None,
     the first ``.ics`` link, else one built from the page slug, else null.
     Links resolve against ``base``, by default each page's own origin."""
     cols = [c for c in pages.columns if c not in ("ics_url", "ics_method")]
-    staged = pages.withColumns({
-        "_b": _base_col(base, url_col),
-        "_cap": H.ics_link_by_caption(F.col(html_col)),
-        "_gen": H.ics_link_generic(F.col(html_col)),
-        "_slug": H.ics_link_from_slug(F.col(url_col), slug_pattern),
-    })
-    b, cap, gen, slug = (F.col(c) for c in ("_b", "_cap", "_gen", "_slug"))
-    # staged behind a generator: a later filter on ics_url (C8, C12) must not
-    # be pushed down to the scan, where it would run the page regexes again
-    return stage(staged, {
-        "ics_url": F.coalesce(H.url_join(b, cap), H.url_join(b, gen), H.url_join(b, slug)),
-        "ics_method": (F.when(cap.isNotNull(), "caption").when(gen.isNotNull(), "suffix")
-                       .when(slug.isNotNull(), "slug")),
-    }, keep=cols)
+    # staged behind a generator: the page is scanned once, and a later filter on
+    # ics_url (C8, C12) is not pushed down to the scan, where it would scan again
+    found = stage(pages, {"_b": _base_col(base, url_col), "_a": H.anchors(F.col(html_col))}, keep=cols)
+    named = stage(found, {"_b": F.col("_b"), "_cap": H.ics_link_by_caption("_a"), "_gen": H.ics_link_generic("_a"),
+                          "_slug": H.ics_link_from_slug(F.col(url_col), slug_pattern)}, keep=cols)
+    cap, gen, slug = (F.col(c) for c in ("_cap", "_gen", "_slug"))
+    chosen = stage(named, {"_b": F.col("_b"), "_h": F.coalesce(cap, gen, slug),
+                           "ics_method": F.when(cap.isNotNull(), "caption").when(gen.isNotNull(), "suffix").when(slug.isNotNull(), "slug")},
+                   keep=cols)
+    return stage(chosen, {"ics_url": H.url_join(F.col("_b"), F.col("_h")), "ics_method": F.col("ics_method")}, keep=cols)
 
 
 def dedupe_ics(resolved: DataFrame, order_col: str = "page_id", url_col: str = "url") -> DataFrame:

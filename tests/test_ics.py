@@ -50,3 +50,18 @@ def test_quoted_parameters_and_repeated_categories(spark):
     r = C.parse_vevents(df).first()
     assert (r.uid, r.title, r.start, r.end) == ("q", "Title: with colon", "2025-01-15T18:00:00-06:00", "2025-09-01T11:00:00")
     assert r.category == ["One", "Two, too", "Three"]
+
+
+def test_long_parameters_and_broken_blocks(spark):
+    big = 1 << 20
+    cal = ("BEGIN:VCALENDAR\r\nBEGIN:VEVENT\r\nUID:lost\r\nSUMMARY:never closed\r\n"
+           "BEGIN:VEVENT\r\nUID:one\r\nSUMMARY;X-P=" + "p" * big + ":Long parameter\r\n"
+           'DTSTART;X-P="' + "q:;" * (big // 3) + '";TZID="America/Chicago":20250115T180000\r\n'
+           "DESCRIPTION:" + "d" * big + "\r\n" + "X-A;" * 5 + "\r\n" + "LOCATION" + ";A=b" * (big // 4) + ":Far\r\nEND:VEVENT\r\n"
+           "BEGIN:VEVENT\r\nUID:two\r\nDTEND;X-TZID=Europe/Berlin:20250115T180000\r\nEND:VEVENT\r\n" + "BEGIN:VEVENT\r\n" * 20000)
+    df = spark.createDataFrame([("l.ics", None, cal)], "source_ics string, source_page string, content string")
+    rows = {r.uid: r for r in C.parse_vevents(df).collect()}
+    assert set(rows) == {"one", "two"}
+    one, two = rows["one"], rows["two"]
+    assert (one.title, one.start, one.location, len(one.description)) == ("Long parameter", "2025-01-15T18:00:00-06:00", "Far", big)
+    assert two.end == "2025-01-15T18:00:00"  # another parameter whose name ends alike is no zone

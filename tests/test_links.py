@@ -128,3 +128,55 @@ def test_error_messages(spark):
     df = spark.createDataFrame([(1, BASE + "/x", ""), (2, DETAIL + "y-1", "")], "page_id bigint, url string, html string")
     n, msgs = C.extraction_errors(C.resolve_ics_url(df))
     assert n.first().n_errors == 1 and msgs.first().message.endswith(BASE + "/x")
+
+
+def test_long_tags_and_stray_markup(spark):
+    """A megabyte in one tag, in prose after a stray tag, in a caption: constant stack, one pass."""
+    big = 1 << 20
+    link = '<a href="/right.ics">file</a>'
+    rows = [
+        (1, DETAIL + "a-1", "<a " + "x" * big + ' href="/long.ics">file</a>'),
+        (2, DETAIL + "b-2", "<a " + 'data-x="1" ' * (big // 11) + "href='/many.ics'>Add to Calendar - iCal</a>"),
+        (3, DETAIL + "c-3", "<p>if a <a and then " + "plain prose, don't stop. " * (big // 25) + "</p>" + link),
+        (4, DETAIL + "d-4", "<a title='" + "y > " * (big // 4) + "' href=/quoted.ics>file</a>"),
+        (5, DETAIL + "e-5", '<a href="/open.ics' + "z" * big),  # neither the quote nor the tag ends
+        (6, DETAIL + "f-6", '<a href="/deep">' + "<b>" * (big // 7) + "Add to Calendar - iCal" + "</b>" * (big // 7) + "</a>"),
+        (7, DETAIL + "g-7", "<a " * (big // 3) + link),
+        (8, DETAIL + "h-8", "<!--" + "<a href='/x.ics'>" * (big // 20) + "-->" + link),
+        (9, DETAIL + "i-9", '<a href="/s">' + " " * big + "Add to Calendar -" + " " * 1000 + "iCal</a>"),
+    ]
+    got = resolve(spark, rows)
+    assert got[1] == BASE + "/long.ics" and got[2] == BASE + "/many.ics" and got[4] == BASE + "/quoted.ics"
+    # the stray tag runs to the first ">", as a browser reads it; the next anchor is found
+    assert got[3] == got[7] == got[8] == BASE + "/right.ics"
+    assert got[5] == BASE + "/events/ical/e-5.ics" and got[6] == BASE + "/deep" and got[9] == BASE + "/s"
+
+
+def test_attributes_as_a_browser_reads_them(spark):
+    rows = [
+        (1, DETAIL + "a-1", '<a title="it\'s" class=x"y href="/one.ics">f</a>'),
+        (2, DETAIL + "b-2", '<a title = "x"href=/two.ics>f</a>'),
+        (3, DETAIL + "c-3", '<a href hreflang="/no.ics" HREF = \'/three.ics\'>f</a>'),
+        (4, DETAIL + "d-4", '<area href="/no.ics"><abbr href="/no.ics"></abbr><a/href="/four.ics">f</a>'),
+        (5, DETAIL + "e-5", '<a href="/first.ics" href="/second.ics">f</a>'),
+        (6, DETAIL + "f-6", '<a name="top">Add to Calendar - iCal</a><a href="/cap">Add to Calendar - iCal</a><a href="/gen.ics">f</a>'),
+        (7, DETAIL + "g-7", '<a href="/six">Add to Calendar - <b>iCal</b></a><a href="/seven.ics">f</a>'),
+        (8, DETAIL + "h-8", None),
+    ]
+    got = resolve(spark, rows)
+    assert [got[i] for i in range(1, 6)] == [BASE + x for x in ("/one.ics", "/two.ics", "/three.ics", "/four.ics", "/first.ics")]
+    assert got[6] == BASE + "/gen.ics"  # only the first captioned anchor counts, and it has no href
+    assert got[7] == BASE + "/seven.ics" and got[8] == BASE + "/events/ical/h-8.ics"
+
+
+def test_page_is_scanned_once(spark):
+    import time
+    df = spark.createDataFrame([(1, DETAIL + "a-1", "")], "page_id bigint, url string, html string")
+    C.resolve_ics_url(df)
+    start = time.time()
+    out = C.resolve_ics_url(df).where("ics_url is not null")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    print("built in", time.time() - start)
+    print(len(plan), plan.count("regexp_extract"))
+    assert plan.count("regexp_extract") < 30 and plan.count("regexp_extract_all") <= 2
+    assert time.time() - start < 5
