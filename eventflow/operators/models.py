@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import TOKEN_PATTERN, four_field_text, title_desc_text
 from .features import NUMERIC_FEATURES, prepared_text, term_counts, time_features, with_venue_flags
-from .numbering import dense_index
+from .numbering import hash_cut, seeded_hash
 
 #: Labelled rows that a fit takes in, about, where there are more (chosen by hash).
 MAX_TRAIN_ROWS = 200_000
@@ -54,31 +54,25 @@ def group_split(df: DataFrame, series: str = "series_id", test_size: float = 0.2
                 out: str = "split") -> DataFrame:
     """Whole series on one side; exactly ``ceil(test_size * n)`` series,
     chosen by hash order, are held out. Rows without a series train."""
-    s = df.select(series).where(F.col(series).isNotNull()).distinct()
-    s = s.withColumn("_h", F.md5(F.concat(F.col(series).cast("string"), F.lit(seed))))
-    n = s.agg(F.count(F.lit(1))).scalar()
-    k = F.ceil(n * F.lit(test_size))
-    ranked = dense_index(s, [F.col("_h"), F.col(series)], out="_gi")
-    held = ranked.where(F.col("_gi") <= k).select(series, F.lit(True).alias("_t"))
-    return (df.join(held, series, "left")
-            .withColumn(out, F.when(F.col("_t"), F.lit("test")).otherwise(F.lit("train"))).drop("_t"))
+    hashed = df.withColumn("_h", F.when(F.col(series).isNotNull(), seeded_hash(F.col(series), seed, [series])))
+    distinct = hashed.select("_h").where(F.col("_h").isNotNull()).distinct()
+    return (hashed.withColumn(out, F.when(hash_cut(distinct, "_h", test_size), F.lit("test")).otherwise(F.lit("train")))
+            .drop("_h"))
 
 
 def stratified_split(df: DataFrame, label: str = "label", key: str = "id", test_size: float = 0.2,
                      seed: str = "42", min_rows: int = 20, out: str = "split") -> DataFrame:
     """Per class ``ceil(test_size * n_class)`` rows by hash order go to
     test; with fewer than ``min_rows`` labelled rows train = test = all
-    (``split = 'both'``)."""
+    (``split = 'both'``). Rows of one key stay together, so a class may exceed
+    its share by the copies of one key; rows with a null key spread by their
+    own hash."""
     lab = df.where(F.col(label).isNotNull())
-    h = lab.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(seed))))
-    per_class = lab.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))  # one row per class
+    hashed = lab.withColumn("_h", seeded_hash(F.col(key), seed, lab.columns))
     total = lab.agg(F.count(F.lit(1))).scalar()
-    ranked = dense_index(h, [F.col("_h"), F.col(key)], group_cols=[label], out="_ci")
-    j = ranked.join(F.broadcast(per_class), label)
-    test = F.col("_ci") <= F.ceil(F.col("_nc") * F.lit(test_size))
-    return (j.withColumn(out, F.when(total < min_rows, F.lit("both"))
-                         .when(test, F.lit("test")).otherwise(F.lit("train")))
-            .drop("_h", "_ci", "_nc"))
+    test = hash_cut(hashed, "_h", test_size, label)
+    return (hashed.withColumn(out, F.when(total < min_rows, F.lit("both"))
+                              .when(test, F.lit("test")).otherwise(F.lit("train"))).drop("_h"))
 
 
 # --------------------------------------------------------------------- features

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,3 +82,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written_table(df: DataFrame, schema=None) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder and read back
+    (with ``schema``, if other than its own): lineage is cut, and a lost executor
+    only costs a reread."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
