@@ -1,12 +1,12 @@
-"""Models, splits and scoring (J1-J11) on Spark ML.
-
-Features: the vocabulary and idf come from DataFrame aggregates (top-k, or the
-document-frequency-pruned vocabulary of the fit's rows, whose number has a
-documented bound); the vectoriser is a
-persistable ``PipelineModel`` of built-in stages (tokenizer, n-grams,
-fixed-vocabulary counts, idf scaling, L2 norm, scaled numeric features) in
-front of ``LinearSVC``. Splits are by hash and exact in size, numbered with
-the distributed ``dense_index`` (no single-partition window).
+"""Models, splits and scoring.
+
+A fit takes in a bounded number of labelled rows. Their vocabulary, numbered by
+its place in a written table, never reaches the driver: training vectors are
+built by joining the rows' term counts with it, Spark ML's ``LinearSVC`` gives
+one coefficient per number, and the model is the table (term, idf, coef) with a
+few numbers beside it. Scoring joins the term counts of any number of rows with
+that table and adds up. Splits are by hash and exact in size, from a histogram
+of the hashes.
 """
 
 from __future__ import annotations
@@ -14,22 +14,30 @@ from __future__ import annotations
 import json
 import math
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, NGram, Normalizer,
-                                SQLTransformer, VectorAssembler)
+import numpy as np
+import pandas as pd
+from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import TOKEN_PATTERN, four_field_text, title_desc_text
-from .features import NUMERIC_FEATURES, prepared_text, term_counts, time_features, with_venue_flags
+from ..functions.text import four_field_text, title_desc_text
+from ..session import written_table
+from .features import (NUMERIC_FEATURES, linear_scores, prepared_text, pruned, smooth_idf, term_counts,
+                       time_features, topk_vocabulary, with_venue_flags)
 from .numbering import hash_cut, seeded_hash
+from .rowkey import with_row_id
 
 #: Labelled rows that a fit takes in, about, where there are more (chosen by hash).
 MAX_TRAIN_ROWS = 200_000
+#: Vectors that a task of the solver holds, about.
+ROWS_PER_TASK = 2_000
+#: Distinct margins that calibration takes to the driver as one table of counts; more are summed step by step.
+MARGINS = 1 << 20
 #: Solver iterations at most; a fit stops earlier once it has converged.
 MAX_ITER = 1000
 REVIEW_PROB = 0.75
@@ -89,10 +97,16 @@ class FeatureSpec:
     k: int = 500
     min_df: int = 2
     max_df: float = 0.9
+    # term counts as 1+ln(tf) (the trainer's variant) or as they are
+    sublinear: bool | None = None
     # Bound on the labelled rows of a fit, and so on the vocabulary, which
     # comes from those rows and is kept whole.
     max_train_rows: int = MAX_TRAIN_ROWS
 
+    def __post_init__(self):
+        if self.sublinear is None:
+            self.sublinear = self.kind == "trainer"
+
     def bounded(self, df: DataFrame) -> DataFrame:
         """About ``max_train_rows`` of the labelled rows, by hash of the row."""
         share = min(1.0, self.max_train_rows / max(1, df.count()))
@@ -120,61 +134,35 @@ class FeatureSpec:
         return NUMERIC_FEATURES if self.kind == "trainer" else []
 
 
-def fit_vocabulary(prepared: DataFrame, spec: FeatureSpec) -> tuple[list, list]:
-    """Vocabulary terms and smooth idf (``ln((1+n)/(1+df))+1``) from aggregates."""
-    rows = prepared.select(F.monotonically_increasing_id().alias("_rid"), "_text")
-    tc = term_counts(rows, "_rid", "_text")
-    n = rows.count()
-    st = tc.groupBy("term").agg(F.count("_rid").alias("df"), F.sum("tf").alias("cf"))
-    if spec.vocab == "topk":
-        vocab = st.orderBy(F.desc("cf"), F.asc("term")).limit(spec.k).select("term", "df").collect()
-    else:
-        hi = spec.max_df * n if isinstance(spec.max_df, float) else spec.max_df
-        vocab = st.where((F.col("df") >= spec.min_df) & (F.col("df") <= hi)).select("term", "df").collect()
-        vocab.sort(key=lambda r: r["term"])  # bounded by the rows of the fit
-    terms = [r["term"] for r in vocab]
-    idf = [math.log((1.0 + n) / (1.0 + r["df"])) + 1.0 for r in vocab]
-    return terms, idf
-
-
-def featurizer(spec: FeatureSpec, terms: list, idf: list, scales: list) -> list:
-    stages = [
-        SQLTransformer(statement="SELECT *, regexp_extract_all(_text, '%s', 0) AS _tok FROM __THIS__"
-                       % TOKEN_PATTERN.replace("\\", "\\\\")),
-        NGram(n=2, inputCol="_tok", outputCol="_bi"),
-        SQLTransformer(statement="SELECT *, concat(_tok, _bi) AS _terms FROM __THIS__"),
-        CountVectorizerModel.from_vocabulary(terms or ["__empty__"], inputCol="_terms", outputCol="_tf"),
-        ElementwiseProduct(scalingVec=Vectors.dense(idf or [0.0]), inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(p=2.0, inputCol="_tfidf", outputCol="_text_vec"),
-    ]
-    if spec.numeric:
-        stages += [VectorAssembler(inputCols=spec.numeric, outputCol="_num", handleInvalid="keep"),
-                   ElementwiseProduct(scalingVec=Vectors.dense(scales), inputCol="_num", outputCol="_num_scaled"),
-                   VectorAssembler(inputCols=["_text_vec", "_num_scaled"], outputCol="features")]
-    else:
-        stages += [VectorAssembler(inputCols=["_text_vec"], outputCol="features")]
-    return stages
-
-
 @dataclass
 class TextModel:
-    """Fitted vectoriser + classifier, with the column mapping and calibration."""
-    pipeline: PipelineModel
+    """A linear model over TF-IDF and numeric features, with the column mapping
+    and calibration: the table ``terms`` (term, idf, coef) of ``n_terms`` rows,
+    and per numeric feature its scale and coefficient."""
     spec: FeatureSpec
+    terms: DataFrame
+    n_terms: int
+    numeric: dict = field(default_factory=dict)
+    intercept: float = 0.0
     columns: dict = field(default_factory=dict)
     platt: tuple | None = None
     fit: dict = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = self.pipeline.transform(self.spec.prepare(df))
-        out = out.withColumn("score", vector_to_array(F.col("rawPrediction"))[1])
-        drop = [c for c in out.columns if c.startswith("_") and c not in df.columns] + ["features", "rawPrediction"]
-        return out.drop(*drop)
+        """``df`` plus its features, the margin ``score`` and the 0/1 ``prediction``."""
+        rows = self.spec.prepare(with_row_id(df))
+        text = linear_scores(rows, "_rid", "_text", self.terms, self.n_terms, self.spec.sublinear)
+        score = F.coalesce(F.col("text_score"), F.lit(0.0)) + F.lit(self.intercept)
+        for name, (scale, coef) in self.numeric.items():
+            score = score + F.col(name).cast("double") * F.lit(scale) * F.lit(coef)
+        return (rows.drop("_text").join(text, "_rid", "left").withColumn("score", score)
+                .withColumn("prediction", (F.col("score") > 0).cast("double")).drop("_rid", "text_score"))
 
     def save(self, path: str) -> None:
-        """Pipeline + one-row JSON of the mapping beside it."""
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        meta = {"spec": self.spec.__dict__, "columns": self.columns, "platt": list(self.platt or [])}
+        """The coefficient table and one row of JSON beside it."""
+        self.terms.write.mode("overwrite").parquet(f"{path}/terms")
+        meta = {"spec": self.spec.__dict__, "columns": self.columns, "platt": list(self.platt or []), "n_terms": self.n_terms,
+                "numeric": self.numeric, "intercept": self.intercept, "fit": self.fit}
         spark = SparkSession.getActiveSession()
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
@@ -182,28 +170,78 @@ class TextModel:
     def load(spark, path: str, defaults: dict | None = None) -> "TextModel":
         """Load; missing mapping entries fall back to default names."""
         meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-        spec = FeatureSpec(**meta["spec"])
         cols = dict(defaults or {})
         cols.update(meta.get("columns") or {})
-        platt = tuple(meta["platt"]) if meta.get("platt") else None
-        return TextModel(PipelineModel.load(f"{path}/pipeline"), spec, cols, platt)
+        return TextModel(FeatureSpec(**meta["spec"]), spark.read.parquet(f"{path}/terms"), meta["n_terms"],
+                         {k: tuple(v) for k, v in meta["numeric"].items()}, meta["intercept"], cols,
+                         tuple(meta["platt"]) if meta.get("platt") else None, meta.get("fit") or {})
+
 
+def numbered(df: DataFrame, out: str = "idx") -> DataFrame:
+    """A written table's rows numbered from 0 by file and place in the file; only
+    the files' row counts are collected."""
+    rows = df.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    sizes = sorted(tuple(r) for r in rows.groupBy("_file").agg(F.max("_at") + 1).collect())
+    starts, total = [], 0
+    for name, n in sizes:
+        starts.append((name, total))
+        total += n
+    first = df.sparkSession.createDataFrame(starts, "_file string, _first long")  # one row per file
+    return rows.join(F.broadcast(first), "_file").withColumn(out, (F.col("_first") + F.col("_at")).cast("int")).drop("_file", "_at", "_first")
 
-def _featurize(prepared: DataFrame, spec: FeatureSpec, label: str):
-    """Fit the vectoriser on the training rows; return it and the cached
-    training vectors (the labelled set is small and is read once per fit)."""
-    terms, idf = fit_vocabulary(prepared, spec)
-    scales = []
+
+@dataclass
+class TrainingSet:
+    """Written vectors (label, features, and _fold if given), and what belongs to their numbers."""
+    vectors: DataFrame
+    vocabulary: DataFrame
+    n_terms: int
+    scales: dict
+
+    def model(self, svc, spec: FeatureSpec, **more) -> TextModel:
+        """The fitted coefficients back with their terms."""
+        w = svc.coefficients.toArray()
+        coef = self.vocabulary.sparkSession.createDataFrame(
+            pd.DataFrame({"idx": range(self.n_terms), "coef": w[: self.n_terms]}), "idx int, coef double")
+        terms = written_table(self.vocabulary.join(coef, "idx").select("term", "idf", "coef"))
+        numeric = {c: (scale, float(w[self.n_terms + i])) for i, (c, scale) in enumerate(self.scales.items())}
+        return TextModel(spec, terms, self.n_terms, numeric, float(svc.intercept), **more)
+
+
+def training_set(prepared: DataFrame, spec: FeatureSpec, label: str) -> TrainingSet:
+    """Vocabulary (I4 or I5) and sparse vectors (I7: L2-normalised TF-IDF, then
+    scaled numeric features) of prepared labelled rows."""
+    more = [c for c in ("_fold",) if c in prepared.columns]
+    rows = with_row_id(written_table(prepared.select(F.col(label).cast("double").alias("label"), "_text", *spec.numeric, *more)))
+    n = rows.count()
+    counts = written_table(term_counts(rows, "_rid", "_text"))
+    if spec.vocab == "topk":
+        vocab = topk_vocabulary(counts, "_rid", spec.k)
+    else:
+        vocab = pruned(counts.groupBy("term").agg(F.count("_rid").alias("df")), F.lit(n), spec.min_df, spec.max_df)
+    vocab = numbered(written_table(vocab.select("term", smooth_idf(F.lit(float(n))).alias("idf"))))
+    n_terms = vocab.count()
+    tf = F.lit(1.0) + F.log(F.col("tf").cast("double")) if spec.sublinear else F.col("tf").cast("double")
+    weights = counts.join(vocab, "term").select("_rid", F.struct("idx", (tf * F.col("idf")).alias("w")).alias("e"))
+    text = weights.groupBy("_rid").agg(F.sort_array(F.collect_list("e")).alias("e"))  # one text's terms
+    norm = F.sqrt(F.aggregate("e", F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
+    text = text.withColumn("norm", norm).select(
+        "_rid", F.transform("e", lambda x: x["idx"]).alias("at"), F.transform("e", lambda x: x["w"] / F.col("norm")).alias("w"))
+    scales = {}
     if spec.numeric:
-        sd = prepared.agg(*[F.stddev_pop(c).alias(c) for c in spec.numeric]).first()
-        scales = [1.0 / (sd[c] if sd[c] else 1.0) for c in spec.numeric]
-    feat = PipelineModel(featurizer(spec, terms, idf, scales))
-    keep = [c for c in ("_fold",) if c in prepared.columns]
-    # solvers run one job per iteration over these rows: one even deal
-    train = (feat.transform(prepared)
-             .select(F.col(label).cast("double").alias("label"), "features", *keep)
-             .repartition(int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions"))).cache())
-    return feat, train
+        sd = rows.agg(*[F.stddev_pop(c).alias(c) for c in spec.numeric]).first()
+        scales = {c: 1.0 / (sd[c] if sd[c] else 1.0) for c in spec.numeric}
+    at = F.array(*[F.lit(n_terms + i) for i in range(len(scales))]).cast("array<int>")
+    w = F.array(*[F.col(c).cast("double") * F.lit(s) for c, s in scales.items()]).cast("array<double>")
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(n_terms + len(scales)).alias("size"),
+                      F.concat(F.coalesce("at", F.array().cast("array<int>")), at).alias("indices"),
+                      F.concat(F.coalesce("w", F.array().cast("array<double>")), w).alias("values"))
+    schema = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())]
+                          + [rows.schema[c] for c in more])
+    # solvers run one job per iteration over these rows: one even deal, tasks of a few thousand
+    parts = max(1, min(math.ceil(n / ROWS_PER_TASK), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    made = rows.join(text, "_rid", "left").select("label", vector.alias("features"), *more).repartition(parts)
+    return TrainingSet(written_table(made, schema), vocab, n_terms, scales)
 
 
 def _svc(train: DataFrame, balanced: bool, max_iter: int = MAX_ITER, tol: float = 1e-6):
@@ -235,74 +273,120 @@ def _fit_report(svc, max_iter: int) -> dict:
 
 def fit_svm_balanced(df: DataFrame, spec: FeatureSpec | None = None, label: str = "label", max_iter: int = MAX_ITER,
                      tol: float = TOL_LINEAR) -> TextModel:
-    """Linear SVM (C=1) on title+description TF-IDF (pruned, accents
-    folded) and six scaled numeric features, class weights n/(2*n_class).
+    """Linear SVM (C=1) on title+description TF-IDF (pruned, accents folded,
+    sublinear tf) and six scaled numeric features, class weights n/(2*n_class).
     ``fit`` of the result tells whether the solver converged."""
     spec = spec or FeatureSpec(kind="trainer", vocab="pruned")
-    feat, train = _featurize(spec.prepare(spec.bounded(df)), spec, label)
-    try:
-        svc = _svc(train, True, max_iter, tol)
-        return TextModel(PipelineModel(feat.stages + [svc]), spec, fit=_fit_report(svc, max_iter))
-    finally:
-        train.unpersist()
-
-
-def platt_fit(oof: DataFrame, score: str = "_s", label: str = "label") -> tuple[float, float]:
-    """Platt scaling with Platt's smoothed targets: positives aim at
-    (N+ + 1)/(N+ + 2), negatives at 1/(N- + 2). Spark's logistic regression
-    takes hard labels only, so each margin becomes two weighted rows (label
-    1 with weight t, label 0 with weight 1 - t), which is the same
-    cross-entropy. Returns (a, b) of ``p = 1/(1+exp(-(a*s+b)))``."""
-    counts = {r[0]: r[1] for r in oof.groupBy(label).count().collect()}  # two rows
-    pos, neg = counts.get(1.0, 0), counts.get(0.0, 0)
+    train = training_set(spec.prepare(spec.bounded(df)), spec, label)
+    svc = _svc(train.vectors, True, max_iter, tol)
+    return train.model(svc, spec, fit=_fit_report(svc, max_iter))
+
+
+def _platt_loss(s, pos, neg, hi, lo, a, b):
+    """Loss, gradient and second derivatives at (a, b) of margins with their counts of either label."""
+    z = a * s + b
+    p = 1.0 / (1.0 + np.exp(-z))
+    n, t = pos + neg, pos * hi + neg * lo
+    soft = np.maximum(z, 0.0) + np.log1p(np.exp(-np.abs(z)))  # ln(1 + e^z)
+    g, q = n * p - t, n * p * (1.0 - p)
+    return tuple(float(x.sum()) for x in (n * soft - t * z, g * s, g, q * s * s, q * s, q))
+
+
+def platt_newton(margins: DataFrame, score: str = "_s", label: str = "label", max_iter: int = 100,
+                 tol: float = 1e-9, limit: int = MARGINS) -> dict:
+    """Platt scaling with Platt's smoothed targets (positives aim at
+    (N+ + 1)/(N+ + 2), negatives at 1/(N- + 2)) by Newton's method with step
+    halving. The margins are first counted by value and label; up to ``limit``
+    distinct ones are all that the fit needs and come to the driver as one table,
+    more stay in Spark and every step is one aggregate of six sums. Returns
+    a and b of ``p = 1/(1+exp(-(a*s+b)))``, the steps taken, the loss and
+    whether it converged (largest gradient component, per margin, near ``tol``)."""
+    y = F.col(label).cast("double")
+    counts = written_table(margins.where(y.isin(0.0, 1.0) & F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("s"))
+                           .agg(F.count_if(y == 1.0).alias("pos"), F.count_if(y == 0.0).alias("neg")))
+    distinct, pos, neg = counts.agg(F.count(F.lit(1)), F.sum("pos"), F.sum("neg")).first()
+    pos, neg = pos or 0, neg or 0
     hi, lo = (pos + 1.0) / (pos + 2.0), 1.0 / (neg + 2.0)
-    t = F.when(F.col(label) == 1.0, F.lit(hi)).otherwise(F.lit(lo))
-    rows = oof.select(F.col(score), t.alias("_t")).select(
-        F.col(score), F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("_t").alias("w")),
-                                        F.struct(F.lit(0.0).alias("y"), (F.lit(1.0) - F.col("_t")).alias("w"))))
-        .alias("_p")).select(F.col(score), "_p.y", "_p.w")
-    lr = LogisticRegression(featuresCol="_sv", labelCol="y", weightCol="w", regParam=0.0, maxIter=100).fit(
-        VectorAssembler(inputCols=[score], outputCol="_sv").transform(rows))
-    return float(lr.coefficients[0]), float(lr.intercept)
+    if distinct <= limit:
+        held = counts.toPandas()
+        s, p1, p0 = (held[c].to_numpy(dtype=float) for c in ("s", "pos", "neg"))
+
+        def sums(a, b):
+            return _platt_loss(s, p1, p0, hi, lo, a, b)
+    else:
+        n, t = F.col("pos") + F.col("neg"), F.col("pos") * F.lit(hi) + F.col("neg") * F.lit(lo)
+
+        def sums(a, b):
+            z = F.lit(a) * F.col("s") + F.lit(b)
+            p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+            soft = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z)))
+            g, q = n * p - t, n * p * (F.lit(1.0) - p)
+            return tuple(counts.agg(*[F.sum(x) for x in (n * soft - t * z, g * F.col("s"), g, q * F.col("s") * F.col("s"), q * F.col("s"), q)]).first())
+
+    a, b, total = 0.0, math.log((pos + 1.0) / (neg + 1.0)), pos + neg
+    if not total:
+        return {"a": a, "b": b, "steps": 0, "loss": 0.0, "converged": True}
+    loss, ga, gb, haa, hab, hbb = sums(a, b)
+    steps = 0
+    while max(abs(ga), abs(gb)) > tol * total and steps < max_iter:
+        haa, hbb = haa + 1e-12, hbb + 1e-12
+        det = haa * hbb - hab * hab
+        da, db = -(hbb * ga - hab * gb) / det, -(haa * gb - hab * ga) / det
+        slope, size = ga * da + gb * db, 1.0
+        now = sums(a + da, b + db)
+        while now[0] > loss + 1e-4 * size * slope and size > 1e-10:
+            size /= 2
+            now = sums(a + size * da, b + size * db)
+        if now[0] >= loss:  # no better point left in doubles
+            break
+        a, b, steps = a + size * da, b + size * db, steps + 1
+        loss, ga, gb, haa, hab, hbb = now
+    return {"a": a, "b": b, "steps": steps, "loss": loss, "converged": max(abs(ga), abs(gb)) <= 100 * tol * total}
+
+
+def platt_fit(margins: DataFrame, score: str = "_s", label: str = "label") -> tuple[float, float]:
+    """(a, b) of :func:`platt_newton`."""
+    found = platt_newton(margins, score, label)
+    return found["a"], found["b"]
 
 
 def fit_svm_prob(df: DataFrame, spec: FeatureSpec | None = None, label: str = "label", key: str | None = None,
                  folds: int = 5, parallelism: int | None = None, max_iter: int = MAX_ITER, tol: float = TOL_SVC) -> TextModel:
     """J1 + J4: linear SVM (C=1) on four-field TF-IDF (top 500) with Platt
-    calibration (smoothed targets, ``platt_fit``) fitted on out-of-fold
-    margins (``folds`` hash folds over one shared feature matrix). Fold fits and the final fit run as concurrent
-    Spark jobs, like ``CrossValidator(parallelism=...)``."""
+    calibration (smoothed targets, ``platt_newton``) fitted on out-of-fold
+    margins (``folds`` hash folds over one shared set of vectors). Fold fits and
+    the final fit run as concurrent Spark jobs, like ``CrossValidator(parallelism=...)``.
+    ``fit`` of the result reports the solver and the calibration."""
     from concurrent.futures import ThreadPoolExecutor
     spec = spec or FeatureSpec(kind="four_field", vocab="topk", k=500)
     df = spec.bounded(df)
     # without a key, the fold is a hash of the row: the same whatever the partitioning
     k = F.col(key) if key else F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    prepared = spec.prepare(df).withColumn("_fold", F.pmod(F.xxhash64(k), F.lit(folds)))
-    feat, train = _featurize(prepared, spec, label)
+    train = training_set(spec.prepare(df).withColumn("_fold", F.pmod(F.xxhash64(k), F.lit(folds))), spec, label)
+    vectors = train.vectors
 
     def fold_margins(f):
-        part = train.where(F.col("_fold") == f)
-        rest = train.where(F.col("_fold") != f)
+        part = vectors.where(F.col("_fold") == f)
+        rest = vectors.where(F.col("_fold") != f)
         if rest.select("label").distinct().count() < 2:
             return None
         m = _svc(rest, False, max_iter, tol)
         return m.transform(part).select("label", vector_to_array("rawPrediction")[1].alias("_s"))
 
-    try:
-        with ThreadPoolExecutor(max_workers=parallelism or folds + 1) as pool:
-            final_f = pool.submit(_svc, train, False, max_iter, tol)
-            parts = [p for p in pool.map(fold_margins, range(folds)) if p is not None]
-            final = final_f.result()
-        platt = (1.0, 0.0)
-        if parts:
-            oof = parts[0]
-            for p in parts[1:]:
-                oof = oof.unionByName(p)
-            if oof.select("label").distinct().count() > 1:
-                platt = platt_fit(oof)
-    finally:
-        train.unpersist()
-    return TextModel(PipelineModel(feat.stages + [final]), spec, platt=platt, fit=_fit_report(final, max_iter))
+    with ThreadPoolExecutor(max_workers=parallelism or folds + 1) as pool:
+        final_f = pool.submit(_svc, vectors, False, max_iter, tol)
+        parts = [p for p in pool.map(fold_margins, range(folds)) if p is not None]
+        final = final_f.result()
+    platt, report = (1.0, 0.0), _fit_report(final, max_iter)
+    if parts:
+        margins = parts[0]
+        for p in parts[1:]:
+            margins = margins.unionByName(p)
+        margins = written_table(margins)
+        if margins.select("label").distinct().count() > 1:
+            report["calibration"] = platt_newton(margins)
+            platt = (report["calibration"]["a"], report["calibration"]["b"])
+    return train.model(final, spec, platt=platt, fit=report)
 
 
 # --------------------------------------------------------------------- applying models
@@ -344,42 +428,58 @@ def smart_label(df: DataFrame, model: TextModel, threshold: float = REVIEW_MARGI
     return out
 
 
+class SelfTrained(NamedTuple):
+    """Result of :func:`self_train`: the merged rows, the final model and its
+    holdout report (None with fewer than 10 labelled rows), the first model and
+    its accuracy on the rows it was fitted on (None if it was given)."""
+    merged: DataFrame
+    model: TextModel | None
+    report: DataFrame | None
+    first: TextModel
+    first_accuracy: float | None
+
+
 def self_train(existing: DataFrame, new: DataFrame, label: str = "label", uid: str = "uid",
                series: str = "series_id", key: str | None = None, order_col: str | None = None,
-               spec: FeatureSpec | None = None, fit_final: bool = True):
-    """Fit on labelled existing rows, predict every new row (replacing
-    its label), majority-propagate in the new set, merge by priority,
-    propagate again, then fit the final model on the training side of a
-    stratified 80/20 split and evaluate it on the holdout. Returns (merged
-    rows, final model, holdout report); the last two are None with fewer
-    than 10 labelled rows."""
-    from ..session import cut_lineage
+               spec: FeatureSpec | None = None, fit_final: bool = True, first: TextModel | None = None) -> SelfTrained:
+    """Fit on labelled existing rows (or take the model ``first``), predict
+    every new row (replacing its label), majority-propagate in the new set, merge
+    by priority, propagate again, then fit the final model on the training side
+    of a stratified 80/20 split and evaluate it on the holdout.
+
+    The new rows are scored once, into a written table; relabelling reads that
+    table. Fewer than five labelled rows (guard H7) are a ``ValueError``."""
     from .merge import merge_by_priority
     from .propagate import SOURCE_MODEL, SOURCE_SERIES, propagate_majority_overwrite
+    from .report import accuracy, classification_report, train_guards
     labelled = existing.where(F.col(label).isNotNull())
-    first = fit_svm_prob(labelled, spec, label=label, key=key)
-    pred = classify(new, first).withColumn(label, F.col("is_community_event")) \
+    first_accuracy = None
+    if first is None:
+        guards = train_guards(labelled, series if series in labelled.columns else label, label).first()
+        if not guards["can_first_model"]:
+            raise ValueError(f"{guards['labeled']} labelled rows; the first model needs at least 5")
+        first = fit_svm_prob(labelled, spec, label=label, key=key)
+        fitted = predict(labelled, first, out="prediction").select(label, "prediction")
+        first_accuracy = accuracy(fitted, truth=label, pred="prediction").first()[0]
+    pred = classify(new.drop(label), first).withColumn(label, F.col("is_community_event")) \
         .withColumnRenamed("confidence", "prediction_confidence").drop("is_community_event", "needs_review")
-    pred = propagate_majority_overwrite(pred, series, label)
+    pred = propagate_majority_overwrite(written_table(pred), series, label)
     # the reference's new rows carry a source column only when some series
     # propagated; without one, all new rows count as model predictions
     any_series = pred.agg(F.coalesce(F.bool_or(F.col("label_source") == SOURCE_SERIES), F.lit(False))).scalar()
     pred = pred.withColumn("label_source", F.when(any_series, F.col("label_source")).otherwise(F.lit(SOURCE_MODEL)))
     merged = merge_by_priority(existing, pred, uid=uid, order_col=order_col)
-    merged = cut_lineage(propagate_majority_overwrite(merged, series, label))
+    merged = written_table(propagate_majority_overwrite(merged, series, label))
     final, report = None, None
     lab = merged.where(F.col(label).isNotNull())
-    n = lab.count() if fit_final else 0
-    if fit_final and n >= 10:
+    if fit_final and lab.count() >= 10:
         # holdout as in the reference: per-class 80/20 when there are at least
         # 20 labelled rows (else train = test = all); the vectoriser is fitted
         # on the training side only (the reference fits it before splitting)
-        split_key = key or uid
-        s = stratified_split(lab, label, key=split_key)
+        s = stratified_split(lab, label, key=key or uid)
         train = s.where(F.col("split").isin("train", "both"))
         test = s.where(F.col("split").isin("test", "both"))
         final = fit_svm_prob(train, spec, label=label, key=key)
-        from .report import classification_report
         scored = predict(test, final, out="prediction")
         report = classification_report(scored, truth=label, pred="prediction")
-    return merged, final, report
+    return SelfTrained(merged, final, report, first, first_accuracy)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import propagate as P
 from ..operators import report as R
+from ..session import written_table
 from .queries import docs_labelled
 
 
@@ -40,23 +41,18 @@ def periodic_run(events: DataFrame, model, out_base: str, run_ts: str | None = N
                  export_fmt: str = "csv") -> dict:
     """§3.1 after extraction: snapshot (A9), classify (J9), accept (D5),
     export (A10), review statistics and rows (H4, B10), calendar payloads
-    (K1, K2). The classified frame is persisted once for the actions."""
+    (K1, K2). The classified frame is written once, in the shared folder."""
     from ..operators import models as J
     from ..operators import publish as K
     from ..operators import rules as D
     from ..operators import shaping as B
     from ..sources import writers as W
     ts = W.write_run_snapshot(events, f"{out_base}/scraped", run_ts)
-    classified = J.classify(events, model).persist()
-    try:
-        community = D.accepted(classified)
-        export = W.export_for_calendar(community, f"{out_base}/calendar_upload", ts, export_fmt)
-        stats = R.batch_stats(classified).first().asDict()
-        review = B.review_rows(community)  # rows of the review summary (B10)
-        posts = K.calendar_post(K.calendar_meta(community))
-        return {"run_ts": ts, "export": export, "stats": stats, "review": review, "posts": posts}
-    finally:
-        classified.unpersist()
+    classified = written_table(J.classify(events, model))  # scored once; everything below reads the table
+    community = D.accepted(classified)
+    return {"run_ts": ts, "export": W.export_for_calendar(community, f"{out_base}/calendar_upload", ts, export_fmt),
+            "stats": R.batch_stats(classified).first().asDict(), "review": B.review_rows(community),
+            "posts": K.calendar_post(K.calendar_meta(community)), "community": community}
 
 
 def train_job(spark: SparkSession, path: str, model_path: str, propagate: bool = False,
@@ -84,18 +80,20 @@ def train_job(spark: SparkSession, path: str, model_path: str, propagate: bool =
         lab = G.collapse_series(lab, "series_id", cols["desc"])
     spec = J.FeatureSpec(kind="trainer", title=cols["title"], desc=cols["desc"], start=cols["start"], loc=cols["loc"])
     guards = R.train_guards(lab).first()
-    report = None
+    report, matrix = None, None
     if guards["can_group_split"]:
         s = J.group_split(lab, "series_id")
         model = J.fit_svm_balanced(s.where(F.col("split") == "train"), spec)
         scored = J.predict(s.where(F.col("split") == "test"), model, out="prediction")
+        scored = written_table(scored.select("label", "prediction"))
         report = R.classification_report(scored).collect()
+        matrix = R.confusion_matrix(scored).collect()
     else:
         model = J.fit_svm_balanced(lab, spec)
     model.columns = cols
     model.save(model_path)
     balance = R.class_balance(lab).first().asDict()
-    return {"report": report, "balance": balance}
+    return {"report": report, "confusion_matrix": matrix, "balance": balance, "fit": model.fit}
 
 
 def tag_job(spark: SparkSession, model_path: str, path: str, out: str | None = None,
@@ -124,12 +122,13 @@ def self_train_job(spark: SparkSession, existing_path: str, new_path: str, out:
     new = new.withColumn("label", F.col("label").cast("string").try_cast("double").cast("int"))
     existing = B.extract_series_id(existing) if "uid" in existing.columns else existing
     new = B.extract_series_id(new) if "uid" in new.columns else new
-    merged, model, report = J.self_train(existing, new, uid="uid", series="series_id")
-    merged.write.mode("overwrite").parquet(out)
-    if model is not None:
-        model.save(model_path)
-    return {"labeled": merged.where(F.col("label").isNotNull()).count(), "total": merged.count(),
-            "report": report.collect() if report is not None else None}
+    done = J.self_train(existing, new, uid="uid", series="series_id")
+    done.merged.write.mode("overwrite").parquet(out)
+    if done.model is not None:
+        done.model.save(model_path)
+    counts = done.merged.agg(F.count("label").alias("labeled"), F.count(F.lit(1)).alias("total")).first().asDict()
+    return dict(counts, unlabeled=counts["total"] - counts["labeled"], first_accuracy=done.first_accuracy,
+                report=done.report.collect() if done.report is not None else None)
 
 
 def labelset_job(spark: SparkSession, path: str, out_base: str) -> tuple[str, str]:
@@ -218,6 +217,60 @@ def upload_job(spark: SparkSession, export_base: str, dim_locations: DataFrame |
     return {"posts": posts, "locations": updated_dim}
 
 
+#: Columns of the calendar's post table.
+POSTS = "id bigint, uid string, status string, title string, content string, type string, meta map<string,string>"
+
+
+def upload_key(rows: DataFrame):
+    """What makes an event the same post: its uid, else a hash of title and start."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("title", "start")]
+    return F.coalesce(F.col("uid").cast("string"), F.concat(F.lit("row "), F.xxhash64(*text).cast("string")))
+
+
+def upload_publish_job(events: DataFrame, posts: DataFrame, dim_locations: DataFrame,
+                       failed: DataFrame | None = None) -> dict:
+    """Upload, then publish: accepted events that ``posts`` (columns ``POSTS``)
+    does not hold yet are created as drafts with location ids (K3), metadata
+    (K1) and payload (K2), then published (K4). An event is uploaded once,
+    whatever run brings it again; copies within a run count once; events whose
+    key is in ``failed`` (uid) are not created.
+
+    Returns the new post table and location dimension, the upload outcome (K5:
+    created of total), how many were published, and the summary's rows (B11)."""
+    from ..operators import merge as G
+    from ..operators import publish as K
+    from ..operators import shaping as B
+    from ..operators.numbering import dense_index
+    ready = B.ensure_columns(events, ["uid", "title", "description", "start", "end", "location", "url"], default=None)
+    keyed = ready.withColumn("uid", upload_key(ready)).join(posts.select("uid"), "uid", "left_anti")
+    once = written_table(G.keep_first(keyed, "uid", F.xxhash64(*[F.col(f"`{c}`") for c in keyed.columns])))
+    created = once if failed is None else once.join(failed.select("uid"), "uid", "left_anti")
+    with_ids, locations = K.upsert_locations(created, dim_locations)
+    top = F.coalesce(posts.agg(F.max("id")).scalar(), F.lit(0))
+    drafts = K.calendar_post(K.calendar_meta(with_ids, location_id="location_id"))
+    numbered = dense_index(drafts, [F.col("uid")], out="_n").withColumn("id", (top + F.col("_n")).cast("bigint"))
+    new = written_table(numbered.select("id", "uid", F.col("post.status").alias("status"), F.col("post.title").alias("title"),
+                                        F.col("post.content").alias("content"), F.col("post.type").alias("type"),
+                                        F.col("post.meta").alias("meta")))
+    published = K.publish(new, new.select("id"))
+    outcome = K.upload_outcome(once, new, "uid").first().asDict()
+    outcome["published"] = published.where(F.col("status") == "publish").count()
+    return {"posts": posts.unionByName(published), "new_posts": published, "locations": locations, "outcome": outcome,
+            "summary": B.published_rows(created, keep=["uid"])}
+
+
+def calendar_job(month_pages: DataFrame, detail_pages: DataFrame, ics_files: DataFrame, model, out_base: str,
+                 posts: DataFrame, dim_locations: DataFrame, run_ts: str | None = None, base: str | None = None) -> dict:
+    """One run from stored pages to the published summary (§3.1): extraction,
+    classification and export (``periodic_run``), upload and publication. The
+    result joins both parts' results (the new post table as ``posts_table``) and
+    the pages without a calendar URL."""
+    events, errors = scrape_frame(month_pages, detail_pages, ics_files, base)
+    run = periodic_run(written_table(events), model, out_base, run_ts)
+    done = upload_publish_job(run["community"], posts, dim_locations)
+    return {**run, **done, "posts": run["posts"], "posts_table": done["posts"], "errors": errors}
+
+
 def health_job(posts: DataFrame, pages: DataFrame, now_epoch: int, threshold: int = 5,
                require_page: bool = False, api_ok: bool = True) -> dict:
     """Monitor: upcoming count over all published posts (L2), calendar

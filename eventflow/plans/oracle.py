@@ -105,6 +105,30 @@ SELECT doc_id, term, tf, round(CASE WHEN sqrt(sum(raw * raw) OVER (PARTITION BY
   THEN raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) ELSE 0 END, 6) AS weight FROM w"""
 
 
+def given_scores():
+    """Scores by a model given by rule: cosine-normalised weights times coefficients, and the numeric part."""
+    text = "strip_accents(lower(coalesce(split_part(text, chr(10), 1), '') || ' ' || coalesce(text, '')))"
+    ctes = tfidf(text, pruned=True).split("\nSELECT doc_id, term, tf")[0]
+    return ctes + f""",
+x AS (SELECT doc_id, sum(raw * ((ascii(term) * 31 + length(term)) % 21 - 10) / 10.0) / sqrt(sum(raw * raw)) AS dot FROM w GROUP BY doc_id),
+{DL}, f AS (SELECT *, TIMESTAMP '2024-01-01' + to_seconds(doc_id * 5003) AS starts, CASE doc_id % 5 WHEN 0 THEN 0.5 WHEN 1 THEN -0.4 WHEN 2 THEN 0.7 ELSE 0 END AS place FROM dl),
+g AS (SELECT f.*, coalesce(x.dot, 0) - 2.0 + place + 0.2 * 0.3 * CASE WHEN f.doc_id % 6 = 0 THEN -1 ELSE hour(starts) END
+  - 0.5 * CASE WHEN f.doc_id % 6 <> 0 AND isodow(starts) IN (6, 7) THEN 1 ELSE 0 END AS score FROM f LEFT JOIN x USING (doc_id)),
+s AS (SELECT *, CAST(score > 0 AS INTEGER) AS pred, 1 / (1 + abs(score)) AS mconf,
+  greatest(1 / (1 + exp(-(1.3 * score - 0.2))), 1 - 1 / (1 + exp(-(1.3 * score - 0.2)))) AS conf FROM g)"""
+
+
+PLATT = """WITH RECURSIVE m AS (SELECT (n_chars % 1000 - 500) / 250.0 + (quality - 0.5) AS s, quality AS y FROM documents JOIN labels USING (doc_id)
+  WHERE quality IN (0, 1)),
+c AS (SELECT count(*) FILTER (WHERE y = 1) AS p, count(*) FILTER (WHERE y = 0) AS n FROM m),
+t AS (SELECT CAST(s AS DOUBLE) AS s, CASE WHEN y = 1 THEN (p + 1.0) / (p + 2.0) ELSE 1.0 / (n + 2.0) END AS t FROM m, c),
+it(i, a, b) AS (SELECT 0, CAST(0 AS DOUBLE), CAST(ln((p + 1.0) / (n + 1.0)) AS DOUBLE) FROM c
+  UNION ALL SELECT i + 1, a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab), b - (haa * gb - hab * ga) / (haa * hbb - hab * hab) FROM
+  (SELECT i, a, b, sum((p - t) * s) AS ga, sum(p - t) AS gb, sum(p * (1 - p) * s * s) AS haa, sum(p * (1 - p) * s) AS hab, sum(p * (1 - p)) AS hbb
+   FROM (SELECT i, a, b, s, t, 1 / (1 + exp(-(a * s + b))) AS p FROM it, t WHERE i < 25) GROUP BY i, a, b))
+SELECT round(a, 6) AS a, round(b, 6) AS b, true AS converged FROM it WHERE i = 25"""
+
+
 def review_base():
     return f"""SELECT event_id, event_type AS title, strftime(ts, '%b %d, %Y %I:%M %p') AS start_text,
   coalesce(CASE WHEN event_type = 'view' THEN NULL ELSE 'user ' || CAST(user_id AS VARCHAR) END, 'N/A') AS location_text"""
@@ -320,6 +344,19 @@ UNION ALL SELECT 'weighted avg', round((pr0 * sup0 + pr1 * sup1) / n, 6), round(
   FROM events"""
     d["tfidf_topk"] = tfidf("lower(text)", pruned=False)
     d["tfidf_pruned"] = tfidf("strip_accents(lower(text))", pruned=True)
+    given = given_scores()
+    d["linear_scores"] = given + " SELECT doc_id, round(score, 6) AS score, pred AS predicted_label, round(mconf, 6) AS prediction_confidence FROM s"
+    d["classify_given"] = given + " SELECT doc_id, pred AS is_community_event, round(conf, 6) AS confidence, conf < 0.75 AS needs_review FROM s"
+    d["smart_label_given"] = given + """ SELECT doc_id, CASE WHEN label IS NOT NULL THEN label WHEN NOT mconf < 0.55 THEN pred END AS label,
+  CASE WHEN label IS NULL THEN pred END AS predicted_label, CASE WHEN label IS NULL THEN round(mconf, 6) END AS confidence,
+  CASE WHEN label IS NULL THEN mconf < 0.55 END AS needs_review FROM s"""
+    d["self_train_given"] = given + """, r1 AS (SELECT series_id, pred AS label, count(*) AS n FROM s WHERE series_id IS NOT NULL GROUP BY ALL),
+m1 AS (SELECT series_id, label FROM r1 QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY n DESC, label) = 1),
+u AS (SELECT s.doc_id, s.series_id, coalesce(s.label, m1.label, s.pred) AS label FROM s LEFT JOIN m1 USING (series_id)),
+r2 AS (SELECT series_id, label, count(*) AS n FROM u WHERE series_id IS NOT NULL GROUP BY ALL),
+m2 AS (SELECT series_id, label FROM r2 QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY n DESC, label) = 1)
+SELECT u.doc_id, m2.label, 'series_propagation' AS label_source FROM u JOIN m2 USING (series_id)"""
+    d["platt_calibration"] = PLATT
     d["scale_no_mean"] = """WITH s AS (SELECT stddev_pop(value) AS sv, stddev_pop(CAST(user_id AS DOUBLE)) AS su FROM events)
 SELECT event_id, round(value / coalesce(CASE WHEN sv <> 0 THEN sv END, 1.0), 6) AS value_scaled,
   round(CAST(user_id AS DOUBLE) / coalesce(CASE WHEN su <> 0 THEN su END, 1.0), 6) AS user_id_scaled FROM events, s"""

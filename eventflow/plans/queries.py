@@ -686,9 +686,78 @@ def q_self_train(spark, sf_dir):
     existing = d.where(F.col("label").isNotNull())
     new = d.drop("label")
     # the query's result is the merged set; the final refit is exercised by the job tests
-    merged, _, _ = self_train(existing, new, uid="uid", series="series_id", key="doc_id", order_col="doc_id",
-                              fit_final=False)
+    merged = self_train(existing, new, uid="uid", series="series_id", key="doc_id", order_col="doc_id",
+                        fit_final=False).merged
     return merged.select("doc_id", "label", "label_source")
 
 
+# --------------------------------------------------------------------- J (a given model)
+GIVEN_NUMERIC = {"hour": (0.2, 0.3), "is_weekend": (2.0, -0.25), "venue_library": (1.0, 0.5),
+                 "venue_park": (1.0, -0.4), "venue_museum": (1.0, 0.7)}
+GIVEN_INTERCEPT = -2.0
+GIVEN_PLATT = (1.3, -0.2)
+
+
+def _given_docs(spark, sf_dir):
+    """Documents as events: start and place follow the id, every sixth has no start."""
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 5003)
+    place = F.when(F.col("doc_id") % 5 == 0, "City Library").when(F.col("doc_id") % 5 == 1, "Central Park").when(
+        F.col("doc_id") % 5 == 2, "Art Gallery").otherwise(F.col("location"))
+    return _model_docs(spark, sf_dir).withColumns({
+        "start": F.when(F.col("doc_id") % 6 != 0, F.date_format(at, "yyyy-MM-dd HH:mm:ss")), "location": place})
+
+
+def _given_model(docs):
+    """The trainer's features (I5, I7) of all documents with coefficients by rule in place of a fit."""
+    from ..operators import models as J
+    from ..session import written_table
+    spec = J.FeatureSpec(kind="trainer")
+    counts = I.by_term(I.term_counts(spec.prepare(docs).select("doc_id", "_text"), "doc_id", "_text"), "doc_id")
+    n = docs.agg(F.count(F.lit(1))).scalar()
+    vocab = I.pruned(I.corpus_counts(counts, "doc_id"), n, spec.min_df, spec.max_df)
+    coef = ((F.ascii("term") * 31 + F.length("term")) % 21 - 10) / F.lit(10.0)
+    terms = written_table(vocab.select("term", I.smooth_idf(n).alias("idf"), coef.alias("coef")))
+    return J.TextModel(spec, terms, terms.count(), GIVEN_NUMERIC, GIVEN_INTERCEPT, platt=GIVEN_PLATT)
+
+
+def q_linear_scores(spark, sf_dir):
+    from ..operators.models import margin_confidence_expr, predict
+    docs = _given_docs(spark, sf_dir)
+    out = predict(docs, _given_model(docs))
+    return out.select("doc_id", r6(F.col("score")).alias("score"), "predicted_label",
+                      r6(margin_confidence_expr(F.col("score"))).alias("prediction_confidence"))
+
+
+def q_classify_given(spark, sf_dir):
+    from ..operators.models import classify
+    docs = _given_docs(spark, sf_dir)
+    out = classify(docs, _given_model(docs))
+    return out.select("doc_id", "is_community_event", r6(F.col("confidence")).alias("confidence"), "needs_review")
+
+
+def q_smart_label_given(spark, sf_dir):
+    from ..operators.models import smart_label
+    docs = _given_docs(spark, sf_dir)
+    existing = docs.where(F.col("label").isNotNull()).select("doc_id", "uid", "label")
+    out = smart_label(docs.drop("label"), _given_model(docs), auto=True, existing=existing, order_col="doc_id")
+    return out.select("doc_id", "label", "predicted_label", r6(F.col("confidence")).alias("confidence"), "needs_review")
+
+
+def q_self_train_given(spark, sf_dir):
+    from ..operators.models import self_train
+    docs = _given_docs(spark, sf_dir)
+    merged = self_train(docs.where(F.col("label").isNotNull()), docs.drop("label"), order_col="doc_id",
+                        fit_final=False, first=_given_model(docs)).merged
+    return merged.select("doc_id", "label", "label_source")
+
+
+def q_platt_calibration(spark, sf_dir):
+    from ..operators.models import platt_newton
+    lab = load(spark, sf_dir, "labels").where("quality in (0, 1)")
+    margins = load(spark, sf_dir, "documents").join(lab, "doc_id").select(
+        ((F.col("n_chars") % 1000 - 500) / F.lit(250.0) + (F.col("quality") - 0.5)).alias("_s"), F.col("quality").alias("label"))
+    found = platt_newton(margins)
+    return spark.createDataFrame([(round(found["a"], 6), round(found["b"], 6), found["converged"])], "a double, b double, converged boolean")
+
+
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}

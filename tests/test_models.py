@@ -113,3 +113,44 @@ def test_platt_smoothed_targets(spark):
                                "_s double, label double")
     a, b = J.platt_fit(df)
     assert 0 < a < 20 and abs(b) < 1e-3 + abs(a)
+
+
+def test_calibration_in_spark_and_on_the_driver_agree(spark):
+    rows = spark.range(0, 3000).select(((F.xxhash64("id") % 1000) / 250.0).alias("_s"),
+                                       (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100)) < 40 + 10 * F.signum(F.xxhash64("id") % 1000)).cast("int").alias("label"))
+    rows = rows.unionByName(spark.createDataFrame([(None, 1), (1.0, None)], "_s double, label int"))
+    one, many = J.platt_newton(rows), J.platt_newton(rows, limit=10)
+    assert one["converged"] and many["converged"] and one["steps"] == many["steps"]
+    assert abs(one["a"] - many["a"]) < 1e-9 and abs(one["b"] - many["b"]) < 1e-9
+    for da, db in ((0.01, 0), (-0.01, 0), (0, 0.01), (0, -0.01)):  # no neighbour is better
+        held = rows.where("_s is not null and label is not null").toPandas()
+        pos, neg = (held.label == 1).to_numpy(float), (held.label == 0).to_numpy(float)
+        hi, lo = (pos.sum() + 1) / (pos.sum() + 2), 1 / (neg.sum() + 2)
+        at = lambda a, b: J._platt_loss(held._s.to_numpy(), pos, neg, hi, lo, a, b)[0]  # noqa: B023, E731
+        assert at(one["a"], one["b"]) < at(one["a"] + da, one["b"] + db)
+    assert J.platt_newton(rows.limit(0))["converged"]
+
+
+def test_large_coefficient_table_is_joined_by_term(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a{i % 7} b{i % 3} hot word") for i in range(200)], "id long, text string")
+    terms = I.corpus_counts(I.by_term(I.term_counts(docs, "id", "text"), "id"), "id").select(
+        "term", F.lit(1.5).alias("idf"), (F.length("term") - 5.0).alias("coef"))
+    n = terms.count()
+    small = {r.id: r.text_score for r in I.linear_scores(docs, "id", "text", terms, n).collect()}
+    monkeypatch.setattr(I, "BROADCAST_TERMS", 0)
+    plan = I.linear_scores(docs, "id", "text", terms, n)
+    assert {r.id: round(r.text_score, 9) for r in plan.collect()} == {i: round(s, 9) for i, s in small.items()}
+
+
+def test_trainer_uses_sublinear_counts(spark):
+    rows = [("one one one one two", "", 1), ("one two", "", 0), ("two three", "", 1), ("three", "", 0)]
+    d = spark.createDataFrame(rows, "title string, description string, label int")
+    spec = J.FeatureSpec(kind="trainer", min_df=2, max_df=1.0)
+    got = J.training_set(spec.prepare(d), spec, "label")
+    names = {r.idx: r.term for r in got.vocabulary.collect()}
+    idf = {r.term: r.idf for r in got.vocabulary.collect()}
+    assert set(names.values()) == {"one", "two", "three", "one two"}
+    want = {"one": (1 + math.log(4)) * idf["one"], "two": idf["two"], "one two": idf["one two"]}
+    norm = math.sqrt(sum(w * w for w in want.values()))
+    vectors = [{names[i]: v for i, v in zip(r.features.indices, r.features.values) if i in names} for r in got.vectors.collect()]
+    assert any(set(v) == set(want) and all(abs(v[t] - w / norm) < 1e-12 for t, w in want.items()) for v in vectors)
