@@ -29,6 +29,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores added until ``df`` has no such column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def with_row_key(df: DataFrame, prefix: str = "_row") -> tuple[DataFrame, list[str]]:
     """``df`` plus two columns that name each row for good: the hash of its
     file's path and its position in that file.
@@ -37,7 +48,7 @@ def with_row_key(df: DataFrame, prefix: str = "_row") -> tuple[DataFrame, list[s
     ones. A frame that is not read from Parquet is written to the shared
     folder first.
     """
-    names = [f"{prefix}_file", f"{prefix}_pos"]
+    names = fresh(df, f"{prefix}_file", f"{prefix}_pos")
 
     def keyed(d):
         return d.select(*[F.col(f"`{c}`") for c in d.columns],

@@ -29,12 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_join, materialize, run_starts, with_row_key
+from .common import bucket_join, fresh, materialize, run_starts, with_row_key
 
 #: Edits at any length; from 10 characters on this binds and SIMILARITY does not (README: what that leaves).
 MAX_EDITS = 2
 SIMILARITY = 0.8
 MIN_WORDS = 5
+#: Lines of so many characters count whatever their words: text without spaces, long addresses.
+MIN_CHARS = 20
 #: Bits of the bitmap that tells which lines' texts are needed (8 MB).
 BITMAP = 1 << 26
 #: Lines that a task remembers so as not to pass their segments on twice.
@@ -119,11 +121,12 @@ def near(a: str, b: str, max_edits: int, similarity: float) -> bool:
     return edits_within(a, b, most) is not None
 
 
-def _lines(text: str | None, min_words: int):
-    """(number, line without white space at its ends) of the lines that count."""
+def _lines(text: str | None, min_words: int, min_chars: int = MIN_CHARS):
+    """(number, line without white space at its ends) of the lines that count: those
+    of ``min_words`` words, and those of ``min_chars`` characters in any script."""
     for i, line in enumerate((text or "").split("\n")):
         line = line.strip(SPACE)
-        if line and len(line.encode("utf-8", "surrogatepass").split(None, min_words - 1)) >= min_words:
+        if line and (len(line) >= min_chars or len(line.encode("utf-8", "surrogatepass").split(None, min_words - 1)) >= min_words):
             yield i, line
 
 
@@ -299,12 +302,13 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max
     ``n_lines`` and ``dropped_lines`` (numbers from 0, ascending) after the columns."""
     keyed, keys = with_row_key(docs)
     gone = duplicate_lines(keyed, keys, text, doc_id, max_edits, similarity, min_words)
-    per = gone.groupBy(*keys).agg(F.sort_array(F.collect_list("line")).alias("_gone"))
+    (lost,) = fresh(keyed, "_gone")
+    per = gone.groupBy(*keys).agg(F.sort_array(F.collect_list("line")).alias(lost))
     both = keyed.join(per, keys, "left")
     parts = F.split(F.col(f"`{text}`").cast("string"), "\n", -1)
-    kept = F.when(F.col("_gone").isNull(), F.col(f"`{text}`")).otherwise(
-        F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n"))
+    kept = F.when(F.col(lost).isNull(), F.col(f"`{text}`")).otherwise(
+        F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col(lost), i)), "\n"))
     out = [kept.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     if report:
-        out += [F.coalesce(F.size(parts), F.lit(0)).alias("n_lines"), F.coalesce("_gone", F.array().cast("array<int>")).alias("dropped_lines")]
+        out += [F.coalesce(F.size(parts), F.lit(0)).alias("n_lines"), F.coalesce(lost, F.array().cast("array<int>")).alias("dropped_lines")]
     return both.select(*out)

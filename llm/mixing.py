@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from eventflow.operators.numbering import dense_index
 
-from .common import materialize, with_row_key
+from .common import fresh, materialize, with_row_key
 
 #: Most copies of a document, and of a source's words.
 LIMIT = 3
@@ -168,8 +168,9 @@ def mixed_rows(docs: DataFrame, text: str = "text", source: str = "source", doc_
     """``docs`` with each row as often as the mix takes it. A row without words takes no words
     and stays once, where its source has a target."""
     keyed, keys = with_row_key(docs)
+    own, keys = keys, ["_file", "_pos"]
     rows = materialize(keyed.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"),
-                                    words(text).alias("size"), *keys))
+                                    words(text).alias("size"), *[F.col(k).alias(n) for k, n in zip(own, keys)]))
     made = materialize(copies(rows, limit, seed))
     same = ["doc_id", "source", "size"]
     lone = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("_n"), *[F.min(k).alias(k) for k in keys])
@@ -182,9 +183,10 @@ def mixed_rows(docs: DataFrame, text: str = "text", source: str = "source", doc_
     inside = Window.partitionBy(*same, "_salt").orderBy(*keys)
     many = _match(again.withColumn("_at", F.row_number().over(inside)), parts, [*same, "_salt"], ["_off"])
     numbered = alone.union(many.select(*same, *keys, (F.col("_at") + F.col("_off")).alias("nth")))
+    times, copy = fresh(keyed, "_copies", "_copy")
     chosen = _match(numbered, made, [*same, "nth"], ["copies"]).select(
-        *keys, F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).cast("int").alias("_copies")).filter("_copies > 0")
-    taken = keyed.join(chosen, keys).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        *[F.col(n).alias(k) for k, n in zip(own, keys)], F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).cast("int").alias(times)).filter(F.col(times) > 0)
+    taken = keyed.join(chosen, own).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
     return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -38,6 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 #: Default place of the model; any SentencePiece model with byte fallback will do.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
@@ -454,7 +456,8 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = SA
            model: str = MODEL, verify: bool = False) -> DataFrame:
     """``docs`` plus ``pieces`` (k lists of ids, best first), ``log_prob``,
     ``perturbed`` and ``log_inclusion`` (one number per list); with ``verify`` also
-    ``decodes``: whether every list decodes to the text."""
+    ``decodes``: whether every list decodes to the text. Columns of ``docs`` that
+    have one of these names are replaced."""
     loaded = load_pieces(model)
     table = _bytes(loaded)
     vocabulary = Vocabulary(loaded, theta)
@@ -465,8 +468,9 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = SA
     names = [*base.columns, *shown]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema), "pieces array<array<int>>", *(f"{c} array<double>" for c in added[1:]),
                         *["decodes boolean"] * verify])
-    packed = docs.select(*[F.col(f"`{c}`") for c in base.columns], F.xxhash64(F.lit(seed), F.col(f"`{key}`")).alias("_key"),
-                         F.col(f"`{text}`").cast("string").alias("_text"))
+    names_in = fresh(base, "_key", "_text")
+    packed = docs.select(*[F.col(f"`{c}`") for c in base.columns], F.xxhash64(F.lit(seed), F.col(f"`{key}`")).alias(names_in[0]),
+                         F.col(f"`{text}`").cast("string").alias(names_in[1]))
 
     def lists(values, lens):
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), values)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh, materialize
 
 BUCKETS = 1 << 20
 FACTORS = 8
@@ -140,8 +140,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     cut = int(min(1.0, max_train / max(1, usable.count())) * (1 << 32))
     sample = usable.filter(F.pmod(F.xxhash64("_of"), F.lit(1 << 32)) < cut)
     # about max_train ids at most, so small enough to send to every task: no text is moved
-    rows = docs.join(F.broadcast(sample), F.col(f"`{doc_id}`") == F.col("_of")).select(
-        "_of", "_y", F.col(f"`{text}`").cast("string").alias("_text"))
+    narrow = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").cast("string").alias("_text"))
+    rows = narrow.join(F.broadcast(sample), F.col("_id") == F.col("_of")).select("_of", "_y", "_text")
 
     def terms(batches):
         seen: dict = {}
@@ -201,7 +201,7 @@ def _scored(docs: DataFrame, machine: Machine, text: str, out: str) -> DataFrame
     """``docs`` plus a score column; one pass, Arrow batches."""
     names = [*docs.columns, out]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{out}` double"])
-    packed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"`{text}`").cast("string").alias(f"{out}_text"))
+    packed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"`{text}`").cast("string").alias(fresh(docs, f"{out}_text")[0]))
 
     def run(batches):
         seen: dict = {}
@@ -226,4 +226,5 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id:
                  threshold: float = THRESHOLD, **fit) -> DataFrame:
     """``docs`` without the rows whose score reaches ``threshold``."""
     machine = train(docs, labels, text, doc_id, label, **fit)
-    return _scored(docs, machine, text, "_toxicity").filter(F.col("_toxicity") < threshold).drop("_toxicity")
+    (score,) = fresh(docs, "_toxicity")
+    return _scored(docs, machine, text, score).filter(F.col(score) < threshold).drop(score)
