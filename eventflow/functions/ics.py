@@ -56,8 +56,9 @@ def first_lines(lines) -> Column:
 
 def line_param(params, param: str) -> Column:
     """One parameter's value without quotes ('' if absent)."""
-    v = F.regexp_extract(col_of(params), rf"""(?i)^(?:;(?!{param}=)[A-Za-z0-9-]++=(?:"[^"]*+"|[^";:]++)*+)*+;{param}=("[^"]*+"|[^";:]*+)""", 1)
-    return F.replace(v, F.lit('"'), F.lit(""))
+    p = col_of(params)
+    v = F.regexp_extract(p, rf"""(?i)^(?:;(?!{param}=)[A-Za-z0-9-]++=(?:"[^"]*+"|[^";:]++)*+)*+;{param}=("[^"]*+"|[^";:]*+)""", 1)
+    return F.when(F.upper(p).contains(f"{param.upper()}="), F.replace(v, F.lit('"'), F.lit(""))).otherwise(F.lit(""))
 
 
 def unescape_text(c) -> Column:
