@@ -33,7 +33,7 @@ def test_toxicity(spark, clashing):
 
 def test_lines(clashing):
     rows = kept(lines.dedup_lines(clashing))
-    assert len(rows) == 30 and sum("\n" in r.text for r in rows) == 7  # the second lines, 10 characters, stay
+    assert len(rows) == 30 and sum("\n" in r.text for r in rows) == 1  # first lines are within two edits of the first; second lines, 10 characters, stay
 
 
 def test_simhash(clashing):
