@@ -1,0 +1,63 @@
+"""The first row of each key in two narrow phases (used by G3-G6, H2, H3).
+
+Phase one reads the key, the rank and a 64-bit hash of what is wanted, and
+keeps per key the hash at the smallest rank. All of its buffers have a fixed
+width, so Spark aggregates in a hash table, without sorting and without moving
+texts. Phase two fetches the wanted rows or values by key and hash. The hash is
+part of the join key, so the rows of a hot key spread over all tasks.
+"""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Nulls of an ordinal sort as its smallest value.
+LEAST = -(1 << 63)
+
+
+def packed(df: DataFrame, major: Column, minor: Column) -> Column:
+    """``(major, minor)`` as one number that sorts like the pair, nulls of
+    ``minor`` first; ``major`` is an int. An ordinal that is no whole number
+    stays in a struct, which sorts the same but is aggregated by sorting."""
+    if not isinstance(df.select(minor.alias("m")).schema["m"].dataType, T.IntegralType):
+        return F.struct(major, minor)
+    low = F.coalesce(minor.cast("bigint"), F.lit(LEAST)).cast("decimal(20,0)")
+    return major.cast("int").cast("decimal(10,0)") * F.lit(Decimal(1 << 64)) + low
+
+
+def row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def groupable(df: DataFrame) -> bool:
+    """Whether whole rows can be hashed and grouped (no maps or variants)."""
+    return not any(w in f.dataType.simpleString() for f in df.schema for w in ("map<", "variant"))
+
+
+def first_rows(df: DataFrame, key: str, rank: Column, alone: Column) -> DataFrame:
+    """One row per ``key`` (null counts as a key), the one of the smallest
+    ``rank`` (never null); rows with ``alone`` come out as they are. Of equal
+    ranks any one row stays; of equal rows, one."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    alone = F.coalesce(alone, F.lit(False))
+    best = (df.where(~alone).select(F.col(f"`{key}`").alias("_best_key"), row_hash(df).alias("_h"), rank.alias("_rank"))
+            .groupBy("_best_key").agg(F.min_by("_h", "_rank").alias("_best")))
+    rows = df.select(*cols, row_hash(df).alias("_h"), F.when(alone, F.monotonically_increasing_id()).alias("_u"))
+    found = rows.join(best, F.col(f"`{key}`").eqNullSafe(F.col("_best_key")) & (F.col("_h") == F.col("_best"))
+                      & F.col("_u").isNull(), "left")
+    kept = found.where(F.col("_u").isNotNull() | F.col("_best").isNotNull())
+    # equal rows become one; distinct by the join's keys too, so nothing moves again
+    return kept.select(*cols, "_h", "_u").distinct().select(*cols)
+
+
+def fetch_values(top: DataFrame, df: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """``top`` (a few rows: ``key`` and ``_h``, the hash of a value) plus that
+    value of ``df``; ``top`` is sent to the rows, which do not move."""
+    rows = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{value}`").alias("_value"))
+    match = F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (F.col("_h") == F.xxhash64("_value"))
+    kept = [F.col(f"`{c}`") for c in top.columns if c != "_h"]
+    return (rows.join(F.broadcast(top), match).select(*kept, F.col("_value").alias(out)).distinct())

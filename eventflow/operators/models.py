@@ -424,7 +424,7 @@ def smart_label(df: DataFrame, model: TextModel, threshold: float = REVIEW_MARGI
     if auto:
         out = out.withColumn("label", F.when(~F.col("needs_review"), F.col("predicted_label")))
     if existing is not None:
-        out = merge_first_wins(existing, out, uid=uid, order_col=order_col)
+        out = merge_first_wins(existing, out, uid=uid, order_col=order_col, single_pass=True)  # scores once
     return out
 
 
@@ -468,7 +468,7 @@ def self_train(existing: DataFrame, new: DataFrame, label: str = "label", uid: s
     # propagated; without one, all new rows count as model predictions
     any_series = pred.agg(F.coalesce(F.bool_or(F.col("label_source") == SOURCE_SERIES), F.lit(False))).scalar()
     pred = pred.withColumn("label_source", F.when(any_series, F.col("label_source")).otherwise(F.lit(SOURCE_MODEL)))
-    merged = merge_by_priority(existing, pred, uid=uid, order_col=order_col)
+    merged = merge_by_priority(existing, pred, uid=uid, order_col=order_col, single_pass=True)
     merged = written_table(propagate_majority_overwrite(merged, series, label))
     final, report = None, None
     lab = merged.where(F.col(label).isNotNull())

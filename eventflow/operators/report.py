@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import parse_label
+from .firsts import fetch_values, packed
 
 
 def value_counts(df: DataFrame, col: str, dropna: bool = False, out: str = "n") -> DataFrame:
@@ -20,27 +21,31 @@ def value_counts(df: DataFrame, col: str, dropna: bool = False, out: str = "n")
             .orderBy(F.desc(out), F.asc_nulls_last(col)))
 
 
+def _first_title(df: DataFrame, title: str, order_col: str):
+    """Hash of the first non-null title (of null, if there is none)."""
+    t = F.col(title)
+    return F.min_by(F.xxhash64(t), packed(df, t.isNull().cast("int"), F.col(order_col))).alias("_h")
+
+
 def series_summary(df: DataFrame, series: str = "series_id", label: str = "label",
                    title: str = "title", order_col: str = "_ord", k: int = 15,
                    variant: str = "mask") -> DataFrame:
     """H2: per series its labelled count and first title; series with labels
     only, most labelled first (ties by series id), top ``k``."""
-    t = F.col(title)
-    return (df.groupBy(series)
-            .agg(F.count_if(parse_label(label, variant).isNotNull()).alias("labeled_count"),
-                 F.min_by(t, F.when(t.isNotNull(), F.col(order_col))).alias("title"))
-            .where(F.col("labeled_count") > 0)
-            .orderBy(F.desc("labeled_count"), F.asc(series)).limit(k))
+    top = (df.groupBy(series)
+           .agg(F.count_if(parse_label(label, variant).isNotNull()).alias("labeled_count"), _first_title(df, title, order_col))
+           .where(F.col("labeled_count") > 0)
+           .orderBy(F.desc("labeled_count"), F.asc(series)).limit(k))
+    return fetch_values(top, df, series, title, "title").orderBy(F.desc("labeled_count"), F.asc(series))
 
 
 def unlabeled_series(df: DataFrame, series: str = "series_id", title: str = "title",
                      label: str = "label", order_col: str = "_ord", k: int = 10) -> DataFrame:
     """H3: first non-null title of each series that still has unlabelled rows,
     first ``k`` series in key order."""
-    t = F.col(title)
-    return (df.where(F.col(label).isNull()).where(F.col(series).isNotNull())
-            .groupBy(series).agg(F.min_by(t, F.when(t.isNotNull(), F.col(order_col))).alias("title"))
-            .orderBy(series).limit(k))
+    open_rows = df.where(F.col(label).isNull()).where(F.col(series).isNotNull())
+    top = open_rows.groupBy(series).agg(_first_title(df, title, order_col)).orderBy(series).limit(k)
+    return fetch_values(top, open_rows, series, title, "title").orderBy(series)
 
 
 def batch_stats(df: DataFrame, pred: str = "is_community_event", flag: str = "needs_review") -> DataFrame:

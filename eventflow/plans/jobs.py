@@ -243,7 +243,7 @@ def upload_publish_job(events: DataFrame, posts: DataFrame, dim_locations: DataF
     from ..operators.numbering import dense_index
     ready = B.ensure_columns(events, ["uid", "title", "description", "start", "end", "location", "url"], default=None)
     keyed = ready.withColumn("uid", upload_key(ready)).join(posts.select("uid"), "uid", "left_anti")
-    once = written_table(G.keep_first(keyed, "uid", F.xxhash64(*[F.col(f"`{c}`") for c in keyed.columns])))
+    once = written_table(G.keep_first(keyed, "uid", F.xxhash64(*[F.col(f"`{c}`") for c in keyed.columns]), single_pass=True))
     created = once if failed is None else once.join(failed.select("uid"), "uid", "left_anti")
     with_ids, locations = K.upsert_locations(created, dim_locations)
     top = F.coalesce(posts.agg(F.max("id")).scalar(), F.lit(0))
