@@ -89,16 +89,19 @@ class Vocabulary:
         self.byte_weight = (rank + 2.0) ** -theta
         self.letters = {t for t in self.ids if len(t) == 1}
         self.heads = {t[:n] for t in self.ids for n in range(1, len(t) + 1)}
-        self.levels = []  # by length: sorted hashes of beginnings, id or -1, weight
+        self.levels = []  # by length: sorted hashes of beginnings, id or -1, weight; where each hash's leading bits start, bits left
         for n in range(1, max(map(len, self.ids), default=0) + 1):
             own = [h for h in self.heads if len(h) == n]
             codes = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, n)
             hashes = np.zeros(len(own), np.uint64)
             for c in range(n):
-                hashes = hashes * STEP + codes[:, c] + np.uint64(1)
+                hashes = (hashes + codes[:, c] + np.uint64(1)) * STEP
             order = np.argsort(hashes)
-            self.levels.append((hashes[order], np.array([self.ids.get(own[i], -1) for i in order], np.int32),
-                                np.array([self.weight.get(own[i], 0.0) for i in order])))
+            bits = max(1, (4 * len(own)).bit_length())
+            tops = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+            starts = np.searchsorted(hashes[order], tops).astype(np.int32)
+            self.levels.append((np.append(hashes[order], ~np.uint64(0)), np.array([self.ids.get(own[i], -1) for i in order] + [-1], np.int32),
+                                np.array([self.weight.get(own[i], 0.0) for i in order] + [0.0]), starts, np.uint64(64 - bits)))
 
 
 class Lattices:
@@ -107,14 +110,15 @@ class Lattices:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
+        self.store = {k: np.zeros(1 << 16, np.int32) for k in ("first", "count")}
+        self.edge = {k: np.zeros(1 << 16, t) for k, t in (("end", np.int32), ("piece", np.int32), ("p", np.float64))}
         self.clear()
 
     def clear(self):
+        """Forget all chunks; the arrays are written over."""
         self.known: dict[str, int] = {}
         self.nodes = 0
         self.edges = 0
-        self.store = {k: np.zeros(1 << 16, np.int32) for k in ("first", "count")}
-        self.edge = {k: np.zeros(1 << 16, t) for k, t in (("end", np.int32), ("piece", np.int32), ("p", np.float64))}
 
     def add(self, chunks) -> None:
         """Build the lattices of new chunks: most of them side by side, those that
@@ -133,19 +137,29 @@ class Lattices:
         start = stop - size
         row = np.repeat(np.arange(len(chunks)), size)
         left = stop[row] - np.arange(n)  # letters to the chunk's end
-        weights, pieces = [], []
-        h, live = np.zeros(n, np.uint64), np.arange(n)
-        for k, (hashes, ids, worth) in enumerate(self.v.levels):
-            live = live[left[live] > k]
-            if not len(live):
-                break
-            h[live] = h[live] * STEP + codes[live + k] + np.uint64(1)
-            at = np.minimum(np.searchsorted(hashes, h[live]), len(hashes) - 1)
-            ok = hashes[at] == h[live]
-            live, at = live[ok], at[ok]
-            weights.append(np.zeros(n)), pieces.append(np.full(n, -1, np.int32))
-            weights[k][live], pieces[k][live] = worth[at], ids[at]
-        weight, piece = np.stack(weights, axis=1), np.stack(pieces, axis=1)
+        depth = min(len(self.v.levels), int(size[0]))
+        weight, found, degree = np.zeros((n, depth)), [], np.zeros(n, np.int32)
+        h, live, rest = np.zeros(n, np.uint64), np.arange(n), left
+        for k, (hashes, ids, worth, starts, shift) in enumerate(self.v.levels[:depth]):
+            if k:
+                more = rest > k
+                h, live, rest = h[more], live[more], rest[more]
+                if not len(live):
+                    break
+            h = (h + codes[live + k] + np.uint64(1)) * STEP
+            at = starts[h >> shift]
+            later = np.flatnonzero(hashes[at] < h)
+            while len(later):
+                at[later] += 1
+                later = later[hashes[at[later]] < h[later]]
+            ok = np.flatnonzero(hashes[at] == h)
+            h, live, rest, at = h[ok], live[ok], rest[ok], at[ok]
+            whole = np.flatnonzero(ids[at] >= 0)
+            letter, at = live[whole], at[whole]
+            weight[letter, k] = worth[at]
+            degree[letter] += 1
+            found.append((letter, ids[at]))
+        weight = weight[:, : len(found)]
         # paths from a letter to the chunk's end, by letters left; longest chunks first
         total = np.zeros((len(chunks), int(size[0]) + 1))
         total[:, 0] = 1.0
@@ -153,15 +167,23 @@ class Lattices:
             m = int(np.searchsorted(-size, -d, side="right"))
             w = min(d, weight.shape[1])
             total[:m, d] = np.einsum("ij,ij->i", weight[stop[:m] - d, :w], total[:m, d - w: d][:, ::-1])
-        at, k = np.nonzero(piece >= 0)
-        p = weight[at, k] * total[row[at], left[at] - k - 1] / total[row[at], left[at]]
+        # a letter's edges lie together, longest first: mostly the likeliest
+        put = np.cumsum(degree) - degree
+        at, size_of, piece = (np.empty(int(degree.sum()), t) for t in (np.int64, np.int64, np.int32))
+        for k in range(len(found) - 1, -1, -1):
+            letter, ids = found[k]
+            to = put[letter]
+            put[letter] += 1
+            at[to], size_of[to], piece[to] = letter, k + 1, ids
+        flat, cell = total.ravel(), (row * total.shape[1] + left)[at]
+        p = weight[at, size_of - 1] * flat[cell - size_of] / flat[cell]
         # a node for every letter and one for each chunk's end
         node = self.nodes + np.arange(n) + row
         count = np.zeros(n + len(chunks), np.int32)
-        count[node - self.nodes] = np.bincount(at, minlength=n)
+        count[node - self.nodes] = degree
         first = self.edges + np.cumsum(count) - count
         self._put(self.store, self.nodes, {"first": first, "count": count})
-        self._put(self.edge, self.edges, {"end": node[at] + k + 1, "piece": piece[at, k], "p": p})
+        self._put(self.edge, self.edges, {"end": node[at] + size_of, "piece": piece, "p": p})
         self.known.update(zip(chunks, (self.nodes + start + np.arange(len(chunks))).tolist()))
         self.nodes += n + len(chunks)
         self.edges += len(at)
@@ -205,6 +227,7 @@ class Lattices:
                 at += 1 + sum(len(p) - 1 for _, p, _ in out[i][0] if type(p) is bytes)
             places.append(at)
             for i, (found, s) in enumerate(out):
+                found.reverse()  # longest first
                 first.append(edge)
                 count.append(len(found))
                 spare = []
@@ -241,6 +264,22 @@ class Lattices:
             store[k][at:need] = values
 
 
+def chunks_of(text: str) -> list[str]:
+    """``CHUNK.findall(" " + text)``; lines with single spaces only are split, which is faster."""
+    out = []
+    for i, line in enumerate((" " + text).split("\n")):
+        if i:
+            out.append("\n")
+        if "  " in line or line[-1:] == " ":
+            out += CHUNK.findall(line)
+        elif line:
+            first, *words = line.split(" ")
+            if first:
+                out.append(first)
+            out += [" " + w for w in words]
+    return out
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """Scrambled 64-bit counters."""
     x = np.atleast_1d(x) + np.uint64(0x9E3779B97F4A7C15)
@@ -283,30 +322,32 @@ def _fresh(lat: Lattices, walks, froms, round_: int):
         steps, who = [], []
         length = np.zeros(n, np.int64)
         step = 0
+        left = count[node]
         while len(live):
             e = first[node]
-            many = np.flatnonzero(count[node] > 1)
+            many = np.flatnonzero(left > 1)
             if len(many):
                 u = ((_mix(seed[many] ^ (place[many] + np.uint64(step))) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
-                pick = e[many]
-                last = pick + count[node[many]] - 1
-                over = np.arange(len(many))
-                while True:
-                    p = prob[pick[over]]
-                    go = (u[over] > p) & (pick[over] < last[over])
-                    over = over[go]
-                    if not len(over):
-                        break
-                    u[over] -= p[go]
+                pick, options = e[many], left[many]
+                p = prob[pick]
+                over = np.flatnonzero(u > p)
+                u, p, tries = u[over], p[over], 1
+                while len(over):  # on to the next edge; the last takes what is left
                     pick[over] += 1
+                    u = u - p
+                    tries += 1
+                    p = prob[pick[over]]
+                    go = (u > p) & (options[over] > tries)
+                    over, u, p = over[go], u[go], p[go]
                 e[many] = pick
             steps.append(e)
             who.append(live)
             length[live] += 1
             node = end[e]
-            go = count[node] > 0
+            left = count[node]
+            go = left > 0
             if not go.all():
-                node, live, seed, place = node[go], live[go], seed[go], place[go]
+                node, live, seed, place, left = node[go], live[go], seed[go], place[go], left[go]
             step += 1
     at = np.cumsum(length) - length
     flat = np.empty(int(length.sum()), np.int64)
@@ -405,15 +446,19 @@ def _degree(lat: Lattices, w: Walk, which: int, t: int) -> int:
 def sample_batch(lat: Lattices, texts: list[str | None], keys: list[int], k: int):
     """For each text (paths as arrays of piece ids, log probabilities, perturbed
     values, kappa)."""
-    cut = [CHUNK.findall(" " + t) if t else [] for t in texts]
-    new = {c for chunks in cut for c in chunks if c not in lat.known}
-    if new:
+    cut = [chunks_of(t) if t else [] for t in texts]
+    at = [list(map(lat.known.get, chunks)) for chunks in cut]
+    missing = [r for r, places in enumerate(at) if None in places]
+    if missing:
+        new = {c for r in missing for c, place in zip(cut[r], at[r]) if place is None}
         if len(lat.known) + len(new) > MEMORY and lat.known:
             lat.clear()
+            missing = range(len(cut))
             new = {c for chunks in cut for c in chunks}
         lat.add(new)
-    known = lat.known
-    walks = [Walk(key, np.array(list(map(known.__getitem__, chunks)), np.int64)) for key, chunks in zip(keys, cut)]
+        for r in missing:
+            at[r] = list(map(lat.known.__getitem__, cut[r]))
+    walks = [Walk(key, np.array(places, np.int64)) for key, places in zip(keys, at)]
     edge = lat.edge
     for w, (path, lens) in zip(walks, _fresh(lat, walks, [0] * len(walks), 0)):
         u = float(_uniform(_seed(w.key, 0, 4), 0)[0])

@@ -1,5 +1,6 @@
 """SentencePiece: sampling distribution, distinctness, inclusion, exact round trips, edges."""
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -98,3 +99,33 @@ def test_round_trips_and_edges(spark):
 def test_all_documents(spark, small_docs):
     rows = pieces.decode(pieces.encode(small_docs, verify=True)).collect()
     assert len(rows) == small_docs.count() and all(t == r.text and r.decodes for r in rows for t in r.decoded)
+
+
+def test_chunks_equal_the_pattern():
+    rng = random.Random(5)
+    texts = ["", " ", "\n", "a", " a", "a ", "a  b", "a\n\nb", "\n a", "x\ty \n", "é▁ ü z"]
+    texts += ["".join(rng.choice("ab \n\t▁") for _ in range(rng.randrange(30))) for _ in range(500)]
+    for t in texts:
+        assert pieces.chunks_of(t) == pieces.CHUNK.findall(" " + t), repr(t)
+
+
+def test_chunk_lattices_do_not_depend_on_their_builder():
+    """Side by side or one by one, after forgetting or not: the same edges."""
+    v = VOCAB
+    chunks = [" the", " internationalisation", "x", " " * 5, " Über", "  ab", " zzzzzzzzqqq"]
+
+    def edges(lat, c):
+        out, node = [], lat.known[c]
+        for at in range(node, node + len(c) + 1):
+            lo, n = int(lat.store["first"][at]), int(lat.store["count"][at])
+            out.append([(int(lat.edge["end"][e]) - node, int(lat.edge["piece"][e]), round(float(lat.edge["p"][e]), 9)) for e in range(lo, lo + n)])
+        return out
+
+    many, each = pieces.Lattices(v), pieces.Lattices(v)
+    many.add(["warm", " up"])
+    many.clear()
+    many._many(chunks)
+    each._each(chunks)
+    for c in chunks:
+        assert edges(many, c) == edges(each, c)
+        assert all(abs(sum(p for *_, p in e) - 1) < 1e-6 for e in edges(many, c) if e)
