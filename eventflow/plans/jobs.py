@@ -37,6 +37,20 @@ def scrape_frame(month_pages: DataFrame, detail_pages: DataFrame, ics_files: Dat
     return C.parse_vevents(cal), errors
 
 
+def calendar_scan_job(spark: SparkSession, path: str, out: str, page_map: DataFrame | None = None) -> dict:
+    """Stored calendar files to events (A6, C9), with the files and blocks that
+    were skipped and why: ``out``/events and ``out``/skipped are Parquet tables.
+    Returns the number of events and, per reason, of skipped files."""
+    from ..operators import extract as C
+    from ..sources import readers as A
+    files, errors = A.scan_ics(spark, path, page_map=page_map)
+    C.parse_vevents(files).write.mode("overwrite").parquet(f"{out}/events")
+    errors.write.mode("overwrite").parquet(f"{out}/skipped")
+    skipped = spark.read.parquet(f"{out}/skipped").groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+    return {"events": spark.read.parquet(f"{out}/events").count(),
+            "skipped": {r.error: r.n for r in skipped.collect()}}  # four reasons at most
+
+
 def periodic_run(events: DataFrame, model, out_base: str, run_ts: str | None = None,
                  export_fmt: str = "csv") -> dict:
     """§3.1 after extraction: snapshot (A9), classify (J9), accept (D5),
@@ -243,7 +257,7 @@ def upload_publish_job(events: DataFrame, posts: DataFrame, dim_locations: DataF
     from ..operators.numbering import dense_index
     ready = B.ensure_columns(events, ["uid", "title", "description", "start", "end", "location", "url"], default=None)
     keyed = ready.withColumn("uid", upload_key(ready)).join(posts.select("uid"), "uid", "left_anti")
-    once = written_table(G.keep_first(keyed, "uid", F.xxhash64(*[F.col(f"`{c}`") for c in keyed.columns]), single_pass=True))
+    once = written_table(G.keep_first(keyed, "uid", F.xxhash64(*[F.col(f"`{c}`") for c in keyed.columns])))
     created = once if failed is None else once.join(failed.select("uid"), "uid", "left_anti")
     with_ids, locations = K.upsert_locations(created, dim_locations)
     top = F.coalesce(posts.agg(F.max("id")).scalar(), F.lit(0))

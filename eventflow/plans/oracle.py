@@ -297,6 +297,8 @@ UNION ALL SELECT doc_id, uid, CASE WHEN side = 0 THEN 'existing' ELSE 'new' END
   WHERE rn = 1"""
     d["distinct_series_sample"] = f"""WITH {DL} SELECT title, series_id FROM (SELECT series_id,
   arg_min(title, doc_id) AS title, min(doc_id) AS first FROM dl GROUP BY series_id) ORDER BY first, series_id LIMIT 10"""
+    d["valid_series_head"] = f"""WITH {DL} SELECT doc_id, series_id, label FROM dl
+  WHERE lang NOT IN ('de', 'fr') ORDER BY doc_id LIMIT 25"""
     d["value_counts"] = f"WITH {DL} SELECT label, count(*) AS n FROM dl GROUP BY label"
     d["series_summary"] = f"""WITH {DL}, g AS (SELECT series_id,
   count(*) FILTER (WHERE regexp_replace(CAST(label AS VARCHAR), '\\.0', '') IN ('0', '1')) AS labeled_count,
@@ -382,6 +384,11 @@ SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY first) - 1
     d["extraction_errors"] = f"""WITH {resolved()} SELECT page_id, 'no calendar file for page ' || url AS message,
   (SELECT count(*) FROM r WHERE ics_url IS NULL) AS n_errors FROM r WHERE ics_url IS NULL ORDER BY page_id LIMIT 5"""
     d["parse_vevents"] = vevents()
+    d["calendar_quarantine"] = """SELECT CAST(o_orderkey AS VARCHAR) AS source_ics,
+  CAST(CASE o_orderkey % 6 WHEN 0 THEN 1 WHEN 4 THEN 1 WHEN 5 THEN 2 ELSE 0 END AS BIGINT) AS n_events,
+  CASE o_orderkey % 6 WHEN 1 THEN 'not valid UTF-8' WHEN 2 THEN 'no calendar' WHEN 3 THEN 'unreadable'
+   WHEN 4 THEN 'event without an end' WHEN 5 THEN 'event without an end' END AS error,
+  CASE o_orderkey % 6 WHEN 4 THEN 2 WHEN 5 THEN 1 END AS n_broken FROM orders"""
     d["month_window"] = """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS frame_month FROM orders
   WHERE (o_orderdate >= TIMESTAMP '1998-12-01' AND o_orderdate < TIMESTAMP '1999-01-01')
      OR (o_orderdate >= TIMESTAMP '1997-05-01' AND o_orderdate < TIMESTAMP '1997-07-01')"""

@@ -24,6 +24,7 @@ from ..operators import rules as D
 from ..operators import shaping as B
 from ..operators.numbering import dense_index
 from ..session import configure
+from ..sources import readers as A
 
 # Parameters of the bindings (documented in the README).
 PART_POS, PART_NEG = "ring|widget", "small"
@@ -293,6 +294,12 @@ def q_distinct_series_sample(spark, sf_dir):
 
 
 # --------------------------------------------------------------------- H
+def q_valid_series_head(spark, sf_dir):
+    """Rows with a series, the first 25 by id; the empty series is one language's."""
+    d = docs_labelled(spark, sf_dir).withColumn("series_id", F.when(F.col("lang") == "de", F.lit("")).when(F.col("lang") != "fr", F.col("series_id")))
+    return R.head(D.valid_series(d).select("doc_id", "series_id", "label"), 25, "doc_id")
+
+
 def q_value_counts(spark, sf_dir):
     return R.value_counts(docs_labelled(spark, sf_dir), "label")
 
@@ -395,7 +402,8 @@ def q_extract_links(spark, sf_dir):
 
 def _resolved(spark, sf_dir):
     """Pages in four kinds by id: captioned link, file link, page name only, nothing."""
-    pages = load(spark, sf_dir, "pages")
+    configure(spark)
+    pages = A.scan_pages(spark, f"{sf_dir}/pages.parquet")
     kind, i = F.pmod("page_id", F.lit(4)), F.col("page_id").cast("string")
     caption = F.concat(F.lit('<!-- <a href="/old.ics">Add to Calendar - iCal</a> --><a class="x" title="a > b" href="/files/&#x63;al'), i,
                        F.lit('"><b> Add to Calendar - iCal </b></a>'))
@@ -469,6 +477,23 @@ def q_parse_vevents(spark, sf_dir):
                      F.array_join("category", ";").alias("category_text"), "source_ics", "vevent_pos")
 
 
+def q_calendar_quarantine(spark, sf_dir):
+    """Calendars of orders in six kinds by id: whole, bytes that are no text, no
+    calendar, unreadable, an event without an end before a whole one and after."""
+    o = load(spark, sf_dir, "orders")
+    kind, i = F.pmod("o_orderkey", F.lit(6)), F.col("o_orderkey").cast("string")
+    whole = F.concat(F.lit("BEGIN:VEVENT\r\nUID:"), i, F.lit("\r\nEND:VEVENT\r\n"))
+    cut = F.concat(F.lit("BEGIN:VEVENT\r\nUID:cut"), i, F.lit("\r\n"))
+    body = F.when(kind == 4, F.concat(cut, cut, whole)).when(kind == 5, F.concat(whole, whole, cut)).otherwise(whole)
+    cal = F.concat(F.lit("BEGIN:VCALENDAR\r\n"), body, F.lit("END:VCALENDAR\r\n")).cast("binary")
+    files = o.select(i.alias("source_ics"), F.when(kind == 1, F.concat(cal, F.unhex(F.lit("FFFE")))).when(kind == 2, F.lit("<html>").cast("binary"))
+                     .when(kind != 3, cal).alias("content"))
+    good, errors = A.quarantine(files)
+    events = C.parse_vevents(good).groupBy("source_ics").agg(F.count(F.lit(1)).alias("n_events"))
+    return (files.select("source_ics").join(events, "source_ics", "left").join(errors, "source_ics", "left")
+            .select("source_ics", F.coalesce("n_events", F.lit(0)).alias("n_events"), "error", "n_broken"))
+
+
 def q_month_window(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     frames = [C.month_window(o, "o_orderdate", 1998, 12), C.month_window(o, "o_orderdate", 1997, 5)]

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.ics import vevent_blocks
+from ..operators.staging import stage
+
 # ---------------------------------------------------------------------------
 # Text markers pandas' CSV reader turns into missing values.
 PANDAS_NA = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -95,26 +98,52 @@ def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("page_id", "url", "html")
 
 
-def decode_ics(files: DataFrame, content: str = "content") -> tuple[DataFrame, DataFrame]:
-    """Binary file contents as text: (files that are valid UTF-8, the others
-    without their content). One bad file does not end the job."""
-    ok = F.is_valid_utf8(F.col(content).cast("string"))
-    keep = [c for c in files.columns if c != content]
-    good = files.where(ok).select(*keep, F.col(content).cast("string").alias("content"))
-    return good, files.where(~F.coalesce(ok, F.lit(False))).select(*keep, F.lit("not valid UTF-8").alias("error"))
+def quarantine(files: DataFrame, content: str = "content") -> tuple[DataFrame, DataFrame]:
+    """Calendar files as (readable files with their text, error rows).
+
+    ``content`` is bytes or text, null for a file that could not be read. An
+    error row holds the other columns, ``error`` and ``n_broken``:
 
+    * ``unreadable``, ``not valid UTF-8``, ``no calendar`` (no BEGIN:VCALENDAR):
+      the file is left out, ``n_broken`` is null;
+    * ``event without an end``: ``n_broken`` events are begun but not closed
+      before the next one or the end; the file's whole events stay.
 
-def scan_ics(spark: SparkSession, path: str, glob: str = "*.ics", page_map: DataFrame | None = None) -> DataFrame:
-    """Calendar files, one row per file ``(source_ics, source_page, content)``;
-    unreadable files and files that are not UTF-8 are skipped (``decode_ics``
-    names the latter). ``page_map(source_ics, source_page)`` attaches provenance
-    when known."""
+    One bad file or block ends neither the job nor the rest of its file.
+    """
+    keep = [F.col(f"`{c}`") for c in files.columns if c != content]
+    text = F.col(f"`{content}`").cast("string")
+    lost = (F.when(text.isNull(), F.lit("unreadable")).when(~F.is_valid_utf8(text), F.lit("not valid UTF-8"))
+            .when(~text.rlike(r"(?i)^[\uFEFF\s]*BEGIN:VCALENDAR"), F.lit("no calendar")))
+    judged = stage(files, {"_lost": lost})
+    good = judged.where(F.col("_lost").isNull()).select(*keep, text.alias("content"))
+    begun = F.regexp_count(text, F.lit(r"(?m)^BEGIN:VEVENT\r?$"))
+    counted = stage(judged, {"_broken": F.when(F.col("_lost").isNull(), begun - F.size(vevent_blocks(text)))})
+    errors = (counted.where(F.col("_lost").isNotNull() | (F.col("_broken") > 0))
+              .select(*keep, F.coalesce("_lost", F.lit("event without an end")).alias("error"),
+                      F.col("_broken").cast("int").alias("n_broken")))
+    return good, errors
+
+
+def scan_ics(spark: SparkSession, path: str, glob: str = "*.ics",
+             page_map: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Calendar files as (one row per readable file: ``source_ics``,
+    ``source_page``, ``content``; error rows, see :func:`quarantine`).
+    ``page_map(source_ics, source_page)`` attaches provenance when known.
+
+    Files of no bytes are not in Spark's listing; they are no rows and no errors.
+    Files that Spark cannot read are found by comparing the listing, which
+    reads no content, with the files that were read."""
     raw = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
            .option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).load(path))
-    files, _ = decode_ics(raw.select(F.col("path").alias("source_ics"), "content"))
+    read = raw.select(F.col("path").alias("source_ics"), "content")
+    good, errors = quarantine(read)
+    listed = raw.select(F.col("path").alias("source_ics"))
+    unread = listed.join(read.where(F.length("content") >= 0).select("source_ics"), "source_ics", "left_anti")
+    errors = errors.unionByName(unread.select("source_ics", F.lit("unreadable").alias("error"), F.lit(None).cast("int").alias("n_broken")))
     if page_map is not None:
-        return files.join(page_map, "source_ics", "left").select("source_ics", "source_page", "content")
-    return files.select("source_ics", F.lit(None).cast("string").alias("source_page"), "content")
+        return good.join(page_map, "source_ics", "left").select("source_ics", "source_page", "content"), errors
+    return good.select("source_ics", F.lit(None).cast("string").alias("source_page"), "content"), errors
 
 
 def read_latest_export(spark: SparkSession, base: str, fmt: str = "csv") -> DataFrame:

@@ -41,7 +41,7 @@ def test_ics_files_and_writers(spark, tmp_dir):
         f.write("BEGIN:VCALENDAR\r\nBEGIN:VEVENT\r\nUID:1\r\nSUMMARY:S\r\nEND:VEVENT\r\nEND:VCALENDAR\r\n")
     with open(os.path.join(d, "skip.txt"), "w") as f:
         f.write("not a calendar")
-    files = A.scan_ics(spark, d)
+    files, _ = A.scan_ics(spark, d)
     assert files.count() == 1 and "BEGIN:VEVENT" in files.first().content
     events = spark.createDataFrame([("T", "D", "L", "2025-01-01", None, "u", "1", ["a", "", "b"], None, None,
                                      "s.ics", "p")], EVENT_SCHEMA)
@@ -131,12 +131,27 @@ def test_strict_json_shapes(spark, tmp_dir):
                 A.read_events_json(spark, f"{tmp_dir}/{name}.json", strict=True)
 
 
-def test_bad_byte_in_one_calendar_file(spark, tmp_dir):
-    for name, body in (("good", b"BEGIN:VCALENDAR caf\xc3\xa9"), ("bad", b"BEGIN:VCALENDAR \xff\xfe")):
+def test_skipped_calendar_files_are_reported(spark, tmp_dir):
+    from eventflow.plans.jobs import calendar_scan_job
+    event, cut = b"BEGIN:VEVENT\nSUMMARY:caf\xc3\xa9\nEND:VEVENT\n", b"BEGIN:VEVENT\nSUMMARY:cut\n"
+    for name, body in (("good", b"BEGIN:VCALENDAR\n" + event + b"END:VCALENDAR\n"), ("bad", b"BEGIN:VCALENDAR \xff\xfe"),
+                       ("page", b"<html>"), ("half", b"BEGIN:VCALENDAR\n" + cut + event + cut)):
         with open(f"{tmp_dir}/{name}.ics", "wb") as f:
             f.write(body)
-    rows = A.scan_ics(spark, tmp_dir).collect()
-    assert [r.content for r in rows] == ["BEGIN:VCALENDAR café"]
-    raw = spark.read.format("binaryFile").load(tmp_dir + "/*.ics").selectExpr("path as source_ics", "content")
-    good, bad = A.decode_ics(raw)
-    assert good.count() == 1 and bad.first().source_ics.endswith("bad.ics")
+    files, errors = A.scan_ics(spark, tmp_dir)
+    assert sorted(r.source_ics.rsplit("/", 1)[1] for r in files.collect()) == ["good.ics", "half.ics"]
+    got = {r.source_ics.rsplit("/", 1)[1]: (r.error, r.n_broken) for r in errors.collect()}
+    assert got == {"bad.ics": ("not valid UTF-8", None), "page.ics": ("no calendar", None),
+                   "half.ics": ("event without an end", 2)}
+    out = calendar_scan_job(spark, tmp_dir, tmp_dir + "/out")
+    assert out == {"events": 2, "skipped": {"not valid UTF-8": 1, "no calendar": 1, "event without an end": 1}}
+    assert {r.title for r in spark.read.parquet(tmp_dir + "/out/events").collect()} == {"café"}
+
+
+def test_quarantine_of_text_nulls_and_empty_tables(spark):
+    df = spark.createDataFrame([("a", None), ("b", "begin:vcalendar"), ("c", "\ufeff BEGIN:VCALENDAR")], "source_ics string, content string")
+    good, errors = A.quarantine(df)
+    assert sorted(r.source_ics for r in good.collect()) == ["b", "c"]
+    assert [(r.source_ics, r.error) for r in errors.collect()] == [("a", "unreadable")]
+    good, errors = A.quarantine(df.limit(0))
+    assert good.count() == errors.count() == 0
