@@ -44,3 +44,12 @@ def test_pruned_weights_move_only_by_term(spark, monkeypatch, most):
     assert {r.doc_id for r in norms} == {None, 1, 4, 5} and all(abs(r.n - 1) < 1e-9 for r in norms)
     got = w.where("term = 'ab' and doc_id = 1").first()
     assert got.tf == 3 and abs(got.idf - (math.log(8 / 4) + 1)) < 1e-12
+
+
+def test_row_numbers_are_dense_and_stable(spark, tmp_dir):
+    from eventflow.operators.rowkey import with_row_number
+    spark.range(100).repartition(3).write.parquet(tmp_dir + "/t")
+    df = with_row_number(spark.read.parquet(tmp_dir + "/t"))
+    a, b = ({r.id: r._rid for r in x.collect()} for x in (df, df.repartition(7)))
+    assert a == b and sorted(a.values()) == list(range(100))
+    assert with_row_number(df.limit(0).drop("_rid")).count() == 0
