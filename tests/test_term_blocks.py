@@ -1,11 +1,13 @@
 """Term counts in blocks, and the size of what TF-IDF and training vectors move or work out."""
 import math
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from eventflow.operators import features as I
+from eventflow.operators import models as J
 
 TEXTS = [(1, "Ab cd ab cd x ab"), (2, ""), (3, None), (4, "zz"), (4, "zz zz ab"), (None, "ab zz"), (5, "été été ab cd")]
 
@@ -53,3 +55,13 @@ def test_row_numbers_are_dense_and_stable(spark, tmp_dir):
     a, b = ({r.id: r._rid for r in x.collect()} for x in (df, df.repartition(7)))
     assert a == b and sorted(a.values()) == list(range(100))
     assert with_row_number(df.limit(0).drop("_rid")).count() == 0
+
+
+def test_vector_of_a_long_text_takes_time_in_proportion(spark):
+    long = " ".join(f"w{i}" for i in range(40_000))
+    d = spark.createDataFrame([(long, "", 1), (long, "", 0), ("w1", "", 1)], "title string, description string, label int")
+    spec = J.FeatureSpec(kind="trainer", min_df=2, max_df=1.0)
+    since = time.monotonic()
+    got = J.training_set(spec.prepare(d), spec, "label")
+    assert got.n_terms == 79_999 and got.vectors.count() == 3
+    assert time.monotonic() - since < 60  # before, the norm was worked out for every one of the terms
