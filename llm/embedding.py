@@ -6,10 +6,13 @@ tasks are sent, grows with the root of the input only). A vector is described by
 ``NEAREST`` of them up to ``BASE_PIVOTS`` pivots and ``MORE`` for each doubling of these, since
 two linked vectors share fewer of a fixed number the denser the pivots are. Two vectors are candidates when they share at least ``SHARED`` of
 them, so they meet in an inverted list of one of all but their SHARED - 1
-most frequent pivots; in the first such list the shared pivots are counted and
-candidates verified by cosine in double precision. Long lists are cut into
-blocks that meet pair by pair in tasks of their own. A list gives each vector's
-number of links and a spanning forest of the links, never the pairs.
+most frequent pivots; in the first such list pairs are verified by cosine in
+double precision (after a product in single precision with room for its
+rounding) and their shared pivots counted. The list of a pivot with more than
+``LONGEST`` holders is dealt by the second shared pivot too, so lists do not
+grow with the input; those still longer are cut into blocks that meet pair by
+pair in tasks of their own. A list gives each vector's number of links and a
+spanning forest of the links, never the pairs.
 
 Equal vectors are one node with a count. Recall is measured in the tests; links
 found are exact.
@@ -36,8 +39,10 @@ BASE_PIVOTS = 128
 MORE = 1.5
 #: Times as many vectors are offered as pivots; those near another pivot are passed over.
 SPARE = 4
-#: Rows compared with a list at a time.
-STRIPE = 256
+#: Holders of a pivot from which on its list is dealt by a second pivot too, and rows of a block.
+LONGEST = 4096
+#: Rows compared with a list at a time, and pairs verified at a time.
+STRIPE, PAIRS = 256, 16384
 
 
 def _vectors(column: pa.Array) -> list[bytes | None]:
@@ -57,8 +62,8 @@ def nearest_pivots(pivots: int, nearest: int = NEAREST) -> int:
     return nearest + int(np.ceil(MORE * np.log2(max(1.0, pivots / BASE_PIVOTS))))
 
 
-def _unit(raw) -> np.ndarray:
-    x = np.stack([np.frombuffer(r, np.float64) for r in raw])
+def _unit(raw, kind=np.float64) -> np.ndarray:
+    x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
     x = x / np.abs(x).max(1, keepdims=True)  # so that no square overflows or vanishes
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -66,21 +71,23 @@ def _unit(raw) -> np.ndarray:
 def _apart(x: np.ndarray, most: int, limit: float) -> np.ndarray:
     """The first ``most`` rows of which no two have a cosine above ``limit``: pivots
     that crowd in one group of near copies would be ordered by chance."""
-    kept: list[np.ndarray] = []
+    kept, n = np.empty((min(most, len(x)), x.shape[1])), 0
     for v in x:
-        if not kept or (np.array(kept) @ v).max() <= limit:
-            kept.append(v)
-            if len(kept) >= most:
+        if not n or (kept[:n] @ v).max() <= limit:
+            kept[n] = v
+            n += 1
+            if n >= most:
                 break
-    return np.array(kept)
+    return kept[:n]
 
 
 def link_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.9,
-                 nearest: int = NEAREST, shared: int = SHARED, pivots_per_root: float = PIVOTS_PER_ROOT) -> DataFrame:
+                 nearest: int = NEAREST, shared: int = SHARED, pivots_per_root: float = PIVOTS_PER_ROOT, longest: int = LONGEST) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     kind = vectors.schema[embedding].dataType.simpleString()
     if not kind.startswith("array"):
         raise ValueError("embedding must be an array of numbers")
+    sent = np.float32 if kind == "array<float>" else np.float64  # what lists hold of a vector; nothing is rounded
 
     def clean(batches):
         for b in batches:
@@ -111,7 +118,9 @@ def link_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
                 if piv is None:
                     sig = np.zeros((len(at), 1), dtype=np.int32)  # no pivot of this length: one list for all
                 else:
-                    sig = np.argsort(-(_unit([raw[i] for i in at]) @ piv.T), axis=1, kind="stable")[:, :nearest].astype(np.int32)
+                    far = -(_unit([raw[i] for i in at]) @ piv.T)
+                    k = min(nearest, len(piv))
+                    sig = np.argpartition(far, k - 1, axis=1)[:, :k].astype(np.int32)
                 for i, s in zip(at, sig):
                     got[i] = s.tolist()
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.list_(pa.int32()))], ["node", "n", "raw", "near"])
@@ -121,60 +130,66 @@ def link_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     rank = {}  # rarest list first; one number for each length and pivot
     for i, k in enumerate(sorted(sizes, key=lambda k: (sizes[k], k))):
         rank[k] = i
-    width = -(-max(1, len(rank)) // 64)
+    long_from = next((i for i, k in enumerate(sorted(sizes, key=lambda k: (sizes[k], k))) if sizes[k] > longest), len(rank))
+
+    def keys(rs: list[int]) -> list[int]:
+        """Lists of a vector with these ranks: its first pivot shared with another is
+        one of all but the last ``shared`` - 1, the second of all but ``shared`` - 2."""
+        need = min(shared, len(rs))
+        one, two = rs[: max(1, len(rs) - need + 1)], rs[: len(rs) - need + 2]
+        if need < 2:
+            return one
+        return [k for i, p in enumerate(one) for k in ([p] if p < long_from else [(p + 1 << 32) + q for q in two[i + 1:]])]
 
     def lists(batches):
         for b in batches:
-            raw, near = b.column(2), b.column(3).to_pylist()
-            ranks = [sorted(rank[(len(r.as_py()), p)] for p in ps) for r, ps in zip(raw, near)]
-            keep = [rs[: max(1, len(rs) - min(shared, len(rs)) + 1)] for rs in ranks]
-            row = np.repeat(np.arange(len(keep)), [len(k) for k in keep])
-            take = pa.array(row)
+            raw, near = b.column(2).to_pylist(), b.column(3).to_pylist()
+            ranks = [sorted(rank[(len(r), p)] for p in ps) for r, ps in zip(raw, near)]
+            own = [keys(rs) for rs in ranks]
+            take = pa.array(np.repeat(np.arange(len(own)), [len(k) for k in own]))
             sig = pa.array([np.array(rs, np.int32).tobytes() for rs in ranks], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([x for k in keep for x in k], pa.int64()), *[c.take(take) for c in b.columns[:3]], sig.take(take)],
+            raw = pa.array([np.frombuffer(r, np.float64).astype(sent).tobytes() for r in raw], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([x for k in own for x in k], pa.int64()), *[c.take(take) for c in (b.column(0), b.column(1), raw, sig)]],
                                              ["list", "node", "n", "raw", "sig"])
 
-    def bits(sig, first: bool) -> np.ndarray:
-        out = np.zeros((len(sig), width), dtype=np.uint64)
-        for i, s in enumerate(sig):
-            rs = np.frombuffer(s.as_py(), np.int32)
-            rs = rs[: max(1, len(rs) - min(shared, len(rs)) + 1)] if first else rs
-            np.bitwise_or.at(out[i], rs >> 6, np.uint64(1) << (rs & 63).astype(np.uint64))
-        return out
-
     def load(cols):
-        return (cols["node"].to_numpy(), cols["n"].to_numpy(), _unit(cols["raw"].to_pylist()), bits(cols["sig"], False), bits(cols["sig"], True),
-                np.array([len(s.as_py()) // 4 for s in cols["sig"]]))
+        x = _unit(cols["raw"].to_pylist(), sent)
+        sig = np.frombuffer(b"".join(cols["sig"].to_pylist()), np.int32).reshape(len(x), -1)  # all of a list have as many pivots
+        return cols["node"].to_numpy(), cols["n"].to_numpy(), x, x.astype(np.float32), sig
 
     def compare(key, left, right, same):
         """(left row, right row) of verified pairs that meet in this list first."""
-        _, _, x, full_x, own_x, len_x = left
-        _, _, y, full_y, own_y, len_y = right
-        before = np.zeros(width, dtype=np.uint64)
-        for r in range(key >> 6):
-            before[r] = ~np.uint64(0)
-        before[key >> 6] = (np.uint64(1) << np.uint64(key & 63)) - np.uint64(1)
-        ii, jj = [], []
+        _, _, x, small_x, sig_x = left
+        _, _, y, small_y, sig_y = right
+        p, q = (key >> 32) - 1 if key >> 32 else key, key & 0xFFFFFFFF
+        need = min(shared, sig_x.shape[1])
+        low = np.float32(threshold - 1e-5 - x.shape[1] * 2.0 ** -22)  # no link is lost by rounding
+        ii, jj = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for at in range(0, len(x), STRIPE):
-            f = full_x[at: at + STRIPE]
-            count = np.zeros((len(f), len(y)), dtype=np.int32)
-            for w in range(width):
-                a, b = f[:, w], full_y[:, w]
-                if a.any() and b.any():
-                    count += np.bitwise_count(a[:, None] & b[None, :])
-            need = np.minimum(shared, np.minimum(len_x[at: at + STRIPE, None], len_y[None, :]))
-            i, j = np.nonzero(count >= need)
+            begin = at if same else 0  # pairs of a stripe with earlier rows were met there
+            i, j = np.nonzero(small_x[at: at + STRIPE] @ small_y[begin:].T >= low)
+            i, j = i + at, j + begin
             if same:
-                i, j = i[at + i < j], j[at + i < j]
-            i = i + at
-            for c in range(0, len(i), 100_000):
-                a, b = i[c: c + 100_000], j[c: c + 100_000]
-                first = ~(own_x[a] & own_y[b] & before).any(1)
-                a, b = a[first], b[first]
+                i, j = i[i < j], j[i < j]
+            for c in range(0, len(i), PAIRS):
+                a, b = i[c: c + PAIRS], j[c: c + PAIRS]
                 ok = np.einsum("ij,ij->i", x[a], y[b]) >= threshold
+                a, b = a[ok], b[ok]
+                if not len(a):
+                    continue
+                hit = np.zeros((len(a), sig_x.shape[1]), dtype=bool)
+                of_a, of_b = sig_x[a], sig_y[b]
+                for k in range(sig_y.shape[1]):
+                    hit |= of_a == of_b[:, k, None]
+                ok = hit.sum(1) >= need
+                row, first = np.arange(len(a)), hit.argmax(1)
+                ok &= of_a[row, first] == p
+                if key >> 32:
+                    hit[row, first] = False
+                    ok &= of_a[row, hit.argmax(1)] == q
                 ii.append(a[ok])
                 jj.append(b[ok])
-        return (np.concatenate(ii), np.concatenate(jj)) if ii else (np.zeros(0, np.int64),) * 2
+        return np.concatenate(ii), np.concatenate(jj)
 
     def result(us, vs, ws):
         """Number of links per node (v is -1) and forest edges (w is 0)."""
@@ -202,7 +217,7 @@ def link_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
         return result([a], [b], ([a, b], [b_[1][j], a_[1][i]]))
 
     entries = signed.mapInArrow(lists, "list long, node long, n long, raw binary, sig binary")
-    found = materialize(bucket_join(entries, "list", ["node", "n", "raw", "sig"], match, cross, "u long, v long, w long"))
+    found = materialize(bucket_join(entries, "list", ["node", "n", "raw", "sig"], match, cross, "u long, v long, w long", block=longest))
     links = found.filter("v = -1").groupBy(F.col("u").alias("node")).agg(F.sum("w").alias("more"))
     comp = connected_components(found.filter("v <> -1")).withColumnRenamed("component", "root")
     named = (nodes.join(links, "node", "left").join(comp, "node", "left")

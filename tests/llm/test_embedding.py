@@ -83,3 +83,22 @@ def test_recall_with_thousands_of_pivots():
             recall = ((x[:, :, None] == y[:, None, :]).any(2).sum(1) >= embedding.SHARED).mean()
             print(pivots, k, c, recall)
             assert recall >= 0.97
+
+
+def test_long_lists_are_dealt_by_a_second_pivot(spark, monkeypatch):
+    """The same links whether lists are dealt by one pivot, by two, or cut into blocks; only copies make long ones."""
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(500, 32))
+    cold = np.concatenate([base, base + 0.1 * rng.normal(size=base.shape)])
+    x = np.concatenate([cold, base[0] + 0.05 * rng.normal(size=(200, 32))]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA)
+    lists = []
+    real = embedding.bucket_join
+    monkeypatch.setattr(embedding, "bucket_join", lambda rows, *a, **k: (lists.append(rows.groupBy("list").count().agg({"count": "max"}).first()[0]), real(rows, *a, **k))[1])
+    run = lambda d, most: sorted((r.vec_id, r.n_links, r.component_id) for r in embedding.link_vectors(d, longest=most).collect())
+    one, two = run(df, 10_000), run(df, 60)
+    assert one == two and sum(r[1] for r in one) >= 200 * 199
+    lists.clear()
+    some = df.filter(f"vec_id < {len(cold)}")
+    assert run(some, 10_000) == run(some, 60)
+    assert lists[0] > 60 >= lists[1]
