@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import copy
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +64,77 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def _decoded(words) -> pa.Array:
-    return pa.array([w.decode("utf-8", "replace") for w in words], pa.string())
+    words = list(words)
+    try:
+        return pa.array(words, pa.binary()).cast(pa.string())
+    except pa.ArrowInvalid:  # a lone surrogate
+        return pa.array([w.decode("utf-8", "replace") for w in words], pa.string())
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    """Of each row, in place."""
+    z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    z /= (z @ np.ones(z.shape[1], dtype=z.dtype))[:, None]
+    return z
+
+
+def _logits(table: np.ndarray, rows, base: np.ndarray) -> np.ndarray:
+    z = table.take(rows[0], axis=0)
+    z += base
+    for r in rows[1:]:
+        z += table.take(r, axis=0)
+    return z
+
+
+def _added(grad: np.ndarray, token: np.ndarray, begins: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of the gradients of the given tokens, in runs."""
+    width = grad.shape[1]
+    out = grad.take(token[begins], axis=0)
+    many = np.flatnonzero(size > 1)  # most runs are one token
+    if len(many):
+        at = np.repeat(np.arange(len(many)) * width, size[many])[:, None] + np.arange(width)
+        own = grad.take(token[np.repeat(size > 1, size)], axis=0)
+        out[many] = np.bincount(at.ravel(), own.ravel(), len(many) * width).reshape(-1, width)
+    return out
+
+
+class Weights:
+    """A weight table for descent: a row's weights and their sums of squares lie
+    together, and a batch fetches and writes each row it touches once."""
+
+    def __init__(self, table: np.ndarray):
+        self.width = table.shape[1]
+        self.both = np.concatenate([table, np.full_like(table, 0.1)], axis=1)
+        # one item for each row, moved as a whole
+        self.items = self.both.view(np.dtype((np.void, self.both.itemsize * 2 * self.width)))[:, 0]
+        self.hit = np.zeros(len(table), dtype=bool)
+        self.small = np.uint16 if len(table) <= 1 << 16 else np.int64  # sorted by radix
+
+    def fetch(self, rows, base: np.ndarray) -> np.ndarray:
+        """Probabilities from the given rows (arrays by feature, of the same tokens)."""
+        every = np.concatenate(rows).astype(self.small)
+        order = np.argsort(every, kind="stable")
+        every = every[order]
+        self.begins = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+        self.size = np.diff(self.begins, append=len(every))
+        self.rows = every[self.begins].astype(np.int64)
+        self.token = np.tile(np.arange(len(rows[0])), len(rows))[order]
+        self.own = self.both.take(self.rows, axis=0)
+        at = np.empty(len(every), dtype=np.int64)
+        at[order] = np.repeat(np.arange(len(self.rows)), self.size)
+        return _softmax(_logits(np.ascontiguousarray(self.own[:, : self.width]), at.reshape(len(rows), -1), base))
+
+    def step(self, grad: np.ndarray, rate: float) -> None:
+        """Adagrad on the rows fetched last."""
+        g = _added(grad, self.token, self.begins, self.size)
+        squares = self.own[:, self.width:]
+        squares += g * g
+        g *= np.float32(rate)
+        g /= np.sqrt(squares)
+        self.own[:, : self.width] -= g
+        self.items[self.rows] = self.own.view(self.items.dtype)[:, 0]
+        self.hit[self.rows] = True
 
 
 class Model:
@@ -116,7 +187,7 @@ class Model:
 
     def encode(self, words: list[bytes]) -> np.ndarray:
         get, h = self.ids.get, self.h
-        out = np.fromiter((get(w, h) for w in words), np.int64, len(words))
+        out = np.fromiter(map(get, words, repeat(h)), np.int64, len(words))
         return np.append(out, get(END, h))
 
     def history(self, ids: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
@@ -144,20 +215,10 @@ class Model:
     def forward(self, ids, before):
         cls, slot = self.cls[ids], self.slot[ids]
         one, two = self.rows(before, cls)
-        z = self.b1 + self.t1[one[0]]
-        for r in one[1:]:
-            z += self.t1[r]
-        z -= z.max(1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
         sub = np.flatnonzero(cls < self.inner)
-        y = self.b2[cls[sub]]
-        for r in two:
-            y += self.t2[r[sub]]
-        y -= y.max(1, keepdims=True)
-        np.exp(y, out=y)
-        y /= y.sum(1, keepdims=True)
-        return cls, slot, one, two, z, sub, y
+        z = _softmax(_logits(self.t1, one, self.b1))
+        y = _softmax(_logits(self.t2, [r[sub] for r in two], self.b2.take(cls[sub], axis=0)))
+        return cls, slot, z, sub, y
 
     def score(self, ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Natural-log probability of each token; of a tail token, that of its class."""
@@ -166,7 +227,7 @@ class Model:
         for at in range(0, len(ids), CHUNK):
             part = slice(at, at + CHUNK)
             x = ids[part]
-            cls, slot, _, _, z, sub, y = self.forward(x, [b[part] for b in before])
+            cls, slot, z, sub, y = self.forward(x, [b[part] for b in before])
             lp = np.log(z[np.arange(len(x)), cls].astype(np.float64) + 1e-30)
             lp[sub] += np.log(y[np.arange(len(sub)), slot[sub]].astype(np.float64) + 1e-30)
             out[part] = lp + self.inside[x]
@@ -174,34 +235,23 @@ class Model:
 
     def descend(self, ids: np.ndarray, begins: np.ndarray, rate: float, batch: int = 2048):
         """Mini-batch Adagrad over the tokens, in place; the weights are copied first."""
-        self.t1, self.t2 = self.t1.copy(), self.t2.copy()
-        a1, a2 = np.full_like(self.t1, 0.1), np.full_like(self.t2, 0.1)
-        hit1, hit2 = np.zeros(ROWS, dtype=bool), np.zeros(ROWS, dtype=bool)
+        one, two = Weights(self.t1), Weights(self.t2)
         before = self.history(ids, begins)
-
-        small = np.uint16 if ROWS <= 1 << 16 else np.int64  # sorted by radix
-
-        def step(table, acc, hit, rows, grad):
-            every = np.concatenate(rows).astype(small)
-            order = np.argsort(every, kind="stable")
-            every = every[order]
-            at = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
-            u = every[at].astype(np.int64)
-            g = np.add.reduceat(grad[order % len(grad)], at, axis=0)
-            acc[u] += g * g
-            table[u] -= rate * g / np.sqrt(acc[u])
-            hit[u] = True
-
         for at in range(0, len(ids), batch):
             part = slice(at, at + batch)
             x = ids[part]
-            cls, slot, one, two, z, sub, y = self.forward(x, [b[part] for b in before])
+            cls, slot = self.cls[x], self.slot[x]
+            rows1, rows2 = self.rows([b[part] for b in before], cls)
+            z = one.fetch(rows1, self.b1)
             z[np.arange(len(x)), cls] -= 1
-            step(self.t1, a1, hit1, one, z)
+            one.step(z, rate)
+            sub = np.flatnonzero(cls < self.inner)
             if len(sub):
+                y = two.fetch([r[sub] for r in rows2], self.b2.take(cls[sub], axis=0))
                 y[np.arange(len(sub)), slot[sub]] -= 1
-                step(self.t2, a2, hit2, [r[sub] for r in two], y)
-        return hit1, hit2
+                two.step(y, rate)
+        self.t1, self.t2 = (np.ascontiguousarray(w.both[:, : w.width]) for w in (one, two))
+        return one.hit, two.hit
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -281,41 +331,38 @@ def train(rows: DataFrame, max_train: int = MAX_TRAIN) -> tuple[Model, DataFrame
            .orderBy(F.col("n").desc(), "token").limit(ANCHORS).collect())
     anchors = {r.token.encode(): i for i, r in enumerate(top)}
 
-    def vector(own):
+    def vector(words):
         v = np.zeros(max(1, len(anchors)))
-        for w in own.keys() & anchors.keys():
-            v[anchors[w]] = own[w]
+        for w, n in Counter(filter(anchors.__contains__, words)).items():
+            v[anchors[w]] = n
         return v
 
     def vectors(batches):
         for b in batches:
-            got = [vector(Counter(tokens(t.as_py()))).tolist() for t in b.column(0)]
+            got = [vector(tokens(t.as_py())).tolist() for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.float64())), b.column(1)], ["v", "_h"])
 
     centres = _clusters(materialize(learn.select("text", "_h").mapInArrow(vectors, "v array<double>, _h long")),
                         max(1, len(anchors)), min(1.0, SEEDS / max(1, total)))
 
     def counted(batches):
-        held: dict = {}
+        held: list[Counter] = [Counter() for _ in range(CLUSTERS)]
 
         def out():
-            got = list(held)
-            return pa.RecordBatch.from_arrays([_decoded(w for w, _ in got), pa.array([g for _, g in got], pa.int32()),
-                                               pa.array([held[x] for x in got], pa.int64())], ["token", "g", "n"])
+            for g, c in enumerate(held):
+                if c:
+                    yield pa.RecordBatch.from_arrays([_decoded(c), pa.array([g] * len(c), pa.int32()), pa.array(list(c.values()), pa.int64())], ["token", "g", "n"])
+                    c.clear()
 
         for b in batches:
             for t in b.column(0):
-                own = Counter(tokens(t.as_py()))
-                g = int((centres @ np.sqrt(vector(own))).argmax())
+                words = tokens(t.as_py())
+                own = held[int((centres @ np.sqrt(vector(words))).argmax())]
+                own.update(words)
                 own[END] += 1
-                for w, n in own.items():
-                    k = (w, g)
-                    held[k] = held.get(k, 0) + n
-                if len(held) > HELD:
-                    yield out()
-                    held = {}
-        if held:
-            yield out()
+                if sum(map(len, held)) > HELD:
+                    yield from out()
+        yield from out()
 
     per = [F.sum(F.when(F.col("g") == g, F.col("n")).otherwise(0)).alias(f"g{g}") for g in range(CLUSTERS)]
     counts = materialize(learn.select("text").mapInArrow(counted, "token string, g int, n long")
@@ -450,7 +497,7 @@ def score_lm(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mod: i
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row), part.column(0), part.column(1), pa.array(lens.astype(np.int64)), pa.array(known), pa.array(base),
                      pa.array(lp), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], names)
-                rare = [(r, Counter(w for w, i in zip(ws, c) if i == model.h)) for r, ws, c, k in
+                rare = [(r, Counter(ws[i] for i in np.flatnonzero(c[:-1] == model.h).tolist())) for r, ws, c, k in
                         zip(row.tolist(), lists, coded, (lens - known).tolist()) if k]
                 if END not in model.ids:  # nothing was learned: the end is unknown too
                     rare = [(r, c + Counter([END])) for r, c in rare]

@@ -84,3 +84,29 @@ def test_every_text_is_learned_from(spark, monkeypatch):
     ids = first.encode([b"a", b"b"])
     one, _ = first.rows(first.history(ids, np.array([True, False, False])), first.cls[ids])
     assert all(np.any(first.t1[r[1]]) for r in one)  # the weights have changed
+
+
+def test_a_batch_fetches_and_writes_each_row_once():
+    """Rows that repeat within a feature and across features: the same as plain sums and whole-table Adagrad."""
+    rng = np.random.default_rng(3)
+    table = rng.normal(size=(40, 7)).astype(np.float32)
+    squares, plain = np.full(table.shape, 0.1), table.astype(np.float64)
+    w = lm.Weights(table)
+    touched = np.zeros(40, dtype=bool)
+    for _ in range(3):
+        rows, base, goal = [rng.integers(0, 30, 60) for _ in range(3)], rng.normal(size=7).astype(np.float32), rng.integers(0, 7, 60)
+        z = np.exp(base + sum(plain[r] for r in rows))
+        z /= z.sum(1, keepdims=True)
+        got = w.fetch(rows, base)
+        assert w.own.shape == (len(np.unique(np.concatenate(rows))), 14)
+        assert np.allclose(got, z, atol=1e-5)
+        for g in (got, z):
+            g[np.arange(60), goal] -= 1
+        w.step(got, 0.3)
+        total = np.zeros(table.shape)
+        for r in rows:
+            np.add.at(total, r, z)
+            touched[r] = True
+        squares += total * total
+        plain -= 0.3 * total / np.sqrt(squares)
+    assert np.allclose(w.both[:, :7], plain, atol=1e-4) and np.allclose(w.both[:, 7:], squares, rtol=1e-3) and (w.hit == touched).all()
