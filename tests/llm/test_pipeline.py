@@ -69,7 +69,7 @@ def test_stages_against_plain_versions(spark):
 
 def test_registered(spark):
     q = E.queries()
-    assert "pipeline" in q and {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.QUERIES}
+    assert "pipeline" in q and {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in queries.QUERIES}
     assert set(queries.QUERIES) <= set(q) and all(name in E.oracle_sql() for name in queries.ORACLE_SQL)
 
 
