@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import copy
 from collections import Counter
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +55,10 @@ SEEDS, CENTRE_STEPS = 2048, 15
 CHUNK = 16384
 #: Distinct tokens that a counting task holds before it passes them on.
 HELD = 500_000
+#: Gradients of a row that are added one by one before they are added in parts.
+STEPS = 8
+#: Weight rows that are changed at a time; they stay in a core's cache.
+BLOCK = 1024
 #: The end of a text; words are never empty.
 END = b""
 
@@ -73,67 +77,111 @@ def _decoded(words) -> pa.Array:
 
 def _softmax(z: np.ndarray) -> np.ndarray:
     """Of each row, in place."""
-    z -= z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z /= (z @ np.ones(z.shape[1], dtype=z.dtype))[:, None]
+    ones = np.ones(z.shape[1], dtype=z.dtype)
+    with np.errstate(over="ignore"):
+        e = np.exp(z)
+        total = e @ ones
+    if not (len(z) and 1e-20 < total.min() and total.max() < 1e30):  # out of range: from the largest of each row
+        z -= z.max(1, keepdims=True, initial=-np.inf)
+        e = np.exp(z, out=z)
+        total = e @ ones
+    return np.multiply(e, (1 / total)[:, None], out=z)
+
+
+def _logits(table: np.ndarray, rows, z: np.ndarray) -> np.ndarray:
+    """``z`` and the given rows of the table, in place."""
+    more = np.empty_like(z)
+    for r in rows:
+        z += table.take(r, axis=0, out=more, mode="clip")
     return z
 
 
-def _logits(table: np.ndarray, rows, base: np.ndarray) -> np.ndarray:
-    z = table.take(rows[0], axis=0)
-    z += base
-    for r in rows[1:]:
-        z += table.take(r, axis=0)
-    return z
-
-
-def _added(grad: np.ndarray, token: np.ndarray, begins: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Sums of the gradients of the given tokens, in runs."""
-    width = grad.shape[1]
-    out = grad.take(token[begins], axis=0)
-    many = np.flatnonzero(size > 1)  # most runs are one token
-    if len(many):
-        at = np.repeat(np.arange(len(many)) * width, size[many])[:, None] + np.arange(width)
-        own = grad.take(token[np.repeat(size > 1, size)], axis=0)
-        out[many] = np.bincount(at.ravel(), own.ravel(), len(many) * width).reshape(-1, width)
+def _added(values: np.ndarray, at: np.ndarray, begins: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of ``values[at]`` over runs, the longest run first: the first ``STEPS``
+    rows of all runs one by one, what is left of long runs by parts of that size."""
+    out = values.take(at.take(begins), axis=0)
+    least = len(size) - np.cumsum(np.bincount(np.minimum(size, STEPS + 1), minlength=STEPS + 2))  # [j]: runs of more than j
+    for j in range(1, STEPS):
+        if not (m := least[j]):
+            return out
+        out[:m] += values.take(at.take(begins[:m] + j), axis=0)
+    if m := least[STEPS]:
+        ends = begins[:m] + size[:m]
+        parts = (size[:m] - 1) // STEPS  # without the first
+        first = np.cumsum(parts) - parts
+        start = np.arange(first[-1] + parts[-1]) * STEPS + np.repeat(begins[:m] + STEPS - first * STEPS, parts)
+        length = np.minimum(STEPS, np.repeat(ends, parts) - start)
+        order = np.argsort((STEPS - length).astype(np.uint8), kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        out[:m] += _added(_added(values, at, start[order], length[order]), place, first, parts)
     return out
 
 
 class Weights:
-    """A weight table for descent: a row's weights and their sums of squares lie
-    together, and a batch fetches and writes each row it touches once."""
+    """A weight table for descent with each weight's sum of squares; a batch
+    fetches and writes each row it touches once."""
 
     def __init__(self, table: np.ndarray):
         self.width = table.shape[1]
-        self.both = np.concatenate([table, np.full_like(table, 0.1)], axis=1)
+        self.table, self.squares = np.stack([table, np.full_like(table, 0.1)])
         # one item for each row, moved as a whole
-        self.items = self.both.view(np.dtype((np.void, self.both.itemsize * 2 * self.width)))[:, 0]
+        self.row = np.dtype((np.void, table.itemsize * self.width))
         self.hit = np.zeros(len(table), dtype=bool)
-        self.small = np.uint16 if len(table) <= 1 << 16 else np.int64  # sorted by radix
+
+    @property
+    def both(self) -> np.ndarray:
+        return np.concatenate([self.table, self.squares], axis=1)
+
+    @property
+    def own(self) -> np.ndarray:
+        """Of the rows fetched last."""
+        return np.concatenate([self.own_table, self.squares.take(self.rows, axis=0)], axis=1)
 
     def fetch(self, rows, base: np.ndarray) -> np.ndarray:
         """Probabilities from the given rows (arrays by feature, of the same tokens)."""
-        every = np.concatenate(rows).astype(self.small)
-        order = np.argsort(every, kind="stable")
-        every = every[order]
-        self.begins = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
-        self.size = np.diff(self.begins, append=len(every))
-        self.rows = every[self.begins].astype(np.int64)
-        self.token = np.tile(np.arange(len(rows[0])), len(rows))[order]
-        self.own = self.both.take(self.rows, axis=0)
-        at = np.empty(len(every), dtype=np.int64)
-        at[order] = np.repeat(np.arange(len(self.rows)), self.size)
-        return _softmax(_logits(np.ascontiguousarray(self.own[:, : self.width]), at.reshape(len(rows), -1), base))
+        n = len(rows[0])
+        bits = max(1, n - 1).bit_length()
+        low = bits + len(rows).bit_length()
+        kind = np.uint32 if low + len(self.table).bit_length() <= 32 else np.uint64
+        # row, feature and token in one number: sorted without an index
+        every = np.empty((len(rows), n), dtype=kind)
+        for f, r in enumerate(rows):
+            np.bitwise_or(r.astype(kind) << kind(low), np.arange(n, dtype=kind) | kind(f << bits), out=every[f])
+        every = np.sort(every.ravel())
+        row, entry = (every >> kind(low)).astype(np.int64), (every & kind((1 << low) - 1)).astype(np.int64)
+        new = np.empty(len(row), dtype=bool)
+        new[0] = True
+        np.not_equal(row[1:], row[:-1], out=new[1:])
+        begins = np.flatnonzero(new)
+        size = np.diff(begins, append=len(row))
+        order = np.argsort((len(row) - size).astype(np.uint16) if len(row) < 1 << 16 else -size, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        self.begins, self.size, self.token = begins[order], size[order], entry & ((1 << bits) - 1)
+        self.rows = row[self.begins]
+        self.own_table = self.table.take(self.rows, axis=0)
+        at = np.empty(len(rows) << bits, dtype=np.int64)
+        at[entry] = np.repeat(place, size)
+        z = np.empty((n, self.width), dtype=self.table.dtype)
+        z[:] = base
+        return _softmax(_logits(self.own_table, at.reshape(len(rows), -1)[:, :n], z))
 
     def step(self, grad: np.ndarray, rate: float) -> None:
         """Adagrad on the rows fetched last."""
         g = _added(grad, self.token, self.begins, self.size)
-        squares = self.own[:, self.width:]
-        squares += g * g
-        g *= np.float32(rate)
-        g /= np.sqrt(squares)
-        self.own[:, : self.width] -= g
-        self.items[self.rows] = self.own.view(self.items.dtype)[:, 0]
+        table, squares, own = (x.view(self.row)[:, 0] for x in (self.table, self.squares, self.own_table))
+        for lo in range(0, len(g), BLOCK):
+            part = slice(lo, lo + BLOCK)
+            rows, d = self.rows[part], g[part]
+            sums = self.squares.take(rows, axis=0)
+            more = d * d
+            sums += more
+            squares[rows] = sums.view(self.row)[:, 0]
+            d *= np.float32(rate)
+            d /= np.sqrt(sums, out=sums)
+            self.own_table[part] -= d
+            table[rows] = own[part]
         self.hit[self.rows] = True
 
 
@@ -216,7 +264,7 @@ class Model:
         cls, slot = self.cls[ids], self.slot[ids]
         one, two = self.rows(before, cls)
         sub = np.flatnonzero(cls < self.inner)
-        z = _softmax(_logits(self.t1, one, self.b1))
+        z = _softmax(_logits(self.t1, one, np.tile(self.b1, (len(ids), 1))))
         y = _softmax(_logits(self.t2, [r[sub] for r in two], self.b2.take(cls[sub], axis=0)))
         return cls, slot, z, sub, y
 
@@ -250,7 +298,7 @@ class Model:
                 y = two.fetch([r[sub] for r in rows2], self.b2.take(cls[sub], axis=0))
                 y[np.arange(len(sub)), slot[sub]] -= 1
                 two.step(y, rate)
-        self.t1, self.t2 = (np.ascontiguousarray(w.both[:, : w.width]) for w in (one, two))
+        self.t1, self.t2 = one.table, two.table
         return one.hit, two.hit
 
 
@@ -261,11 +309,15 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _stacked(column: pa.Array, size: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+
+
 def _clusters(vectors: DataFrame, size: int, share: float) -> np.ndarray:
     """Spherical k-means centres of all rows (v: a text's anchor counts; _h); first
     centres come from about a ``share`` of them, the steps cover every row."""
     def stacked(column):
-        return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+        return _stacked(column, size)
 
     some = vectors.filter(F.pmod("_h", F.lit(1 << 32)) < int(share * (1 << 32))).orderBy("_h").select("v").toArrow().column("v").combine_chunks()
     x = _unit(stacked(some)) if len(some) else np.zeros((0, size))
@@ -309,8 +361,13 @@ def _texts(docs: DataFrame, text: str, doc_id: str, mod: int, rest: int):
 
 def train(rows: DataFrame, max_train: int = MAX_TRAIN) -> tuple[Model, DataFrame]:
     """(model, table of all training counts: token, n)."""
+    return _learn(rows, max_train)[:2]
+
+
+def _learn(rows: DataFrame, max_train: int) -> tuple[Model, DataFrame, DataFrame]:
+    """(model, training counts, all texts as token ids). A text is cut into words
+    twice: to count its tokens and to write their ids; all else reads the ids."""
     learn = rows.filter(~F.col("held_out"))
-    total = learn.count()
 
     def local(batches):
         c: Counter = Counter()
@@ -321,53 +378,17 @@ def train(rows: DataFrame, max_train: int = MAX_TRAIN) -> tuple[Model, DataFrame
         for b in batches:
             for t in b.column(0):
                 c.update(tokens(t.as_py()))
+                c[END] += 1
                 if len(c) > HELD:
                     yield out()
                     c.clear()
         if c:
             yield out()
 
-    top = (learn.select("text").mapInArrow(local, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
-           .orderBy(F.col("n").desc(), "token").limit(ANCHORS).collect())
-    anchors = {r.token.encode(): i for i, r in enumerate(top)}
-
-    def vector(words):
-        v = np.zeros(max(1, len(anchors)))
-        for w, n in Counter(filter(anchors.__contains__, words)).items():
-            v[anchors[w]] = n
-        return v
-
-    def vectors(batches):
-        for b in batches:
-            got = [vector(tokens(t.as_py())).tolist() for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.float64())), b.column(1)], ["v", "_h"])
-
-    centres = _clusters(materialize(learn.select("text", "_h").mapInArrow(vectors, "v array<double>, _h long")),
-                        max(1, len(anchors)), min(1.0, SEEDS / max(1, total)))
-
-    def counted(batches):
-        held: list[Counter] = [Counter() for _ in range(CLUSTERS)]
-
-        def out():
-            for g, c in enumerate(held):
-                if c:
-                    yield pa.RecordBatch.from_arrays([_decoded(c), pa.array([g] * len(c), pa.int32()), pa.array(list(c.values()), pa.int64())], ["token", "g", "n"])
-                    c.clear()
-
-        for b in batches:
-            for t in b.column(0):
-                words = tokens(t.as_py())
-                own = held[int((centres @ np.sqrt(vector(words))).argmax())]
-                own.update(words)
-                own[END] += 1
-                if sum(map(len, held)) > HELD:
-                    yield from out()
-        yield from out()
-
-    per = [F.sum(F.when(F.col("g") == g, F.col("n")).otherwise(0)).alias(f"g{g}") for g in range(CLUSTERS)]
-    counts = materialize(learn.select("text").mapInArrow(counted, "token string, g int, n long")
-                         .groupBy("token").agg(F.sum("n").alias("n"), *per))
-    n, v, *mass = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), *[F.coalesce(F.sum(f"g{g}"), F.lit(0)) for g in range(CLUSTERS)]).first()
+    counts = materialize(learn.select("text").mapInArrow(local, "token string, n long").groupBy("token").agg(F.sum("n").alias("n")))
+    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    order = [F.col("n").desc(), "token"]
+    anchors = [r.token.encode() for r in counts.filter(F.col("token") != END.decode()).orderBy(*order).limit(ANCHORS).collect()]
     # the most frequent tokens, cut at a step of the counts' logarithm: few numbers reach the driver
     step = F.floor(F.log2("n") * 8).cast("int")
     least, room = 0, DICTIONARY
@@ -376,31 +397,106 @@ def train(rows: DataFrame, max_train: int = MAX_TRAIN) -> tuple[Model, DataFrame
             least = s + 1
             break
         room -= m
-    typical = F.array(*[F.col(f"g{g}") / max(1, m) for g, m in enumerate(mass)])
-    best = (counts.filter(step >= least).select("token", "n", (F.array_position(typical, F.array_max(typical)) - 1).alias("g"))
-            .orderBy(F.col("n").desc(), "token").toArrow())
-    model = Model([w.as_py().encode() for w in best.column("token")], best.column("n").to_numpy().astype(np.float64),
-                  best.column("g").to_numpy(), int(n), int(v))
+    best = counts.filter(step >= least).orderBy(*order).toArrow()
+    words = [w.as_py().encode() for w in best.column("token")]
+    size = max(1, len(anchors))
+    coded = _coded(rows, words, anchors)
+    own = coded.filter(~F.col("held_out"))
+    total = own.count()
+    near = _cluster_counts(own, _clusters(own.select("v", "_h"), size, min(1.0, SEEDS / max(1, total))), len(words))
+    model = Model(words, best.column("n").to_numpy().astype(np.float64), near, int(n), int(v))
     del best
     if n:
-        shards = _shards(learn, model, max(SHARDS, -(-total // max_train)))
+        shards = _shards(own, max(SHARDS, -(-total // max_train)))
         for r in range(ROUNDS):
             _round(shards, model, 0.3 / (1 + r))
-    return model, counts.select("token", "n")
+    return model, counts, coded
+
+
+def _coded(rows: DataFrame, words: list[bytes], anchors: list[bytes]) -> DataFrame:
+    """All texts: row (a number of its own), doc_id, held_out, _h, ids (of the
+    dictionary ``words``, others their number), v (counts of the anchors) and tail
+    (the other tokens and how often they occur)."""
+    size = max(1, len(anchors))
+    ids = {w: i for i, w in enumerate(words)}
+    known = len(ids)
+    for w in anchors:
+        ids.setdefault(w, len(ids) + 1)  # an anchor outside the dictionary
+    anchor = np.full(len(ids) + 2, -1)
+    anchor[[ids[w] for w in anchors]] = np.arange(len(anchors))
+    pair = pa.struct([("token", pa.string()), ("n", pa.int64())])
 
+    def run(batches):
+        at = TaskContext.get().partitionId() << 40
+        get = ids.get
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                n = part.num_rows
+                lists = [tokens(t) for t in part.column(3).to_pylist()]
+                for own in lists:
+                    own.append(END)
+                flat = list(chain.from_iterable(lists))
+                lens = np.fromiter(map(len, lists), np.int64, n)
+                x = np.fromiter(map(get, flat, repeat(known)), np.int32, len(flat))
+                text = np.repeat(np.arange(n), lens)
+                a = anchor[x]
+                some = np.flatnonzero(a >= 0)
+                v = np.bincount(text[some] * size + a[some], minlength=n * size)
+                rare = np.flatnonzero(x >= known)
+                c = Counter(zip(text[rare].tolist(), map(flat.__getitem__, rare.tolist())))
+                held = np.bincount(np.fromiter((k for k, _ in c), np.int64, len(c)), minlength=n)
+                tail = pa.StructArray.from_arrays([_decoded(w for _, w in c), pa.array(list(c.values()), pa.int64())], fields=list(pair))
+                whole = np.minimum(x, known).tobytes()
+                ends = np.cumsum(lens)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at + np.arange(n)), *part.columns[:3], pa.array([whole[4 * (e - k): 4 * e] for e, k in zip(ends.tolist(), lens.tolist())], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * size, pa.int32()), pa.array(v, pa.int32())),
+                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(held)), pa.int32()), tail)],
+                    ["row", "doc_id", "held_out", "_h", "ids", "v", "tail"])
+                at += n
 
-def _shards(learn: DataFrame, model: Model, n: int) -> DataFrame:
-    """(shard, _h, ids): all training texts as token ids, the rows of a shard together."""
+    return materialize(rows.select("doc_id", "held_out", "_h", "text").mapInArrow(
+        run, "row long, doc_id long, held_out boolean, _h long, ids binary, v array<int>, tail array<struct<token:string,n:bigint>>"))
 
-    def run(batches):
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of all texts, and the number of each."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset: column.offset + len(column) + 1] // 4
+    return np.frombuffer(column.buffers()[2], np.int32, ends[-1])[ends[0]:], np.diff(ends).astype(np.int64)
+
+
+def _cluster_counts(own: DataFrame, centres: np.ndarray, h: int) -> np.ndarray:
+    """The cluster of texts that each dictionary token is most typical of."""
+
+    def counted(batches):
+        total = np.zeros((CLUSTERS, h + 1), dtype=np.int64)
         for b in batches:
-            got = [model.encode(tokens(t.as_py())).astype(np.int32).tobytes() for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.binary())], ["shard", "_h", "ids"])
+            near = (np.sqrt(_stacked(b.column(1), centres.shape[1])) @ centres.T).argmax(1)
+            ids, lens = _flat(b.column(0))
+            where = np.repeat(near * (h + 1), lens)
+            where += ids
+            at, n = np.unique(where, return_counts=True)
+            total.ravel()[at] += n
+        at = np.flatnonzero(total.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *map(pa.array, total[:, at])], ["id", *names])
+
+    names = [f"g{g}" for g in range(CLUSTERS)]
+    counts = materialize(own.select("ids", "v").mapInArrow(counted, ", ".join(["id int", *[f"{g} long" for g in names]]))
+                         .groupBy("id").agg(*[F.sum(g).alias(g) for g in names]))
+    mass = counts.agg(*[F.coalesce(F.sum(g), F.lit(0)) for g in names]).first()
+    typical = F.array(*[F.col(g) / max(1, m) for g, m in zip(names, mass)])
+    got = counts.filter(F.col("id") < h).select("id", (F.array_position(typical, F.array_max(typical)) - 1).alias("g")).toArrow()
+    out = np.zeros(h, dtype=np.int64)
+    out[got.column("id").to_numpy()] = got.column("g").to_numpy()
+    return out
+
 
+def _shards(own: DataFrame, n: int) -> DataFrame:
+    """(shard, _h, ids): all training texts, the rows of a shard together."""
     # the low bits of the hash choose the seeds of the clusters, so the high ones choose the shard
     shard = F.pmod(F.shiftright("_h", 32), F.lit(n)).cast("int")
-    return materialize(learn.select(shard.alias("shard"), "_h", "text").mapInArrow(run, "shard int, _h long, ids binary")
-                       .repartition(n, "shard").sortWithinPartitions("shard", "_h"))
+    return materialize(own.select(shard.alias("shard"), "_h", "ids").repartition(n, "shard").sortWithinPartitions("shard", "_h"))
 
 
 def _round(shards: DataFrame, model: Model, rate: float) -> None:
@@ -471,52 +567,34 @@ def score_lm(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mod: i
              max_train: int = MAX_TRAIN) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     rows = _texts(docs, text, doc_id, mod, rest)
-    model, counts = train(rows, max_train)
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "known_log", "model_log", "token", "n"]
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, known_log double, model_log double, token string, n long"
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.int64()]
+    model, counts, coded = _learn(rows, max_train)
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "known_log", "model_log"]
+    light = copy.copy(model)
+    light.ids = {}  # not needed to score
 
     def run(batches):
-        at = TaskContext.get().partitionId() << 40
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
-                lists = [tokens(t.as_py()) for t in part.column(2)]
-                coded = [model.encode(w) for w in lists]
-                lens = np.array([len(c) for c in coded])
-                begins = np.zeros(int(lens.sum()), dtype=bool)
-                starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
+                ids, lens = _flat(part.column(3))
+                starts = np.cumsum(lens) - lens
+                begins = np.zeros(len(ids), dtype=bool)
                 begins[starts] = True
-                ids = np.concatenate(coded)
-                lp = np.add.reduceat(model.score(ids, begins), starts) / np.log(10)
-                known = np.add.reduceat((ids < model.h).astype(np.int64), starts)
-                base = np.add.reduceat(model.logs[ids], starts)
-                n = part.num_rows
-                row = at + np.arange(n)
-                at += n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row), part.column(0), part.column(1), pa.array(lens.astype(np.int64)), pa.array(known), pa.array(base),
-                     pa.array(lp), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], names)
-                rare = [(r, Counter(ws[i] for i in np.flatnonzero(c[:-1] == model.h).tolist())) for r, ws, c, k in
-                        zip(row.tolist(), lists, coded, (lens - known).tolist()) if k]
-                if END not in model.ids:  # nothing was learned: the end is unknown too
-                    rare = [(r, c + Counter([END])) for r, c in rare]
-                if rare:
-                    word = [w for _, c in rare for w in c]
-                    m = len(word)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([r for r, c in rare for _ in c], pa.int64()), *[pa.nulls(m, k) for k in kinds[1:7]],
-                         _decoded(word), pa.array([x for _, c in rare for x in c.values()], pa.int64())], names)
-
-    both = materialize(rows.select("doc_id", "held_out", "text").mapInArrow(run, schema))
-    tail = both.filter("token is not null").select("row", "token", F.col("n").alias("m"))
+                lp = np.add.reduceat(light.score(ids, begins), starts) / np.log(10)
+                known = np.add.reduceat((ids < light.h).astype(np.int64), starts)
+                base = np.add.reduceat(light.logs[ids], starts)
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(lens), pa.array(known), pa.array(base), pa.array(lp)], names)
+
+    scored = coded.select("row", "doc_id", "held_out", "ids").mapInArrow(
+        run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, known_log double, model_log double")
+    tail = coded.select("row", F.explode("tail").alias("t")).select("row", "t.token", F.col("t.n").alias("m"))
     c = F.coalesce(F.col("n"), F.lit(0))
     found = (tail.join(counts, "token", "left").groupBy("row")
              .agg(F.sum(F.col("m") * F.log10(c + 0.5)).alias("tail_log"), F.sum(F.when(c > 0, F.col("m")).otherwise(0)).alias("tail_known"),
                   F.sum("m").alias("tail_n")))
     base_total = float(np.log10(model.n + 0.5 * (model.v + 1)))
     z = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("tail_log", "tail_known", "tail_n")}
-    return (both.filter("token is null").drop("token", "n").join(found, "row", "left")
+    return (scored.join(found, "row", "left")
             .select("doc_id", "held_out", "n_tokens", (F.col("n_known") + z["tail_known"]).alias("n_known"),
                     F.lit(model.n).cast("long").alias("train_tokens"),
                     (F.col("known_log") + z["tail_log"] - F.col("n_tokens") * base_total).alias("base_score"),

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from llm import lm
 
@@ -110,3 +111,53 @@ def test_a_batch_fetches_and_writes_each_row_once():
         squares += total * total
         plain -= 0.3 * total / np.sqrt(squares)
     assert np.allclose(w.both[:, :7], plain, atol=1e-4) and np.allclose(w.both[:, 7:], squares, rtol=1e-3) and (w.hit == touched).all()
+
+
+def test_a_text_is_cut_into_words_twice(spark):
+    """To count its tokens and to write their ids; clusters, shards and scores read the ids."""
+    schema = "doc_id long, text string, score double, token string"
+    docs = spark.createDataFrame([(i, f"a b w{i % 7}", 1.0, "") for i in range(200)], schema)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        read.add(1)
+        return text
+
+    rows = lm._texts(docs, "text", "doc_id", 5, 1).withColumn("text", F.udf(counted)("text"))
+    lm.train(rows)
+    assert 0 < read.value <= 2 * 200
+
+
+def test_coded_texts(spark):
+    """Ids, anchor counts and other tokens of every text; an anchor outside the dictionary is counted too."""
+    words, anchors = [b"a", b"", b"b"], [b"a", b"far"]
+    texts = ["A far far zz b zz", None, "", "b é far a a", "x " * 600 + "y"]
+    rows = spark.createDataFrame([(i, i % 2 == 0, t, i * 10) for i, t in enumerate(texts)], "doc_id long, held_out boolean, text string, _h long")
+    got = {r.doc_id: r for r in lm._coded(rows, words, anchors).collect()}
+    assert len(got) == len({r.row for r in got.values()}) == len(texts)
+    for i, t in enumerate(texts):
+        own = [*lm.tokens(t), b""]
+        r = got[i]
+        assert np.frombuffer(r.ids, np.int32).tolist() == [words.index(w) if w in words else 3 for w in own]
+        assert list(r.v) == [own.count(w) for w in anchors] and (r.held_out, r._h) == (i % 2 == 0, i * 10)
+        assert {x.token.encode(): x.n for x in r.tail} == {w: n for w, n in Counter(own).items() if w not in words}
+    # without training texts the end is unknown too
+    assert [x.token for r in lm._coded(rows.filter("doc_id = 2"), [], []).collect() for x in r.tail] == [""]
+
+
+def test_sums_of_long_and_short_runs():
+    rng = np.random.default_rng(5)
+    values = rng.normal(size=(50, 3)).astype(np.float32)
+    size = np.sort(np.concatenate([rng.integers(1, 12, 40), [1, 8, 9, 16, 17, 73, 700, 6000]]))[::-1]
+    begins = np.cumsum(size) - size
+    at = rng.integers(0, 50, size.sum())
+    want = np.array([values[at[b: b + n]].astype(float).sum(0) for b, n in zip(begins, size)])
+    assert np.allclose(lm._added(values, at, begins, size), want, rtol=1e-5, atol=1e-3)
+    one = np.ones(4, dtype=np.int64)
+    assert (lm._added(values, np.arange(4), np.arange(4), one) == values[:4]).all()
+
+
+def test_softmax_out_of_range():
+    z = np.array([[0, 1, -1e9], [500, 499, 0], [-500, -501, -1e9]], dtype=np.float32)
+    want = np.exp(z.astype(float) - z.max(1, keepdims=True))
+    assert np.allclose(lm._softmax(z.copy()), want / want.sum(1, keepdims=True), atol=1e-6)
