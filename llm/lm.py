@@ -17,6 +17,8 @@ both softmaxes over hashed n-gram and skip features of the three tokens before.
   Adagrad runs from the common weights over each shard, and the shards' changes are
   averaged per touched row, summed in Spark before they reach the driver. Anchors,
   clusters, counts, classes and base score cover all training texts too.
+* Texts are cut into words twice, to count tokens and to write their ids; all later
+  steps read the ids, a dictionary token's number or one number for all others.
 
 Cases: null and empty texts are one end token; with no training text every
 score is 0 (one unknown token is certain); null ids are learned from; equal
