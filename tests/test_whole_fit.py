@@ -1,4 +1,4 @@
-"""Fits take in all labelled rows; the SVM over term blocks."""
+"""Fits take in all labelled rows; the SVM over term blocks; what a smart-label merge moves."""
 import math
 
 import numpy as np
@@ -92,3 +92,10 @@ def test_labels_other_than_two_are_refused(spark):
     d = spark.createDataFrame([("aa bb", 2), ("aa bb", 0)], "title string, label int")
     with pytest.raises(ValueError, match="1 of them labelled"):
         J.fit_svm_balanced(d)
+
+
+def test_smart_label_merge_moves_no_texts(spark):
+    out = Q.q_smart_label_given(spark, "/root/testdata/sf0.001")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    merge = next(line for line in plan.splitlines() if "min_by" in line)
+    assert "description" not in merge and "title" not in merge  # before: every column of the documents
