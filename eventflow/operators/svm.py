@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from ..session import written_table
 from .features import term_counts
 
-#: Characters of text whose counts make up one dealt part, about (2 million counts).
-PART_CHARS = 8_000_000
+#: Characters of text whose counts make up one dealt part, about (600,000 counts: what a task holds at a time).
+PART_CHARS = 2_500_000
 #: Counts in one row of the table, about (a term's counts stay together).
 ROW_COUNTS = 1 << 19
 #: Numbers in a piece of a vector; partial vectors up to SUM_BYTES in all are summed by the driver, larger ones by piece in tasks.
@@ -145,6 +145,8 @@ def term_blocks(rows: DataFrame, id_col: str, text_col: str, n: int, chars: int,
         own = np.flatnonzero(code >= 0)
         own = own[np.lexsort((at[own], code[own]))]
         at, tf, df, words = at[own], tf[own], df[kept].astype(np.int32), held.dictionary.take(pa.array(kept))
+        del held, code, own, place
+        pa.default_memory_pool().release_unused()  # the worker stays for later stages
         end = np.cumsum(df)
         lo = 0
         while lo < len(df):
